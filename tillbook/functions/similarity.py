@@ -12,20 +12,22 @@ def token_sort(v: Column) -> Column:
     return F.array_join(F.array_sort(F.filter(words, lambda w: w != "")), " ")
 
 
-def pattern(text: str) -> Column:
+# Spark type of a pattern inside a larger constant.
+PATTERN_TYPE = "struct<size:int,masks:map<string,bigint>>"
+
+
+def pattern(text: str) -> dict:
     """A fixed text prepared for :func:`indel_ratio`: its length and, per character, a bit mask of positions."""
     if len(text) > 62:
         raise ValueError("a pattern is limited to 62 characters")
     masks: dict[str, int] = {}
     for i, ch in enumerate(text):
         masks[ch] = masks.get(ch, 0) | (1 << i)
-    pairs = [F.lit(x) for ch, bits in masks.items() for x in (ch, bits)]
-    pairs = [p.cast("bigint") if i % 2 else p for i, p in enumerate(pairs)]
-    return F.struct(F.lit(len(text)).alias("size"), F.create_map(*pairs).alias("masks"))
+    return {"size": len(text), "masks": masks}
 
 
 def indel_ratio(chars: Column, pat: Column) -> Column:
-    """Similarity 0-100: ``round(200 * LCS / (len a + len b))``, halves to even.
+    """Similarity 0-100 of a list of characters and a :data:`PATTERN_TYPE` value: ``round(200 * LCS / (len a + len b))``, halves to even.
 
     The longest common subsequence is found with one bit vector per pattern:
     each text character clears at most one further bit, and the cleared bits

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -28,6 +29,11 @@ _LAST_SERIAL = 2_958_465  # 9999-12-31
 DATE_FORMATS = ("yyyy-MM-dd", "dd/MM/yyyy", "MM/dd/yyyy", "dd-MM-yyyy")
 
 
+def once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed a single time, however often ``body`` uses it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def strip(v: Column) -> Column:
     """Remove white space of any kind from both ends."""
     return F.btrim(v, F.lit(WHITESPACE))
@@ -35,34 +41,28 @@ def strip(v: Column) -> Column:
 
 def to_number(v: Column) -> Column:
     """Text as double; NULL unless the whole text is a plain number."""
-    return F.when(v.rlike(_NUMBER), v.try_cast("double"))
+    return once(v, lambda t: F.when(t.rlike(_NUMBER), t.try_cast("double")))
 
 
-def to_quantity(v: Column, half_even: bool = True) -> Column:
-    """Text as int, rounded; NULL if unreadable or beyond 32 bits."""
-    n = to_number(v)
-    if half_even:
-        rounded = F.rint(n)
-    else:
-        rounded = F.signum(n) * F.floor(F.abs(n) + 0.5)
-    return rounded.try_cast("int")
+def to_money(v: Column) -> Column:
+    """Text as double after removing commas and white space; NULL beyond what exact sums can hold."""
+    plain = F.when(v.rlike(_NUMBER), v).otherwise(F.translate(v, "," + WHITESPACE, ""))
+    return once(to_number(plain), lambda n: F.when(F.abs(n) < MONEY_LIMIT, n))
 
 
-def to_money(v: Column) -> Column:
-    """Text as double after removing commas and white space."""
-    n = to_number(F.translate(v, "," + WHITESPACE, ""))
-    return F.when(F.abs(n) < MONEY_LIMIT, n)
+def round_quantity(n: Column, half_even: bool = True) -> Column:
+    """Number as int, rounded; NULL beyond 32 bits."""
+    rounded = F.rint(n) if half_even else F.signum(n) * F.floor(F.abs(n) + 0.5)
+    return rounded.try_cast("int")
 
 
-def looks_like_serial(v: Column) -> Column:
-    """TRUE if the text is a day number within the detection bounds."""
-    n = to_number(strip(v))
+def is_serial(n: Column) -> Column:
+    """TRUE if the number is a day number within the detection bounds."""
     return F.coalesce((n > SERIAL_MIN) & (n < SERIAL_MAX), F.lit(False))
 
 
-def serial_to_date(v: Column) -> Column:
+def serial_to_date(n: Column) -> Column:
     """Day number (fraction cut off) as a date; NULL outside the calendar."""
-    n = to_number(strip(v))
     days = F.when((n >= 1) & (n < _LAST_SERIAL + 1), F.floor(n).cast("int"))
     return F.date_add(F.lit(SERIAL_EPOCH).cast("date"), days)
 
@@ -78,7 +78,10 @@ def _parse_format(v: Column, fmt: str) -> Column:
     if min(spots.values()) < 0 or re.search("[A-Za-z']", others):
         return F.try_to_date(v, fmt)
     shape = re.sub("yyyy|MM|dd", lambda m: "[0-9]{%d}" % len(m[0]), re.escape(fmt).replace("\\-", "-"))
-    iso = F.concat_ws("-", *(F.substring(v, spots[t] + 1, len(t)) for t in ("yyyy", "MM", "dd")))
+    if fmt == "yyyy-MM-dd":
+        iso = v
+    else:
+        iso = F.concat_ws("-", *(F.substring(v, spots[t] + 1, len(t)) for t in ("yyyy", "MM", "dd")))
     return F.when(v.rlike(f"^{shape}$"), iso.try_cast("date"))
 
 

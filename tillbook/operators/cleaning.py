@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillbook.functions import text
-from tillbook.schema import CANONICAL_COLUMNS, CRITICAL_COLUMNS, TEXT_COLUMNS
+from tillbook.schema import CANONICAL_COLUMNS, CRITICAL_COLUMNS, MONEY_COLUMNS, TEXT_COLUMNS
 
 
 @dataclass(frozen=True)
@@ -24,58 +25,75 @@ class CleaningOptions:
     quantity_half_even: bool = True
 
 
-def align(raw_rows: DataFrame, planned: DataFrame) -> DataFrame:
-    """Pick the ten canonical cells of every row of a usable file, as text.
-
-    The file plan is joined on ``source_file`` without a hint: Spark broadcasts
-    it while it is small, and otherwise sorts and merges, splitting hot files.
-    """
-    usable = planned.filter("problem IS NULL").select("source_file", "positions")
-    return raw_rows.join(usable, "source_file").select(
-        "source_file",
-        "row_no",
-        *[F.get("cells", F.col(f"positions.{c}")).alias(c) for c in CANONICAL_COLUMNS],
-    )
+def _cell(name: str) -> Column:
+    return F.get("cells", F.col(f"positions.{name}"))
 
 
-def serial_files(aligned: DataFrame) -> DataFrame:
-    """Per file, whether its first non-null sale date is a spreadsheet day number.
+def add_date_mode(planned: DataFrame, raw_rows: DataFrame) -> DataFrame:
+    """Extend the file plan by ``serial_dates``: is the first non-null sale date a day number?
 
     Row number and answer share one bigint, so that a plain ``min`` finds the
     first row: it is pre-aggregated in a hash map before the shuffle, however
-    many rows a file has.
+    many rows a file has. The result has one row per file.
     """
-    tagged = F.col("row_no") * 2 + text.looks_like_serial(F.col("sale_date")).cast("bigint")
-    return (
-        aligned.filter("sale_date IS NOT NULL")
-        .groupBy("source_file")
-        .agg(F.min(tagged).alias("first"))
-        .select("source_file", (F.col("first") % 2 == 1).alias("is_serial"))
+    usable = planned.filter("problem IS NULL").select("source_file", "positions")
+    dates = raw_rows.join(usable, "source_file").select("source_file", "row_no", _cell("sale_date").alias("v"))
+    number = text.to_number(text.strip(F.col("v")))
+    first = F.min(F.col("row_no") * 2 + text.is_serial(number).cast("bigint"))
+    modes = dates.filter("v IS NOT NULL").groupBy("source_file").agg(first.alias("first"))
+    return planned.join(modes, "source_file", "left").withColumn(
+        "serial_dates", F.coalesce(F.col("first") % 2 == 1, F.lit(False))
+    ).drop("first")
+
+
+def standardise(raw_rows: DataFrame, planned: DataFrame, options: CleaningOptions = CleaningOptions()) -> DataFrame:
+    """The rows of usable files with the ten canonical columns, typed; bad cells become NULL.
+
+    ``planned`` is the file plan with its date mode. It is the only join, on
+    ``source_file`` and without a hint: a batch has a bounded number of files,
+    so Spark broadcasts the plan and no data row is shuffled; beyond the
+    broadcast threshold it sorts and merges, and splits hot files.
+    """
+    usable = planned.filter("problem IS NULL").select("source_file", "positions", "serial_dates")
+    cells = raw_rows.join(usable, "source_file").select(
+        "source_file", "serial_dates", *[_cell(c).alias(c) for c in CANONICAL_COLUMNS]
     )
 
+    def to_date(v: Column) -> Column:
+        by_number = text.once(text.to_number(text.strip(v)), text.serial_to_date)
+        return F.when(F.col("serial_dates"), by_number).otherwise(
+            text.text_to_date(v, options.date_formats, options.infer_dates)
+        )
 
-def standardise(aligned: DataFrame, options: CleaningOptions = CleaningOptions()) -> DataFrame:
-    """Type every column; ``is_kept`` is false where a critical value is missing."""
-    with_mode = aligned.join(serial_files(aligned), "source_file", "left")
-    raw_date = F.col("sale_date")
-    sale_date = F.when(F.col("is_serial"), text.serial_to_date(raw_date)).otherwise(
-        text.text_to_date(raw_date, options.date_formats, options.infer_dates)
+    # Like cells are converted by one lambda each: every cell is parsed once, and
+    # the generated code stays small enough for the JVM to compile.
+    converted = cells.select(
+        "source_file",
+        text.once(F.col("sale_date"), to_date).alias("sale_date"),
+        text.round_quantity(text.to_number(F.col("quantity")), options.quantity_half_even).alias("quantity"),
+        F.transform(F.array(*MONEY_COLUMNS), text.to_money).alias("money"),
+        F.transform(F.array(*TEXT_COLUMNS), text.strip).alias("texts"),
     )
     typed = {
-        "sale_date": sale_date,
-        "quantity": text.to_quantity(F.col("quantity"), options.quantity_half_even),
-        "price_per_unit": text.to_money(F.col("price_per_unit")),
-        "sales_amount": text.to_money(F.col("sales_amount")),
-        **{c: text.strip(F.col(c)) for c in TEXT_COLUMNS},
+        "sale_date": F.col("sale_date"),
+        "quantity": F.col("quantity"),
+        **{c: F.get("money", F.lit(i)) for i, c in enumerate(MONEY_COLUMNS)},
+        **{c: F.get("texts", F.lit(i)) for i, c in enumerate(TEXT_COLUMNS)},
     }
-    rows = with_mode.select(*[typed[c].alias(c) for c in CANONICAL_COLUMNS], "source_file", "row_no")
-    complete = F.lit(True)
-    for c in CRITICAL_COLUMNS:
-        complete = complete & F.col(c).isNotNull()
-    return rows.withColumn("is_kept", complete)
+    return converted.select(*[typed[c].alias(c) for c in CANONICAL_COLUMNS], "source_file")
 
 
 def clean(raw_rows: DataFrame, planned: DataFrame, options: CleaningOptions = CleaningOptions()) -> DataFrame:
-    """Usable rows of usable files with the ten canonical columns and ``source_file``."""
-    rows = standardise(align(raw_rows, planned), options)
-    return rows.dropna(subset=list(CRITICAL_COLUMNS)).select(*CANONICAL_COLUMNS, "source_file")
+    """Typed rows without those that lack a critical value.
+
+    The observed counts also keep Spark from pushing the filter below the
+    conversions, where it would convert dates and amounts a second time.
+    """
+    rows = standardise(raw_rows, planned, options)
+    complete = F.lit(True)
+    for c in CRITICAL_COLUMNS:
+        complete = complete & F.col(c).isNotNull()
+    counted = rows.observe(
+        f"cleaning-{uuid.uuid4().hex}", F.count(F.lit(1)).alias("rows_read"), F.count_if(~complete).alias("rows_dropped")
+    )
+    return counted.dropna(subset=list(CRITICAL_COLUMNS))

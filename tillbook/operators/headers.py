@@ -1,16 +1,18 @@
 """Map untidy workbook headers to the canonical columns.
 
-Everything is a projection of one row per file: the alias corpus is a constant
-inside the expression, so there is no join, no shuffle and no Python.
+The alias corpus is a constant inside the scoring expression, so finding the best
+alias is a projection over the distinct spellings: no cross join and no Python.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillbook.functions.similarity import indel_ratio, pattern, token_sort
-from tillbook.functions.text import WHITESPACE
+from tillbook.functions.similarity import PATTERN_TYPE, indel_ratio, pattern, token_sort
+from tillbook.functions.text import WHITESPACE, once
 from tillbook.schema import CANONICAL_COLUMNS, HEADER_ALIASES
 
 DEFAULT_THRESHOLD = 70
@@ -25,25 +27,20 @@ def normalise(header: Column) -> Column:
 
 
 def _exact_lookup() -> Column:
-    pairs = [F.lit(x) for name, spellings in HEADER_ALIASES.items() for s in spellings for x in (s, name)]
-    return F.create_map(*pairs)
+    """Constant map from alias to canonical name."""
+    lookup = {s: name for name, spellings in HEADER_ALIASES.items() for s in spellings}
+    return F.from_json(F.lit(json.dumps(lookup)), "map<string,string>")
 
 
 def _corpus() -> Column:
-    entries, order = [], 0
-    for name, spellings in HEADER_ALIASES.items():
-        for s in spellings:
-            words = " ".join(sorted(s.split()))
-            entries.append(
-                F.struct(
-                    F.lit(-order).alias("rank"),
-                    F.lit(s).alias("alias"),
-                    F.lit(name).alias("canonical"),
-                    pattern(words).alias("pattern"),
-                )
-            )
-            order += 1
-    return F.array(*entries)
+    """Constant list of all aliases, ready to be compared; the optimizer parses it once."""
+    pairs = [(s, name) for name, spellings in HEADER_ALIASES.items() for s in spellings]
+    entries = [
+        {"rank": -i, "alias": s, "canonical": name, "pattern": pattern(" ".join(sorted(s.split())))}
+        for i, (s, name) in enumerate(pairs)
+    ]
+    entry_type = f"struct<rank:int,alias:string,canonical:string,pattern:{PATTERN_TYPE}>"
+    return F.from_json(F.lit(json.dumps(entries)), f"array<{entry_type}>")
 
 
 def _no_match() -> Column:
@@ -67,13 +64,8 @@ def best_alias(normalised: Column) -> Column:
     return F.when(F.size(chars) > 0, scored).otherwise(_no_match())
 
 
-def _once(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` computed a single time."""
-    return F.get(F.transform(F.array(value), body), 0)
-
-
-def match_header(header: Column, threshold: int = DEFAULT_THRESHOLD) -> Column:
-    """Struct ``(raw_header, canonical, via_alias, score, method)`` for one header.
+def match_header(normalised: Column, threshold: int = DEFAULT_THRESHOLD) -> Column:
+    """Struct ``(canonical, via_alias, score, method)`` for one normalised header.
 
     ``method`` is ``exact``, ``fuzzy``, ``low_score`` or ``no_match``; only the
     first two have a canonical name. Scoring runs for headers without an exact
@@ -81,12 +73,11 @@ def match_header(header: Column, threshold: int = DEFAULT_THRESHOLD) -> Column:
     """
 
     def report(found: Column) -> Column:
-        exact, norm, best = found["exact"], found["norm"], found["best"]
+        exact, best = found["exact"], found["best"]
         fuzzy = best["score"] >= threshold
         return F.struct(
-            header.alias("raw_header"),
             F.coalesce(exact, F.when(fuzzy, best["canonical"])).alias("canonical"),
-            F.coalesce(F.when(exact.isNotNull(), norm), best["alias"]).alias("via_alias"),
+            F.coalesce(F.when(exact.isNotNull(), normalised), best["alias"]).alias("via_alias"),
             F.coalesce(F.when(exact.isNotNull(), F.lit(100)), best["score"]).alias("score"),
             F.when(exact.isNotNull(), "exact")
             .when(best["alias"].isNull(), "no_match")
@@ -95,20 +86,25 @@ def match_header(header: Column, threshold: int = DEFAULT_THRESHOLD) -> Column:
             .alias("method"),
         )
 
-    def look_up(norm: Column) -> Column:
-        exact = F.try_element_at(_exact_lookup(), norm)
-        best = F.when(exact.isNull(), best_alias(norm))
-        return _once(F.struct(exact.alias("exact"), norm.alias("norm"), best.alias("best")), report)
-
-    return _once(normalise(F.coalesce(header, F.lit(""))), look_up)
+    exact = F.try_element_at(_exact_lookup(), normalised)
+    best = F.when(exact.isNull(), best_alias(normalised))
+    return once(F.struct(exact.alias("exact"), best.alias("best")), report)
 
 
 def header_map(raw_files: DataFrame, threshold: int = DEFAULT_THRESHOLD) -> DataFrame:
-    """One row per header of each file with the canonical column it maps to."""
-    listed = raw_files.select("source_file", F.posexplode("headers").alias("position", "raw"))
-    return listed.select(
-        "source_file", "position", match_header(F.col("raw"), threshold).alias("m")
-    ).select("source_file", "position", "m.*")
+    """One row per header of each file with the canonical column it maps to.
+
+    The same spellings come back in file after file, so each distinct one is
+    scored once. Scoring is heavy for its few bytes: the explicit repartition
+    keeps adaptive execution from putting all of it into one task.
+    """
+    listed = raw_files.select("source_file", F.posexplode("headers").alias("position", "raw_header")).withColumn(
+        "normalised", normalise(F.coalesce("raw_header", F.lit("")))
+    )
+    tasks = raw_files.sparkSession.sparkContext.defaultParallelism
+    spellings = listed.select("normalised").distinct().repartition(tasks)
+    matched = spellings.select("normalised", match_header(F.col("normalised"), threshold).alias("m"))
+    return listed.join(matched.select("normalised", "m.*"), "normalised").drop("normalised")
 
 
 def plan_files(raw_files: DataFrame, threshold: int = DEFAULT_THRESHOLD) -> DataFrame:
@@ -116,21 +112,22 @@ def plan_files(raw_files: DataFrame, threshold: int = DEFAULT_THRESHOLD) -> Data
 
     Adds ``columns_read``, ``missing`` and ``duplicated`` (canonical names),
     ``positions`` (index of each canonical column) and ``problem`` (NULL for a
-    usable file).
+    usable file). A file without headers is kept.
     """
-    mapped = raw_files.withColumn(
-        "mapped",
-        F.transform("headers", lambda h: F.coalesce(match_header(h, threshold)["canonical"], F.lit(""))),
+    mapped = header_map(raw_files, threshold).groupBy("source_file").agg(
+        *[F.min(F.when(F.col("canonical") == c, F.col("position"))).alias(f"at_{c}") for c in CANONICAL_COLUMNS],
+        *[F.count_if(F.col("canonical") == c).alias(f"hits_{c}") for c in CANONICAL_COLUMNS],
     )
-    wanted = F.array(*[F.lit(c) for c in CANONICAL_COLUMNS])
-    planned = mapped.select(
+
+    def names_where(condition) -> Column:
+        return F.array_compact(F.array(*[F.when(condition(F.col(f"hits_{c}")), c) for c in CANONICAL_COLUMNS]))
+
+    planned = raw_files.join(mapped, "source_file", "left").select(
         *raw_files.columns,
-        F.size("headers").alias("columns_read"),
-        F.array_except(wanted, "mapped").alias("missing"),
-        F.filter(wanted, lambda c: F.size(F.filter(F.col("mapped"), lambda m: m == c)) > 1).alias("duplicated"),
-        F.struct(*[
-            (F.array_position("mapped", F.lit(c)) - 1).cast("int").alias(c) for c in CANONICAL_COLUMNS
-        ]).alias("positions"),
+        F.coalesce(F.size("headers"), F.lit(0)).alias("columns_read"),
+        names_where(lambda hits: F.coalesce(hits, F.lit(0)) == 0).alias("missing"),
+        names_where(lambda hits: hits > 1).alias("duplicated"),
+        F.struct(*[F.col(f"at_{c}").alias(c) for c in CANONICAL_COLUMNS]).alias("positions"),
     )
     problem = (
         F.when(F.col("error").isNotNull(), F.col("error"))

@@ -7,16 +7,19 @@ application to the shared folder named by ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable
 from datetime import date
 from functools import partial
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillbook.operators.cleaning import clean
+import tillbook
+from tillbook.operators.cleaning import add_date_mode, clean
 from tillbook.operators.filters import filter_sales
 from tillbook.operators.headers import header_map, plan_files
 from tillbook.operators.verdict import count_rows, file_report, log_events, rejected_rows
@@ -48,6 +51,16 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL_FOLDER[0].name
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers that were started without it."""
+    key = (spark.sparkContext.applicationId, "", "package")
+    if key not in _WRITTEN:
+        package = Path(tillbook.__file__).parent
+        folder = tempfile.mkdtemp(prefix="tillbook-package-")
+        _WRITTEN[key] = shutil.make_archive(f"{folder}/tillbook", "zip", package.parent, package.name)
+        spark.sparkContext.addPyFile(_WRITTEN[key])
+
+
 def _written(spark: SparkSession, sf_dir: str, what: str, write: Callable[[str], object]) -> str:
     """Path of a derived table, written on first use in this application."""
     key = (spark.sparkContext.applicationId, sf_dir, what)
@@ -67,17 +80,22 @@ def sales_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw rows of all untidy files."""
-    path = _written(spark, sf_dir, "raw_rows", lambda p: untidy_rows(spark, sf_dir).write.parquet(p))
+    """The raw rows of all untidy files, in as many parts as the session has cores, as a scan would leave them."""
+    parts = spark.sparkContext.defaultParallelism
+    path = _written(
+        spark, sf_dir, "raw_rows", lambda p: untidy_rows(spark, sf_dir).repartition(parts).write.parquet(p)
+    )
     return spark.read.parquet(path)
 
 
 def landing_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All untidy files with their header plan."""
-    path = _written(
-        spark, sf_dir, "file_plan", lambda p: plan_files(untidy_files(spark, sf_dir)).write.parquet(p)
-    )
-    return spark.read.parquet(path)
+    """All untidy files with their header plan and date mode."""
+    rows = landing_rows(spark, sf_dir)
+
+    def write(path: str) -> None:
+        add_date_mode(plan_files(untidy_files(spark, sf_dir)), rows).write.parquet(path)
+
+    return spark.read.parquet(_written(spark, sf_dir, "file_plan", write))
 
 
 def _view(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,18 +166,22 @@ def file_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def workbook_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sales, turned into workbooks, decoded, aligned and cleaned."""
-    landing = spark.read.parquet(
-        _written(
-            spark, sf_dir, "workbook_rows",
-            lambda p: scan_workbooks(workbooks_of(star_sales(spark, sf_dir))).write.partitionBy("kind").parquet(p),
-        )
-    )
-    return clean(raw_rows(landing), plan_files(raw_files(landing))).select(*CANONICAL_COLUMNS)
+    ship_package(spark)
+    sales = sales_table(spark, sf_dir)
+
+    def write(path: str) -> None:
+        scan_workbooks(workbooks_of(sales)).write.partitionBy("kind").parquet(path)
+
+    landing = spark.read.parquet(_written(spark, sf_dir, "workbook_rows", write))
+    rows = raw_rows(landing)
+    return clean(rows, add_date_mode(plan_files(raw_files(landing)), rows)).select(*CANONICAL_COLUMNS)
 
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sales, turned into workbooks and loaded by the stream into a new store."""
-    inbox = _written(spark, sf_dir, "inbox", lambda p: workbooks_of(star_sales(spark, sf_dir)).write.parquet(p))
+    ship_package(spark)
+    sales = sales_table(spark, sf_dir)
+    inbox = _written(spark, sf_dir, "inbox", lambda p: workbooks_of(sales).write.parquet(p))
     root = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     store = SalesStore(f"{root}/store")
     files = spark.readStream.schema(BINARY_FILE_SCHEMA).parquet(inbox)

@@ -185,11 +185,12 @@ _WORDS = "array_to_string(list_sort(list_filter(string_split_regex({0}, '[^a-z0-
 # Headers of all files, their best aliases, and what follows per file.
 HEADERS = f"""
   files AS (
-    SELECT {untidy.SOURCE_FILE_SQL} AS source_file, c_custkey AS k FROM customer
+    SELECT {untidy.SOURCE_FILE_SQL} AS source_file, c_custkey AS k, {untidy.TURN_SQL} AS turn FROM customer
   ),
   listed AS (
     SELECT source_file, k, list_concat(
-             [{", ".join(untidy.header_sql(c) for c in CANONICAL_COLUMNS)}],
+             list_transform([{", ".join("{'name': '%s', 'other': '%s'}" % p for p in untidy.COLUMN_PAIRS)}],
+                            lambda c: {untidy.HEADER_SQL}),
              CASE WHEN {untidy.EXTRA_COLUMN} THEN ['Remarks'] ELSE [] END,
              CASE WHEN {untidy.SECOND_AMOUNT} THEN ['Revenue'] ELSE [] END) AS straight
     FROM files

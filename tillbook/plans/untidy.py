@@ -38,45 +38,45 @@ DATE_STYLE = "k % 5"  # 0 ISO, 1 day first, 2 month first, 3 day number, 4 with
 SERIAL_STYLE = 3
 
 
-def header_sql(name: str) -> str:
-    """SQL for the header that file ``k`` uses for a column; valid in Spark and in DuckDB."""
-    n, turn = len(name), "CAST(floor(k / 6.0) AS INT)"
-    lost, swap = f"({turn} % {n - 2})", f"({turn} % {n - 1})"
-    styles = [
-        f"'{name}'",
-        "'" + name.replace("_", " ").upper() + "'",
-        f"'{_ALTERNATIVE[name]}'",
-        f"substr('{name}', 1, 1 + {lost}) || substr('{name}', 3 + {lost})",
-        "'  " + name.replace("_", "-") + " '",
-        f"substr('{name}', 1, {swap}) || substr('{name}', 2 + {swap}, 1)"
-        f" || substr('{name}', 1 + {swap}, 1) || substr('{name}', 3 + {swap})",
-    ]
-    cases = " ".join(f"WHEN {i} THEN {s}" for i, s in enumerate(styles))
-    text = f"CASE CAST(k % 6 AS INT) {cases} END"
-    return f"CASE WHEN {NO_QUANTITY} THEN 'zzz' ELSE {text} END" if name == "quantity" else text
-
-
+# Header that file ``k`` uses for column ``c`` (its name and an alternative): as
+# it is, in capitals, another word, a letter lost, hyphenated, two letters swapped.
+_LOST, _SWAP = "turn % (length(c.name) - 2)", "turn % (length(c.name) - 1)"
+HEADER_SQL = f"""
+  CASE WHEN {NO_QUANTITY} AND c.name = 'quantity' THEN 'zzz'
+       WHEN k % 6 = 0 THEN c.name
+       WHEN k % 6 = 1 THEN upper(replace(c.name, '_', ' '))
+       WHEN k % 6 = 2 THEN c.other
+       WHEN k % 6 = 3 THEN substr(c.name, 1, 1 + {_LOST}) || substr(c.name, 3 + {_LOST})
+       WHEN k % 6 = 4 THEN '  ' || replace(c.name, '_', '-') || ' '
+       ELSE substr(c.name, 1, {_SWAP}) || substr(c.name, 2 + {_SWAP}, 1)
+            || substr(c.name, 1 + {_SWAP}, 1) || substr(c.name, 3 + {_SWAP}) END"""
+COLUMN_PAIRS = [(c, _ALTERNATIVE[c]) for c in CANONICAL_COLUMNS]
+TURN_SQL = "CAST(floor(c_custkey / 6.0) AS INT)"
 SOURCE_FILE_SQL = "replace(c_name, '#', '_') || '.xlsx'"
 
 
-def _in_file_order(cells: list[Column], extra: Column, second: Column) -> Column:
-    row = F.concat(
-        F.array(*cells),
-        F.when(F.expr(EXTRA_COLUMN), F.array(extra)).otherwise(F.array().cast("array<string>")),
-        F.when(F.expr(SECOND_AMOUNT), F.array(second)).otherwise(F.array().cast("array<string>")),
+def _in_file_order(frame: DataFrame, name: str, cells: Column, extra: Column, second: Column) -> DataFrame:
+    """Add array column ``name``; a file with an odd key has its columns in reverse order."""
+    none = F.array().cast("array<string>")
+    straight = F.concat(
+        cells,
+        F.when(F.expr(EXTRA_COLUMN), F.array(extra)).otherwise(none),
+        F.when(F.expr(SECOND_AMOUNT), F.array(second)).otherwise(none),
     )
-    return F.when(F.expr(REVERSED), F.reverse(row)).otherwise(row)
+    turned = F.when(F.expr(REVERSED), F.reverse(name)).otherwise(F.col(name))
+    return frame.withColumn(name, straight).withColumn(name, turned)
 
 
 def untidy_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(source_file, headers, error, path, modified_at)``: one file per customer."""
     customers = spark.read.parquet(f"{sf_dir}/customer.parquet").selectExpr(
-        f"{SOURCE_FILE_SQL} AS source_file", "c_custkey AS k"
+        f"{SOURCE_FILE_SQL} AS source_file", "c_custkey AS k", f"{TURN_SQL} AS turn"
     )
-    headers = [F.expr(header_sql(c)) for c in CANONICAL_COLUMNS]
-    return customers.select(
+    pairs = ", ".join(f"named_struct('name', '{n}', 'other', '{o}')" for n, o in COLUMN_PAIRS)
+    headers = F.expr(f"transform(array({pairs}), c -> {HEADER_SQL})")
+    return _in_file_order(customers, "headers", headers, F.lit("Remarks"), F.lit("Revenue")).select(
         "source_file",
-        _in_file_order(headers, F.lit("Remarks"), F.lit("Revenue")).alias("headers"),
+        "headers",
         F.lit(None).cast("string").alias("error"),
         F.concat(F.lit("inbox/"), "source_file").alias("path"),
         F.lit(None).cast("timestamp").alias("modified_at"),
@@ -134,8 +134,7 @@ def untidy_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "price_per_unit": _money_text("price_per_unit"),
         "sales_amount": F.when(F.expr(BAD_AMOUNT), "$12").otherwise(_money_text("sales_amount")),
     }
-    return lines.select(
-        "source_file",
-        "row_no",
-        _in_file_order([cells[c] for c in CANONICAL_COLUMNS], F.lit("none"), F.lit("1.0")).alias("cells"),
+    ordered = F.array(*[cells[c] for c in CANONICAL_COLUMNS])
+    return _in_file_order(lines, "cells", ordered, F.lit("none"), F.lit("1.0")).select(
+        "source_file", "row_no", "cells"
     )

@@ -58,6 +58,7 @@ HEADER_ALIASES = {
 TEXT_COLUMNS = (
     "customer_name", "city", "state", "region", "product_category", "product_name",
 )
+MONEY_COLUMNS = ("price_per_unit", "sales_amount")
 # A row without one of these is dropped.
 CRITICAL_COLUMNS = ("sale_date", "customer_name", "sales_amount")
 

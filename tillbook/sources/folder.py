@@ -18,13 +18,18 @@ def workbook_files(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", WORKBOOK_GLOB).load(folder)
 
 
-def workbook_stream(spark: SparkSession, folder: str, files_per_trigger: int | None = None) -> DataFrame:
-    """The same folder as a stream: present files first, then new ones."""
-    reader = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
-    reader = reader.option("pathGlobFilter", WORKBOOK_GLOB)
-    if files_per_trigger is not None:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.load(folder)
+def workbook_stream(spark: SparkSession, folder: str, files_per_trigger: int = 10_000) -> DataFrame:
+    """The same folder as a stream: present files first, then new ones.
+
+    ``files_per_trigger=1`` loads file after file in order of arrival.
+    """
+    return (
+        spark.readStream.format("binaryFile")
+        .schema(BINARY_FILE_SCHEMA)
+        .option("pathGlobFilter", WORKBOOK_GLOB)
+        .option("maxFilesPerTrigger", files_per_trigger)
+        .load(folder)
+    )
 
 
 def new_files(listing: DataFrame, ingest_log: DataFrame) -> DataFrame:

@@ -46,6 +46,8 @@ def _children(root, *names):
 
 def _plain_text(element) -> str:
     """Text of a shared or inline string without phonetic hints."""
+    if len(element) == 1 and element[0].tag.endswith("}t"):
+        return element[0].text or ""
     parts = []
     for child in element:
         name = _tag(child)
@@ -111,12 +113,12 @@ def _number_text(value: str) -> str:
     return value if value.lstrip("-").isdigit() else repr(float(value))
 
 
-def _cell_text(cell, strings: list[str], dated: set[int], day_zero: datetime) -> str | None:
+def _cell_text(cell, ns: str, strings: list[str], dated: set[int], day_zero: datetime) -> str | None:
     kind = cell.get("t", "n")
-    value = next((c.text for c in cell if _tag(c) == "v"), None)
     if kind == "inlineStr":
-        inline = next((c for c in cell if _tag(c) == "is"), None)
+        inline = cell.find(ns + "is")
         return None if inline is None else _plain_text(inline)
+    value = cell.findtext(ns + "v")
     if value is None:
         return None
     if kind == "s":
@@ -125,7 +127,8 @@ def _cell_text(cell, strings: list[str], dated: set[int], day_zero: datetime) ->
         return "true" if value == "1" else "false"
     if kind != "n":
         return value
-    if int(cell.get("s", "0")) in dated:
+    style = cell.get("s")
+    if style is not None and int(style) in dated:
         moment = day_zero + timedelta(milliseconds=round(float(value) * 86_400_000))
         return str(moment.date()) if moment.time() == datetime.min.time() else moment.isoformat(" ", "seconds")
     return _number_text(value)
@@ -138,14 +141,15 @@ def sheet_rows(content: bytes) -> Iterator[list[str | None]]:
         strings, dated = _shared_strings(book), _date_styles(book)
         with book.open(part) as sheet:
             for _, element in ElementTree.iterparse(sheet):
-                if _tag(element) != "row":
+                if not element.tag.endswith("}row"):
                     continue
+                ns = element.tag[:-3]
                 row: list[str | None] = []
-                for cell in element:
+                for cell in element.iterfind(ns + "c"):
                     ref = cell.get("r")
-                    at = _column_index(ref) if ref else len(row)
-                    row.extend([None] * (at - len(row)))
-                    row.append(_cell_text(cell, strings, dated, day_zero))
+                    if ref:
+                        row.extend([None] * (_column_index(ref) - len(row)))
+                    row.append(_cell_text(cell, ns, strings, dated, day_zero))
                 element.clear()
                 if any(c is not None for c in row):
                     yield row

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tillbook.operators.cleaning import CleaningOptions, clean
+from tillbook.operators.cleaning import CleaningOptions, add_date_mode, clean
 from tillbook.operators.headers import DEFAULT_THRESHOLD, plan_files
 from tillbook.operators.verdict import count_rows, file_report, log_events, rejected_rows
 from tillbook.schema import INGEST_LOG_SCHEMA, LANDING_SCHEMA, QUARANTINE_SCHEMA
@@ -45,6 +45,19 @@ class SalesStore:
         return read_table(spark, self.path("quarantine"), QUARANTINE_SCHEMA)
 
 
+def plan_batch(files: DataFrame, rows: DataFrame, store: SalesStore, batch_id: str) -> DataFrame:
+    """Header plan and date mode of all files of a batch, written once and read back.
+
+    Stored, its size is known to Spark, which then broadcasts it to the rows.
+    """
+    spark = files.sparkSession
+    header_path = store.path(f"header_plan/batch_id={batch_id}")
+    plan_path = store.path(f"file_plan/batch_id={batch_id}")
+    plan_files(files, store.threshold).write.mode("overwrite").parquet(header_path)
+    add_date_mode(spark.read.parquet(header_path), rows).write.mode("overwrite").parquet(plan_path)
+    return spark.read.parquet(plan_path)
+
+
 def ingest_files(files: DataFrame, store: SalesStore, batch_id: str) -> int:
     """Load one batch of workbooks; returns the number of sales rows appended.
 
@@ -55,12 +68,11 @@ def ingest_files(files: DataFrame, store: SalesStore, batch_id: str) -> int:
     spark, started = files.sparkSession, time.monotonic()
     loaded_at = F.lit(datetime.now(timezone.utc))
     landing_path = store.path(f"landing/batch_id={batch_id}")
-    plan_path = store.path(f"file_plan/batch_id={batch_id}")
 
     scan_workbooks(files).write.mode("overwrite").partitionBy("kind").parquet(landing_path)
     landing = spark.read.schema(LANDING_SCHEMA).parquet(landing_path)
-    plan_files(raw_files(landing), store.threshold).write.mode("overwrite").parquet(plan_path)
-    planned, rows = spark.read.parquet(plan_path), raw_rows(landing)
+    rows = raw_rows(landing)
+    planned = plan_batch(raw_files(landing), rows, store, batch_id)
 
     cleaned = clean(rows, planned, store.cleaning).withColumn("loaded_at", loaded_at)
     loaded = append_sales(cleaned, store.path("staging_sales"), batch_id)
