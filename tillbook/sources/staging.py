@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillbook.schema import SALES_COLUMNS, STAGING_SCHEMA
+from tillbook.schema import SALES_COLUMNS, SALES_FIELDS, STAGING_SCHEMA
+
+
+def _batch_path(table: str, batch_id: str) -> str:
+    return f"{table}/batch_id={batch_id}"
 
 
 def append_sales(rows: DataFrame, table: str, batch_id: str) -> int:
@@ -21,18 +25,21 @@ def append_sales(rows: DataFrame, table: str, batch_id: str) -> int:
     """
     if "loaded_at" not in rows.columns:
         rows = rows.withColumn("loaded_at", F.current_timestamp())
-    counter = Observation()
     month = F.coalesce(F.date_format("sale_date", "yyyy-MM"), F.lit("none"))
     (
         rows.select(*SALES_COLUMNS, month.alias("sale_month"))
-        .observe(counter, F.count(F.lit(1)).alias("rows"))
         .hint("rebalance", F.col("sale_month"))
         .sortWithinPartitions("sale_month", "region", "city")
         .write.mode("overwrite")
         .partitionBy("sale_month")
-        .parquet(f"{table}/batch_id={batch_id}")
+        .parquet(_batch_path(table, batch_id))
     )
-    return counter.get["rows"]
+    return read_batch(rows.sparkSession, table, batch_id).count()
+
+
+def read_batch(spark: SparkSession, table: str, batch_id: str) -> DataFrame:
+    """The rows of one batch; lists the folder of that batch only."""
+    return spark.read.schema(T.StructType(SALES_FIELDS)).parquet(_batch_path(table, batch_id))
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

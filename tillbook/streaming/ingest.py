@@ -20,7 +20,7 @@ from tillbook.operators.headers import DEFAULT_THRESHOLD, plan_files
 from tillbook.operators.verdict import count_rows, file_report, log_events, rejected_rows
 from tillbook.schema import INGEST_LOG_SCHEMA, LANDING_SCHEMA, QUARANTINE_SCHEMA
 from tillbook.sources.folder import new_files, read_files, workbook_files
-from tillbook.sources.staging import append_sales, read_sales, read_table
+from tillbook.sources.staging import append_sales, read_batch, read_sales, read_table
 from tillbook.sources.workbook import raw_files, raw_rows, scan_workbooks
 
 
@@ -77,7 +77,7 @@ def ingest_files(files: DataFrame, store: SalesStore, batch_id: str) -> int:
     cleaned = clean(rows, planned, store.cleaning).withColumn("loaded_at", loaded_at)
     loaded = append_sales(cleaned, store.path("staging_sales"), batch_id)
 
-    staged = store.sales(spark).filter(F.col("batch_id") == batch_id)
+    staged = read_batch(spark, store.path("staging_sales"), batch_id)
     report = file_report(planned, count_rows(rows, "rows_read"), count_rows(staged, "rows_kept"))
     rejected_rows(rows, report).write.mode("overwrite").parquet(store.path(f"quarantine/batch_id={batch_id}"))
     # The log comes last: files count as done only when everything else is written.
