@@ -80,14 +80,19 @@ def test_1904_calendar():
 def test_scan(spark, inbox):
     put(inbox, "b [1] x%20.xlsx", ["A", "", "B"], [["v", "lost", 1.25], [None, None, None], [date(2024, 2, 29), "", 7]])
     (inbox / "old.XLS").write_bytes(b"\xd0\xcf\x11\xe0 legacy")
-    (inbox / "cut.Xlsm").write_bytes(workbook_bytes(["A"], [[i] for i in range(9000)])[:-900])
+    (inbox / "cut.Xlsm").write_bytes(workbook_bytes(["A"], [[i] for i in range(900)])[:-900])
     (inbox / "notes.txt").write_text("x")
     (inbox / "data.xlsb").write_bytes(b"x")
     (inbox / "sub").mkdir()
     put(inbox / "sub", "deep.xlsx")
-    landing = scan_workbooks(workbook_files(spark, str(inbox))).cache()
+    (inbox / "part=1").mkdir()
+    put(inbox / "part=1", "deep.xlsx")
+    put(inbox, "large.xlsx", rows=[[i] * 10 for i in range(3000)])
+    limit = (inbox / "large.xlsx").stat().st_size - 1
+    landing = scan_workbooks(workbook_files(spark, str(inbox)), limit).cache()
     files = {r.source_file: r for r in raw_files(landing).collect()}
-    assert set(files) == {"b [1] x%20.xlsx", "old.XLS", "cut.Xlsm"}
+    assert set(files) == {"b [1] x%20.xlsx", "old.XLS", "cut.Xlsm", "large.xlsx"}
+    assert files["large.xlsx"].error == f"Cannot read 'large.xlsx': {limit + 1} bytes are too many"
     assert files["b [1] x%20.xlsx"].headers == ["A", "B"] and files["b [1] x%20.xlsx"].error is None
     assert files["old.XLS"].error.startswith("Cannot read 'old.XLS'")
     assert files["cut.Xlsm"].error is not None

@@ -61,11 +61,19 @@ def ship_package(spark: SparkSession) -> None:
         spark.sparkContext.addPyFile(_WRITTEN[key])
 
 
+def _new_folder(spark: SparkSession, what: str) -> str:
+    """A folder for derived data that is deleted when the application ends."""
+    path = f"{shared_folder(spark)}/{what}-{uuid.uuid4().hex}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return path
+
+
 def _written(spark: SparkSession, sf_dir: str, what: str, write: Callable[[str], object]) -> str:
     """Path of a derived table, written on first use in this application."""
     key = (spark.sparkContext.applicationId, sf_dir, what)
     if key not in _WRITTEN:
-        path = f"{shared_folder(spark)}/{what}-{uuid.uuid4().hex}"
+        path = _new_folder(spark, what)
         write(path)
         _WRITTEN[key] = path
     return _WRITTEN[key]
@@ -174,7 +182,13 @@ def workbook_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     landing = spark.read.parquet(_written(spark, sf_dir, "workbook_rows", write))
     rows = raw_rows(landing)
-    return clean(rows, add_date_mode(plan_files(raw_files(landing)), rows)).select(*CANONICAL_COLUMNS)
+    planned = spark.read.parquet(
+        _written(
+            spark, sf_dir, "workbook_plan",
+            lambda p: add_date_mode(plan_files(raw_files(landing)), rows).write.parquet(p),
+        )
+    )
+    return clean(rows, planned).select(*CANONICAL_COLUMNS)
 
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,7 +196,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     sales = sales_table(spark, sf_dir)
     inbox = _written(spark, sf_dir, "inbox", lambda p: workbooks_of(sales).write.parquet(p))
-    root = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    root = _new_folder(spark, "stream")
     store = SalesStore(f"{root}/store")
     files = spark.readStream.schema(BINARY_FILE_SCHEMA).parquet(inbox)
     start_ingest_stream(files, store, f"{root}/checkpoint", available_now=True).awaitTermination()

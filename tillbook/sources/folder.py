@@ -13,9 +13,22 @@ from tillbook.schema import BINARY_FILE_SCHEMA
 WORKBOOK_GLOB = "*.[xX][lL][sS]{,x,X,m,M}"
 
 
+def _directly_in(files: DataFrame, folder: str) -> DataFrame:
+    """Leave out files of sub-folders."""
+    spark = files.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    qualified = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return files.filter(F.regexp_replace("path", "/[^/]*$", "") == qualified)
+
+
+def _options(reader):
+    """Accepted names, and no reading of ``a=b`` folder names as partitions, which would clash with plain ones."""
+    return reader.option("pathGlobFilter", WORKBOOK_GLOB).option("recursiveFileLookup", "true")
+
+
 def workbook_files(spark: SparkSession, folder: str) -> DataFrame:
     """All workbooks directly in ``folder``; the content is read only if selected."""
-    return spark.read.format("binaryFile").option("pathGlobFilter", WORKBOOK_GLOB).load(folder)
+    return _directly_in(_options(spark.read.format("binaryFile")).load(folder), folder)
 
 
 def workbook_stream(spark: SparkSession, folder: str, files_per_trigger: int = 10_000) -> DataFrame:
@@ -23,13 +36,8 @@ def workbook_stream(spark: SparkSession, folder: str, files_per_trigger: int = 1
 
     ``files_per_trigger=1`` loads file after file in order of arrival.
     """
-    return (
-        spark.readStream.format("binaryFile")
-        .schema(BINARY_FILE_SCHEMA)
-        .option("pathGlobFilter", WORKBOOK_GLOB)
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .load(folder)
-    )
+    reader = _options(spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA))
+    return _directly_in(reader.option("maxFilesPerTrigger", files_per_trigger).load(folder), folder)
 
 
 def new_files(listing: DataFrame, ingest_log: DataFrame) -> DataFrame:

@@ -22,7 +22,11 @@ from pyspark.sql import functions as F
 
 from tillbook.schema import LANDING_SCHEMA
 
+# Arrow hands at most 2 GiB to a task at once; Spark packs up to 128 MiB of other
+# files beside a large one.
+MAX_WORKBOOK_BYTES = 1_600_000_000
 _ROWS_PER_BATCH = 4096
+_SLICE = 1 << 20
 _ARROW_SCHEMA = pa.schema([
     ("source_file", pa.string()),
     ("path", pa.string()),
@@ -134,23 +138,56 @@ def _cell_text(cell, ns: str, strings: list[str], dated: set[int], day_zero: dat
     return _number_text(value)
 
 
+def _row_elements(sheet) -> Iterator[ElementTree.Element]:
+    """The row elements of a sheet, parsed in slices of whole rows.
+
+    A slice is small, so that memory stays flat, and large enough for the
+    parser to do the work instead of one Python event per cell.
+    """
+    buffer, opening = b"", None
+    while opening is None:
+        block = sheet.read(_SLICE)
+        buffer += block
+        opening = re.search(rb"<([\w.-]+:)?sheetData\b[^>]*>", buffer)
+        if opening is None and not block:
+            raise ValueError("the sheet has no data section")
+    if opening[0].endswith(b"/>"):
+        return
+    prefix = opening[1] or b""
+    head, buffer = buffer[: opening.end()], buffer[opening.end():]
+    tail = b"</" + prefix + b"sheetData>"
+    row_end = b"</" + prefix + b"row>"
+    while True:
+        cut = buffer.rfind(row_end) + len(row_end)
+        if cut >= len(row_end):
+            root = ElementTree.fromstring(head + buffer[:cut] + tail + b"</" + prefix + b"worksheet>")
+            yield from root[-1]
+            buffer = buffer[cut:]
+        block = sheet.read(_SLICE)
+        if not block:
+            break
+        buffer += block
+    if tail not in buffer:
+        raise ValueError("the sheet is cut off")
+
+
 def sheet_rows(content: bytes) -> Iterator[list[str | None]]:
     """Non-empty rows of the first sheet as text cells, header row first."""
     with zipfile.ZipFile(io.BytesIO(content)) as book:
         part, day_zero = _first_sheet(book)
         strings, dated = _shared_strings(book), _date_styles(book)
         with book.open(part) as sheet:
-            for _, element in ElementTree.iterparse(sheet):
-                if not element.tag.endswith("}row"):
-                    continue
+            for element in _row_elements(sheet):
                 ns = element.tag[:-3]
+                tag = ns + "c"
                 row: list[str | None] = []
-                for cell in element.iterfind(ns + "c"):
+                for cell in element:
+                    if cell.tag != tag:
+                        continue
                     ref = cell.get("r")
                     if ref:
                         row.extend([None] * (_column_index(ref) - len(row)))
                     row.append(_cell_text(cell, ns, strings, dated, day_zero))
-                element.clear()
                 if any(c is not None for c in row):
                     yield row
 
@@ -171,23 +208,32 @@ def _read(content: bytes, reader) -> tuple[list[str], Iterator[list[str | None]]
     if first is None:
         return [], iter(())
     headed = [i for i, h in enumerate(first) if h is not None and h != ""]
+    width = len(first)
 
     def below():
         for row in rows:
-            yield [row[i] if i < len(row) else None for i in headed]
+            full = row + [None] * (width - len(row))
+            yield [full[i] for i in headed]
 
     return [first[i] for i in headed], below()
 
 
+def _batch(name, path, modified, first_row_no: int, rows: list[list], error: str | None, kind: str) -> pa.RecordBatch:
+    """Rows of equal width as an Arrow batch, with the cells laid out flat."""
+    n, width = len(rows), len(rows[0])
+    cells = pa.ListArray.from_arrays(
+        pa.array([i * width for i in range(n + 1)], pa.int32()),
+        pa.array([c for row in rows for c in row], pa.string()),
+    )
+    constants = {"source_file": name, "path": path, "modified_at": modified, "error": error, "kind": kind}
+    columns = {f.name: pa.array([constants.get(f.name)] * n, f.type) for f in _ARROW_SCHEMA if f.name in constants}
+    columns["row_no"] = pa.array(range(first_row_no, first_row_no + n), pa.int64())
+    columns["cells"] = cells
+    return pa.RecordBatch.from_arrays([columns[f.name] for f in _ARROW_SCHEMA], schema=_ARROW_SCHEMA)
+
+
 def _decode_file(name, path, modified, content) -> Iterator[pa.RecordBatch]:
-    def batch(row_nos, cells, error, kind):
-        n = len(row_nos)
-        columns = [[name] * n, [path] * n, [modified] * n, row_nos, cells, [error] * n, [kind] * n]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, f.type) for c, f in zip(columns, _ARROW_SCHEMA)], schema=_ARROW_SCHEMA
-        )
-
-    headers, error, row_no = [], None, 0
+    headers, error, row_no, pending = [], None, 1, []
     try:
         try:
             headers, rows = _read(content, sheet_rows)
@@ -196,17 +242,16 @@ def _decode_file(name, path, modified, content) -> Iterator[pa.RecordBatch]:
                 headers, rows = _read(content, _fallback_rows)
             except Exception:
                 raise first_error from None
-        pending = []
         for row in rows:
             pending.append(row)
             if len(pending) == _ROWS_PER_BATCH:
-                yield batch(list(range(row_no + 1, row_no + 1 + len(pending))), pending, None, "row")
+                yield _batch(name, path, modified, row_no, pending, None, "row")
                 row_no, pending = row_no + len(pending), []
         if pending:
-            yield batch(list(range(row_no + 1, row_no + 1 + len(pending))), pending, None, "row")
+            yield _batch(name, path, modified, row_no, pending, None, "row")
     except Exception as problem:  # the file is at fault, not the job: reject it and go on
         error = f"Cannot read '{name}': {type(problem).__name__}: {problem}"
-    yield batch([0], [headers], error, "file")
+    yield _batch(name, path, modified, 0, [headers], error, "file")
 
 
 def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,9 +261,26 @@ def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield from _decode_file(name, path.as_py(), modified.as_py(), content.as_py())
 
 
-def scan_workbooks(files: DataFrame) -> DataFrame:
-    """Decode a ``binaryFile`` DataFrame into landing records (``LANDING_SCHEMA``)."""
-    return files.select("path", "modificationTime", "content").mapInArrow(_decode, LANDING_SCHEMA)
+def scan_workbooks(files: DataFrame, max_bytes: int = MAX_WORKBOOK_BYTES) -> DataFrame:
+    """Decode a ``binaryFile`` DataFrame into landing records (``LANDING_SCHEMA``).
+
+    A file too large to be handed to a task in one piece is rejected by its
+    length, without being read, so that it cannot fail the job.
+    """
+    sound = files.filter(F.col("length") <= max_bytes)
+    landing = sound.select("path", "modificationTime", "content").mapInArrow(_decode, LANDING_SCHEMA)
+    name = F.element_at(F.split("path", "/"), -1)
+    reason = F.concat(F.lit("Cannot read '"), name, F.lit("': "), "length", F.lit(" bytes are too many"))
+    too_large = files.filter(F.col("length") > max_bytes).select(
+        name.alias("source_file"),
+        "path",
+        F.col("modificationTime").alias("modified_at"),
+        F.lit(0).cast("bigint").alias("row_no"),
+        F.array().cast("array<string>").alias("cells"),
+        reason.alias("error"),
+        F.lit("file").alias("kind"),
+    )
+    return landing.unionByName(too_large)
 
 
 def raw_files(landing: DataFrame) -> DataFrame:
