@@ -49,6 +49,11 @@ def test_cleaning_does_not_shuffle_rows(spark):
     assert plan.count("translate(") <= 2  # converted once, not again in a pushed filter
 
 
+def test_rejected_rows_are_found_without_a_shuffle(spark):
+    plan = final_plan(contract.queries()["quarantined_rows"](spark, SF_DIR))
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
 def test_filters_prune_months(spark):
     plan = final_plan(contract.queries()["filtered_sales"](spark, SF_DIR))
     assert "sale_month" in plan.split("PartitionFilters: [")[1].split("]")[0]

@@ -62,11 +62,13 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def _new_folder(spark: SparkSession, what: str) -> str:
-    """A folder for derived data that is deleted when the application ends."""
-    path = f"{shared_folder(spark)}/{what}-{uuid.uuid4().hex}"
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return path
+    """A path for derived data, below a folder that is deleted when the application ends."""
+    base = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(base)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return f"{base}/{what}-{uuid.uuid4().hex}"
 
 
 def _written(spark: SparkSession, sf_dir: str, what: str, write: Callable[[str], object]) -> str:
@@ -159,15 +161,22 @@ def report_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _report(spark, sf_dir).drop("path", "modified_at")
 
 
+def stored_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report as ingest keeps it: a table whose size is known."""
+    return spark.read.parquet(
+        _written(spark, sf_dir, "file_report", lambda p: _report(spark, sf_dir).write.parquet(p))
+    )
+
+
 def quarantined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw rows of the rejected untidy files."""
-    rejected = rejected_rows(landing_rows(spark, sf_dir), _report(spark, sf_dir))
+    rejected = rejected_rows(landing_rows(spark, sf_dir), stored_report(spark, sf_dir))
     return rejected.select("source_file", "row_no", F.size("cells").cast("bigint").alias("cell_count"), "reason")
 
 
 def file_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ingest log of the untidy files."""
-    return log_events(_report(spark, sf_dir), F.current_timestamp(), F.lit(0.0)).select(
+    return log_events(stored_report(spark, sf_dir), F.current_timestamp(), F.lit(0.0)).select(
         "source_file", "event", "rows_read", "rows_loaded", "message", "disposition"
     )
 

@@ -78,7 +78,11 @@ def ingest_files(files: DataFrame, store: SalesStore, batch_id: str) -> int:
     loaded = append_sales(cleaned, store.path("staging_sales"), batch_id)
 
     staged = read_batch(spark, store.path("staging_sales"), batch_id)
-    report = file_report(planned, count_rows(rows, "rows_read"), count_rows(staged, "rows_kept"))
+    # Stored for the same reason as the file plan: the rejected rows are found without a shuffle.
+    report_path = store.path(f"file_report/batch_id={batch_id}")
+    counts = count_rows(rows, "rows_read"), count_rows(staged, "rows_kept")
+    file_report(planned, *counts).write.mode("overwrite").parquet(report_path)
+    report = spark.read.parquet(report_path)
     rejected_rows(rows, report).write.mode("overwrite").parquet(store.path(f"quarantine/batch_id={batch_id}"))
     # The log comes last: files count as done only when everything else is written.
     seconds = F.lit(round(time.monotonic() - started, 3))
