@@ -135,7 +135,8 @@ class Words:
     """The words of some texts: ``begin`` and ``end`` in ``lower``, ``first`` word of each text, ``hashes``."""
 
     def __init__(self, texts: pa.Array, hashes: bool = True) -> None:
-        data, self.offsets = text_bytes(texts)
+        self.data, self.offsets = text_bytes(texts)
+        data = self.data
         self.lower = _LOWER[data]
         inside = _WORD[self.lower]
         cut = np.zeros(data.size + 1, dtype=bool)

@@ -36,4 +36,44 @@ FROM word_lists d LEFT JOIN words_hit USING (row_no) LEFT JOIN items_hit USING (
 WHERE d.kind = 'd'
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_decontaminate": _OP1}
+_OP9 = r"""
+WITH sized AS (
+    SELECT doc_id, source, text,
+           CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+           md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS place
+    FROM documents),
+sources AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+           row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank
+    FROM sized GROUP BY source),
+weighted AS (
+    SELECT source, source_size, CAST([3, 1, 2][rank % 3 + 1] AS DOUBLE) AS weight,
+           CAST(2 * source_size AS DOUBLE) AS cap
+    FROM sources),
+filled AS (
+    SELECT *, sum(cap) OVER up - cap AS clamped, sum(weight) OVER down AS free, row_number() OVER up AS step
+    FROM weighted
+    WINDOW up AS (ORDER BY cap / weight, source NULLS LAST ROWS UNBOUNDED PRECEDING),
+           down AS (ORDER BY cap / weight DESC, source DESC NULLS FIRST ROWS UNBOUNDED PRECEDING)),
+water AS (
+    SELECT arg_min(level, step) AS level
+    FROM (SELECT step, cap / weight AS most,
+                 (1.5 * (SELECT sum(source_size) FROM sources) - clamped) / free AS level
+          FROM filled)
+    WHERE level <= most),
+targets AS (
+    SELECT source, source_size, least(cap, coalesce(weight * level, cap)) AS target
+    FROM weighted, water),
+parts AS (
+    SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS whole
+    FROM targets),
+ordered AS (
+    SELECT *, sum(size) OVER (PARTITION BY source ORDER BY place, size, md5(text), text IS NULL
+                              ROWS UNBOUNDED PRECEDING) - size AS before
+    FROM sized)
+SELECT doc_id, size, source_size, target,
+       CAST(size * whole + greatest(0, least(size, floor(target) - whole * source_size - before)) AS BIGINT) AS taken
+FROM ordered JOIN parts ON ordered.source IS NOT DISTINCT FROM parts.source
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_decontaminate": _OP1, "op9_mix": _OP9}

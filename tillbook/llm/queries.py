@@ -4,20 +4,52 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillbook.llm.common import table
 from tillbook.llm.decontaminate import decontaminate
+from tillbook.llm.language import detect_language, train_languages
+from tillbook.llm.mix import mix
+from tillbook.llm.quality import score_quality, train_quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def held_out(parts: int, part: int) -> Column:
+    """Whether a document is kept from training: by the checksum of its id; false for a null id."""
+    checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    return F.coalesce(checksum % parts == part, F.lit(False))
+
+
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words and items of the benchmark in every document."""
     docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate(docs, benchmark, keep=["doc_id"]).drop("items")
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learnt from those that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    trees = train_languages(docs.where(~held_out(4, 2)))
+    return detect_language(docs, trees, keep=["doc_id"]).withColumn("held_out", held_out(4, 2))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learnt from the labelled ones that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train_quality(docs.where(~held_out(5, 0)), table(spark, sf_dir, "labels"))
+    return score_quality(docs, model, keep=["doc_id"]).withColumn("held_out", held_out(5, 0))
+
+
+def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of all sources takes from every document."""
+    return mix(table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
+    "op7_language": op7_language,
+    "op8_quality": op8_quality,
+    "op9_mix": op9_mix,
 }
