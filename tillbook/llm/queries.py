@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillbook.llm.common import table
 from tillbook.llm.decontaminate import decontaminate
+from tillbook.llm.html import extract_text
 from tillbook.llm.language import detect_language, train_languages
 from tillbook.llm.mix import mix
 from tillbook.llm.quality import score_quality, train_quality
@@ -28,6 +29,11 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(docs, benchmark, keep=["doc_id"]).drop("items")
 
 
+def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract_text(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learnt from those that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -49,6 +55,7 @@ def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
+    "op6_html": op6_html,
     "op7_language": op7_language,
     "op8_quality": op8_quality,
     "op9_mix": op9_mix,
