@@ -76,4 +76,20 @@ SELECT doc_id, size, source_size, target,
 FROM ordered JOIN parts ON ordered.source IS NOT DISTINCT FROM parts.source
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_decontaminate": _OP1, "op9_mix": _OP9}
+_OP10 = """
+WITH vectors AS (
+    SELECT row_number() OVER () AS row_no, vec_id, CAST(embedding AS DOUBLE[]) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+scored AS (
+    SELECT q.row_no, q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score
+    FROM vectors q JOIN vectors c ON q.row_no <> c.row_no
+    WHERE q.vec_id % 20 = 0),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY row_no ORDER BY score DESC, vec_id) AS place FROM scored)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 20
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_decontaminate": _OP1, "op9_mix": _OP9, "op10_nearest": _OP10}
