@@ -12,6 +12,9 @@ from tillbook.llm.decontaminate import decontaminate
 from tillbook.llm.html import extract_text
 from tillbook.llm.language import detect_language, train_languages
 from tillbook.llm.mix import mix
+from tillbook.llm.nearest import build_index, nearest
+from tillbook.llm.neardup import near_duplicates
+from tillbook.llm.pii import KINDS, digest, find_personal_data, train_spans
 from tillbook.llm.quality import score_quality, train_quality
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +32,28 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(docs, benchmark, keep=["doc_id"]).drop("items")
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document; counts and base_sha256 are of the base spans."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_personal_data(docs, train_spans(docs), keep=["doc_id"])
+    base = F.filter("found", lambda s: s["base"])
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *map(count, KINDS),
+        F.sha2(digest(F.col("found"), True), 256).alias("base_sha256"),
+        digest(F.col("found"), False).alias("spans"),
+        F.filter("found", lambda s: ~s["base"]).alias("added"),
+    )
+
+
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near duplicates of every document."""
+    return near_duplicates(table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
 def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return extract_text(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
@@ -53,10 +78,19 @@ def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
 
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of all embeddings for every twentieth one."""
+    index, space = build_index(table(spark, sf_dir, "embeddings"))
+    return nearest(index, space, F.col("vec_id") % 20 == 0)
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
+    "op4_pii": op4_pii,
+    "op5_near_duplicates": op5_near_duplicates,
     "op6_html": op6_html,
     "op7_language": op7_language,
     "op8_quality": op8_quality,
     "op9_mix": op9_mix,
+    "op10_nearest": op10_nearest,
 }
