@@ -10,18 +10,45 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillbook.llm.common import stored, table
 from tillbook.llm.decontaminate import decontaminate
+from tillbook.llm.mix import mix
+from tillbook.llm.neardup import drop_near_duplicates
+from tillbook.llm.pii import mask_personal_data, train_spans
+from tillbook.llm.quality import score_quality, train_quality
 
-DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier, learnt from all labelled ones, does not reject."""
+    model = train_quality(docs, table(spark, sf_dir, "labels"))
+    return score_quality(docs, model).where("predicted = 1").select(*docs.columns)
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates: the one with the least id."""
+    return drop_near_duplicates(docs).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth lies in benchmark windows."""
     marked = decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    return marked.where("NOT contaminated").select(*DOCUMENT_COLUMNS)
+    return marked.where("NOT contaminated").select(*docs.columns)
+
+
+def mask_people(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, each span of personal data replaced by its kind; n_chars is counted again."""
+    return mask_personal_data(docs, train_spans(docs), n_chars="n_chars")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with the words that the mix takes from each."""
+    return mix(docs)
 
 
 STAGES = [
+    ("quality classifier", drop_low_quality),
+    ("near-duplicates", drop_copies),
     ("benchmark decontamination", drop_contaminated),
+    ("personal data", mask_people),
+    ("source mix", mix_sources),
 ]
 
 #: SQL cannot express trained classifiers and signatures; tests hold the stages against brute force.
