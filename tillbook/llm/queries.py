@@ -16,6 +16,8 @@ from tillbook.llm.nearest import build_index, nearest
 from tillbook.llm.neardup import near_duplicates
 from tillbook.llm.pii import KINDS, digest, find_personal_data, train_spans
 from tillbook.llm.quality import score_quality, train_quality
+from tillbook.llm.secrets import count_words, find_candidates, remove_false_positives
+from tillbook.llm.tokens import count_tokens, section_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +34,24 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(docs, benchmark, keep=["doc_id"]).drop("items")
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates for secrets in every document with the forest's verdict.
+
+    The findings it learns from are labelled by unmistakable marks and come from documents whose
+    crc32(doc_id as text) mod 5 is not 0; the rest is held out.
+    """
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    found = find_candidates(docs, count_words(docs)).withColumn("held_out", held_out(5, 0))
+    scored = remove_false_positives(found, found.where("NOT held_out"))
+    return scored.select("doc_id", "begin", "end", "label", "held_out", F.round("score", 9).alias("score"), "secret")
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every document; a token that crosses a border goes to where it begins."""
+    counted = count_tokens(table(spark, sf_dir, "documents"), keep=["doc_id"], rule="first")
+    return section_rows(counted).withColumn("tokens", F.col("tokens").cast("long"))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document; counts and base_sha256 are of the base spans."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -86,6 +106,8 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_secrets": op2_secrets,
+    "op3_token_counts": op3_token_counts,
     "op4_pii": op4_pii,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_html": op6_html,
