@@ -1,0 +1,62 @@
+import numpy as np
+import pytest
+
+from tillbook.llm.tokens import RULES, VOCABULARY, Encoder, count_tokens, read_ranks, section_rows
+
+ENCODER = Encoder(read_ranks(VOCABULARY))
+TEXT = "Größe, naïve 漢字 \U0001f600!\n\n  two  lines\nof wordswordswords\n\nend<|endoftext|>"
+
+
+def brute(text, begin, end, rule):
+    """Tokens of the section [begin, end) of bytes, one token at a time."""
+    total, at = 0.0, 0
+    for token in ENCODER.encoding.encode_ordinary(text):
+        a, b = at, at + len(ENCODER.encoding.decode_single_token_bytes(token))
+        at = b
+        if rule == "split":
+            total += max(0, min(b, end) - max(a, begin)) / (b - a)
+        elif rule == "first":
+            total += begin <= a < end
+        elif rule == "last":
+            total += begin <= b - 1 < end
+        else:
+            total += 2 * begin <= a + b < 2 * end
+    return total
+
+
+@pytest.mark.parametrize("rule", RULES)
+def test_sections_of_a_text(spark, rule):
+    def halves(data):  # cuts through tokens and characters' borders, with an overlap and a gap
+        cuts = [i for i in range(data.size) if (data[i] & 0xC0) != 0x80][:: 3]
+        return np.array(cuts[:-1], dtype=np.int64), np.array([*cuts[2:], data.size], dtype=np.int64)
+
+    frame = spark.createDataFrame([(1, TEXT)], "doc_id long, text string")
+    for sections in (None, halves):
+        row = count_tokens(frame, rule=rule, **({"sections": sections} if sections else {})).first()
+        place = [len(c) for c in np.char.encode(list(TEXT), "utf-8")]
+        byte = np.concatenate([[0], np.cumsum(place)])
+        expected = [brute(TEXT, byte[b], byte[e], rule) for b, e in zip(row["begins"], row["ends"], strict=True)]
+        assert row["tokens"] == pytest.approx(expected)
+        assert row["n_tokens"] == len(ENCODER.encoding.encode_ordinary(TEXT))
+        if sections is None:
+            assert "".join(TEXT[b:e] for b, e in zip(row["begins"], row["ends"], strict=True)) == TEXT
+            assert sum(row["tokens"]) == pytest.approx(row["n_tokens"])
+
+
+def test_round_trip(odd):
+    for r in odd.collect():
+        borders = ENCODER.borders(r["text"] or "")
+        assert borders[-1] == len((r["text"] or "").encode())
+
+
+def test_odd_documents(odd, no_documents):
+    counted = count_tokens(odd.withColumnRenamed("label", "tokens"))
+    assert counted.count() == odd.count() and counted.columns.count("tokens") == 1
+    rows = section_rows(counted)
+    assert rows.select("doc_id").distinct().count() == odd.select("doc_id").distinct().count()
+    assert rows.where("doc_id IN (3, 4) AND n_tokens = 0 AND section IS NULL").count() == 2
+    sums = {r["doc_id"]: (r["n"], r["s"]) for r in rows.where("doc_id IN (5, 6, 9, 10)").groupBy("doc_id").agg({"n_tokens": "max", "tokens": "sum"}).toDF("doc_id", "n", "s").collect()}
+    assert len(sums) == 4 and all(n == s for n, s in sums.values())
+    assert count_tokens(no_documents).count() == 0
+    with pytest.raises(ValueError, match="rule"):
+        count_tokens(odd, rule="other")
