@@ -5,14 +5,14 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tillbook.functions.similarity import PATTERN_TYPE, indel_ratio, pattern
+from tillbook.functions.similarity import PATTERN_TYPE, indel_ratio, pattern, score_of
 from tillbook.operators.headers import header_map, normalise, plan_files
 from tillbook.schema import CANONICAL_COLUMNS, HEADER_ALIASES
 
 
 def files(spark, **headers):
-    rows = [(name, value, None) for name, value in headers.items()]
-    return spark.createDataFrame(rows, "source_file string, headers array<string>, error string")
+    rows = [(f"in/{name}", name, value, None) for name, value in headers.items()]
+    return spark.createDataFrame(rows, "path string, source_file string, headers array<string>, error string")
 
 
 def mapped(spark, headers, threshold=70):
@@ -68,8 +68,10 @@ def test_scores_match_brute_force(spark):
     pairs = [(t, a, pattern(a)) for t in texts for a in aliases]
     df = spark.createDataFrame(pairs, f"t string, a string, p {PATTERN_TYPE}")
     chars = F.filter(F.split("t", ""), lambda c: c != "")
-    for r in df.select("t", "a", indel_ratio(chars, F.col("p")).alias("score")).collect():
-        assert r.score == round(200 * lcs(r.t, r.a) / (len(r.t) + len(r.a)))
+    ratio = indel_ratio(chars, F.col("p"))
+    for r in df.select("t", "a", ratio.alias("ratio"), score_of(ratio).alias("score")).collect():
+        assert r.ratio == 200 * lcs(r.t, r.a) / (len(r.t) + len(r.a))
+        assert r.score == round(r.ratio)
 
 
 def test_best_alias_is_the_first_of_the_best(spark):
@@ -82,12 +84,10 @@ def test_best_alias_is_the_first_of_the_best(spark):
         if h in exact:
             continue
         words = " ".join(sorted(h.split()))
-        scores = [
-            round(200 * lcs(words, " ".join(sorted(a.split()))) / (len(words) + len(a))) for a, _ in ordered
-        ]
-        best = max(scores)
-        assert (found[h].score, found[h].via_alias) == (best, ordered[scores.index(best)][0])
-        assert found[h].canonical == (ordered[scores.index(best)][1] if best >= 50 else None)
+        ratios = [200 * lcs(words, " ".join(sorted(a.split()))) / (len(words) + len(a)) for a, _ in ordered]
+        best = max(ratios)
+        assert (found[h].score, found[h].via_alias) == (round(best), ordered[ratios.index(best)][0])
+        assert found[h].canonical == (ordered[ratios.index(best)][1] if round(best) >= 50 else None)
 
 
 def test_plan(spark):

@@ -27,7 +27,7 @@ def pattern(text: str) -> dict:
 
 
 def indel_ratio(chars: Column, pat: Column) -> Column:
-    """Similarity 0-100 of a list of characters and a :data:`PATTERN_TYPE` value: ``round(200 * LCS / (len a + len b))``, halves to even.
+    """Similarity 0-100 of a list of characters and a :data:`PATTERN_TYPE` value: ``200 * LCS / (len a + len b)``.
 
     The longest common subsequence is found with one bit vector per pattern:
     each text character clears at most one further bit, and the cleared bits
@@ -41,4 +41,9 @@ def indel_ratio(chars: Column, pat: Column) -> Column:
         return (bits + hit).bitwiseOR(bits - hit).bitwiseAND(full)
 
     common = size - F.bit_count(F.aggregate(chars, full, step))
-    return F.bround(F.lit(200.0) * common / (F.size(chars) + size), 0).cast("int")
+    return F.lit(200.0) * common / (F.size(chars) + size)
+
+
+def score_of(ratio: Column) -> Column:
+    """A ratio as a whole score, halves to even."""
+    return F.bround(ratio, 0).cast("int")

@@ -8,8 +8,6 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tillbook.functions.money import MONEY_LIMIT
-
 # The code points Unicode calls white space.
 WHITESPACE = (
     "\t\n\x0b\x0c\r \x85\xa0\u1680"
@@ -45,9 +43,9 @@ def to_number(v: Column) -> Column:
 
 
 def to_money(v: Column) -> Column:
-    """Text as double after removing commas and white space; NULL beyond what exact sums can hold."""
+    """Text as double after removing commas and white space; NULL unless finite."""
     plain = F.when(v.rlike(_NUMBER), v).otherwise(F.translate(v, "," + WHITESPACE, ""))
-    return once(to_number(plain), lambda n: F.when(F.abs(n) < MONEY_LIMIT, n))
+    return once(to_number(plain), lambda n: F.when(F.abs(n) < float("inf"), n))
 
 
 def round_quantity(n: Column, half_even: bool = True) -> Column:
@@ -67,8 +65,8 @@ def serial_to_date(n: Column) -> Column:
     return F.date_add(F.lit(SERIAL_EPOCH).cast("date"), days)
 
 
-def _parse_format(v: Column, fmt: str) -> Column:
-    """Parse one format.
+def parse_format(v: Column, fmt: str) -> Column:
+    """Text as a date of one format, or NULL.
 
     Year-month-day formats of fixed width are rearranged to ISO and cast, which
     unlike the pattern parser throws no exception per bad value.
@@ -85,13 +83,13 @@ def _parse_format(v: Column, fmt: str) -> Column:
     return F.when(v.rlike(f"^{shape}$"), iso.try_cast("date"))
 
 
-def text_to_date(v: Column, formats=DATE_FORMATS, infer: bool = True) -> Column:
-    """First format that fits; date-times lose their time of day.
+def text_to_date(v: Column, chosen: Column, formats=DATE_FORMATS, infer: bool = True) -> Column:
+    """Text as a date in the chosen one of ``formats`` (by number); date-times lose their time of day.
 
     ``infer`` also takes ISO dates with one-digit months or days. With
     ``formats=("yyyy-MM-dd",), infer=False`` only plain ISO dates pass.
     """
-    arms = [_parse_format(v, f) for f in formats]
+    arms = [F.when(chosen == i, parse_format(v, f)) for i, f in enumerate(formats)]
     arms.append(
         F.when(v.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}"), v.try_cast("timestamp_ntz").cast("date"))
     )

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -29,45 +28,56 @@ def _cell(name: str) -> Column:
     return F.get("cells", F.col(f"positions.{name}"))
 
 
-def add_date_mode(planned: DataFrame, raw_rows: DataFrame) -> DataFrame:
-    """Extend the file plan by ``serial_dates``: is the first non-null sale date a day number?
+def add_date_mode(planned: DataFrame, raw_rows: DataFrame, options: CleaningOptions = CleaningOptions()) -> DataFrame:
+    """Extend the file plan by how its dates are written.
 
-    Row number and answer share one bigint, so that a plain ``min`` finds the
-    first row: it is pre-aggregated in a hash map before the shuffle, however
-    many rows a file has. The result has one row per file.
+    ``serial_dates``: is the first non-null sale date a day number? Row number
+    and answer share one bigint, so that a plain ``min`` finds the first row.
+    ``date_format``: number of the format for the whole column, so that days
+    and months cannot change places from cell to cell: the first that fits all
+    non-null cells, else the first of those that fit most; NULL if none fits
+    any. All of it is pre-aggregated before the shuffle, however many rows a
+    file has. The result has one row per file.
     """
-    usable = planned.filter("problem IS NULL").select("source_file", "positions")
-    dates = raw_rows.join(usable, "source_file").select("source_file", "row_no", _cell("sale_date").alias("v"))
+    usable = planned.filter("problem IS NULL").select("path", "positions")
+    dates = raw_rows.join(usable, "path").select("path", "row_no", _cell("sale_date").alias("v"))
     number = text.to_number(text.strip(F.col("v")))
     first = F.min(F.col("row_no") * 2 + text.is_serial(number).cast("bigint"))
-    modes = dates.filter("v IS NOT NULL").groupBy("source_file").agg(first.alias("first"))
-    return planned.join(modes, "source_file", "left").withColumn(
-        "serial_dates", F.coalesce(F.col("first") % 2 == 1, F.lit(False))
-    ).drop("first")
+    fitting = [F.count(text.parse_format(F.col("v"), f)).alias(f"fit_{i}") for i, f in enumerate(options.date_formats)]
+    modes = dates.filter("v IS NOT NULL").groupBy("path").agg(first.alias("first"), *fitting)
+    # A format that fits all cells fits most; of equal counts the first comes last in this order.
+    ranked = F.array(*[F.struct(F.col(f"fit_{i}").alias("n"), F.lit(-i).alias("i")) for i in range(len(fitting))])
+    best = F.array_max(ranked)
+    return planned.join(modes, "path", "left").select(
+        *planned.columns,
+        F.coalesce(F.col("first") % 2 == 1, F.lit(False)).alias("serial_dates"),
+        F.when(best["n"] > 0, -best["i"]).alias("date_format"),
+    )
 
 
 def standardise(raw_rows: DataFrame, planned: DataFrame, options: CleaningOptions = CleaningOptions()) -> DataFrame:
     """The rows of usable files with the ten canonical columns, typed; bad cells become NULL.
 
     ``planned`` is the file plan with its date mode. It is the only join, on
-    ``source_file`` and without a hint: a batch has a bounded number of files,
+    ``path`` and without a hint: a batch has a bounded number of files,
     so Spark broadcasts the plan and no data row is shuffled; beyond the
     broadcast threshold it sorts and merges, and splits hot files.
     """
-    usable = planned.filter("problem IS NULL").select("source_file", "positions", "serial_dates")
-    cells = raw_rows.join(usable, "source_file").select(
-        "source_file", "serial_dates", *[_cell(c).alias(c) for c in CANONICAL_COLUMNS]
+    usable = planned.filter("problem IS NULL").select("path", "positions", "serial_dates", "date_format")
+    cells = raw_rows.join(usable, "path").select(
+        "path", "source_file", "serial_dates", "date_format", *[_cell(c).alias(c) for c in CANONICAL_COLUMNS]
     )
 
     def to_date(v: Column) -> Column:
         by_number = text.once(text.to_number(text.strip(v)), text.serial_to_date)
         return F.when(F.col("serial_dates"), by_number).otherwise(
-            text.text_to_date(v, options.date_formats, options.infer_dates)
+            text.text_to_date(v, F.col("date_format"), options.date_formats, options.infer_dates)
         )
 
     # Like cells are converted by one lambda each: every cell is parsed once, and
     # the generated code stays small enough for the JVM to compile.
     converted = cells.select(
+        "path",
         "source_file",
         text.once(F.col("sale_date"), to_date).alias("sale_date"),
         text.round_quantity(text.to_number(F.col("quantity")), options.quantity_half_even).alias("quantity"),
@@ -80,20 +90,14 @@ def standardise(raw_rows: DataFrame, planned: DataFrame, options: CleaningOption
         **{c: F.get("money", F.lit(i)) for i, c in enumerate(MONEY_COLUMNS)},
         **{c: F.get("texts", F.lit(i)) for i, c in enumerate(TEXT_COLUMNS)},
     }
-    return converted.select(*[typed[c].alias(c) for c in CANONICAL_COLUMNS], "source_file")
+    return converted.select(*[typed[c].alias(c) for c in CANONICAL_COLUMNS], "source_file", "path")
 
 
 def clean(raw_rows: DataFrame, planned: DataFrame, options: CleaningOptions = CleaningOptions()) -> DataFrame:
     """Typed rows without those that lack a critical value.
 
-    The observed counts also keep Spark from pushing the filter below the
-    conversions, where it would convert dates and amounts a second time.
+    A filter is not moved below a column that differs from run to run. Without
+    one, dates and amounts would be converted in the filter, and then again.
     """
-    rows = standardise(raw_rows, planned, options)
-    complete = F.lit(True)
-    for c in CRITICAL_COLUMNS:
-        complete = complete & F.col(c).isNotNull()
-    counted = rows.observe(
-        f"cleaning-{uuid.uuid4().hex}", F.count(F.lit(1)).alias("rows_read"), F.count_if(~complete).alias("rows_dropped")
-    )
-    return counted.dropna(subset=list(CRITICAL_COLUMNS))
+    rows = standardise(raw_rows, planned, options).withColumn("task", F.spark_partition_id())
+    return rows.filter("task >= 0").dropna(subset=list(CRITICAL_COLUMNS)).drop("task")

@@ -11,7 +11,7 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillbook.functions.similarity import PATTERN_TYPE, indel_ratio, pattern, token_sort
+from tillbook.functions.similarity import PATTERN_TYPE, indel_ratio, pattern, score_of, token_sort
 from tillbook.functions.text import WHITESPACE, once
 from tillbook.schema import CANONICAL_COLUMNS, HEADER_ALIASES
 
@@ -45,16 +45,16 @@ def _corpus() -> Column:
 
 def _no_match() -> Column:
     text = F.lit(None).cast("string")
-    return F.struct(F.lit(0).alias("score"), F.lit(-999).alias("rank"), text.alias("alias"), text.alias("canonical"))
+    return F.struct(F.lit(0.0).alias("ratio"), F.lit(-999).alias("rank"), text.alias("alias"), text.alias("canonical"))
 
 
 def best_alias(normalised: Column) -> Column:
-    """Struct ``(score, rank, alias, canonical)`` of the most similar alias; the earlier alias wins a tie."""
+    """Struct ``(ratio, rank, alias, canonical)`` of the most similar alias; the earlier alias wins a tie."""
     chars = F.filter(F.split(token_sort(normalised), ""), lambda c: c != "")
 
     def score(entry: Column) -> Column:
         return F.struct(
-            indel_ratio(chars, entry["pattern"]).alias("score"),
+            indel_ratio(chars, entry["pattern"]).alias("ratio"),
             entry["rank"].alias("rank"),
             entry["alias"].alias("alias"),
             entry["canonical"].alias("canonical"),
@@ -74,11 +74,12 @@ def match_header(normalised: Column, threshold: int = DEFAULT_THRESHOLD) -> Colu
 
     def report(found: Column) -> Column:
         exact, best = found["exact"], found["best"]
-        fuzzy = best["score"] >= threshold
+        score = score_of(best["ratio"])
+        fuzzy = score >= threshold
         return F.struct(
             F.coalesce(exact, F.when(fuzzy, best["canonical"])).alias("canonical"),
             F.coalesce(F.when(exact.isNotNull(), normalised), best["alias"]).alias("via_alias"),
-            F.coalesce(F.when(exact.isNotNull(), F.lit(100)), best["score"]).alias("score"),
+            F.coalesce(F.when(exact.isNotNull(), F.lit(100)), score).alias("score"),
             F.when(exact.isNotNull(), "exact")
             .when(best["alias"].isNull(), "no_match")
             .when(fuzzy, "fuzzy")
@@ -92,19 +93,33 @@ def match_header(normalised: Column, threshold: int = DEFAULT_THRESHOLD) -> Colu
 
 
 def header_map(raw_files: DataFrame, threshold: int = DEFAULT_THRESHOLD) -> DataFrame:
-    """One row per header of each file with the canonical column it maps to.
+    """One row per header of each file with the canonical column it maps to."""
+    return header_lists(raw_files, threshold).select(
+        "path", "source_file", F.posexplode("mapped").alias("position", "m")
+    ).select("path", "source_file", "position", "m.*")
 
-    The same spellings come back in file after file, so each distinct one is
-    scored once. Scoring is heavy for its few bytes: the explicit repartition
-    keeps adaptive execution from putting all of it into one task.
+
+def header_lists(raw_files: DataFrame, threshold: int = DEFAULT_THRESHOLD) -> DataFrame:
+    """The files with ``mapped``: for each header its text and its match, in order.
+
+    Files of one origin share their whole header list, so distinct lists are
+    planned once; and lists share spellings, so each distinct spelling is scored
+    once. A file meets its list by a hash and the list itself.
     """
-    listed = raw_files.select("source_file", F.posexplode("headers").alias("position", "raw_header")).withColumn(
+    listed = raw_files.withColumn("list_key", F.xxhash64("headers"))
+    lists = listed.where("headers IS NOT NULL").select("list_key", "headers").distinct()
+    spelled = lists.select("list_key", "headers", F.posexplode("headers").alias("position", "raw_header")).withColumn(
         "normalised", normalise(F.coalesce("raw_header", F.lit("")))
     )
-    tasks = raw_files.sparkSession.sparkContext.defaultParallelism
-    spellings = listed.select("normalised").distinct().repartition(tasks)
+    spellings = spelled.select("normalised").distinct()
     matched = spellings.select("normalised", match_header(F.col("normalised"), threshold).alias("m"))
-    return listed.join(matched.select("normalised", "m.*"), "normalised").drop("normalised")
+    one = F.struct("position", "raw_header", "m.canonical", "m.via_alias", "m.score", "m.method")
+    # A list is no longer than a sheet is wide.
+    in_order = F.array_sort(F.collect_list(one))
+    mapped = spelled.join(matched, "normalised").groupBy("list_key", "headers").agg(
+        F.transform(in_order, lambda x: x.dropFields("position")).alias("mapped")
+    )
+    return listed.join(mapped, ["list_key", "headers"], "left").drop("list_key").select(*raw_files.columns, "mapped")
 
 
 def plan_files(raw_files: DataFrame, threshold: int = DEFAULT_THRESHOLD) -> DataFrame:
@@ -114,28 +129,33 @@ def plan_files(raw_files: DataFrame, threshold: int = DEFAULT_THRESHOLD) -> Data
     ``positions`` (index of each canonical column) and ``problem`` (NULL for a
     usable file). A file without headers is kept.
     """
-    mapped = header_map(raw_files, threshold).groupBy("source_file").agg(
-        *[F.min(F.when(F.col("canonical") == c, F.col("position"))).alias(f"at_{c}") for c in CANONICAL_COLUMNS],
-        *[F.count_if(F.col("canonical") == c).alias(f"hits_{c}") for c in CANONICAL_COLUMNS],
+    found = header_lists(raw_files, threshold).withColumn(
+        "names", F.coalesce(F.transform("mapped", lambda m: m["canonical"]), F.array().cast("array<string>"))
     )
 
+    def hits(c: str) -> Column:
+        return F.size(F.filter("names", lambda n: n == c))
+
     def names_where(condition) -> Column:
-        return F.array_compact(F.array(*[F.when(condition(F.col(f"hits_{c}")), c) for c in CANONICAL_COLUMNS]))
+        return F.array_compact(F.array(*[F.when(condition(hits(c)), c) for c in CANONICAL_COLUMNS]))
+
+    def position(c: str) -> Column:
+        return F.nullif(F.array_position("names", c), F.lit(0)).cast("int") - 1
 
-    planned = raw_files.join(mapped, "source_file", "left").select(
+    planned = found.select(
         *raw_files.columns,
         F.coalesce(F.size("headers"), F.lit(0)).alias("columns_read"),
-        names_where(lambda hits: F.coalesce(hits, F.lit(0)) == 0).alias("missing"),
-        names_where(lambda hits: hits > 1).alias("duplicated"),
-        F.struct(*[F.col(f"at_{c}").alias(c) for c in CANONICAL_COLUMNS]).alias("positions"),
+        names_where(lambda n: n == 0).alias("missing"),
+        names_where(lambda n: n > 1).alias("duplicated"),
+        F.struct(*[position(c).alias(c) for c in CANONICAL_COLUMNS]).alias("positions"),
     )
     problem = (
         F.when(F.col("error").isNotNull(), F.col("error"))
         .when(
             F.size("missing") > 0,
             F.concat(
-                F.lit("Missing required columns: "), F.array_join("missing", ", "),
-                F.lit(". Headers read: "), F.array_join("headers", ", ", "(blank)"),
+                F.lit("No column found for "), F.array_join("missing", ", "),
+                F.lit("; the sheet is headed "), F.array_join("headers", ", ", "(blank)"),
             ),
         )
         .when(

@@ -5,25 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillbook.schema import INGEST_LOG_SCHEMA
+
 # Longest message per event, and the stamp before a filed name.
 FAILURE_CHARS, CORRUPTED_CHARS = 600, 400
 STAMP_FORMAT = "yyyyMMdd_HHmmss"
 
-NO_ROWS = "Workbook contains no data rows."
-NONE_VALID = "No valid rows remain after cleaning."
+EVENT_COLUMNS = tuple(c for c in INGEST_LOG_SCHEMA.fieldNames() if c not in ("batch_id", "stage"))
+
+NO_ROWS = "The sheet has headers only."
+NONE_VALID = "Each row lacks a date, a customer or an amount."
 
 
 def count_rows(rows: DataFrame, name: str) -> DataFrame:
     """Rows per file, pre-aggregated before the shuffle."""
-    return rows.groupBy("source_file").agg(F.count(F.lit(1)).alias(name))
+    return rows.groupBy("path").agg(F.count(F.lit(1)).alias(name))
 
 
-def file_report(planned: DataFrame, read_counts: DataFrame, kept_counts: DataFrame) -> DataFrame:
+def file_report(planned: DataFrame, kept_counts: DataFrame) -> DataFrame:
     """One row per file with its counts and the reason of its rejection, if any.
 
-    Starts from the files, so that one without any row is still reported.
+    ``planned`` has ``rows_read``, ``kept_counts`` the rows kept per path. Starts from the
+    files, so that one without any row is still reported.
     """
-    counted = planned.join(read_counts, "source_file", "left").join(kept_counts, "source_file", "left")
+    counted = planned.join(kept_counts, "path", "left")
     read = F.coalesce("rows_read", F.lit(0).cast("bigint"))
     kept = F.coalesce("rows_kept", F.lit(0).cast("bigint"))
     reason = (
@@ -34,7 +39,7 @@ def file_report(planned: DataFrame, read_counts: DataFrame, kept_counts: DataFra
     )
     usable = F.col("problem").isNull()
     return counted.select(
-        *[c for c in ("path", "modified_at") if c in planned.columns],
+        *[c for c in ("path", "modified_at", "seconds") if c in planned.columns],
         "source_file",
         "columns_read",
         read.alias("rows_read"),
@@ -46,8 +51,8 @@ def file_report(planned: DataFrame, read_counts: DataFrame, kept_counts: DataFra
 
 def rejected_rows(raw_rows: DataFrame, report: DataFrame) -> DataFrame:
     """Raw rows of the rejected files with the reason."""
-    bad = report.filter("reason IS NOT NULL").select("source_file", "reason")
-    return raw_rows.join(bad, "source_file").select("source_file", "row_no", "cells", "reason")
+    bad = report.filter("reason IS NOT NULL").select("path", "reason")
+    return raw_rows.join(bad, "path").select("path", "source_file", "row_no", "cells", "reason")
 
 
 def filed_name(stamp: Column, source_file: Column) -> Column:
@@ -55,32 +60,26 @@ def filed_name(stamp: Column, source_file: Column) -> Column:
     return F.concat_ws("_", F.date_format(stamp, STAMP_FORMAT), source_file)
 
 
-def log_events(report: DataFrame, logged_at: Column, seconds: Column) -> DataFrame:
-    """Ingest log: ``detected`` for every file, then ``success`` or ``failure`` and ``corrupted``."""
-    ok = F.col("reason").isNull()
-    events = F.when(ok, F.array(F.lit("detected"), F.lit("success"))).otherwise(
-        F.array(F.lit("detected"), F.lit("failure"), F.lit("corrupted"))
-    )
-    per_event = report.withColumn("event", F.explode(events))
-    final = F.col("event") != "detected"
+def detected_events(files: DataFrame, logged_at: Column) -> DataFrame:
+    """Ingest log: one ``detected`` event per file, written before anything is read from it."""
+    unknown = {f.name: F.lit(None).cast(f.dataType) for f in INGEST_LOG_SCHEMA}
+    known = {
+        "source_file": F.element_at(F.split("path", "/"), -1), "path": F.col("path"), "modified_at": F.col("modificationTime"),
+        "event": F.lit("detected"), "logged_at": logged_at,
+    }
+    return files.select(*[known.get(c, unknown[c]).alias(c) for c in EVENT_COLUMNS])
 
-    def once_known(c: Column) -> Column:
-        return F.when(final, c)
 
-    return per_event.select(
-        "source_file",
-        "path",
-        "modified_at",
-        "event",
-        once_known(F.col("rows_read")).alias("rows_read"),
-        once_known(F.col("columns_read")).alias("columns_read"),
-        once_known(F.col("rows_loaded")).alias("rows_loaded"),
-        once_known(F.col("rows_dropped")).alias("rows_dropped"),
-        once_known(seconds).alias("seconds"),
-        F.when(F.col("event") == "failure", F.substring("reason", 1, FAILURE_CHARS))
-        .when(F.col("event") == "corrupted", F.substring("reason", 1, CORRUPTED_CHARS))
-        .alias("message"),
-        once_known(F.when(ok, "processed").otherwise("failed")).alias("disposition"),
-        once_known(filed_name(logged_at, F.col("source_file"))).alias("target_name"),
-        logged_at.alias("logged_at"),
-    )
+def outcome_events(report: DataFrame, logged_at: Column) -> DataFrame:
+    """Ingest log: ``success``, or ``failure`` and ``corrupted``, with what became of the file."""
+    ok = F.col("reason").isNull()
+    events = F.when(ok, F.array(F.lit("success"))).otherwise(F.array(F.lit("failure"), F.lit("corrupted")))
+    known = {
+        "message": F.when(F.col("event") == "failure", F.substring("reason", 1, FAILURE_CHARS))
+        .when(F.col("event") == "corrupted", F.substring("reason", 1, CORRUPTED_CHARS)),
+        "disposition": F.when(ok, "processed").otherwise("failed"),
+        "target_name": filed_name(logged_at, F.col("source_file")),
+        "logged_at": logged_at,
+    }
+    per_event = report.withColumn("event", F.explode(events))
+    return per_event.select(*[known.get(c, F.col(c)).alias(c) for c in EVENT_COLUMNS])

@@ -11,7 +11,7 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime, timezone
 from functools import partial
 from pathlib import Path
 
@@ -19,19 +19,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import tillbook
-from tillbook.operators.cleaning import add_date_mode, clean
+from tillbook.operators.cleaning import CleaningOptions, add_date_mode, clean
 from tillbook.operators.filters import filter_sales
 from tillbook.operators.headers import header_map, plan_files
-from tillbook.operators.verdict import count_rows, file_report, log_events, rejected_rows
+from tillbook.operators.verdict import count_rows, detected_events, file_report, outcome_events, rejected_rows
 from tillbook.plans.dashboard import PANELS
-from tillbook.plans.sample_books import workbooks_of
+from tillbook.plans.sample_books import workbook_bytes, write_file, write_workbooks
 from tillbook.plans.untidy import untidy_files, untidy_rows
 from tillbook.plans.views import VIEWS
-from tillbook.schema import BINARY_FILE_SCHEMA, CANONICAL_COLUMNS, SALES_COLUMNS
+from tillbook.schema import CANONICAL_COLUMNS, SALES_COLUMNS
+from tillbook.sources.folder import workbook_files, workbook_stream
 from tillbook.sources.staging import append_sales, read_sales
 from tillbook.sources.star import star_sales
 from tillbook.sources.workbook import raw_files, raw_rows, scan_workbooks
-from tillbook.streaming.ingest import SalesStore, start_ingest_stream
+from tillbook.streaming.ingest import SalesStore, ingest_folder, start_ingest_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -90,22 +91,20 @@ def sales_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw rows of all untidy files, in as many parts as the session has cores, as a scan would leave them."""
-    parts = spark.sparkContext.defaultParallelism
-    path = _written(
-        spark, sf_dir, "raw_rows", lambda p: untidy_rows(spark, sf_dir).repartition(parts).write.parquet(p)
-    )
+    """The raw rows of all untidy files, as a scan would leave them."""
+    path = _written(spark, sf_dir, "raw_rows", lambda p: untidy_rows(spark, sf_dir).write.parquet(p))
     return spark.read.parquet(path)
 
 
-def landing_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All untidy files with their header plan and date mode."""
+def landing_plan(spark: SparkSession, sf_dir: str, options: CleaningOptions = CleaningOptions()) -> DataFrame:
+    """All untidy files with their row counts, header plan and date mode."""
     rows = landing_rows(spark, sf_dir)
 
     def write(path: str) -> None:
-        add_date_mode(plan_files(untidy_files(spark, sf_dir)), rows).write.parquet(path)
+        files = untidy_files(spark, sf_dir).join(count_rows(rows, "rows_read"), "path", "left")
+        add_date_mode(plan_files(files), rows, options).write.parquet(path)
 
-    return spark.read.parquet(_written(spark, sf_dir, "file_plan", write))
+    return spark.read.parquet(_written(spark, sf_dir, f"file_plan{len(options.date_formats)}", write))
 
 
 def _view(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,7 +133,7 @@ def filtered_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mapped_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every header of every untidy file with its match."""
-    return header_map(untidy_files(spark, sf_dir))
+    return header_map(untidy_files(spark, sf_dir)).drop("path")
 
 
 def planned_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,17 +147,26 @@ def planned_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clean_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The typed rows of the usable untidy files."""
-    return clean(landing_rows(spark, sf_dir), landing_plan(spark, sf_dir))
+    return clean(landing_rows(spark, sf_dir), landing_plan(spark, sf_dir)).drop("path")
+
+
+ISO_ONLY = CleaningOptions(date_formats=("yyyy-MM-dd",), infer_dates=False)
+
+
+def clean_sales_iso(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with ISO dates only, among those written as text."""
+    rows, planned = landing_rows(spark, sf_dir), landing_plan(spark, sf_dir, ISO_ONLY)
+    return clean(rows, planned, ISO_ONLY).drop("path")
 
 
 def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, planned = landing_rows(spark, sf_dir), landing_plan(spark, sf_dir)
-    return file_report(planned, count_rows(rows, "rows_read"), count_rows(clean(rows, planned), "rows_kept"))
+    return file_report(planned, count_rows(clean(rows, planned), "rows_kept"))
 
 
 def report_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and rejection reason per untidy file."""
-    return _report(spark, sf_dir).drop("path", "modified_at")
+    return _report(spark, sf_dir).drop("path", "modified_at", "seconds")
 
 
 def stored_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,19 +183,43 @@ def quarantined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def file_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ingest log of the untidy files."""
-    return log_events(stored_report(spark, sf_dir), F.current_timestamp(), F.lit(0.0)).select(
-        "source_file", "event", "rows_read", "rows_loaded", "message", "disposition"
+    """The ingest log of the untidy files, with the time of the load set."""
+    report = stored_report(spark, sf_dir).withColumn("seconds", F.lit(0.0))
+    at = F.lit(datetime(2024, 1, 2, 3, 4, 5, tzinfo=timezone.utc))
+    files = report.select("path", F.col("modified_at").alias("modificationTime"))
+    return detected_events(files, at).unionByName(outcome_events(report, at)).select(
+        "source_file", "event", "rows_read", "rows_loaded", "message", "disposition", "target_name"
     )
 
 
-def workbook_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All sales, turned into workbooks, decoded, aligned and cleaned."""
+def inbox(spark: SparkSession, sf_dir: str, part: int | None = None) -> str:
+    """A folder with all sales as workbooks, or half of them, beside what is not to be loaded.
+
+    Both halves use the same file names. There are files with other endings, a
+    sub-folder with workbooks, one file that is no workbook and one that is cut off.
+    """
     ship_package(spark)
     sales = sales_table(spark, sf_dir)
+    rows = sales if part is None else sales.filter(F.pmod(F.xxhash64("customer_name", "sale_date"), F.lit(2)) == part)
 
     def write(path: str) -> None:
-        scan_workbooks(workbooks_of(sales)).write.partitionBy("kind").parquet(path)
+        write_workbooks(rows, path)
+        sound = workbook_bytes(CANONICAL_COLUMNS, [["x"] * len(CANONICAL_COLUMNS)])
+        for name, content in (
+            ("notes.txt", b"x"), ("sales.xlsb", sound), ("done/sales-00000-00000.xlsx", sound), ("day=1/a.xlsx", sound),
+            ("text.xlsx", b"not a workbook"), ("cut.xlsx", sound[: len(sound) // 2]),
+        ):
+            write_file(f"{path}/{name}", content)
+
+    return _written(spark, sf_dir, "inbox" if part is None else f"inbox{part}", write)
+
+
+def workbook_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sales, stored as workbooks, decoded, aligned and cleaned."""
+    folder = inbox(spark, sf_dir)
+
+    def write(path: str) -> None:
+        scan_workbooks(workbook_files(spark, folder)).write.partitionBy("kind").parquet(path)
 
     landing = spark.read.parquet(_written(spark, sf_dir, "workbook_rows", write))
     rows = raw_rows(landing)
@@ -200,22 +232,69 @@ def workbook_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean(rows, planned).select(*CANONICAL_COLUMNS)
 
 
+def _load_stream(spark: SparkSession, folder: str, store: SalesStore, checkpoint: str) -> None:
+    files = workbook_stream(spark, folder, files_per_trigger=1_000)
+    start_ingest_stream(files, store, checkpoint, available_now=True).awaitTermination()
+
+
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All sales, turned into workbooks and loaded by the stream into a new store."""
-    ship_package(spark)
-    sales = sales_table(spark, sf_dir)
-    inbox = _written(spark, sf_dir, "inbox", lambda p: workbooks_of(sales).write.parquet(p))
+    """All sales, stored as workbooks and loaded by the stream into a new store."""
     root = _new_folder(spark, "stream")
     store = SalesStore(f"{root}/store")
-    files = spark.readStream.schema(BINARY_FILE_SCHEMA).parquet(inbox)
-    start_ingest_stream(files, store, f"{root}/checkpoint", available_now=True).awaitTermination()
+    _load_stream(spark, inbox(spark, sf_dir), store, f"{root}/checkpoint")
     return store.sales(spark).select(*CANONICAL_COLUMNS, "sale_month")
 
 
+def folder_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sales, loaded by the batch job from two folders whose files have the same names."""
+    store = SalesStore(f"{_new_folder(spark, 'batch')}/store")
+    for part in (0, 1):
+        ingest_folder(spark, inbox(spark, sf_dir, part), store)
+    return store.sales(spark).select(*CANONICAL_COLUMNS)
+
+
+def batch_then_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One folder loaded by the batch job, and then by a stream, which finds nothing new."""
+    root = _new_folder(spark, "both")
+    store = SalesStore(f"{root}/store")
+    ingest_folder(spark, inbox(spark, sf_dir), store)
+    _load_stream(spark, inbox(spark, sf_dir), store, f"{root}/checkpoint")
+    return store.sales(spark).select(*CANONICAL_COLUMNS)
+
+
+def two_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams, each with a checkpoint of its own, over two folders and then the other one."""
+    root = _new_folder(spark, "streams")
+    store = SalesStore(f"{root}/store")
+    for stream, part in ((0, 0), (1, 1), (2, 0), (3, 1)):
+        _load_stream(spark, inbox(spark, sf_dir, part), store, f"{root}/checkpoint{stream}")
+    return store.sales(spark).select(*CANONICAL_COLUMNS)
+
+
+class _Stopped(Exception):
+    """Stands for the end of a job in the middle of a load."""
+
+
+class _StoppingStore(SalesStore):
+    def path(self, table: str) -> str:
+        if table.startswith("file_report"):
+            raise _Stopped
+        return super().path(table)
+
+
+def ingest_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch job that stops after its rows are written, and is run again."""
+    root = f"{_new_folder(spark, 'resumed')}/store"
+    try:
+        ingest_folder(spark, inbox(spark, sf_dir), _StoppingStore(root))
+    except _Stopped:
+        ingest_folder(spark, inbox(spark, sf_dir), SalesStore(root))
+    return SalesStore(root).sales(spark).select(*CANONICAL_COLUMNS)
+
+
 def queries() -> dict[str, Query]:
     """Every registered query."""
-    renamed = {"v_top_customers": "customer_performance", "v_pipeline_stats": "file_statistics"}
-    out: dict[str, Query] = {renamed.get(v, v.removeprefix("v_")): partial(_view, v) for v in VIEWS}
+    out: dict[str, Query] = {v.removeprefix("v_"): partial(_view, v) for v in VIEWS}
     out.update({f"dash_{p}": partial(_panel, p) for p in PANELS})
     out.update(
         staging_rows=staging_rows,
@@ -223,10 +302,15 @@ def queries() -> dict[str, Query]:
         header_map=mapped_headers,
         file_plan=planned_files,
         clean_sales=clean_sales,
+        clean_sales_iso=clean_sales_iso,
         file_report=report_per_file,
         quarantined_rows=quarantined_rows,
         file_events=file_events,
         workbook_scan=workbook_scan,
         stream_ingest=stream_ingest,
+        folder_batch=folder_batch,
+        batch_then_stream=batch_then_stream,
+        two_streams=two_streams,
+        ingest_resumed=ingest_resumed,
     )
     return out

@@ -1,7 +1,7 @@
 """DuckDB SQL that states what each registered query must return.
 
 Written from the meaning of the queries, not from their Spark plans: amounts
-are exact integers of 1/10,000 units, similarity is the textbook dynamic
+are sums of decimals with 12 places, similarity is the textbook dynamic
 program, and cleaning is checked by starting from the clean values.
 """
 
@@ -34,20 +34,20 @@ SALES = f"""
 
 
 def _units(x: str) -> str:
-    return f"sum(CAST(CAST({x} AS DECIMAL(18,4)) * 10000 AS HUGEINT))"
+    return f"CAST(round(sum(CAST({x} AS DECIMAL(38,12))), 6) * 1000000 AS HUGEINT)"
 
 
 def money_sum(x: str) -> str:
-    return f"CAST(round(sum(CAST({x} AS DECIMAL(18,4))), 2) AS DECIMAL(38,2))"
+    return f"CAST(round(round(sum(CAST({x} AS DECIMAL(38,12))), 6), 2) AS DECIMAL(38,2))"
 
 
 def money_avg(x: str) -> str:
-    cents = f"(2 * {_units(x)} + 100 * count({x})) // nullif(200 * count({x}), 0)"
+    cents = f"(2 * {_units(x)} + 10000 * count({x})) // nullif(20000 * count({x}), 0)"
     return f"CAST(CAST({cents} AS DECIMAL(38,0)) / 100.0 AS DECIMAL(38,2))"
 
 
 def money_one(aggregate: str) -> str:
-    return f"CAST(round(CAST({aggregate} AS DECIMAL(18,4)), 2) AS DECIMAL(38,2))"
+    return f"CAST(round(CAST({aggregate} AS DECIMAL(38,6)), 2) AS DECIMAL(38,2))"
 
 
 def _share() -> str:
@@ -104,7 +104,7 @@ VIEW_SQL = {
         "total_orders": _N, "total_units_sold": _QTY, "total_revenue": _REV,
         "avg_price": _AVG_PRICE, "avg_order_value": _AVG, "revenue_share_pct": _share(),
     }),
-    "customer_performance": _view("customer_name city state region", {
+    "top_customers": _view("customer_name city state region", {
         "total_orders": _N, "total_quantity": _QTY, "total_spent": _REV, "avg_order_value": _AVG,
         "first_purchase": "min(sale_date)", "last_purchase": "max(sale_date)",
     }),
@@ -129,7 +129,7 @@ VIEW_SQL = {
     "customer_hierarchy": _view("region customer_name", {
         "total_quantity": _QTY, "total_spent": _REV, "total_orders": _N,
     }),
-    "file_statistics": _view("source_file", {
+    "pipeline_stats": _view("source_file", {
         "records_loaded": _N, "first_loaded_at": "min(loaded_at)", "last_loaded_at": "max(loaded_at)",
         "earliest_sale_date": "min(sale_date)", "latest_sale_date": "max(sale_date)",
         "total_revenue": _REV, "unique_customers": _CUSTOMERS,
@@ -155,12 +155,12 @@ DASHBOARD_SQL = {
                  product_category ASC NULLS LAST LIMIT 15""",
     "dash_top_customers": f"""
         SELECT customer_name, city, state, region, total_orders, total_spent, avg_order_value
-        FROM ({VIEW_SQL['customer_performance']})
+        FROM ({VIEW_SQL['top_customers']})
         ORDER BY total_spent DESC NULLS FIRST, customer_name ASC NULLS LAST, city ASC NULLS LAST,
                  state ASC NULLS LAST, region ASC NULLS LAST LIMIT 20""",
     "dash_file_statistics": f"""
         SELECT source_file, records_loaded, CAST(first_loaded_at AS VARCHAR) AS first_loaded_at,
-               total_revenue FROM ({VIEW_SQL['file_statistics']})""",
+               total_revenue FROM ({VIEW_SQL['pipeline_stats']})""",
 }
 
 _SALES_LIST = """sale_date, customer_name, city, state, region, product_category, product_name,
@@ -226,12 +226,13 @@ HEADERS = f"""
   ),
   scored AS (
     SELECT norm, alias, canonical, ord,
+           200.0 * best[length(a) + 1] / (length(h) + length(a)) AS ratio,
            CAST(round_even(200.0 * best[length(a) + 1] / (length(h) + length(a)), 0) AS INT) AS score
     FROM lcs WHERE i = length(h)
   ),
   closest AS (
     SELECT norm, alias, canonical, score FROM scored
-    QUALIFY row_number() OVER (PARTITION BY norm ORDER BY score DESC, ord) = 1
+    QUALIFY row_number() OVER (PARTITION BY norm ORDER BY ratio DESC, ord) = 1
   ),
   header_map AS (
     SELECT source_file, position, raw_header,
@@ -266,19 +267,22 @@ CLEANED = f"""
            ({untidy.UNREADABLE_DATES} OR {untidy.BAD_DATE}) AS bad_date
     FROM staging_sales
   ),
+  -- A month-first file whose days could all be months reads as day-first: that format is tried earlier.
   date_mode AS (
-    SELECT file_name, arg_min(NOT bad_date, row_no) AS first_is_good FROM numbered GROUP BY file_name
+    SELECT file_name, arg_min(NOT bad_date, row_no) AS first_is_good,
+           bool_and(bad_date OR day(sale_date) <= 12) AS ambiguous
+    FROM numbered GROUP BY file_name
   ),
   expected AS (
     SELECT CASE WHEN bad_date THEN NULL
                 WHEN {untidy.DATE_STYLE} = {untidy.SERIAL_STYLE} AND NOT first_is_good THEN NULL
-                WHEN {untidy.DATE_STYLE} = 2 AND day(sale_date) <= 12
+                WHEN {untidy.DATE_STYLE} = 2 AND ambiguous
                 THEN make_date(year(sale_date), day(sale_date), month(sale_date))
                 ELSE sale_date END AS sale_date,
            CASE WHEN {untidy.NO_CUSTOMER} THEN NULL ELSE customer_name END AS customer_name,
            city, state, region, product_category, product_name,
            CASE WHEN {untidy.BAD_QUANTITY} THEN NULL ELSE quantity END AS quantity,
-           price_per_unit,
+           price_per_unit, {untidy.DATE_STYLE} AS date_style,
            CASE WHEN {untidy.BAD_AMOUNT} THEN NULL ELSE sales_amount END AS sales_amount,
            n.file_name AS source_file, row_no,
            (missing = '' AND duplicated = '') AS usable
@@ -298,11 +302,11 @@ CLEANED = f"""
     SELECT source_file, columns_read, rows_read, CAST(rows_loaded AS BIGINT) AS rows_loaded,
            CAST(CASE WHEN missing = '' AND duplicated = '' THEN rows_read - rows_loaded ELSE 0 END AS BIGINT)
              AS rows_dropped,
-           CASE WHEN rows_read = 0 THEN 'Workbook contains no data rows.'
-                WHEN missing <> '' THEN 'Missing required columns: ' || missing || '. Headers read: '
+           CASE WHEN rows_read = 0 THEN 'The sheet has headers only.'
+                WHEN missing <> '' THEN 'No column found for ' || missing || '; the sheet is headed '
                      || array_to_string(headers, ', ')
                 WHEN duplicated <> '' THEN 'Several headers map to one column: ' || duplicated
-                WHEN rows_loaded = 0 THEN 'No valid rows remain after cleaning.' END AS reason
+                WHEN rows_loaded = 0 THEN 'Each row lacks a date, a customer or an amount.' END AS reason
     FROM report
   )"""
 
@@ -312,6 +316,10 @@ INGEST_SQL = {
     "clean_sales": f"""
         SELECT {_SALES_LIST}, source_file FROM expected
         WHERE usable AND sale_date IS NOT NULL AND customer_name IS NOT NULL AND sales_amount IS NOT NULL""",
+    "clean_sales_iso": f"""
+        SELECT {_SALES_LIST}, source_file FROM expected
+        WHERE usable AND sale_date IS NOT NULL AND customer_name IS NOT NULL AND sales_amount IS NOT NULL
+          AND date_style NOT IN (1, 2)""",
     "file_report": "SELECT * FROM file_report",
     "quarantined_rows": """
         SELECT source_file, row_no, len(headers) AS cell_count, reason
@@ -324,7 +332,8 @@ INGEST_SQL = {
                CASE WHEN event = 'failure' THEN substr(reason, 1, 600)
                     WHEN event = 'corrupted' THEN substr(reason, 1, 400) END AS message,
                CASE WHEN event <> 'detected'
-                    THEN CASE WHEN reason IS NULL THEN 'processed' ELSE 'failed' END END AS disposition
+                    THEN CASE WHEN reason IS NULL THEN 'processed' ELSE 'failed' END END AS disposition,
+               CASE WHEN event <> 'detected' THEN '20240102_030405_' || source_file END AS target_name
         FROM (SELECT *, unnest(CASE WHEN reason IS NULL THEN ['detected', 'success']
                                     ELSE ['detected', 'failure', 'corrupted'] END) AS event
               FROM file_report)""",
@@ -333,6 +342,8 @@ INGEST_SQL = {
 # Loaded from workbooks; the workbook a row travelled in depends on the plan.
 WORKBOOK_SQL = {
     "workbook_scan": f"SELECT {_SALES_LIST} FROM staging_sales",
+    **{name: f"SELECT {_SALES_LIST} FROM staging_sales"
+       for name in ("folder_batch", "batch_then_stream", "two_streams", "ingest_resumed")},
     "stream_ingest": f"SELECT {_SALES_LIST}, strftime(sale_date, '%Y-%m') AS sale_month FROM staging_sales",
 }
 

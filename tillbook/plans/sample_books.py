@@ -1,19 +1,22 @@
-"""Workbooks made from sales rows, as input for the workbook scan."""
+"""Folders of workbooks made from sales rows, as input for the folder and workbook scans."""
 
 from __future__ import annotations
 
 import io
+import os
+import re
 import zipfile
 from collections.abc import Iterable, Iterator
-from datetime import date, datetime, timezone
+from datetime import date
 from xml.sax.saxutils import escape
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillbook.schema import BINARY_FILE_SCHEMA, CANONICAL_COLUMNS
+from tillbook.schema import CANONICAL_COLUMNS
 
 _MAIN = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
 _REL = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
@@ -54,24 +57,33 @@ def workbook_bytes(headers: Iterable[str], rows: Iterable[Iterable]) -> bytes:
     return out.getvalue()
 
 
-def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    part = TaskContext.get().partitionId()
-    for i, batch in enumerate(batches):
-        content = workbook_bytes(batch.schema.names, zip(*(c.to_pylist() for c in batch.columns)))
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([f"inbox/sales-{part:05d}-{i:05d}.xlsx"]),
-                pa.array([datetime(2024, 1, 1, tzinfo=timezone.utc)], pa.timestamp("us", tz="UTC")),
-                pa.array([len(content)], pa.int64()),
-                pa.array([content], pa.binary()),
-            ],
-            names=BINARY_FILE_SCHEMA.fieldNames(),
-        )
+def write_file(path: str, content: bytes) -> None:
+    """A file on any file system that Arrow knows; folders are made as needed."""
+    path = re.sub("^s3[an]:", "s3:", re.sub("^file:/*", "/", path))
+    if "://" not in path:
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path, "wb") as file:
+            file.write(content)
+        return
+    system, inner = fs.FileSystem.from_uri(path)
+    system.create_dir(os.path.dirname(inner))
+    with system.open_output_stream(inner) as file:
+        file.write(content)
 
 
-def workbooks_of(sales: DataFrame) -> DataFrame:
-    """The rows as workbooks, one per Arrow batch, in the form of the ``binaryFile`` source.
+def write_workbooks(sales: DataFrame, folder: str) -> None:
+    """The rows as workbooks in ``folder``, one per Arrow batch, with small and capital endings.
 
-    Needs no shuffle, and a workbook holds no more rows than an Arrow batch.
+    Needs no shuffle, and a workbook holds no more rows than an Arrow batch. A
+    task that is repeated writes the same files again.
     """
-    return sales.select(*[F.col(c) for c in CANONICAL_COLUMNS]).mapInArrow(_encode, BINARY_FILE_SCHEMA)
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        for i, batch in enumerate(batches):
+            content = workbook_bytes(batch.schema.names, zip(*(c.to_pylist() for c in batch.columns)))
+            path = f"{folder}/sales-{part:05d}-{i:05d}.{'XLSM' if (part + i) % 2 else 'xlsx'}"
+            write_file(path, content)
+            yield pa.RecordBatch.from_arrays([pa.array([path])], names=["path"])
+
+    sales.select(*[F.col(c) for c in CANONICAL_COLUMNS]).mapInArrow(encode, "path string").count()

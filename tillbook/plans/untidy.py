@@ -68,17 +68,17 @@ def _in_file_order(frame: DataFrame, name: str, cells: Column, extra: Column, se
 
 
 def untidy_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(source_file, headers, error, path, modified_at)``: one file per customer."""
+    """``(path, source_file, headers, error, modified_at)``: one file per customer."""
     customers = spark.read.parquet(f"{sf_dir}/customer.parquet").selectExpr(
         f"{SOURCE_FILE_SQL} AS source_file", "c_custkey AS k", f"{TURN_SQL} AS turn"
     )
     pairs = ", ".join(f"named_struct('name', '{n}', 'other', '{o}')" for n, o in COLUMN_PAIRS)
     headers = F.expr(f"transform(array({pairs}), c -> {HEADER_SQL})")
     return _in_file_order(customers, "headers", headers, F.lit("Remarks"), F.lit("Revenue")).select(
+        F.concat(F.lit("inbox/"), "source_file").alias("path"),
         "source_file",
         "headers",
         F.lit(None).cast("string").alias("error"),
-        F.concat(F.lit("inbox/"), "source_file").alias("path"),
         F.lit(None).cast("timestamp").alias("modified_at"),
     )
 
@@ -116,7 +116,7 @@ def _padded(name: str) -> Column:
 
 
 def untidy_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(source_file, row_no, cells)``: one row per line item."""
+    """``(path, source_file, row_no, cells)``: one row per line item."""
     lines = star_lines(spark, sf_dir).drop("source_file").selectExpr(
         "*",
         "replace(customer_name, '#', '_') || '.xlsx' AS source_file",
@@ -136,5 +136,5 @@ def untidy_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     ordered = F.array(*[cells[c] for c in CANONICAL_COLUMNS])
     return _in_file_order(lines, "cells", ordered, F.lit("none"), F.lit("1.0")).select(
-        "source_file", "row_no", "cells"
+        F.concat(F.lit("inbox/"), "source_file").alias("path"), "source_file", "row_no", "cells"
     )

@@ -59,7 +59,7 @@ TEXT_COLUMNS = (
     "customer_name", "city", "state", "region", "product_category", "product_name",
 )
 MONEY_COLUMNS = ("price_per_unit", "sales_amount")
-# A row without one of these is dropped.
+# A row without one of these is dropped (fixed values, as are the two lists above).
 CRITICAL_COLUMNS = ("sale_date", "customer_name", "sales_amount")
 
 SALES_FIELDS = [
@@ -84,21 +84,26 @@ PARTITION_FIELDS = [
     T.StructField("batch_id", T.StringType()),
     T.StructField("sale_month", T.StringType()),
 ]
-STAGING_SCHEMA = T.StructType(SALES_FIELDS + PARTITION_FIELDS)
+# As stored, a row also keeps the path of its file, which tells apart files of one name.
+STORED_SCHEMA = T.StructType([*SALES_FIELDS, T.StructField("path", T.StringType())])
+STAGING_SCHEMA = T.StructType([*STORED_SCHEMA.fields, *PARTITION_FIELDS])
 
+# A file is told apart by its path; its name is only what people see of it.
 RAW_FILES_SCHEMA = T.StructType([
+    T.StructField("path", T.StringType(), False),
     T.StructField("source_file", T.StringType(), False),
     T.StructField("headers", T.ArrayType(T.StringType())),
     T.StructField("error", T.StringType()),
 ])
 RAW_ROWS_SCHEMA = T.StructType([
+    T.StructField("path", T.StringType(), False),
     T.StructField("source_file", T.StringType(), False),
     T.StructField("row_no", T.LongType(), False),
     T.StructField("cells", T.ArrayType(T.StringType())),
 ])
 
-# What the workbook scan emits: one 'file' record per workbook (cells = headers)
-# and one 'row' record per data row.
+# What the workbook scan emits: one 'file' record per workbook (cells = headers, with the
+# number of its data rows and the seconds it took) and one 'row' record per data row.
 LANDING_SCHEMA = T.StructType([
     T.StructField("source_file", T.StringType()),
     T.StructField("path", T.StringType()),
@@ -106,9 +111,17 @@ LANDING_SCHEMA = T.StructType([
     T.StructField("row_no", T.LongType()),
     T.StructField("cells", T.ArrayType(T.StringType())),
     T.StructField("error", T.StringType()),
+    T.StructField("rows_read", T.LongType()),
+    T.StructField("seconds", T.DoubleType()),
     T.StructField("kind", T.StringType()),
 ])
 
+# Workbooks to be loaded: where they are, and when they were last written.
+FILES_SCHEMA = T.StructType([
+    T.StructField("path", T.StringType()),
+    T.StructField("modificationTime", T.TimestampType()),
+])
+
 BINARY_FILE_SCHEMA = T.StructType([
     T.StructField("path", T.StringType()),
     T.StructField("modificationTime", T.TimestampType()),
@@ -131,9 +144,18 @@ INGEST_LOG_SCHEMA = T.StructType([
     T.StructField("target_name", T.StringType()),
     T.StructField("logged_at", T.TimestampType()),
     T.StructField("batch_id", T.StringType()),
+    T.StructField("stage", T.StringType()),
+])
+
+# One row per batch whose rows are complete; only these are seen by readers.
+COMMITS_SCHEMA = T.StructType([
+    T.StructField("rows_loaded", T.LongType()),
+    T.StructField("committed_at", T.TimestampType()),
+    T.StructField("batch_id", T.StringType()),
 ])
 
 QUARANTINE_SCHEMA = T.StructType([
+    T.StructField("path", T.StringType()),
     T.StructField("source_file", T.StringType()),
     T.StructField("row_no", T.LongType()),
     T.StructField("cells", T.ArrayType(T.StringType())),

@@ -4,51 +4,48 @@ from __future__ import annotations
 
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillbook.schema import BINARY_FILE_SCHEMA
+from tillbook.schema import BINARY_FILE_SCHEMA, FILES_SCHEMA
 
 # Fixed value: .xlsx, .xls and .xlsm in any case.
 WORKBOOK_GLOB = "*.[xX][lL][sS]{,x,X,m,M}"
 
+# Files of any age are loaded: a copied file may keep an old time.
+_ANY_AGE = "100000d"
 
-def _directly_in(files: DataFrame, folder: str) -> DataFrame:
-    """Leave out files of sub-folders."""
-    spark = files.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    qualified = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
-    return files.filter(F.regexp_replace("path", "/[^/]*$", "") == qualified)
 
-
-def _options(reader):
-    """Accepted names, and no reading of ``a=b`` folder names as partitions, which would clash with plain ones."""
-    return reader.option("pathGlobFilter", WORKBOOK_GLOB).option("recursiveFileLookup", "true")
+def _pattern(folder: str) -> str:
+    """Path pattern of the workbooks directly in a folder, whatever its name."""
+    literal = re.sub(r"([\\{}\[\]*?])", r"\\\1", folder.rstrip("/"))
+    return f"{literal}/{WORKBOOK_GLOB}"
 
 
 def workbook_files(spark: SparkSession, folder: str) -> DataFrame:
-    """All workbooks directly in ``folder``; the content is read only if selected."""
-    return _directly_in(_options(spark.read.format("binaryFile")).load(folder), folder)
+    """``(path, modificationTime)`` of all workbooks directly in ``folder``; no content is read."""
+    try:
+        files = spark.read.format("binaryFile").load(_pattern(folder))
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], FILES_SCHEMA)
+    return files.select(*FILES_SCHEMA.fieldNames())
 
 
 def workbook_stream(spark: SparkSession, folder: str, files_per_trigger: int = 10_000) -> DataFrame:
     """The same folder as a stream: present files first, then new ones.
 
-    ``files_per_trigger=1`` loads file after file in order of arrival.
+    ``files_per_trigger=1`` loads file after file in order of arrival. A file
+    that is gone before its turn is passed over.
     """
-    reader = _options(spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA))
-    return _directly_in(reader.option("maxFilesPerTrigger", files_per_trigger).load(folder), folder)
-
-
-def new_files(listing: DataFrame, ingest_log: DataFrame) -> DataFrame:
-    """Files not yet in the log; a file put back under its old name counts as new."""
-    seen = ingest_log.filter("event = 'detected'").select("path", F.col("modified_at").alias("modificationTime"))
-    return listing.select("path", "modificationTime", "length").join(
-        seen, ["path", "modificationTime"], "left_anti"
-    )
+    reader = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
+    reader = reader.option("maxFilesPerTrigger", files_per_trigger).option("maxFileAge", _ANY_AGE)
+    return reader.option("ignoreMissingFiles", "true").load(_pattern(folder)).select(*FILES_SCHEMA.fieldNames())
 
 
-def read_files(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """The given workbooks with content."""
-    literal = [re.sub(r"([\\{}\[\]*?])", r"\\\1", p) for p in paths]
-    return spark.read.format("binaryFile").load(literal)
+def new_files(files: DataFrame, loaded: DataFrame) -> DataFrame:
+    """Files that are not among the loaded ones; a file put back under its old name counts as new."""
+    seen = loaded.select("path", F.col("modified_at").alias("modificationTime"))
+    return files.select(*FILES_SCHEMA.fieldNames()).distinct().join(seen, FILES_SCHEMA.fieldNames(), "left_anti")

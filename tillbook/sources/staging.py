@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillbook.schema import SALES_COLUMNS, SALES_FIELDS, STAGING_SCHEMA
+from tillbook.schema import COMMITS_SCHEMA, STAGING_SCHEMA, STORED_SCHEMA
 
 
 def _batch_path(table: str, batch_id: str) -> str:
@@ -18,19 +18,24 @@ def append_sales(rows: DataFrame, table: str, batch_id: str) -> int:
     """Write one batch into the table at path ``table`` and return its row count.
 
     Columns are matched by name; a missing ``loaded_at`` becomes the time of the
-    load. The batch has a folder of its own, so writing the same ``batch_id``
+    load, a missing ``path`` is NULL. The batch has a folder of its own, so writing the same ``batch_id``
     again replaces it and a repeated batch never doubles rows. Rows are
     rebalanced by month to get few files, with large months split by adaptive
     execution, and sorted to make row-group statistics selective.
     """
     if "loaded_at" not in rows.columns:
         rows = rows.withColumn("loaded_at", F.current_timestamp())
+    if "path" not in rows.columns:
+        rows = rows.withColumn("path", F.lit(None).cast("string"))
     month = F.coalesce(F.date_format("sale_date", "yyyy-MM"), F.lit("none"))
     (
-        rows.select(*SALES_COLUMNS, month.alias("sale_month"))
+        rows.select(*STORED_SCHEMA.fieldNames(), month.alias("sale_month"))
         .hint("rebalance", F.col("sale_month"))
         .sortWithinPartitions("sale_month", "region", "city")
         .write.mode("overwrite")
+        # Equality filters on these columns, by which rows aren't sorted, skip row groups.
+        .option("parquet.bloom.filter.enabled#customer_name", "true")
+        .option("parquet.bloom.filter.enabled#source_file", "true")
         .partitionBy("sale_month")
         .parquet(_batch_path(table, batch_id))
     )
@@ -39,7 +44,7 @@ def append_sales(rows: DataFrame, table: str, batch_id: str) -> int:
 
 def read_batch(spark: SparkSession, table: str, batch_id: str) -> DataFrame:
     """The rows of one batch; lists the folder of that batch only."""
-    return spark.read.schema(T.StructType(SALES_FIELDS)).parquet(_batch_path(table, batch_id))
+    return spark.read.schema(STORED_SCHEMA).parquet(_batch_path(table, batch_id))
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -52,9 +57,27 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
         return spark.createDataFrame([], schema)
 
 
-def read_sales(spark: SparkSession, table: str) -> DataFrame:
-    """All sales of the table at path ``table``."""
-    return read_table(spark, table, STAGING_SCHEMA)
+def commit(spark: SparkSession, commits: str, batch_id: str, rows_loaded: int) -> None:
+    """Make a batch visible to readers; the last step of a load."""
+    row = spark.range(1).select(F.lit(rows_loaded).cast("bigint").alias("rows_loaded"), F.current_timestamp().alias("committed_at"))
+    row.coalesce(1).write.mode("overwrite").parquet(_batch_path(commits, batch_id))
+
+
+def read_commits(spark: SparkSession, commits: str) -> DataFrame:
+    """The batches that are complete, one row each."""
+    return read_table(spark, commits, COMMITS_SCHEMA)
+
+
+def read_sales(spark: SparkSession, table: str, commits: str | None = None) -> DataFrame:
+    """All sales of the table at path ``table``; with ``commits``, those of complete batches.
+
+    The commits are one small row per batch: Spark broadcasts them by their known
+    size and reads the folders of those batches only.
+    """
+    sales = read_table(spark, table, STAGING_SCHEMA)
+    if commits is None:
+        return sales
+    return sales.join(read_commits(spark, commits).select("batch_id"), "batch_id", "left_semi").select(*sales.columns)
 
 
 def query(spark: SparkSession, sql: str, args: dict | None = None) -> DataFrame:

@@ -1,30 +1,29 @@
 """Scan of OOXML workbooks (``.xlsx``, ``.xlsm``) into raw text rows.
 
-Spark distributes the files; each task decodes its own with the standard
-library and hands Arrow batches back. A sheet holds at most 1,048,576 rows by
-the file format, so one workbook is a bounded unit of work; its rows are
-streamed, not held.
+Spark distributes the paths; each task opens its own files where they are, reads
+only the parts it needs with the standard library, and hands Arrow batches back.
+A sheet holds at most 1,048,576 rows by the file format, so one workbook is a
+bounded unit of work; its rows are streamed, and no file is held whole.
 """
 
 from __future__ import annotations
 
-import io
 import re
+import time
 import zipfile
 from collections.abc import Iterator
 from datetime import datetime, timedelta
 from posixpath import basename, join, normpath
+from typing import BinaryIO
 from xml.etree import ElementTree
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillbook.schema import LANDING_SCHEMA
 
-# Arrow hands at most 2 GiB to a task at once; Spark packs up to 128 MiB of other
-# files beside a large one.
-MAX_WORKBOOK_BYTES = 1_600_000_000
 _ROWS_PER_BATCH = 4096
 _SLICE = 1 << 20
 _ARROW_SCHEMA = pa.schema([
@@ -34,6 +33,8 @@ _ARROW_SCHEMA = pa.schema([
     ("row_no", pa.int64()),
     ("cells", pa.list_(pa.string())),
     ("error", pa.string()),
+    ("rows_read", pa.int64()),
+    ("seconds", pa.float64()),
     ("kind", pa.string()),
 ])
 # Built-in number formats that show a date or time.
@@ -171,9 +172,20 @@ def _row_elements(sheet) -> Iterator[ElementTree.Element]:
         raise ValueError("the sheet is cut off")
 
 
-def sheet_rows(content: bytes) -> Iterator[list[str | None]]:
+def open_file(path: str) -> BinaryIO:
+    """A seekable file of any file system that Arrow knows; ``s3a`` is read as ``s3``."""
+    path = re.sub("^s3[an]:", "s3:", path)
+    if path.startswith("file:"):
+        return open(re.sub("^file:/*", "/", path), "rb")
+    if "://" not in path:
+        return open(path, "rb")
+    system, inner = fs.FileSystem.from_uri(path)
+    return system.open_input_file(inner)
+
+
+def sheet_rows(file: BinaryIO) -> Iterator[list[str | None]]:
     """Non-empty rows of the first sheet as text cells, header row first."""
-    with zipfile.ZipFile(io.BytesIO(content)) as book:
+    with zipfile.ZipFile(file) as book:
         part, day_zero = _first_sheet(book)
         strings, dated = _shared_strings(book), _date_styles(book)
         with book.open(part) as sheet:
@@ -192,18 +204,9 @@ def sheet_rows(content: bytes) -> Iterator[list[str | None]]:
                     yield row
 
 
-def _fallback_rows(content: bytes) -> Iterator[list[str | None]]:
-    """Second reader, for what the first cannot open; needs an installed spreadsheet engine."""
-    import pandas as pd
-
-    frame = pd.read_excel(io.BytesIO(content), header=None, dtype=object)
-    for values in frame.itertuples(index=False):
-        yield [None if pd.isna(v) else str(v.date() if hasattr(v, "date") else v) for v in values]
-
-
-def _read(content: bytes, reader) -> tuple[list[str], Iterator[list[str | None]]]:
+def _read(file: BinaryIO) -> tuple[list[str], Iterator[list[str | None]]]:
     """Headers, and the rows below them cut or padded to the headed columns."""
-    rows = reader(content)
+    rows = sheet_rows(file)
     first = next(rows, None)
     if first is None:
         return [], iter(())
@@ -218,78 +221,57 @@ def _read(content: bytes, reader) -> tuple[list[str], Iterator[list[str | None]]
     return [first[i] for i in headed], below()
 
 
-def _batch(name, path, modified, first_row_no: int, rows: list[list], error: str | None, kind: str) -> pa.RecordBatch:
+def _batch(path, modified, first_row_no: int, rows: list[list], kind: str, **known) -> pa.RecordBatch:
     """Rows of equal width as an Arrow batch, with the cells laid out flat."""
     n, width = len(rows), len(rows[0])
     cells = pa.ListArray.from_arrays(
         pa.array([i * width for i in range(n + 1)], pa.int32()),
         pa.array([c for row in rows for c in row], pa.string()),
     )
-    constants = {"source_file": name, "path": path, "modified_at": modified, "error": error, "kind": kind}
-    columns = {f.name: pa.array([constants.get(f.name)] * n, f.type) for f in _ARROW_SCHEMA if f.name in constants}
+    constants = {"source_file": basename(path), "path": path, "modified_at": modified, "kind": kind, **known}
+    columns = {f.name: pa.array([constants.get(f.name)] * n, f.type) for f in _ARROW_SCHEMA if f.name not in ("row_no", "cells")}
     columns["row_no"] = pa.array(range(first_row_no, first_row_no + n), pa.int64())
     columns["cells"] = cells
     return pa.RecordBatch.from_arrays([columns[f.name] for f in _ARROW_SCHEMA], schema=_ARROW_SCHEMA)
 
 
-def _decode_file(name, path, modified, content) -> Iterator[pa.RecordBatch]:
-    headers, error, row_no, pending = [], None, 1, []
+def _decode_file(path: str, modified) -> Iterator[pa.RecordBatch]:
+    headers, error, row_no, pending, started = [], None, 1, [], time.monotonic()
     try:
-        try:
-            headers, rows = _read(content, sheet_rows)
-        except Exception as first_error:  # not an OOXML file
-            try:
-                headers, rows = _read(content, _fallback_rows)
-            except Exception:
-                raise first_error from None
-        for row in rows:
-            pending.append(row)
-            if len(pending) == _ROWS_PER_BATCH:
-                yield _batch(name, path, modified, row_no, pending, None, "row")
-                row_no, pending = row_no + len(pending), []
-        if pending:
-            yield _batch(name, path, modified, row_no, pending, None, "row")
+        with open_file(path) as file:
+            headers, rows = _read(file)
+            for row in rows:
+                pending.append(row)
+                if len(pending) == _ROWS_PER_BATCH:
+                    yield _batch(path, modified, row_no, pending, "row")
+                    row_no, pending = row_no + len(pending), []
+            if pending:
+                yield _batch(path, modified, row_no, pending, "row")
+                row_no += len(pending)
     except Exception as problem:  # the file is at fault, not the job: reject it and go on
-        error = f"Cannot read '{name}': {type(problem).__name__}: {problem}"
-    yield _batch(name, path, modified, 0, [headers], error, "file")
+        error = f"Not readable as a workbook ({type(problem).__name__}: {problem})"
+    seconds = round(time.monotonic() - started, 3)
+    yield _batch(path, modified, 0, [headers], "file", error=error, rows_read=row_no - 1, seconds=seconds)
 
 
 def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for files in batches:
-        for path, modified, content in zip(*(files.column(c) for c in ("path", "modificationTime", "content"))):
-            name = basename(path.as_py())
-            yield from _decode_file(name, path.as_py(), modified.as_py(), content.as_py())
-
+        for path, modified in zip(files.column("path"), files.column("modificationTime"), strict=True):
+            yield from _decode_file(path.as_py(), modified.as_py())
 
-def scan_workbooks(files: DataFrame, max_bytes: int = MAX_WORKBOOK_BYTES) -> DataFrame:
-    """Decode a ``binaryFile`` DataFrame into landing records (``LANDING_SCHEMA``).
 
-    A file too large to be handed to a task in one piece is rejected by its
-    length, without being read, so that it cannot fail the job.
-    """
-    sound = files.filter(F.col("length") <= max_bytes)
-    landing = sound.select("path", "modificationTime", "content").mapInArrow(_decode, LANDING_SCHEMA)
-    name = F.element_at(F.split("path", "/"), -1)
-    reason = F.concat(F.lit("Cannot read '"), name, F.lit("': "), "length", F.lit(" bytes are too many"))
-    too_large = files.filter(F.col("length") > max_bytes).select(
-        name.alias("source_file"),
-        "path",
-        F.col("modificationTime").alias("modified_at"),
-        F.lit(0).cast("bigint").alias("row_no"),
-        F.array().cast("array<string>").alias("cells"),
-        reason.alias("error"),
-        F.lit("file").alias("kind"),
-    )
-    return landing.unionByName(too_large)
+def scan_workbooks(files: DataFrame) -> DataFrame:
+    """Decode the workbooks of ``(path, modificationTime)`` into landing records (``LANDING_SCHEMA``)."""
+    return files.select("path", "modificationTime").mapInArrow(_decode, LANDING_SCHEMA)
 
 
 def raw_files(landing: DataFrame) -> DataFrame:
     """One row per workbook: headers, or the reason it could not be read."""
     return landing.filter("kind = 'file'").select(
-        "source_file", "path", "modified_at", F.col("cells").alias("headers"), "error"
+        "path", "source_file", "modified_at", F.col("cells").alias("headers"), "error", "rows_read", "seconds"
     )
 
 
 def raw_rows(landing: DataFrame) -> DataFrame:
     """The data rows of all workbooks."""
-    return landing.filter("kind = 'row'").select("source_file", "row_no", "cells")
+    return landing.filter("kind = 'row'").select("path", "source_file", "row_no", "cells")

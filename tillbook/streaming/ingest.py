@@ -1,28 +1,34 @@
 """Load workbook folders into the sales table, as a batch job or as a stream.
 
-Both ways call :func:`ingest_files` on a DataFrame of workbooks. Every batch
-writes to folders named after its ``batch_id``, so repeating a batch after a
-failure replaces what the failed attempt left behind.
+Both ways call :func:`ingest_files` on a DataFrame of paths. A batch first
+writes down which files it takes, then loads them, and is committed last; only
+committed batches are seen by readers. Every batch writes to folders named after
+its ``batch_id``, so that repeating it replaces what a failed attempt left
+behind, and no batch takes a file that another committed one has loaded.
 """
 
 from __future__ import annotations
 
-import time
+import math
+import uuid
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tillbook.operators.cleaning import CleaningOptions, add_date_mode, clean
 from tillbook.operators.headers import DEFAULT_THRESHOLD, plan_files
-from tillbook.operators.verdict import count_rows, file_report, log_events, rejected_rows
-from tillbook.schema import INGEST_LOG_SCHEMA, LANDING_SCHEMA, QUARANTINE_SCHEMA
-from tillbook.sources.folder import new_files, read_files, workbook_files
-from tillbook.sources.staging import append_sales, read_batch, read_sales, read_table
+from tillbook.operators.verdict import count_rows, detected_events, file_report, outcome_events, rejected_rows
+from tillbook.schema import FILES_SCHEMA, INGEST_LOG_SCHEMA, LANDING_SCHEMA, QUARANTINE_SCHEMA
+from tillbook.sources.folder import new_files, workbook_files
+from tillbook.sources.staging import append_sales, commit, read_batch, read_commits, read_sales, read_table
 from tillbook.sources.workbook import raw_files, raw_rows, scan_workbooks
 
+_BATCH_PREFIX = "batch-"
+
 
 @dataclass(frozen=True)
 class SalesStore:
@@ -36,7 +42,8 @@ class SalesStore:
         return f"{self.root.rstrip('/')}/{table}"
 
     def sales(self, spark: SparkSession) -> DataFrame:
-        return read_sales(spark, self.path("staging_sales"))
+        """The rows of all committed batches."""
+        return read_sales(spark, self.path("staging_sales"), self.path("commits"))
 
     def ingest_log(self, spark: SparkSession) -> DataFrame:
         return read_table(spark, self.path("ingest_log"), INGEST_LOG_SCHEMA)
@@ -44,6 +51,23 @@ class SalesStore:
     def quarantine(self, spark: SparkSession) -> DataFrame:
         return read_table(spark, self.path("quarantine"), QUARANTINE_SCHEMA)
 
+    def commits(self, spark: SparkSession) -> DataFrame:
+        return read_commits(spark, self.path("commits"))
+
+    def loaded_files(self, spark: SparkSession, but: str | None = None) -> DataFrame:
+        """``(path, modified_at)`` of the files of committed batches, leaving out one batch."""
+        detected = self.ingest_log(spark).filter("stage = 'detected'")
+        if but is not None:
+            detected = detected.filter(F.col("batch_id") != but)
+        done = self.commits(spark).select("batch_id")
+        return detected.join(done, "batch_id", "left_semi").select("path", "modified_at")
+
+    def unfinished(self, spark: SparkSession) -> list[str]:
+        """Ids of batch jobs that were begun and not committed: those that stopped on the way."""
+        begun = self.ingest_log(spark).filter("stage = 'detected'").filter(F.col("batch_id").startswith(_BATCH_PREFIX))
+        rows = begun.select("batch_id").distinct().join(self.commits(spark), "batch_id", "left_anti")
+        return [r.batch_id for r in rows.orderBy("batch_id").collect()]
+
 
 def plan_batch(files: DataFrame, rows: DataFrame, store: SalesStore, batch_id: str) -> DataFrame:
     """Header plan and date mode of all files of a batch, written once and read back.
@@ -54,76 +78,105 @@ def plan_batch(files: DataFrame, rows: DataFrame, store: SalesStore, batch_id: s
     header_path = store.path(f"header_plan/batch_id={batch_id}")
     plan_path = store.path(f"file_plan/batch_id={batch_id}")
     plan_files(files, store.threshold).write.mode("overwrite").parquet(header_path)
-    add_date_mode(spark.read.parquet(header_path), rows).write.mode("overwrite").parquet(plan_path)
+    planned = add_date_mode(spark.read.parquet(header_path), rows, store.cleaning)
+    planned.write.mode("overwrite").parquet(plan_path)
     return spark.read.parquet(plan_path)
 
 
 def ingest_files(files: DataFrame, store: SalesStore, batch_id: str) -> int:
-    """Load one batch of workbooks; returns the number of sales rows appended.
+    """Load one batch of workbooks ``(path, modificationTime)``; returns the number of sales rows appended.
 
-    The workbooks are decoded once into the landing table, which all later steps
-    read. Bad files end up in the quarantine and the log; they never fail the
-    batch.
+    Files that another committed batch has loaded are left out. The workbooks
+    are decoded once into the landing table, which all later steps read. Bad
+    files end up in the quarantine and the log; they never fail the batch.
     """
-    spark, started = files.sparkSession, time.monotonic()
+    spark = files.sparkSession
     loaded_at = F.lit(datetime.now(timezone.utc))
-    landing_path = store.path(f"landing/batch_id={batch_id}")
 
-    scan_workbooks(files).write.mode("overwrite").partitionBy("kind").parquet(landing_path)
+    log_path = store.path(f"ingest_log/batch_id={batch_id}")
+    fresh = new_files(files, store.loaded_files(spark, but=batch_id))
+    detected_events(fresh, loaded_at).write.mode("overwrite").parquet(f"{log_path}/stage=detected")
+    taken = spark.read.parquet(f"{log_path}/stage=detected").select("path", F.col("modified_at").alias("modificationTime"))
+    n_files = taken.count()
+    if not n_files:
+        commit(spark, store.path("commits"), batch_id, 0)
+        return 0
+
+    # A path is a few bytes but a workbook is much work: files are dealt out by number, not by size.
+    tasks = min(n_files, 4 * spark.sparkContext.defaultParallelism)
+    landing_path = store.path(f"landing/batch_id={batch_id}")
+    scan_workbooks(taken.repartition(tasks)).write.mode("overwrite").partitionBy("kind").parquet(landing_path)
     landing = spark.read.schema(LANDING_SCHEMA).parquet(landing_path)
     rows = raw_rows(landing)
     planned = plan_batch(raw_files(landing), rows, store, batch_id)
 
     cleaned = clean(rows, planned, store.cleaning).withColumn("loaded_at", loaded_at)
+    # The count per file is taken from the stored rows; the path that tells files apart goes with them.
     loaded = append_sales(cleaned, store.path("staging_sales"), batch_id)
 
     staged = read_batch(spark, store.path("staging_sales"), batch_id)
     # Stored for the same reason as the file plan: the rejected rows are found without a shuffle.
     report_path = store.path(f"file_report/batch_id={batch_id}")
-    counts = count_rows(rows, "rows_read"), count_rows(staged, "rows_kept")
-    file_report(planned, *counts).write.mode("overwrite").parquet(report_path)
+    file_report(planned, count_rows(staged, "rows_kept")).write.mode("overwrite").parquet(report_path)
     report = spark.read.parquet(report_path)
-    rejected_rows(rows, report).write.mode("overwrite").parquet(store.path(f"quarantine/batch_id={batch_id}"))
-    # The log comes last: files count as done only when everything else is written.
-    seconds = F.lit(round(time.monotonic() - started, 3))
-    events = log_events(report, loaded_at, seconds)
-    events.write.mode("overwrite").parquet(store.path(f"ingest_log/batch_id={batch_id}"))
+    if report.filter("reason IS NOT NULL").limit(1).count():
+        rejected = rejected_rows(rows, report)
+        rejected.write.mode("overwrite").parquet(store.path(f"quarantine/batch_id={batch_id}"))
+    outcome_events(report, loaded_at).write.mode("overwrite").parquet(f"{log_path}/stage=outcome")
+    commit(spark, store.path("commits"), batch_id, loaded)
     return loaded
 
 
 def ingest_folder(spark: SparkSession, folder: str, store: SalesStore, files_per_round: int = 10_000) -> int:
-    """Load all workbooks of ``folder`` that the log does not know yet.
+    """Load all workbooks of ``folder`` that no committed batch has loaded.
 
-    Works in rounds of at most ``files_per_round`` files, in path order, until
-    none is left: only that many path names are ever held by the driver.
+    Batches that stopped on the way are finished first, under their own ids. The
+    folder is listed once; the new files are dealt by a hash of their path into
+    rounds of about ``files_per_round``, which are loaded one after the other.
     """
-    listing, total = workbook_files(spark, folder), 0
-    while True:
-        fresh = new_files(listing, store.ingest_log(spark)).orderBy("path").limit(files_per_round)
-        paths = [r.path for r in fresh.select("path").collect()]
-        if not paths:
-            return total
-        batch_id = f"batch-{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}"
-        total += ingest_files(read_files(spark, paths), store, batch_id)
+    total = 0
+    for batch_id in store.unfinished(spark):
+        begun = store.ingest_log(spark).filter("stage = 'detected'").filter(F.col("batch_id") == batch_id)
+        total += ingest_files(begun.select("path", F.col("modified_at").alias("modificationTime")), store, batch_id)
+
+    run = f"{_BATCH_PREFIX}{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}"
+    pending_path = store.path(f"pending/run={run}")
+    new_files(workbook_files(spark, folder), store.loaded_files(spark)).write.parquet(pending_path)
+    pending = spark.read.schema(FILES_SCHEMA).parquet(pending_path)
+    rounds = math.ceil(pending.count() / files_per_round)
+    for i in range(rounds):
+        part = pending.filter(F.pmod(F.xxhash64("path"), F.lit(rounds)) == i)
+        total += ingest_files(part, store, f"{run}-{i:05d}")
+    return total
+
+
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """A name kept beside the checkpoint, so that only its own stream writes under it."""
+    path, schema = f"{checkpoint.rstrip('/')}/ingest_id", T.StructType([T.StructField("id", T.StringType())])
+    known = read_table(spark, path, schema).first()
+    if known is None:
+        spark.createDataFrame([(f"stream-{uuid.uuid4().hex}",)], schema).coalesce(1).write.mode("overwrite").parquet(path)
+        known = read_table(spark, path, schema).first()
+    return known.id
 
 
 def start_ingest_stream(
     files: DataFrame,
     store: SalesStore,
     checkpoint: str,
-    name: str = "stream",
     available_now: bool = False,
 ) -> StreamingQuery:
     """Load a stream of workbooks until stopped, or just the backlog.
 
     ``files`` is a streaming DataFrame of workbooks, see ``workbook_stream``.
-    The checkpoint remembers which files were read; together with batch folders
-    that are replaced on repetition, each file is loaded once. ``name`` keeps
-    several streams into one store apart.
+    The checkpoint remembers which files were read, and names the batches; with
+    batch folders that are replaced on repetition, each file is loaded once,
+    also beside other streams and batch jobs on the same folder.
     """
+    stream = _stream_id(files.sparkSession, checkpoint)
 
     def load(batch: DataFrame, epoch: int) -> None:
-        ingest_files(batch, store, f"{name}-{epoch:09d}")
+        ingest_files(batch, store, f"{stream}-{epoch:09d}")
 
     writer = files.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     if available_now:
