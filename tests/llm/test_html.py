@@ -26,6 +26,7 @@ BODIES = [
     (f"<article><header><h1>Title</h1><p>by X</p></header><p>{LONG}</p><footer>tags</footer></article>", ["Title", LONG]),
     (f"<article><p><b>{LONG}<br><p>{LONG}</p><p>a<br>b</p></article>", [LONG, LONG, "a b"]),
     ("<article><h1>Title</h1><p>Tiny.</p></article>", ["Title", "Tiny."]),
+    (f'<div class="content-with-sidebar"><h2>T</h2><p>{LONG}</p><div class="post-footer">x, y</div></div>', ["T", LONG]),
 ]
 
 

@@ -55,7 +55,7 @@ ASIDE_WORDS = frozenset(
     "comment comments commentlist disqus respond reply replies share sharing social related recommended "
     "recommendations pagination pager toolbar copyright login search skip".split()
 )
-#: Words that mark the article itself; they outweigh the others.
+#: Words that mark the article itself; in one name, they outweigh others before them (but not after: "main-menu").
 ARTICLE_WORDS = frozenset("article body content entry main post story text".split())
 #: A start tag of the first kind ends an open element of the second, unless a third lies between.
 _CLOSES = {
@@ -65,6 +65,9 @@ _CLOSES = {
     "option": ({"option"}, {"select"}),
 }
 
+#: Words after which a name tells what an element has, not what it is.
+_HAVING = frozenset("with has have no without is".split())
+
 LEAST_PARAGRAPH = 25
 LEAST_SIBLING = 80
 SIBLING_SHARE = 0.2
@@ -164,17 +167,20 @@ class Page:
             return True, 0.0
         if not self.by_name:
             return False, bonus
-        words = set()
+        article = aside = False
         for name, value in _NAMED.findall(attributes):
             value = value.strip("\"'")
             if name.lower() == "role" and value.lower() in ROLES:
                 return True, 0.0
-            words |= {w.lower() for w in _PARTS.findall(value)}
-        aside = words & ASIDE_WORDS
-        if aside and tag not in ("html", "body", "main") and not (words & ARTICLE_WORDS and not any(w.startswith("comment") for w in aside)):
-            if not (tag in HEADING and titled):
-                return True, 0.0
-        return False, bonus + (CLASS_POINTS if words & ARTICLE_WORDS and tag in CONTAINER else 0.0)
+            for one in value.split():
+                words = [w.lower() for w in _PARTS.findall(one)]
+                article |= not ARTICLE_WORDS.isdisjoint(words)
+                if not _HAVING.isdisjoint(words) or ASIDE_WORDS.isdisjoint(words):
+                    continue
+                aside |= ARTICLE_WORDS.isdisjoint(words) or words[-1] in ASIDE_WORDS
+        if aside and tag not in ("html", "body", "main") and not (tag in HEADING and titled):
+            return True, 0.0
+        return False, bonus + (CLASS_POINTS if article and tag in CONTAINER else 0.0)
 
     def main_blocks(self) -> list[str]:
         """The blocks of the best container and of the siblings that go with it, in page order."""
