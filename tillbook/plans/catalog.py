@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import tillbook
+from tillbook.functions.money import money_avg, money_sum
 from tillbook.operators.cleaning import CleaningOptions, add_date_mode, clean
 from tillbook.operators.filters import filter_sales
 from tillbook.operators.headers import header_map, plan_files
@@ -131,6 +132,30 @@ def filtered_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select(*SALES_COLUMNS)
 
 
+def filtered_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sales of two customers."""
+    customers = ["Customer#000000007", "Customer#000000042"]
+    return filter_sales(sales_table(spark, sf_dir), customers=customers).select(*SALES_COLUMNS)
+
+
+def filtered_by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sales that came in one file."""
+    return filter_sales(sales_table(spark, sf_dir), source_files=["sales_1997.xlsx"]).select(*SALES_COLUMNS)
+
+
+def filtered_by_load_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sales that were loaded within half a year."""
+    bounds = {"loaded_from": datetime(1997, 1, 1), "loaded_to": datetime(1997, 6, 30)}
+    return filter_sales(sales_table(spark, sf_dir), **bounds).select(*SALES_COLUMNS)
+
+
+def fine_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums and averages of amounts with many decimals, per category."""
+    part = F.col("sales_amount") / 7.0
+    sums = sales_table(spark, sf_dir).groupBy("product_category").agg(money_sum(part).alias("total"), money_avg(part).alias("average"))
+    return sums.select("product_category", "total", "average")
+
+
 def mapped_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every header of every untidy file with its match."""
     return header_map(untidy_files(spark, sf_dir)).drop("path")
@@ -298,7 +323,11 @@ def queries() -> dict[str, Query]:
     out.update({f"dash_{p}": partial(_panel, p) for p in PANELS})
     out.update(
         staging_rows=staging_rows,
+        fine_amounts=fine_amounts,
         filtered_sales=filtered_sales,
+        filtered_by_customer=filtered_by_customer,
+        filtered_by_file=filtered_by_file,
+        filtered_by_load_time=filtered_by_load_time,
         header_map=mapped_headers,
         file_plan=planned_files,
         clean_sales=clean_sales,

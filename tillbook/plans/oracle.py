@@ -172,6 +172,17 @@ TABLE_SQL = {
         SELECT {_SALES_LIST}, source_file, loaded_at FROM staging_sales
         WHERE sale_date BETWEEN DATE '1996-03-15' AND DATE '1998-02-10'
           AND region IN ('ASIA', 'EUROPE') AND product_category IN ('PROMO', 'ECONOMY')""",
+    "fine_amounts": f"""
+        SELECT product_category, {money_sum('sales_amount / 7.0')} AS total, {money_avg('sales_amount / 7.0')} AS average
+        FROM staging_sales GROUP BY product_category""",
+    "filtered_by_customer": f"""
+        SELECT {_SALES_LIST}, source_file, loaded_at FROM staging_sales
+        WHERE customer_name IN ('Customer#000000007', 'Customer#000000042')""",
+    "filtered_by_file": f"""
+        SELECT {_SALES_LIST}, source_file, loaded_at FROM staging_sales WHERE source_file = 'sales_1997.xlsx'""",
+    "filtered_by_load_time": f"""
+        SELECT {_SALES_LIST}, source_file, loaded_at FROM staging_sales
+        WHERE loaded_at BETWEEN TIMESTAMP '1997-01-01' AND TIMESTAMP '1997-06-30'""",
 }
 
 
