@@ -66,8 +66,8 @@ def signed_rows(docs: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
 
 def bags_for(docs: DataFrame, text: str, signed: DataFrame, nodes: DataFrame) -> DataFrame:
     """node, shingles and counts of the given nodes, made again from one text of each, stored."""
-    keys = signed.join(nodes, signed["bag"] == nodes["node"], "left_semi").groupBy("bag").agg(F.min("text_key").alias("key"))
-    keys = few_keys(stored(keys.select("key").distinct(), "keys"))
+    keys = signed.join(nodes, "node", "left_semi").select(F.col("text_key").alias("key"))
+    keys = few_keys(stored(keys.distinct(), "keys"))
     texts = docs.select(F.col(f"`{text}`").cast("string").alias("text")).withColumn("key", F.xxhash64("text"))
     texts = texts.join(keys, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
 
@@ -152,28 +152,28 @@ def _links_across(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["a", "b"])
 
 
-def _remaining_links(docs: DataFrame, text: str, rows: DataFrame, buckets: DataFrame, signed: DataFrame, roots: DataFrame) -> DataFrame:
+def _remaining_links(docs: DataFrame, text: str, buckets: DataFrame, signed: DataFrame, roots: DataFrame) -> DataFrame:
     """Step 3: links between components that share a bucket."""
     rooted = buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     per_root = rooted.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
     mixed = per_root.groupBy("bucket").agg(F.count(F.lit(1)).alias("k"), F.max(F.struct("n", "root"))["root"].alias("head"))
     mixed = mixed.where("k > 1").select("bucket", "head")
     sets = stored(rooted.join(mixed, "bucket").select("head", "node", "root").distinct(), "sets")
-    bags = bags_for(docs, text, rows, sets.select("node").distinct())
+    bags = bags_for(docs, text, signed, sets.select("node").distinct())
     sizes = sets.groupBy("head").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     placed = sets.join(sizes, "head").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     met = placed.select("head", "node", "root", "block", other)
     met = met.withColumns({"first_block": F.least("block", "other"), "second_block": F.greatest("block", "other")})
-    full = met.join(signed, "node").join(bags, "node")
+    full = met.join(signed.drop("text_key"), "node").join(bags, "node")
     columns = ["head", "first_block", "second_block", "block", "node", "root", "signature", "shingles", "counts"]
     return full.select(*columns).groupBy("head", "first_block", "second_block").applyInPandas(_links_across, "a binary, b binary")
 
 
 def near_duplicate_links(docs: DataFrame, text: str, rows: DataFrame) -> DataFrame:
     """Verified links (a, b) between bags that connect all near duplicates, stored."""
-    signed = rows.where("bag IS NOT NULL").groupBy("bag").agg(F.first("signature").alias("signature"))
-    signed = stored(signed.select(F.col("bag").alias("node"), "signature"), "nodes")
+    signed = rows.where("bag IS NOT NULL").groupBy(F.col("bag").alias("node"))
+    signed = stored(signed.agg(F.first("signature").alias("signature"), F.min("text_key").alias("text_key")), "nodes")
     width = 2 * ROWS
     keys = F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.substring("signature", b * width + 1, F.lit(width)))
@@ -184,8 +184,8 @@ def near_duplicate_links(docs: DataFrame, text: str, rows: DataFrame) -> DataFra
     stars = buckets.where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
     close = stored(_agreement(stars, signed), "close")
     ends = close.select(F.col("a").alias("node")).union(close.select(F.col("b").alias("node"))).distinct()
-    links = stored(_similar(close, bags_for(docs, text, rows, ends)), "links")
-    rest = _remaining_links(docs, text, rows, buckets.select("bucket", "node"), signed, stored(components(links), "roots"))
+    links = stored(_similar(close, bags_for(docs, text, signed, ends)), "links")
+    rest = _remaining_links(docs, text, buckets.select("bucket", "node"), signed, stored(components(links), "roots"))
     return stored(links.union(rest), "links")
 
 
