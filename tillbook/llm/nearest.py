@@ -24,8 +24,8 @@ from tillbook.plans.catalog import ship_package
 DEVIATIONS = 4.0
 #: Queries broadcast at once.
 QUERY_BLOCK = 4096
-#: Vectors gone through at once in a task.
-ROW_BLOCK = 2048
+#: In a task, so many vectors are compared with so many queries at once, and so many pairs scored.
+ROW_BLOCK, QUERY_PART, PAIRS = 2048, 256, 1 << 17
 SEED = 20
 
 
@@ -94,11 +94,11 @@ def build_index(vectors: DataFrame, *, vector_id: str = "vec_id", vector: str =
     return stored(index, "index"), space
 
 
-def exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Inner products of the rows, each added up in the order of the components."""
-    out = np.zeros(a.shape[0])
+def exact(a: np.ndarray, i: np.ndarray, b: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Inner products of rows ``i`` of one matrix with rows ``j`` of another, added up in the order of the components."""
+    out = np.zeros(i.size)
     for k in range(a.shape[1]):
-        out += a[:, k] * b[:, k]
+        out += a[i, k] * b[j, k]
     return out
 
 
@@ -134,35 +134,41 @@ def _search_block(index: DataFrame, space: Space, rows: np.ndarray, queries: np.
         query_rows, vectors = shared.value
         size = space.size
         turned = (vectors @ rotation(size, space.seed).T).astype(np.float32)
-        from_mean = vectors @ space.mean
-        reach = np.linalg.norm(vectors, axis=1) * DEVIATIONS / np.sqrt(max(size - 1, 1))
+        from_mean = (vectors @ space.mean).astype(np.float32)
+        reach = (np.linalg.norm(vectors, axis=1) * DEVIATIONS / np.sqrt(max(size - 1, 1))).astype(np.float32)
         best = Best(len(vectors), k)
+
+        def score(query: np.ndarray, place: np.ndarray, own: np.ndarray, ids: np.ndarray) -> None:
+            for p in range(0, query.size, PAIRS):
+                q, v = query[p : p + PAIRS], place[p : p + PAIRS]
+                best.add(q, exact(vectors, q, own, v), ids[v])
+
         for batch in batches:
             for at in range(0, batch.num_rows, ROW_BLOCK):
                 part = batch.slice(at, ROW_BLOCK)
-                code = np.frombuffer(b"".join(part.column("code").to_pylist()), np.uint8).reshape(part.num_rows, -1)
+                n = part.num_rows
+                code = np.frombuffer(b"".join(part.column("code").to_pylist()), np.uint8).reshape(n, -1)
                 signs = np.unpackbits(code, axis=1, count=size).astype(np.float32) * 2 - 1
                 length, along = (part.column(c).to_numpy() for c in ("length", "along"))
                 own = _matrix(part.column("vector"), size)
                 ids, row_ids = part.column("vec_id").to_numpy(), part.column("row_id").to_numpy()
                 scale = (length / along / np.sqrt(size)).astype(np.float32)
-                estimate = (turned @ signs.T) * scale + from_mean[:, None].astype(np.float32)
-                error = np.outer(reach, length * np.sqrt(np.maximum(1 - along**2, 0)) / along)
-                # A little more for the single precision of the estimate.
-                upper = estimate + error * (1 + 1e-3) + 1e-4 * np.abs(estimate)
-                # Those that the codes find best come first, so that fewer of the others are left to score.
-                head = min(k, part.num_rows)
-                first = np.argpartition(-estimate, head - 1, axis=1)[:, :head]
-                query, place = np.repeat(np.arange(len(vectors)), head), first.ravel()
-                least = best.least()
-                chosen = np.zeros(upper.shape, dtype=bool)
-                for _ in range(2):
-                    new = (row_ids[place] != query_rows[query]) & ~chosen[query, place] & (upper[query, place] >= least[query])
-                    query, place = query[new], place[new]
-                    chosen[query, place] = True
-                    best.add(query, exact(vectors[query], own[place]), ids[place])
-                    least = best.least()
-                    query, place = np.nonzero(upper >= least[:, None])
+                spread = (length * np.sqrt(np.maximum(1 - along**2, 0)) / along * (1 + 1e-3)).astype(np.float32)
+                for q in range(0, len(vectors), QUERY_PART):
+                    rows = slice(q, q + QUERY_PART)
+                    estimate = (turned[rows] @ signs.T) * scale + from_mean[rows, None]
+                    # A little more for the single precision of the estimate.
+                    upper = estimate + np.outer(reach[rows], spread) + 1e-4 * (np.abs(estimate) + 1e-3)
+                    upper[query_rows[rows, None] == row_ids] = -np.inf
+                    # Those that the codes find best come first, so that fewer of the others are left to score.
+                    head = min(k, n)
+                    first = np.argpartition(-estimate, head - 1, axis=1)[:, :head]
+                    ahead = np.zeros(upper.shape, dtype=bool)
+                    np.put_along_axis(ahead, first, True, axis=1)
+                    query, place = np.nonzero(ahead & (upper >= best.least()[rows, None]) & (upper > -np.inf))
+                    score(query + q, place, own, ids)
+                    query, place = np.nonzero(~ahead & (upper >= best.least()[rows, None]) & (upper > -np.inf))
+                    score(query + q, place, own, ids)
         found = np.isfinite(best.score)
         made = [pa.array(np.repeat(query_rows, found.sum(axis=1))), pa.array(best.vec[found]), pa.array(best.score[found])]
         yield pa.RecordBatch.from_arrays(made, names=["query_row", "vec_id", "score"])
