@@ -25,7 +25,9 @@ DEVIATIONS = 4.0
 #: Queries broadcast at once.
 QUERY_BLOCK = 4096
 #: In a task, so many vectors are compared with so many queries at once, and so many pairs scored.
-ROW_BLOCK, QUERY_PART, PAIRS = 2048, 256, 1 << 17
+ROW_BLOCK, QUERY_PART, PAIRS = 2048, 256, 1 << 14
+#: Sums in another order than that of the components differ by less, as a part of the vectors' lengths.
+ROUNDING = 1e-12
 SEED = 20
 
 
@@ -138,9 +140,19 @@ def _search_block(index: DataFrame, space: Space, rows: np.ndarray, queries: np.
         reach = (np.linalg.norm(vectors, axis=1) * DEVIATIONS / np.sqrt(max(size - 1, 1))).astype(np.float32)
         best = Best(len(vectors), k)
 
+        sizes = np.linalg.norm(vectors, axis=1)
+
         def score(query: np.ndarray, place: np.ndarray, own: np.ndarray, ids: np.ndarray) -> None:
+            # On the original vectors; the order of the components is kept for those that can be among the best.
+            least, near = best.least(), []
+            reach_of = np.linalg.norm(own, axis=1) * ROUNDING
             for p in range(0, query.size, PAIRS):
                 q, v = query[p : p + PAIRS], place[p : p + PAIRS]
+                scores = np.einsum("ij,ij->i", vectors[q], own[v])
+                near.append(p + np.flatnonzero(scores + sizes[q] * reach_of[v] >= least[q]))
+            if near:
+                kept = np.concatenate(near)
+                q, v = query[kept], place[kept]
                 best.add(q, exact(vectors, q, own, v), ids[v])
 
         for batch in batches:
