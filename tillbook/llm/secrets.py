@@ -25,8 +25,10 @@ from tillbook.llm.common import Words, fields, map_text, pieces, stored, text_by
 from tillbook.plans.catalog import ship_package
 
 LEAST_LENGTH = 16
-#: The dictionary holds this many of the most frequent words of 3 to 12 letters.
+#: The dictionary holds at most this many of the most frequent words of 3 to 12 letters.
 DICTIONARY = 50_000
+#: Classes of frequency between a count and its double.
+FREQUENCY_CLASSES = 32
 TREES, DEPTH, SEED = 24, 8, 11
 SECRET_FROM = 0.5
 PATH_BUCKETS = 8
@@ -73,7 +75,10 @@ def candidate_spans(texts: pa.Array) -> list[list[tuple[int, int]]]:
 
 
 def count_words(docs: DataFrame, text: str = "text", size: int = DICTIONARY) -> dict[str, int]:
-    """The most frequent words of 3 to 12 letters over all texts, with their counts; ties by word."""
+    """The most frequent words of 3 to 12 letters over all texts, with their counts.
+
+    Words of like frequency are taken together: as many whole classes as fit, the most frequent first.
+    """
     ship_package(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,8 +98,18 @@ def count_words(docs: DataFrame, text: str = "text", size: int = DICTIONARY) ->
 
     texts = docs.select(F.col(f"`{text}`").cast("string"))
     counted = texts.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    counted = counted.where(~F.col("word").rlike("[0-9]")).orderBy(F.desc("n"), "word").limit(size)
-    return {r["word"]: r["n"] for r in counted.collect()}  # at most ``size`` rows
+    kind = F.floor(F.log2(F.col("n")) * FREQUENCY_CLASSES)
+    counted = stored(counted.where(~F.col("word").rlike("[0-9]")).withColumn("class", kind), "words")
+    classes = counted.groupBy("class").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("class")).collect()  # 2048 at most
+    room, lowest = size, None
+    for row in classes:
+        room -= row["words"]
+        if room < 0:
+            break
+        lowest = row["class"]
+    if lowest is None:
+        return {}
+    return {r["word"]: r["n"] for r in counted.where(F.col("class") >= lowest).select("word", "n").collect()}  # ``size`` at most
 
 
 def _word_batch(seen: Counter[bytes]) -> pa.RecordBatch:
