@@ -7,7 +7,7 @@ found on the UTF-8 bytes of a whole Arrow batch at once, which splits exactly as
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -47,10 +47,17 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     Tables lie under ``<spark.checkpoint.dir>/tillbook/llm/<application>``; that folder may be
     deleted when the application has ended.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/llm/{spark.sparkContext.applicationId}/{what}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return stored_parts([df], what)
+
+
+def stored_parts(frames: Iterable[DataFrame], what: str) -> DataFrame:
+    """The rows of several frames of one schema, made one after the other and written to one stored table."""
+    for i, df in enumerate(frames):
+        if not i:
+            spark, schema = df.sparkSession, df.schema
+            path = f"{shared_folder(spark)}/llm/{spark.sparkContext.applicationId}/{what}-{uuid.uuid4().hex}"
+        df.write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def pieces(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:

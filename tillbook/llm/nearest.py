@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillbook.llm.common import stored
+from tillbook.llm.common import stored, stored_parts
 from tillbook.plans.catalog import ship_package
 
 #: The error of an estimate exceeds its bound with a probability of about 6e-5.
@@ -197,11 +197,12 @@ def nearest(index: DataFrame, space: Space, is_query: Column, *, k: int = 20, bl
     queries = stored(index.where(is_query).select("row_id", "vec_id", "vector"), "queries")
     blocks = -(-queries.count() // block) or 1
     numbered = F.pmod(F.xxhash64("row_id"), F.lit(blocks))
-    found = None
-    for i in range(blocks):
+
+    def search(i: int) -> DataFrame:
         rows = queries.where(numbered == i).select("row_id", "vector").toArrow()  # about ``block`` rows
-        some = _search_block(index, space, rows["row_id"].to_numpy(), _matrix(rows["vector"].combine_chunks(), space.size), k)
-        found = some if found is None else found.union(some)
+        return _search_block(index, space, rows["row_id"].to_numpy(), _matrix(rows["vector"].combine_chunks(), space.size), k)
+
+    found = search(0) if blocks == 1 else stored_parts(map(search, range(blocks)), "nearest")
     order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     named = queries.select(F.col("row_id").alias("query_row"), F.col("vec_id").alias("query_id"))
