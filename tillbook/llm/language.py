@@ -174,8 +174,8 @@ def train_languages(
     below = F.create_map(*[
         x for name in languages for x in (F.lit(name), F.lit(round(parts * min(1.0, train_bytes / sizes[name]))))
     ])
-    drawn = rows.where(F.pmod(F.xxhash64("text"), F.lit(parts)) < below[F.col("lang")])
-    counted = _count_grams(drawn.select(number[F.col("lang")].alias("number"), "text")).toArrow()  # bounded by train_bytes
+    drawn = rows.where(F.pmod(F.xxhash64("text"), F.lit(parts)) < F.try_element_at(below, F.col("lang")))
+    counted = _count_grams(drawn.select(F.try_element_at(number, F.col("lang")).alias("number"), "text")).toArrow()  # bounded by train_bytes
     if not counted.num_rows:
         return None
     return build_trees(
