@@ -36,6 +36,19 @@ def fields(**kinds: str) -> T.StructType:
     return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in kinds.items()])
 
 
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def prepare(spark: SparkSession) -> None:
+    """Makes the package known to Python workers, and Arrow batches small, unless the session sets their size.
+
+    A task holds a batch several times: in the JVM, in the Python worker, and as results.
+    """
+    ship_package(spark)
+    if spark.conf.get(_BATCH_SETTING) == "67108864b":  # Spark's own default
+        spark.conf.set(_BATCH_SETTING, "8m")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One given table."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -80,7 +93,7 @@ def map_text(
     ``start`` is called once per task and gives the function from texts (nulls included) to the new
     columns. A kept column whose name is among the new ones gives way to it.
     """
-    ship_package(df.sparkSession)
+    prepare(df.sparkSession)
     names = {f.name.lower() for f in new}
     keep = [c for c in keep if c.lower() not in names]
     row = F.struct(*[F.col(f"`{c}`") for c in keep]) if keep else F.struct(F.lit(0).alias("none"))

@@ -23,8 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillbook.llm.common import Words, document_of, fields, map_text, pieces, stored
-from tillbook.plans.catalog import ship_package
+from tillbook.llm.common import Words, document_of, fields, map_text, pieces, prepare, stored
 
 WINDOW = 13
 SHINGLE = 5
@@ -186,7 +185,7 @@ def find_windows(words: Words, windows: Windows, prefixes: Prefixes, lookup: Loo
 def mark_block(docs: DataFrame, text: str, keep: list[str], block: Windows) -> DataFrame:
     """``keep``, and per document: a bit per word that is hit, the items found, the number of words."""
     spark = docs.sparkSession
-    ship_package(spark)
+    prepare(spark)
     keys = np.unique(block.shingle)
     prefixes = rarest_prefixes(block, keys, shingle_documents(docs, text, keys, block.shingle_sizes))
     shared = spark.sparkContext.broadcast((block, prefixes))

@@ -16,8 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillbook.llm.common import fields, map_text, pieces, text_bytes
-from tillbook.plans.catalog import ship_package
+from tillbook.llm.common import fields, map_text, pieces, prepare, text_bytes
 
 #: About so many bytes of text train the tree of one language, whole texts drawn by hash.
 TRAIN_BYTES = 8 << 20
@@ -121,7 +120,7 @@ def build_trees(languages: list[str], language: np.ndarray, grams: np.ndarray, c
 
 def _count_grams(rows: DataFrame) -> DataFrame:
     """number (of the language), gram, n over the texts."""
-    ship_package(rows.sparkSession)
+    prepare(rows.sparkSession)
 
     def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
         keys, where = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)

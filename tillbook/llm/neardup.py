@@ -24,9 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillbook.llm.bagminhash import BANDS, ROWS, SLOTS, bags_of, overlap, signatures
-from tillbook.llm.common import Words, fields, map_text, stored
+from tillbook.llm.common import Words, fields, map_text, prepare, stored
 from tillbook.llm.components import components
-from tillbook.plans.catalog import ship_package
 
 SIMILAR = 0.8
 #: Four standard deviations of the estimate at 0.8: a similar pair falls below with a probability of 3e-5.
@@ -86,7 +85,7 @@ def bags_for(docs: DataFrame, text: str, signed: DataFrame, nodes: DataFrame) ->
 
 def _agreement(pairs: DataFrame, signed: DataFrame) -> DataFrame:
     """Pairs (a, b) whose signatures agree in enough slots."""
-    ship_package(pairs.sparkSession)
+    prepare(pairs.sparkSession)
     one = signed.select(F.col("node").alias("a"), F.col("signature").alias("sa"))
     two = signed.select(F.col("node").alias("b"), F.col("signature").alias("sb"))
 
@@ -101,7 +100,7 @@ def _agreement(pairs: DataFrame, signed: DataFrame) -> DataFrame:
 
 def _similar(pairs: DataFrame, bags: DataFrame) -> DataFrame:
     """Pairs (a, b) whose bags are similar."""
-    ship_package(pairs.sparkSession)
+    prepare(pairs.sparkSession)
     left = bags.select(F.col("node").alias("a"), F.col("shingles").alias("xs"), F.col("counts").alias("xn"))
     right = bags.select(F.col("node").alias("b"), F.col("shingles").alias("ys"), F.col("counts").alias("yn"))
 

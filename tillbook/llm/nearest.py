@@ -17,8 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillbook.llm.common import stored, stored_parts
-from tillbook.plans.catalog import ship_package
+from tillbook.llm.common import prepare, stored, stored_parts
 
 #: The error of an estimate exceeds its bound with a probability of about 6e-5.
 DEVIATIONS = 4.0
@@ -67,7 +66,7 @@ def build_index(vectors: DataFrame, *, vector_id: str = "vec_id", vector: str =
     most = rows.groupBy(F.size("vector").alias("size")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "size").first()
     size, n = (most["size"], most["n"]) if most else (1, 1)
     rows = rows.where(F.size("vector") == size)
-    ship_package(vectors.sparkSession)
+    prepare(vectors.sparkSession)
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size)

@@ -18,9 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillbook.llm.common import map_text, pieces
+from tillbook.llm.common import map_text, pieces, prepare
 from tillbook.llm.pii_labelers import KINDS, LABELERS, Candidate, candidates
-from tillbook.plans.catalog import ship_package
 
 _BASES = (len(KINDS), *[3] * len(LABELERS), 4, 4, 5)
 ADD_FROM = 0.5
@@ -49,7 +48,7 @@ def _columns(patterns: np.ndarray) -> np.ndarray:
 
 def count_patterns(docs: DataFrame, text: str) -> tuple[np.ndarray, np.ndarray]:
     """The patterns of all candidates of all documents, and how often each occurs."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter[int] = Counter()

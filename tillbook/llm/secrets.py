@@ -21,8 +21,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillbook.llm.common import Words, fields, map_text, pieces, stored, text_bytes
-from tillbook.plans.catalog import ship_package
+from tillbook.llm.common import Words, fields, map_text, pieces, prepare, stored, text_bytes
 
 LEAST_LENGTH = 16
 #: The dictionary holds at most this many of the most frequent words of 3 to 12 letters.
@@ -79,7 +78,7 @@ def count_words(docs: DataFrame, text: str = "text", size: int = DICTIONARY) ->
 
     Words of like frequency are taken together: as many whole classes as fit, the most frequent first.
     """
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter[bytes] = Counter()
