@@ -38,6 +38,25 @@ def test_article_without_what_is_beside_it(body, blocks, aside):
     assert main_text(f"{BEFORE}{body}{ASIDES[aside]}") == expected
 
 
+@pytest.mark.parametrize("attributes", [
+    'style="overflow:hidden"', 'title="a hidden valley"', 'data-of="hidden"', "data-style='display:none'", "aria-hidden=false",
+    "style='display:none; display:block'", "data-x='aria-hidden=\"true\" hidden'", "data-to='/the/hidden/valley'", 'data-x="class=sidebar"',
+])
+def test_words_in_values_do_not_hide(attributes):
+    body = f'<h1>Title</h1><p>{LONG} <a href="/the/hidden/valley">Go on.</a></p><p>Short.</p>'
+    expected = "\n".join(["Title", f"{LONG} Go on.", "Short."])
+    assert main_text(f"{BEFORE}<article {attributes}>{body}</article>") == expected
+    assert main_text(f"{BEFORE}<div {attributes}><div class='content'>{body}</div></div>") == expected
+
+
+@pytest.mark.parametrize("attributes", [
+    "hidden", "HIDDEN", 'hidden=""', "class=x hidden", "aria-hidden=true", "ARIA-HIDDEN = 'true'", "style=display:none",
+    'style="color:red; Display : None !important"', "style='visibility:hidden'", "style='visibility: hidden;'", "title='a' hidden/",
+])
+def test_hidden_parts(attributes):
+    assert main_text(f"{BEFORE}<article><p>{LONG}</p><div {attributes}><p>{TALK}</p></div></article>") == LONG
+
+
 def test_all_at_once():
     body, blocks = BODIES[0]
     half = len(ASIDES) // 2

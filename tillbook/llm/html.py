@@ -29,8 +29,7 @@ _MARKUP = re.compile(
     re.S | re.X,
 )
 _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in ("script", "style", "textarea", "title", "noscript", "iframe", "xmp")}
-_NAMED = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
-_HIDDEN = re.compile(r"""(?<![\w-])hidden(?![\w-])|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s/=][^\s/=]*+)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'][^\s]*+))?+""")
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -74,6 +73,25 @@ SIBLING_SHARE = 0.2
 CLASS_POINTS = 25.0
 
 
+def _attributes(text: str) -> dict[str, str]:
+    """Values by name in lower case; of a name that repeats, the first counts."""
+    found: dict[str, str] = {}
+    for name, value in _ATTRIBUTE.findall(text):
+        found.setdefault(name.lower(), html.unescape(value[1:-1] if value[:1] in ("'", '"') else value))
+    return found
+
+
+def _hidden(attributes: dict[str, str]) -> bool:
+    """Whether an element with these attributes is not shown."""
+    if "hidden" in attributes or attributes.get("aria-hidden", "").strip().lower() == "true":
+        return True
+    style = {}
+    for declaration in attributes.get("style", "").lower().split(";"):
+        name, _, value = declaration.partition(":")
+        style[name.strip()] = value.partition("!")[0].strip()
+    return style.get("display") == "none" or style.get("visibility") == "hidden"
+
+
 class Page:
     """The elements of a page in the order of their start; ``parent`` points back."""
 
@@ -161,16 +179,17 @@ class Page:
         bonus = CLASS_POINTS if tag in ("article", "main") else 0.0
         if self.tags[parent] == "header" and tag not in HEADING and tag not in ("div", "hgroup"):
             return True, 0.0  # of the header of an article, its headings stay
-        if "=" not in attributes and "hidden" not in attributes:
+        if not attributes:
             return False, bonus
-        if _HIDDEN.search(attributes):
+        named = _attributes(attributes)
+        if _hidden(named):
             return True, 0.0
         if not self.by_name:
             return False, bonus
         article = aside = False
-        for name, value in _NAMED.findall(attributes):
-            value = value.strip("\"'")
-            if name.lower() == "role" and value.lower() in ROLES:
+        for name in ("class", "id", "role"):
+            value = named.get(name, "")
+            if name == "role" and value.strip().lower() in ROLES:
                 return True, 0.0
             for one in value.split():
                 words = [w.lower() for w in _PARTS.findall(one)]
