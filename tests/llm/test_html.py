@@ -57,6 +57,16 @@ def test_hidden_parts(attributes):
     assert main_text(f"{BEFORE}<article><p>{LONG}</p><div {attributes}><p>{TALK}</p></div></article>") == LONG
 
 
+@pytest.mark.parametrize("open_tag, close_tag", [
+    ("<article>", "</article>"), ("<main>", "</main>"), ('<div class="content">', "</div>"), ("<main><article>", "</article></main>"),
+])
+def test_long_articles_keep_what_short_ones_keep(open_tag, close_tag):
+    rest = "<pre>a = 1</pre><ul><li>one</li><li>two</li></ul><table><tr><td>x<td>1</table><figure><figcaption>Fig. 1</figcaption></figure>"
+    for n in (1, 5, 13, 14, 40, 300):
+        page = f"{BEFORE}{ASIDES[1]}{open_tag}<ul><li>zero</li></ul><div>{f'<p>{LONG}</p>' * n}</div>{rest}<div>Short end</div>{close_tag}{ASIDES[5]}"
+        assert main_text(page) == "\n".join(["zero", *[LONG] * n, "a = 1", "one", "two", "x 1", "Fig. 1", "Short end"])
+
+
 def test_all_at_once():
     body, blocks = BODIES[0]
     half = len(ASIDES) // 2

@@ -4,7 +4,8 @@ A page becomes a tree of its elements. Parts that are never article text (menus,
 comments and the like, by element, role or class) are left out. Every paragraph earns points for its
 length and its commas, less its share of link text, and passes them on to its ancestors, the nearest most.
 The container with the most points, less its own share of link text, is kept, with those siblings that
-score or read like it. All its blocks are returned, short ones too.
+score or read like it; if it lies in an <article> or <main>, or in a container named like an article, the
+nearest of these is kept in its place. All its blocks are returned, short ones too.
 """
 
 from __future__ import annotations
@@ -201,6 +202,21 @@ class Page:
             return True, 0.0
         return False, bonus + (CLASS_POINTS if article and tag in CONTAINER else 0.0)
 
+    def _article_of(self, best: int) -> int:
+        """The nearest <article> or <main> around a container, else the nearest one named like an article, else itself.
+
+        Points of paragraphs outgrow the fixed ones for an article: without this, a long article would lose
+        what the same layout keeps when it is short.
+        """
+        named, at = -1, best
+        while at > 0:
+            if self.tags[at] in ("article", "main"):
+                return at
+            if named < 0 and self.bonus[at] and self.tags[at] not in ("html", "body"):
+                named = at
+            at = self.parents[at]
+        return best if named < 0 else named
+
     def main_blocks(self) -> list[str]:
         """The blocks of the best container and of the siblings that go with it, in page order."""
         n = len(self.tags)
@@ -239,7 +255,7 @@ class Page:
             named = [i for i in range(n) if self.bonus[i] and size[i]]
             best = named[0] if named else 0
         else:
-            best = max(range(n), key=lambda i: (total[i], -i))
+            best = self._article_of(max(range(n), key=lambda i: (total[i], -i)))
         kept = {best}
         floor = SIBLING_SHARE * total[best]
         for i in range(1, n) if best else ():
