@@ -88,6 +88,19 @@ def test_large_pages_take_linear_time():
         main_text(unit * 60_000)
 
 
+@pytest.mark.parametrize("quote", ["'", '"'])
+def test_long_attribute_values(quote):
+    value = "<svg><path d=M0></svg> " * 10_000
+    page = f"<article><p data-x={quote}{value}{quote}>{LONG}</p><div data-x={quote}{value}{quote} class=sidebar><p>{TALK}</p></div></article>"
+    assert main_text(page) == LONG
+
+
+def test_quotes_that_do_not_close_take_linear_time():
+    for unit in ('<a b=">" ', "<a b='>' ", "<a b=\"'>\" ", '<a b=">"'):
+        for last in ("", "<a c='", '<a c="'):
+            main_text(unit * 60_000 + last)
+
+
 def test_table_of_pages(spark):
     rows = [(1, "u", "<p>One, two.</p>", 5), (1, "u", "<p>One, two.</p>", 5), (2, None, None, 6), (None, "v", "", 7)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, n_chars int").repartition(2)

@@ -23,12 +23,11 @@ from tillbook.llm.common import fields, map_text
 _MARKUP = re.compile(
     r"""<!--.*?(?:-->|\Z)                                           # comment
       | <[!?][^>]*(?:>|\Z)                                          # declaration
-      | <(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)
-        (?P<attributes>(?:[^>"']++|"[^"]{0,65536}+"|'[^']{0,65536}+')*+)>
-      | <(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*+)[^>]*+(?:>|\Z)      # quotes that do not close, or a cut page
+      | <(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)                      # tag, up to its attributes
     """,
     re.S | re.X,
 )
+_STOP = re.compile("[>\"']")
 _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in ("script", "style", "textarea", "title", "noscript", "iframe", "xmp")}
 _ATTRIBUTE = re.compile(r"""([^\s/=][^\s/=]*+)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'][^\s]*+))?+""")
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
@@ -102,6 +101,7 @@ class Page:
         self.parts: list[tuple[int, str]] = []  # (element, text) in page order; an empty text is white space
         self._stack = [0]
         self._open = Counter()
+        self._astray: set[int] = set()  # quotes from which no end of a tag is reached
         self._read(source)
 
     def _read(self, source: str) -> None:
@@ -114,18 +114,41 @@ class Page:
             if found.start() > at:
                 self._text(source[at : found.start()])
             at = found.end()
-            tag = (found["tag"] or found["tag2"] or "").lower()
+            tag = (found["tag"] or "").lower()
             if not tag:
                 continue
-            if found["end"] or found["end2"]:
+            stop = self._tag_end(source, at)
+            attributes = source[at:stop] if stop >= 0 else ""
+            if stop < 0:  # quotes that do not close, or a cut page
+                stop = source.find(">", at)
+            at = stop + 1 if stop >= 0 else end
+            if found["end"]:
                 self._close(tag)
                 continue
-            attributes = found["attributes"] or ""
             self._start(tag, attributes)
             if tag in _RAW_END and not attributes.endswith("/"):
                 stop = _RAW_END[tag].search(source, at)
                 at = stop.start() if stop else end
 
+    def _tag_end(self, source: str, at: int) -> int:
+        """Where the > of a tag is, outside quotes of any length; -1 if there is none.
+
+        No quote is passed twice in vain, so that a page takes linear time.
+        """
+        passed = []
+        while found := _STOP.search(source, at):
+            quote = found.start()
+            if found[0] == ">":
+                return quote
+            if quote in self._astray:
+                break
+            passed.append(quote)
+            at = source.find(found[0], quote + 1) + 1
+            if not at:
+                break
+        self._astray.update(passed)
+        return -1
+
     def _text(self, text: str) -> None:
         element = self._stack[-1]
         if not self.dropped[element]:
