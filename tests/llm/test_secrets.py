@@ -1,6 +1,7 @@
 import re
 
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from tillbook.llm.queries import op2_secrets
@@ -15,6 +16,25 @@ def test_candidates_are_those_of_the_pattern():
     assert candidate_spans(pa.array(texts, pa.string())) == expected
 
 
+WEB_TOKEN = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOjF9.dBjftJeZ-4_x"
+
+
+@pytest.mark.parametrize("text, values", [
+    ("password=hunter2x9", ["hunter2x9"]), ("é pwd: s3c!", ["s3c!"]), ("secret = 'correct horse battery'", ["correct horse battery"]),
+    ('{"api_key": "QwErTyUiOp", "n": 1}', ["QwErTyUiOp"]), ("Authorization: Bearer abc.def~ghi+j==", ["abc.def~ghi+j=="]),
+    (f"see {WEB_TOKEN}, then", [WEB_TOKEN]), ("passwd=pa$$w.rd@home!%~,x", ["pa$$w.rd@home!%~"]), ("x --token Zq9.Lm2!k y", ["Zq9.Lm2!k"]),
+    ("db = p4ss.w0rd!", ["p4ss.w0rd!"]), ("session: QwErTyUiOp.", ["QwErTyUiOp"]), ("cmd: 'login token=a1b2c3 now'", ["a1b2c3"]),
+    ("user=u&token=Ab:cd=ef9&x=1", ["Ab:cd=ef9"]), ("at 12:30 a: b, no value = 1", []), ("password:\nnext", []), ("tokens and passwords", []),
+])
+def test_short_values_and_values_with_signs_are_candidates(text, values):
+    assert [text[b:e] for b, e in candidate_spans(pa.array([text]))[0]] == values
+
+
+def test_candidates_take_linear_time():
+    for unit in ("token=", "=:", "a=", ":'", 'a="', "token ", "eyJ", "eyJabcde.", "password: '", "= "):
+        candidate_spans(pa.array([unit * 50_000, (unit * 50_000).upper()]))
+
+
 def test_held_out_findings(spark):
     found = op2_secrets(spark, "/root/testdata/sf0.1").where("held_out")
     row = found.agg(F.count(F.lit(1)), F.sum("label"), F.avg((F.col("label") == F.col("secret").cast("int")).cast("int"))).first()

@@ -1,6 +1,8 @@
 """Secret scan: candidate strings, and a random forest that removes the false positives.
 
-Candidates are long runs of letters, digits and ``+/_-`` that hold a digit. A forest trained on labelled
+Candidates are values after the name of a key and ``=`` or ``:``, of any length and with any signs; values of
+8 or more characters after such a name or such a sign alone, or after ``Bearer``; and, wherever they stand, JSON
+web tokens and runs of 16 or more letters, digits and ``+/_-`` that hold a digit. A forest trained on labelled
 findings scores them by their length, how their characters follow one another (in kind, and against the
 corpus' own words), how much of them dictionary words cover, the path of their document, and the words
 around them. Dictionary and character transitions are counted over all texts.
@@ -8,6 +10,7 @@ around them. Dictionary and character transitions are counted over all texts.
 
 from __future__ import annotations
 
+import bisect
 import math
 import re
 import zlib
@@ -23,7 +26,10 @@ from pyspark.sql import functions as F
 
 from tillbook.llm.common import Words, fields, map_text, pieces, prepare, stored, text_bytes
 
+#: Shortest run that is a candidate wherever it stands.
 LEAST_LENGTH = 16
+#: Shortest value after a key's name or a sign of assignment alone; after both, any length will do.
+LEAST_VALUE = 8
 #: The dictionary holds at most this many of the most frequent words of 3 to 12 letters.
 DICTIONARY = 50_000
 #: Classes of frequency between a count and its double.
@@ -48,11 +54,71 @@ _NEAR = (
     frozenset("example sample test dummy placeholder fake".split()),
 )
 _KEY_NAME = re.compile(r"(?:password|passwd|pwd|passphrase|secret|token|api[_-]?key|access[_-]?key|auth)\s{0,2}[=:]\s{0,2}[\"']?$", re.I)
+_NAMES = r"(?:password|passwd|pwd|passphrase|secret|token|api[_-]?key|access[_-]?key|auth|bearer)"
+_GIVEN = r"[ \t]{0,20}(?:=>|:=|[=:])[ \t]{0,20}"
+_NAMED = re.compile(rf"{_NAMES}(?:(?P<sign>[\"']?{_GIVEN})|[\"']?[ \t]{{1,20}})", re.I)
+_SIGN = re.compile(r"(?<![=!<>:])(?:=>|:=|[=:])(?![=:]|//)[ \t]{0,20}")
+_QUOTED = re.compile(r"\"([^\"\n]+)\"|'([^'\n]+)'")
+_NAMED_VALUE = re.compile(r"[\"'`]?([^\s\"'`,;&)}\]>]+)")
+_VALUE = re.compile(r"[\"'`]?([\w+/.!@$%~#^*?-]+={0,2})")
+_WEB_TOKEN = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{5,}+\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]*+")
 _ISSUED = re.compile(r"(?:AKIA|ASIA)[A-Z0-9]{16}$|gh[pousr]_[A-Za-z0-9]{36}$|xox[abpr]-[A-Za-z0-9-]{10,}$|sk_live_[A-Za-z0-9]{16,}$")
 
 
 def candidate_spans(texts: pa.Array) -> list[list[tuple[int, int]]]:
-    """Code-point spans of the candidates of each text."""
+    """Code-point spans of the candidates of each text, in order; no two overlap."""
+    return [
+        _apart([*_marked_spans(text), *((2, b, e) for b, e in runs)] if text else [])
+        for text, runs in zip(texts.to_pylist(), _run_spans(texts), strict=True)
+    ]
+
+
+def _apart(spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """Spans (rank, begin, end) without those that overlap one of a lower rank, or of their own that begins earlier."""
+    kept: list[tuple[int, int]] = []
+    for _, b, e in sorted(spans):
+        at = bisect.bisect_left(kept, (b, e))
+        if (at == 0 or kept[at - 1][1] <= b) and (at == len(kept) or kept[at][0] >= e):
+            kept.insert(at, (b, e))
+    return kept
+
+
+def _value(text: str, at: int, pattern: re.Pattern[str], spaces: bool) -> tuple[int, int]:
+    """Span of the value that begins at ``at``: what is in quotes (``spaces``: also with white space), or else a run of ``pattern``."""
+    found = _QUOTED.match(text, at)
+    if found:
+        b, e = found.span(found.lastindex)
+        if not any(c.isspace() for c in text[b:e]) or (spaces and not text[b:e].isspace()):
+            return b, e
+    found = pattern.match(text, at)
+    if not found:
+        return at, at
+    b, e = found.span(1)
+    return b, b + len(text[b:e].rstrip(".:?"))
+
+
+def _marked_spans(text: str) -> list[tuple[int, int, int]]:
+    """Rank, begin and end of web tokens and values after a key's name (0), and of values after a sign alone (1)."""
+    out = [(0, *m.span()) for m in _WEB_TOKEN.finditer(text)]
+    done = 0
+    for m in _NAMED.finditer(text):
+        if m.start() < done:
+            continue  # inside the value of another name
+        b, e = _value(text, m.end(), _NAMED_VALUE, bool(m["sign"]))
+        if e - b >= (1 if m["sign"] else LEAST_VALUE):
+            out.append((0, b, e))
+            done = e
+    for m in _SIGN.finditer(text):
+        before = text[max(0, m.start() - 3) : m.start()].rstrip(" \t")[-1:]
+        if before.isalnum() or (before and before in "_\"')]"):
+            b, e = _value(text, m.end(), _VALUE, False)
+            if e - b >= LEAST_VALUE:
+                out.append((1, b, e))
+    return out
+
+
+def _run_spans(texts: pa.Array) -> list[list[tuple[int, int]]]:
+    """Code-point spans of the long runs that hold a digit."""
     data, offsets = text_bytes(texts)
     inside = _RUN[data]
     cut = np.zeros(data.size + 1, dtype=bool)
