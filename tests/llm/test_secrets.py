@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillbook.llm.queries import op2_secrets
-from tillbook.llm.secrets import LEAST_LENGTH, Language, candidate_spans, count_words, find_candidates, remove_false_positives
+from tillbook.llm.secrets import LEAST_LENGTH, Language, candidate_spans, count_words, find_candidates, known_label, remove_false_positives
 
 
 def test_candidates_are_those_of_the_pattern():
@@ -30,6 +30,29 @@ def test_short_values_and_values_with_signs_are_candidates(text, values):
     assert [text[b:e] for b, e in candidate_spans(pa.array([text]))[0]] == values
 
 
+ISSUED = "ghp_" + "a1B2" * 9
+
+
+@pytest.mark.parametrize("text, labels", [
+    ('{"api_key": "a1b2c3d4e5f6a7b8"}', [1]), ("'token': 'a1b2c3d4e5f6a7b8'", [1]), ("Authorization: Bearer a1b2c3d4e5f6a7b8", [1]),
+    (f"https://host/{ISSUED}", [1]), (f"https://host.org/a/x-{ISSUED}/b", [1]), (f"see {WEB_TOKEN}", [1]), ("password=hunter2x9", [1]),
+    ("password: changes", [None]), ("key a1b2c3d4e5f6a7b8c9", [None]), ("the token is x, a1b2c3d4e5f6a7b8c9", [None]),
+    ("commit a1b2c3d4e5f6a7b8c9d0", [0]), ("card 4952935900253052", [0]), ("kind: wordwords", [0]), ("kind: xkQzvbnm", [None]),
+    ("x 6fa459ea-ee8a-3ca4-894e-db77e160355e", [0]), (f"x{ISSUED}", [None]),
+])
+def test_labels_are_by_clear_marks_only(text, labels):
+    language = Language({"word": 1, "words": 1})
+    assert [known_label(text, b, e, language) for b, e in candidate_spans(pa.array([text]))[0]] == labels
+
+
+def test_findings_without_label_teach_nothing(spark):
+    rows = [(1, [1.0, 0.0]), (0, [0.0, 1.0]), (None, [1.0, 0.0])] * 20
+    found = spark.createDataFrame(rows, "label int, features array<double>")
+    scored = remove_false_positives(found, found)
+    assert {(r["label"], r["secret"]) for r in scored.collect()} == {(1, True), (0, False), (None, True)}
+    assert {r["score"] for r in remove_false_positives(found, found.where("label IS NULL OR label = 0")).collect()} == {1 / 22}
+
+
 def test_candidates_take_linear_time():
     for unit in ("token=", "=:", "a=", ":'", 'a="', "token ", "eyJ", "eyJabcde.", "password: '", "= "):
         candidate_spans(pa.array([unit * 50_000, (unit * 50_000).upper()]))

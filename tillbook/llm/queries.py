@@ -37,7 +37,7 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidates for secrets in every document with the forest's verdict.
 
-    The findings it learns from are labelled by unmistakable marks and come from documents whose
+    The findings it learns from are labelled by unmistakable marks (the others have no label) and come from documents whose
     crc32(doc_id as text) mod 5 is not 0; the rest is held out.
     """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")

@@ -1,8 +1,8 @@
 """Secret scan: candidate strings, and a random forest that removes the false positives.
 
 Candidates are values after the name of a key and ``=`` or ``:``, of any length and with any signs; values of
-8 or more characters after such a name or such a sign alone, or after ``Bearer``; and, wherever they stand, JSON
-web tokens and runs of 16 or more letters, digits and ``+/_-`` that hold a digit. A forest trained on labelled
+8 or more characters after such a name or such a sign alone, or after ``Bearer``; and, wherever they stand, keys in
+an issuer's format, JSON web tokens and runs of 16 or more letters, digits and ``+/_-`` that hold a digit. A forest trained on labelled
 findings scores them by their length, how their characters follow one another (in kind, and against the
 corpus' own words), how much of them dictionary words cover, the path of their document, and the words
 around them. Dictionary and character transitions are counted over all texts.
@@ -53,7 +53,6 @@ _NEAR = (
     frozenset("id uuid guid order invoice serial isbn card number phone".split()),
     frozenset("example sample test dummy placeholder fake".split()),
 )
-_KEY_NAME = re.compile(r"(?:password|passwd|pwd|passphrase|secret|token|api[_-]?key|access[_-]?key|auth)\s{0,2}[=:]\s{0,2}[\"']?$", re.I)
 _NAMES = r"(?:password|passwd|pwd|passphrase|secret|token|api[_-]?key|access[_-]?key|auth|bearer)"
 _GIVEN = r"[ \t]{0,20}(?:=>|:=|[=:])[ \t]{0,20}"
 _NAMED = re.compile(rf"{_NAMES}(?:(?P<sign>[\"']?{_GIVEN})|[\"']?[ \t]{{1,20}})", re.I)
@@ -62,7 +61,19 @@ _QUOTED = re.compile(r"\"([^\"\n]+)\"|'([^'\n]+)'")
 _NAMED_VALUE = re.compile(r"[\"'`]?([^\s\"'`,;&)}\]>]+)")
 _VALUE = re.compile(r"[\"'`]?([\w+/.!@$%~#^*?-]+={0,2})")
 _WEB_TOKEN = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{5,}+\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]*+")
-_ISSUED = re.compile(r"(?:AKIA|ASIA)[A-Z0-9]{16}$|gh[pousr]_[A-Za-z0-9]{36}$|xox[abpr]-[A-Za-z0-9-]{10,}$|sk_live_[A-Za-z0-9]{16,}$")
+_ISSUED = re.compile(
+    r"(?<![A-Za-z0-9_])(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abpr]-[A-Za-z0-9-]{10,}+|sk_live_[A-Za-z0-9]{16,}+)(?![A-Za-z0-9])"
+)
+_KEY_NAME = re.compile(rf"(?:{_NAMES}[\"']?{_GIVEN}|(?<![^\W_])bearer[ \t]{{1,20}})[\"'`]?$", re.I)
+#: What keeps a value without a mark of a secret from being a sure false positive.
+_HINT = re.compile(_NAMES, re.I)
+_DIGEST = re.compile(r"(?:hash|sha-?\d*|md5|commit|checksum|digest|revision)[\"']?\s{0,2}[=:]?\s{0,2}[\"']?$", re.I)
+_NUMBER = re.compile(r"[\d+/_.:-]+")
+_UUID = re.compile(r"[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}", re.I)
+_HEX = re.compile(r"[0-9a-f]{16,}", re.I)
+_SIGNS = re.compile(r"[\d!@$%~^*#]")
+#: Share of dictionary words from which a value without a mark of a secret is one of words.
+WORDS_FROM = 0.5
 
 
 def candidate_spans(texts: pa.Array) -> list[list[tuple[int, int]]]:
@@ -98,8 +109,8 @@ def _value(text: str, at: int, pattern: re.Pattern[str], spaces: bool) -> tuple[
 
 
 def _marked_spans(text: str) -> list[tuple[int, int, int]]:
-    """Rank, begin and end of web tokens and values after a key's name (0), and of values after a sign alone (1)."""
-    out = [(0, *m.span()) for m in _WEB_TOKEN.finditer(text)]
+    """Rank, begin and end of issued keys, web tokens and values after a key's name (0), and of values after a sign alone (1)."""
+    out = [(0, *m.span()) for pattern in (_ISSUED, _WEB_TOKEN) for m in pattern.finditer(text)]
     done = 0
     for m in _NAMED.finditer(text):
         if m.start() < done:
@@ -236,9 +247,24 @@ def features(text: str, start: int, end: int, path: str, language: Language) ->
     ]
 
 
-def known_label(text: str, start: int, end: int) -> int:
-    """Label of a finding by unmistakable marks: 1 for a value given to a key's name or in an issuer's format, else 0."""
-    return int(bool(_KEY_NAME.search(text[max(0, start - _AROUND) : start]) or _ISSUED.match(text[start:end])))
+def known_label(text: str, start: int, end: int, language: Language) -> int | None:
+    """Label of a finding by unmistakable marks, None without one.
+
+    1 for a value of 8 or more characters, with a digit or one of ``!@$%~^*#``, that is given to a key's name or
+    follows ``Bearer``, and for one in an issuer's format or a web token. 0 for a number, a UUID, a named digest
+    or a value of words, if no name of a key stands near.
+    """
+    value = text[start:end]
+    if _ISSUED.search(value) or _WEB_TOKEN.search(value):
+        return 1
+    before = text[max(0, start - 2 * _AROUND) : start]
+    if _KEY_NAME.search(before):
+        return 1 if len(value) >= LEAST_VALUE and _SIGNS.search(value) else None
+    if _HINT.search(before[-_AROUND:]) or _HINT.search(value):
+        return None
+    if _NUMBER.fullmatch(value) or _UUID.fullmatch(value) or (_HEX.fullmatch(value) and _DIGEST.search(before)):
+        return 0
+    return 0 if language.coverage(value) >= WORDS_FROM else None
 
 
 def find_candidates(
@@ -246,7 +272,7 @@ def find_candidates(
 ) -> DataFrame:
     """Columns ``keep``, begin, end, label and features of every candidate of every text, stored.
 
-    A null or empty text has no candidates, a null path is the empty string. Whole texts are searched.
+    The label is null without a clear mark. A null or empty text has no candidates, a null path is the empty string. Whole texts are searched.
     """
     shared = docs.sparkSession.sparkContext.broadcast(Language(words))
     own_path = F.translate(F.coalesce(F.col(f"`{path}`").cast("string"), F.lit("")), "\n", " ")
@@ -265,7 +291,7 @@ def find_candidates(
             spans = candidate_spans(pa.array(bodies, pa.string()))
             begins = [[b for b, _ in s] for s in spans]
             ends = [[e for _, e in s] for s in spans]
-            labels = [[known_label(t, b, e) for b, e in s] for t, s in zip(bodies, spans, strict=True)]
+            labels = [[known_label(t, b, e, language) for b, e in s] for t, s in zip(bodies, spans, strict=True)]
             vectors = [[v for b, e in s for v in features(t, b, e, p, language)] for t, p, s in zip(bodies, paths, spans, strict=True)]
             return [*(pa.array(x, pa.list_(pa.int64())) for x in (begins, ends, labels)), pa.array(vectors, pa.list_(pa.float64()))]
 
@@ -283,9 +309,10 @@ def find_candidates(
 def remove_false_positives(candidates: DataFrame, training: DataFrame) -> DataFrame:
     """The candidates with score (0 to 1) and secret (score of 0.5 or more), by a forest grown on ``training``.
 
-    Training rows have label (0 or 1) and features. If they lack one of the labels, every score is their
+    Training rows have label (0 or 1; rows with null teach nothing) and features. If they lack one of the labels, every score is their
     smoothed share of label 1. Rows that repeat count each time.
     """
+    training = training.where("label IS NOT NULL")
     seen = {r["label"]: r["n"] for r in training.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not (seen.get(0) and seen.get(1)):
         share = (seen.get(1, 0) + 1) / (sum(seen.values()) + 2)
