@@ -55,6 +55,28 @@ def test_code_lengths_are_exact():
         assert np.allclose(bits[:, k], expected, rtol=1e-5, atol=1e-4)
 
 
+def test_many_languages_keep_all_contexts():
+    training = [[f"{chr(97 + k % 26)}{chr(97 + k // 26)}{chr(0x3b1 + k % 20)} the cat {k} sat on mat {k * 7919}"] for k in range(300)]
+    tables = [grams(t) for t in training]
+    language = np.concatenate([np.full(len(t), k) for k, t in enumerate(tables)])
+    keys = np.array([g for t in tables for g in t], dtype=np.uint64)
+    counts = np.array([n for t in tables for n in t.values()])
+    texts = ["the mat", training[7][0], training[299][0], "zz top"]
+    expected = np.array([[brute_bits(own, t) for own in training] for t in texts])
+    for cells in (24_000_000, 1, 0):
+        bits = build_trees([str(k) for k in range(300)], language, keys, counts, cells).lengths(pa.array(texts))
+        assert np.allclose(bits, expected, rtol=1e-5, atol=1e-4)
+
+
+def test_every_language_has_a_tree(spark):
+    rows = [(f"{chr(0x4e00 + 3 * k)}{chr(0x4e01 + 3 * k)} " * 20, f"l{k:03}") for k in range(230)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    for train_bytes in (8 << 20, 1):  # at 1, only the text of each language that comes first is drawn
+        trees = train_languages(docs, train_bytes=train_bytes)
+        assert len(trees.languages) == 230
+        assert detect_language(docs, trees).where("lang = lang_pred").count() == 230
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     trees = train_languages(docs.where(~held_out(4, 2)))

@@ -3,7 +3,8 @@
 Per language, a tree of byte contexts of up to three bytes is counted over training texts. A text is coded
 under every tree: a byte seen after the longest known context costs its share there, any other first costs
 an escape to the next shorter context, and at last eight bits. The counts are frozen, so the exact code
-length of a text is a sum of table entries; the shortest code names the language.
+length of a text is a sum of table entries; the shortest code names the language. Each language has its
+own sorted tables of what was seen in it: no context and no language is left out.
 """
 
 from __future__ import annotations
@@ -20,10 +21,7 @@ from tillbook.llm.common import fields, map_text, pieces, prepare, text_bytes
 
 #: About so many bytes of text train the tree of one language, whole texts drawn by hash.
 TRAIN_BYTES = 8 << 20
-#: The most frequent languages have trees.
-MAX_LANGUAGES = 200
-#: Entries of the table of code lengths: contexts times bytes times languages. The rarest contexts of
-#: three bytes give way to their last two.
+#: Code lengths (runs of four bytes times languages) held at once while texts are coded; changes no result.
 TABLE_CELLS = 24_000_000
 UNKNOWN = "und"
 
@@ -32,90 +30,99 @@ _LETTER = np.zeros(256, dtype=bool)
 _LETTER[65:91] = _LETTER[97:123] = True
 
 
+def _found(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each wanted number would be in the sorted keys, and whether it is there."""
+    at = np.minimum(np.searchsorted(keys, wanted), keys.size - 1)
+    return at, keys[at] == wanted
+
+
 @dataclass
-class ContextTrees:
-    """Code lengths in bits: ``bits[node * size + symbol]`` has one column per language.
+class Tree:
+    """One language: of each order, the sorted runs of a context and a byte with their bits, and the contexts with those of an escape."""
+
+    runs: list[np.ndarray]
+    bits: list[np.ndarray]
+    contexts: list[np.ndarray]
+    escapes: list[np.ndarray]
+
+    @classmethod
+    def of(cls, grams: np.ndarray, counts: np.ndarray) -> Tree:
+        tree = cls([], [], [], [])
+        for order in range(4):
+            runs, where = np.unique(grams & np.uint64(256 ** (order + 1) - 1), return_inverse=True)
+            n = np.bincount(where, weights=counts, minlength=runs.size)
+            contexts, where, kinds = np.unique(runs >> np.uint64(8), return_inverse=True, return_counts=True)
+            whole = np.bincount(where, weights=n, minlength=contexts.size) + kinds
+            tree.runs.append(runs.astype(np.uint32))
+            tree.bits.append(-np.log2(n / whole[where]))
+            tree.contexts.append(contexts.astype(np.uint32))
+            tree.escapes.append(-np.log2(kinds / whole))
+        return tree
+
+    def lengths(self, grams: np.ndarray) -> np.ndarray:
+        """Bits of the last byte of each run of four bytes."""
+        out = np.zeros(grams.size)
+        rest = np.arange(grams.size)
+        for order in (3, 2, 1, 0):
+            own = grams[rest] & np.uint32(256 ** (order + 1) - 1)
+            if not self.runs[order].size:
+                continue
+            at, seen = _found(self.runs[order], own)
+            out[rest[seen]] += self.bits[order][at[seen]]
+            rest, own = rest[~seen], own[~seen]
+            at, known = _found(self.contexts[order], own >> np.uint32(8))
+            out[rest[known]] += self.escapes[order][at[known]]
+        out[rest] += 8.0
+        return out
 
-    ``symbol`` numbers the bytes (unseen ones share a number), ``node`` gives the context by the
-    numbers of the three bytes before.
-    """
+
+@dataclass
+class ContextTrees:
+    """The trees of the languages, in the order of their names."""
 
     languages: list[str]
-    symbol: np.ndarray
-    size: int
-    node: np.ndarray
-    bits: np.ndarray
+    trees: list[Tree]
+    cells: int = TABLE_CELLS
 
     def lengths(self, texts: pa.Array) -> np.ndarray:
         """Bits of each text under each language."""
         data, offsets = text_bytes(texts)
         out = np.zeros((len(texts), len(self.languages)))
-        own = self.symbol[data].astype(np.int32)
-        context = np.zeros(own.size, dtype=np.int32)
-        for back in (3, 2, 1):
-            before = np.full(own.size, self.symbol[_PAD], dtype=np.int32)
-            before[back:] = own[:-back] if own.size > back else before[back:]
-            for k in range(back):
-                starts = offsets[:-1] + k
-                before[starts[starts < own.size]] = self.symbol[_PAD]
-            context = context * self.size + before
-        cost = self.bits[self.node[context] * self.size + own]
         some = np.flatnonzero(np.diff(offsets))
-        if some.size:
-            out[some] = np.add.reduceat(cost, offsets[some], axis=0, dtype=np.float64)
+        if not some.size:
+            return out
+        coded = pa.array(_grams(data, offsets)).dictionary_encode()
+        grams, where = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+        order = np.argsort(grams)  # neighbours are looked up one after the other
+        block = max(1, self.cells)
+        bits = np.empty(grams.size)
+        for k, tree in enumerate(self.trees):
+            for first in range(0, grams.size, block):
+                own = order[first : first + block]
+                bits[own] = tree.lengths(grams[own])
+            out[some, k] = np.add.reduceat(bits[where], offsets[some])
         return out
 
 
-def _code_lengths(grams: np.ndarray, counts: np.ndarray, size: int, contexts: list[np.ndarray]) -> list[np.ndarray]:
-    """Bits of every symbol after every given context of 0 to 3 symbols, for one language."""
-    shorter = np.full((1, size), 8.0)
-    out = []
-    for order, known in enumerate(contexts):
-        span = size ** (order + 1)
-        seen = np.zeros((known.size, size))
-        gram = grams % span
-        at = np.minimum(np.searchsorted(known, gram // size), known.size - 1)
-        right = known[at] == gram // size
-        np.add.at(seen, (at[right], gram[right] % size), counts[right])
-        total, kinds = seen.sum(axis=1, keepdims=True), (seen > 0).sum(axis=1, keepdims=True)
-        if order:
-            below = shorter[np.searchsorted(contexts[order - 1], known % size ** (order - 1))]
-        else:
-            below = shorter
-        whole = np.maximum(total + kinds, 1)
-        escape = np.where(kinds > 0, -np.log2(np.maximum(kinds, 1) / whole), 0.0)
-        shorter = np.where(seen > 0, -np.log2(np.maximum(seen, 1) / whole), escape + below)
-        out.append(shorter)
-    return out
+def _grams(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Each byte with the three before it in its text (big-endian); line ends stand before a text."""
+    gram = data.astype(np.uint32)
+    for back in (1, 2, 3):
+        before = np.full(data.size, _PAD, dtype=np.uint32)
+        before[back:] = data[:-back] if data.size > back else before[back:]
+        for k in range(back):
+            starts = offsets[:-1] + k
+            before[starts[starts < data.size]] = _PAD
+        gram |= before << np.uint32(8 * back)
+    return gram
 
 
 def build_trees(languages: list[str], language: np.ndarray, grams: np.ndarray, counts: np.ndarray, cells: int = TABLE_CELLS) -> ContextTrees:
-    """The table for counted runs of four bytes (big-endian in 32 bits) of each language."""
-    parts = np.stack([(grams >> np.uint64(8 * k)) & np.uint64(255) for k in (3, 2, 1, 0)]).astype(np.int64)
-    used = np.unique(np.append(parts, _PAD))
-    symbol = np.full(256, used.size, dtype=np.int32)
-    symbol[used] = np.arange(used.size)
-    size = used.size + 1
-    codes = ((symbol[parts[0]].astype(np.int64) * size + symbol[parts[1]]) * size + symbol[parts[2]]) * size + symbol[parts[3]]
-    threes, where = np.unique(codes // size, return_inverse=True)
-    often = np.bincount(where, weights=counts, minlength=threes.size)
-    twos = np.unique(threes % size**2)
-    ones = np.unique(twos % size)
-    room = max(0, cells // (size * max(1, len(languages))) - twos.size - ones.size - 1)
-    threes = np.sort(threes[np.lexsort((threes, -often))[:room]])
-    contexts = [np.zeros(1, np.int64), ones, twos, threes]
-    tables = [_code_lengths(codes[language == k], counts[language == k], size, contexts) for k in range(len(languages))]
-    bits = np.stack([np.concatenate(t) for t in tables], axis=-1).astype(np.float32)
-    # The node of every triple: its longest suffix that is a known context.
-    base = np.cumsum([0, *(c.size for c in contexts)])
-    node = np.zeros(size**3, dtype=np.int32)
-    grid = np.arange(size**3)
-    for order in (1, 2, 3):
-        suffix = grid % size**order
-        at = np.minimum(np.searchsorted(contexts[order], suffix), max(contexts[order].size - 1, 0))
-        known = contexts[order][at] == suffix if contexts[order].size else np.zeros(grid.size, bool)
-        node[known] = base[order] + at[known]
-    return ContextTrees(languages, symbol, size, node, bits.reshape(-1, len(languages)))
+    """The trees for counted runs of four bytes (big-endian in 32 bits) of each language."""
+    order = np.argsort(language, kind="stable")
+    ends = np.searchsorted(language[order], np.arange(len(languages) + 1))
+    parts = [order[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    return ContextTrees(languages, [Tree.of(grams[p].astype(np.uint64), counts[p]) for p in parts], cells)
 
 
 def _count_grams(rows: DataFrame) -> DataFrame:
@@ -132,15 +139,7 @@ def _count_grams(rows: DataFrame) -> DataFrame:
             for piece in pieces(batch, 1):
                 data, offsets = text_bytes(piece.column(1))
                 number = np.repeat(piece.column(0).to_numpy().astype(np.uint64), np.diff(offsets))
-                gram = data.astype(np.uint64)
-                for back in (1, 2, 3):
-                    before = np.full(data.size, _PAD, dtype=np.uint64)
-                    before[back:] = data[:-back] if data.size > back else before[back:]
-                    for k in range(back):
-                        starts = offsets[:-1] + k
-                        before[starts[starts < data.size]] = _PAD
-                    gram |= before << np.uint64(8 * back)
-                parts.append(np.unique((number << np.uint64(32)) | gram, return_counts=True))
+                parts.append(np.unique((number << np.uint64(32)) | _grams(data, offsets), return_counts=True))
                 if len(parts) > 20:
                     parts = [merged(parts)]
         if parts:
@@ -157,23 +156,21 @@ def train_languages(
 ) -> ContextTrees | None:
     """Trees of the languages named in ``docs``; rows whose text or language is null teach nothing.
 
-    Of each language about ``train_bytes`` of whole texts are used, drawn by a hash of the text; the tables
-    depend on nothing else, so they agree on every run. None if there is nothing to learn from.
+    Of each language about ``train_bytes`` of whole texts are used, and one text at least, drawn by a hash of the
+    text; the tables depend on nothing else, so they agree on every run. Every language has a tree. None if there is nothing to learn from.
     """
     rows = docs.select(F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").cast("string").alias("text"))
     rows = rows.where("lang IS NOT NULL AND text IS NOT NULL AND text <> ''")
-    found = rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("size"))
-    found = found.orderBy(F.desc("size"), "lang").limit(MAX_LANGUAGES).collect()
+    parts = 1 << 20
+    place = F.pmod(F.xxhash64("text"), F.lit(parts))
+    found = rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("size"), F.min(place).alias("first")).collect()
     if not found:
         return None
-    sizes = {r["lang"]: r["size"] for r in found}
-    languages = sorted(sizes)
+    share = {r["lang"]: max(round(parts * min(1.0, train_bytes / r["size"])), r["first"] + 1) for r in found}
+    languages = sorted(share)
     number = F.create_map(*[x for k, name in enumerate(languages) for x in (F.lit(name), F.lit(k))])
-    parts = 1 << 20
-    below = F.create_map(*[
-        x for name in languages for x in (F.lit(name), F.lit(round(parts * min(1.0, train_bytes / sizes[name]))))
-    ])
-    drawn = rows.where(F.pmod(F.xxhash64("text"), F.lit(parts)) < F.try_element_at(below, F.col("lang")))
+    below = F.create_map(*[x for name in languages for x in (F.lit(name), F.lit(share[name]))])
+    drawn = rows.where(place < F.try_element_at(below, F.col("lang")))
     counted = _count_grams(drawn.select(F.try_element_at(number, F.col("lang")).alias("number"), "text")).toArrow()  # bounded by train_bytes
     if not counted.num_rows:
         return None
