@@ -85,3 +85,11 @@ def test_odd_documents(odd, no_documents):
     assert masked.columns == odd.columns and masked.schema["n_chars"].dataType == odd.schema["n_chars"].dataType
     assert masked.where("text IS NULL").count() == odd.where("text IS NULL").count()
     assert find_personal_data(no_documents, train_spans(no_documents)).count() == 0
+
+
+@pytest.mark.parametrize("address", ["jane [At] example.com", "jane ( at ) example.com", "jane (at ) example.com", "jane{aT}example.com", "j(at)e.org"])
+def test_looser_addresses_do_not_depend_on_other_text(address):
+    def spans(text):
+        return [(c.kind, text[c.start : c.end]) for c in candidates(text) if not c.base]
+
+    assert spans(address) and spans(address) == spans(f"{address}; AT home, at the dot (at)")

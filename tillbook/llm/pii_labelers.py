@@ -34,6 +34,8 @@ _MORE = {
     ),
 }
 _DIGIT = re.compile(r"[0-9]")
+#: Part of every looser e-mail address; texts without it are not searched for them.
+_AT = re.compile(r"[(\[{]\s?at\s?[)\]}]", re.I | re.A)
 _WORDS = re.compile(r"[^\W\d_]+")
 
 # Gazetteers. Fixed values.
@@ -151,7 +153,7 @@ def candidates(text: str | None) -> list[Candidate]:
     for kind, name in enumerate(KINDS):
         if not digits and name != "email":
             continue
-        if name == "email" and not ("at)" in text or "at]" in text or "at}" in text or "AT" in text or " at " in text and "dot" in text):
+        if name == "email" and not _AT.search(text):
             continue
         own: list[tuple[int, int]] = []
         for pattern in _MORE[name]:
