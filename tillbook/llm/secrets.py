@@ -1,11 +1,14 @@
 """Secret scan: candidate strings, and a random forest that removes the false positives.
 
-Candidates are values after the name of a key and ``=`` or ``:``, of any length and with any signs; values of
-8 or more characters after such a name or such a sign alone, or after ``Bearer``; and, wherever they stand, keys in
-an issuer's format, JSON web tokens and runs of 16 or more letters, digits and ``+/_-`` that hold a digit. A forest trained on labelled
-findings scores them by their length, how their characters follow one another (in kind, and against the
+Candidates are values after the name of a key and ``=`` or ``:``, of any length and with any signs (without
+quotes around them, up to white space, a quote or one of ``,;&)}]>``); values of 8 or more characters after such a
+name or such a sign alone, or after ``Bearer``; and, wherever they stand, keys in an issuer's format, JSON web tokens
+and runs of 16 or more letters, digits and ``+/_-`` that hold a digit. A forest trained on labelled findings scores them by their length, how their characters follow one another (in kind, and against the
 corpus' own words), how much of them dictionary words cover, the path of their document, and the words
-around them. Dictionary and character transitions are counted over all texts.
+around them. The dictionary is counted over all texts, but cut to at most ``DICTIONARY`` of the most frequent
+words of 3 to 12 letters, by whole classes of frequency (empty if the top class alone does not fit); character
+transitions are counted in these words only. The cut moves two features, and which findings are labelled as words;
+no candidate depends on it.
 """
 
 from __future__ import annotations
