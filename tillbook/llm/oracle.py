@@ -92,4 +92,54 @@ ranked AS (
 SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 20
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_decontaminate": _OP1, "op9_mix": _OP9, "op10_nearest": _OP10}
+_OP12 = r"""
+WITH RECURSIVE listed AS (
+    SELECT row_number() OVER () AS row_no, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+           CAST(doc_id AS VARCHAR) AS id
+    FROM documents),
+seeded AS (
+    SELECT row_no, doc_id, words, CAST(len(words) AS BIGINT) AS n,
+           xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(id, ''),
+               lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+               lambda crc, step: CASE WHEN step >= 0 THEN xor(crc, step)
+                                      WHEN crc % 2 = 1 THEN xor(crc // 2, 3988292384) ELSE crc // 2 END), 4294967295) AS h
+    FROM listed),
+shaped AS (
+    SELECT row_no, doc_id, words, n, coalesce(h % 10 = 0, false) AND n > 0 AS planted,
+           CASE WHEN n > 0 THEN (h // 10) % n END AS a,
+           CASE WHEN n > 0 THEN 1 + (n - (h // 10) % n) // (3 + (h // 10) % 8) END AS p
+    FROM seeded),
+changed AS (
+    SELECT row_no, doc_id, n,
+           CASE WHEN planted THEN list_transform(range(n), lambda i: words[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END])
+                ELSE words END AS words
+    FROM shaped),
+placed AS (SELECT row_no, n, unnest(words) AS word, unnest(range(n)) AS place FROM changed),
+equal AS (
+    SELECT l.row_no, l.place, r.place - l.place AS period
+    FROM placed l JOIN placed r ON l.row_no = r.row_no AND l.word = r.word AND r.place > l.place AND 4 * (r.place - l.place) <= l.n),
+stretches AS (
+    SELECT row_no, period, min(place) AS start, count(*) + period AS length
+    FROM (SELECT *, place - row_number() OVER (PARTITION BY row_no, period ORDER BY place) AS island FROM equal)
+    GROUP BY row_no, period, island
+    HAVING count(*) + period >= greatest(6, 4 * period)),
+runs AS (
+    SELECT * FROM stretches s WHERE NOT EXISTS (
+        SELECT 1 FROM stretches o WHERE o.row_no = s.row_no AND o.period < s.period AND o.start <= s.start
+                                    AND o.start + o.length >= s.start + s.length)),
+per_doc AS (
+    SELECT row_no, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listing,
+           arg_min({'start': start, 'length': length, 'period': period}, [-length, start, period]) AS longest
+    FROM runs GROUP BY row_no),
+dropped AS (
+    SELECT DISTINCT row_no, place FROM (SELECT row_no, unnest(range(start + period, start + length)) AS place FROM runs)),
+kept AS (
+    SELECT row_no, string_agg(word, ' ' ORDER BY place) AS collapsed
+    FROM placed ANTI JOIN dropped USING (row_no, place) GROUP BY row_no)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, CAST(longest.start AS BIGINT) AS start, CAST(longest.length AS BIGINT) AS length,
+       CAST(longest.period AS BIGINT) AS period, CAST(1000 * longest.length // longest.period AS BIGINT) AS exponent_milli,
+       sha256(coalesce(listing, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM changed LEFT JOIN per_doc USING (row_no) LEFT JOIN kept USING (row_no)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_decontaminate": _OP1, "op9_mix": _OP9, "op10_nearest": _OP10, "op12_runs": _OP12}

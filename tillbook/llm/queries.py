@@ -14,6 +14,7 @@ from tillbook.llm.language import detect_language, train_languages
 from tillbook.llm.mix import mix
 from tillbook.llm.nearest import build_index, nearest
 from tillbook.llm.neardup import near_duplicates
+from tillbook.llm.periodic import collapse_runs, repeat_words
 from tillbook.llm.pii import KINDS, digest, find_personal_data, train_spans
 from tillbook.llm.quality import score_quality, train_quality
 from tillbook.llm.secrets import count_words, find_candidates, remove_false_positives
@@ -104,6 +105,22 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(index, space, F.col("vec_id") % 20 == 0)
 
 
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, after a period was planted in about one of ten."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", repeat_words(F.col("text"), F.col("doc_id")).alias("text"))
+    found = collapse_runs(docs, keep=["doc_id"])
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"], r["period"])))
+    length = -longest["less"]
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"),
+        longest["start"].alias("start"), length.alias("length"), longest["period"].alias("period"),
+        F.floor(1000 * length / longest["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_secrets": op2_secrets,
@@ -115,4 +132,5 @@ QUERIES: dict[str, Query] = {
     "op8_quality": op8_quality,
     "op9_mix": op9_mix,
     "op10_nearest": op10_nearest,
+    "op12_runs": op12_runs,
 }
