@@ -7,17 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillbook.llm.common import table
+from tillbook.llm.common import stored, table
 from tillbook.llm.decontaminate import decontaminate
 from tillbook.llm.html import extract_text
 from tillbook.llm.language import detect_language, train_languages
 from tillbook.llm.mix import mix
 from tillbook.llm.nearest import build_index, nearest
 from tillbook.llm.neardup import near_duplicates
+from tillbook.llm.outliers import estimate, judge
 from tillbook.llm.periodic import collapse_runs, repeat_words
 from tillbook.llm.pii import KINDS, digest, find_personal_data, train_spans
 from tillbook.llm.quality import score_quality, train_quality
 from tillbook.llm.secrets import count_words, find_candidates, remove_false_positives
+from tillbook.llm.textrules import COUNTS, with_counts
 from tillbook.llm.tokens import count_tokens, section_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -121,6 +123,12 @@ def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base statistics of every document, and whether it is an outlier of its language and source."""
+    counted = stored(with_counts(table(spark, sf_dir, "documents"), "text", ["doc_id", "lang", "source"]), "outlier-counts")
+    return judge(counted, estimate(counted)).select("doc_id", *COUNTS, "base_failed", "kept", F.round("distance", 6).alias("distance"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_secrets": op2_secrets,
@@ -133,4 +141,5 @@ QUERIES: dict[str, Query] = {
     "op9_mix": op9_mix,
     "op10_nearest": op10_nearest,
     "op12_runs": op12_runs,
+    "op13_outliers": op13_outliers,
 }
