@@ -11,6 +11,7 @@ from tillbook.llm.common import stored, table
 from tillbook.llm.decontaminate import decontaminate
 from tillbook.llm.html import extract_text
 from tillbook.llm.language import detect_language, train_languages
+from tillbook.llm.lexical import search
 from tillbook.llm.mix import mix
 from tillbook.llm.nearest import build_index, nearest
 from tillbook.llm.neardup import near_duplicates
@@ -107,6 +108,11 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(index, space, F.col("vec_id") % 20 == 0)
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents for every benchmark item."""
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of words in every document, after a period was planted in about one of ten."""
     docs = table(spark, sf_dir, "documents").select("doc_id", repeat_words(F.col("text"), F.col("doc_id")).alias("text"))
@@ -140,6 +146,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality": op8_quality,
     "op9_mix": op9_mix,
     "op10_nearest": op10_nearest,
+    "op11_ranked_search": op11_ranked_search,
     "op12_runs": op12_runs,
     "op13_outliers": op13_outliers,
 }
