@@ -83,3 +83,13 @@ def outcome_events(report: DataFrame, logged_at: Column) -> DataFrame:
     }
     per_event = report.withColumn("event", F.explode(events))
     return per_event.select(*[known.get(c, F.col(c)).alias(c) for c in EVENT_COLUMNS])
+
+
+def postponed_events(put_off: DataFrame, logged_at: Column) -> DataFrame:
+    """Ingest log: one ``postponed`` event per file that the storage did not give, and that is tried again."""
+    unknown = {f.name: F.lit(None).cast(f.dataType) for f in INGEST_LOG_SCHEMA}
+    known = {
+        "source_file": F.element_at(F.split("path", "/"), -1), "path": F.col("path"), "modified_at": F.col("modified_at"),
+        "event": F.lit("postponed"), "message": F.substring("reason", 1, FAILURE_CHARS), "logged_at": logged_at,
+    }
+    return put_off.select(*[known.get(c, unknown[c]).alias(c) for c in EVENT_COLUMNS])

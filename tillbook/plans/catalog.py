@@ -7,28 +7,28 @@ application to the shared folder named by ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-import shutil
+import math
 import tempfile
 import uuid
 from collections.abc import Callable
+from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 from functools import partial
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import tillbook
 from tillbook.functions.money import money_avg, money_sum
 from tillbook.operators.cleaning import CleaningOptions, add_date_mode, clean
 from tillbook.operators.filters import filter_sales
 from tillbook.operators.headers import header_map, plan_files
 from tillbook.operators.verdict import count_rows, detected_events, file_report, outcome_events, rejected_rows
 from tillbook.plans.dashboard import PANELS
-from tillbook.plans.sample_books import workbook_bytes, write_file, write_workbooks
+from tillbook.plans.sample_books import busy_opener, workbook_bytes, write_file, write_workbooks
 from tillbook.plans.untidy import untidy_files, untidy_rows
 from tillbook.plans.views import VIEWS
 from tillbook.schema import CANONICAL_COLUMNS, SALES_COLUMNS
+from tillbook.package import ship_package
 from tillbook.sources.folder import workbook_files, workbook_stream
 from tillbook.sources.staging import append_sales, read_sales
 from tillbook.sources.star import star_sales
@@ -53,16 +53,6 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL_FOLDER[0].name
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in Python workers that were started without it."""
-    key = (spark.sparkContext.applicationId, "", "package")
-    if key not in _WRITTEN:
-        package = Path(tillbook.__file__).parent
-        folder = tempfile.mkdtemp(prefix="tillbook-package-")
-        _WRITTEN[key] = shutil.make_archive(f"{folder}/tillbook", "zip", package.parent, package.name)
-        spark.sparkContext.addPyFile(_WRITTEN[key])
-
-
 def _new_folder(spark: SparkSession, what: str) -> str:
     """A path for derived data, below a folder that is deleted when the application ends."""
     base = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
@@ -317,6 +307,57 @@ def ingest_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SalesStore(root).sales(spark).select(*CANONICAL_COLUMNS)
 
 
+@dataclass(frozen=True)
+class _InterruptedStore(SalesStore):
+    """Lets other loads run in the middle of its own, when their rows are written but not committed."""
+
+    others: list[Callable[[], object]] = field(default_factory=list)
+
+    def path(self, table: str) -> str:
+        if table.startswith("file_report") and self.others:
+            self.others.pop()()
+        return super().path(table)
+
+
+def overlapping_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One folder loaded by two loads at a time: batch job in stream, stream in batch job, batch job in batch job."""
+    folder = inbox(spark, sf_dir)
+    half = math.ceil(workbook_files(spark, folder).count() / 2)
+
+    def batch(store: SalesStore) -> None:
+        ingest_folder(spark, folder, store, files_per_round=half)
+
+    def stream(store: SalesStore) -> None:
+        files = workbook_stream(spark, folder, files_per_trigger=half)
+        start_ingest_stream(files, store, f"{store.root}-checkpoint", available_now=True).awaitTermination()
+
+    loaded = []
+    for name, outer, inner in (("batch in stream", stream, batch), ("stream in batch", batch, stream), ("batch in batch", batch, batch)):
+        root = f"{_new_folder(spark, 'overlap')}/store"
+        outer(_InterruptedStore(root, others=[partial(inner, SalesStore(root))]))
+        loaded.append(SalesStore(root).sales(spark).select(F.lit(name).alias("loads"), *CANONICAL_COLUMNS))
+    return loaded[0].unionByName(loaded[1]).unionByName(loaded[2])
+
+
+def retried_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sales, loaded from a folder of which every third file opens at the third try only."""
+    root = _new_folder(spark, "retried")
+    store = SalesStore(f"{root}/store", retry_seconds=0.2, opener=busy_opener(f"{root}/tries", 2))
+    ingest_folder(spark, inbox(spark, sf_dir), store)
+    return store.sales(spark).select(*CANONICAL_COLUMNS)
+
+
+def log_after_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per month after many small loads, snapshots of the ledger between them, and loads that find nothing new."""
+    store = SalesStore(f"{_new_folder(spark, 'compacted')}/store", compact_every=3)
+    for part in (0, 1, 0, 1):
+        folder = inbox(spark, sf_dir, part)
+        ingest_folder(spark, folder, store, files_per_round=math.ceil(workbook_files(spark, folder).count() / 3))
+    total = store.commits(spark).agg(F.sum("rows_loaded").alias("n")).scalar()
+    months = store.sales(spark).groupBy("sale_month").agg(F.count(F.lit(1)).alias("rows_loaded"), F.sum("quantity").alias("units"))
+    return months.withColumn("rows_committed", total)
+
+
 def queries() -> dict[str, Query]:
     """Every registered query."""
     out: dict[str, Query] = {v.removeprefix("v_"): partial(_view, v) for v in VIEWS}
@@ -341,5 +382,8 @@ def queries() -> dict[str, Query]:
         batch_then_stream=batch_then_stream,
         two_streams=two_streams,
         ingest_resumed=ingest_resumed,
+        overlapping_loads=overlapping_loads,
+        retried_files=retried_files,
+        log_after_compaction=log_after_compaction,
     )
     return out

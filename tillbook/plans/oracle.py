@@ -354,7 +354,12 @@ INGEST_SQL = {
 WORKBOOK_SQL = {
     "workbook_scan": f"SELECT {_SALES_LIST} FROM staging_sales",
     **{name: f"SELECT {_SALES_LIST} FROM staging_sales"
-       for name in ("folder_batch", "batch_then_stream", "two_streams", "ingest_resumed")},
+       for name in ("folder_batch", "batch_then_stream", "two_streams", "ingest_resumed", "retried_files")},
+    "overlapping_loads": f"""SELECT loads, {_SALES_LIST} FROM staging_sales,
+        (VALUES ('batch in stream'), ('stream in batch'), ('batch in batch')) AS l(loads)""",
+    "log_after_compaction": """SELECT strftime(sale_date, '%Y-%m') AS sale_month, count(*) AS rows_loaded,
+        CAST(sum(quantity) AS BIGINT) AS units, CAST(sum(count(*)) OVER () AS BIGINT) AS rows_committed
+        FROM staging_sales GROUP BY ALL""",
     "stream_ingest": f"SELECT {_SALES_LIST}, strftime(sale_date, '%Y-%m') AS sale_month FROM staging_sales",
 }
 

@@ -6,8 +6,10 @@ import io
 import os
 import re
 import zipfile
+import zlib
 from collections.abc import Iterable, Iterator
 from datetime import date
+from typing import BinaryIO
 from xml.sax.saxutils import escape
 
 import pyarrow as pa
@@ -17,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillbook.schema import CANONICAL_COLUMNS
+from tillbook.sources.workbook import Opener, open_file
 
 _MAIN = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
 _REL = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
@@ -71,6 +74,28 @@ def write_file(path: str, content: bytes) -> None:
         file.write(content)
 
 
+def _exists(path: str) -> bool:
+    path = re.sub("^s3[an]:", "s3:", re.sub("^file:/*", "/", path))
+    if "://" not in path:
+        return os.path.exists(path)
+    system, inner = fs.FileSystem.from_uri(path)
+    return system.get_file_info(inner).type != fs.FileType.NotFound
+
+
+def busy_opener(folder: str, failures: int) -> Opener:
+    """Opens every third workbook only after so many failures of the storage, which ``folder`` keeps count of."""
+
+    def open_after(path: str) -> BinaryIO:
+        name = os.path.basename(path)
+        for i in range(failures if zlib.crc32(name.encode()) % 3 == 0 else 0):
+            if not _exists(f"{folder}/{name}-{i}"):
+                write_file(f"{folder}/{name}-{i}", b"")
+                raise OSError("the storage is busy")
+        return open_file(path)
+
+    return open_after
+
+
 def write_workbooks(sales: DataFrame, folder: str) -> None:
     """The rows as workbooks in ``folder``, one per Arrow batch, with small and capital endings.
 

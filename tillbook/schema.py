@@ -103,7 +103,7 @@ RAW_ROWS_SCHEMA = T.StructType([
 ])
 
 # What the workbook scan emits: one 'file' record per workbook (cells = headers, with the
-# number of its data rows and the seconds it took) and one 'row' record per data row.
+# number of its data rows, the seconds it took, and whether an error is the storage's) and one 'row' record per data row.
 LANDING_SCHEMA = T.StructType([
     T.StructField("source_file", T.StringType()),
     T.StructField("path", T.StringType()),
@@ -111,6 +111,7 @@ LANDING_SCHEMA = T.StructType([
     T.StructField("row_no", T.LongType()),
     T.StructField("cells", T.ArrayType(T.StringType())),
     T.StructField("error", T.StringType()),
+    T.StructField("storage", T.BooleanType()),
     T.StructField("rows_read", T.LongType()),
     T.StructField("seconds", T.DoubleType()),
     T.StructField("kind", T.StringType()),
@@ -147,11 +148,22 @@ INGEST_LOG_SCHEMA = T.StructType([
     T.StructField("stage", T.StringType()),
 ])
 
-# One row per batch whose rows are complete; only these are seen by readers.
+# One row per batch whose rows are complete; only these are seen by readers. The number is that of its commit.
 COMMITS_SCHEMA = T.StructType([
     T.StructField("rows_loaded", T.LongType()),
     T.StructField("committed_at", T.TimestampType()),
     T.StructField("batch_id", T.StringType()),
+    T.StructField("number", T.LongType()),
+])
+
+# Files that are done with, those a load has claimed (with the number of this try), and those put off.
+LOADED_SCHEMA = T.StructType([T.StructField("path", T.StringType()), T.StructField("modified_at", T.TimestampType())])
+CLAIMED_SCHEMA = T.StructType([*LOADED_SCHEMA.fields, T.StructField("attempt", T.IntegerType())])
+RETRIES_SCHEMA = T.StructType([
+    *LOADED_SCHEMA.fields,
+    T.StructField("attempt", T.IntegerType()),
+    T.StructField("due_at", T.TimestampType()),
+    T.StructField("reason", T.StringType()),
 ])
 
 QUARANTINE_SCHEMA = T.StructType([

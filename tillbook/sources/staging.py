@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillbook.schema import COMMITS_SCHEMA, STAGING_SCHEMA, STORED_SCHEMA
+from tillbook.schema import STAGING_SCHEMA, STORED_SCHEMA
 
 
 def _batch_path(table: str, batch_id: str) -> str:
@@ -57,18 +57,7 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
         return spark.createDataFrame([], schema)
 
 
-def commit(spark: SparkSession, commits: str, batch_id: str, rows_loaded: int) -> None:
-    """Make a batch visible to readers; the last step of a load."""
-    row = spark.range(1).select(F.lit(rows_loaded).cast("bigint").alias("rows_loaded"), F.current_timestamp().alias("committed_at"))
-    row.coalesce(1).write.mode("overwrite").parquet(_batch_path(commits, batch_id))
-
-
-def read_commits(spark: SparkSession, commits: str) -> DataFrame:
-    """The batches that are complete, one row each."""
-    return read_table(spark, commits, COMMITS_SCHEMA)
-
-
-def read_sales(spark: SparkSession, table: str, commits: str | None = None) -> DataFrame:
+def read_sales(spark: SparkSession, table: str, commits: DataFrame | None = None) -> DataFrame:
     """All sales of the table at path ``table``; with ``commits``, those of complete batches.
 
     The commits are one small row per batch: Spark broadcasts them by their known
@@ -77,7 +66,7 @@ def read_sales(spark: SparkSession, table: str, commits: str | None = None) -> D
     sales = read_table(spark, table, STAGING_SCHEMA)
     if commits is None:
         return sales
-    return sales.join(read_commits(spark, commits).select("batch_id"), "batch_id", "left_semi").select(*sales.columns)
+    return sales.join(commits.select("batch_id"), "batch_id", "left_semi").select(*sales.columns)
 
 
 def query(spark: SparkSession, sql: str, args: dict | None = None) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 import re
 import time
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from datetime import datetime, timedelta
 from posixpath import basename, join, normpath
 from typing import BinaryIO
@@ -33,10 +33,14 @@ _ARROW_SCHEMA = pa.schema([
     ("row_no", pa.int64()),
     ("cells", pa.list_(pa.string())),
     ("error", pa.string()),
+    ("storage", pa.bool_()),
     ("rows_read", pa.int64()),
     ("seconds", pa.float64()),
     ("kind", pa.string()),
 ])
+# What Arrow's file systems open; credentials are those of its own configuration.
+SCHEMES = ("file", "s3", "s3a", "s3n", "gs", "gcs", "hdfs", "viewfs", "abfs", "abfss")
+Opener = Callable[[str], BinaryIO]
 # Built-in number formats that show a date or time.
 _DATE_FORMAT_IDS = set(range(14, 23)) | set(range(27, 37)) | set(range(45, 48)) | set(range(50, 59))
 
@@ -172,8 +176,17 @@ def _row_elements(sheet) -> Iterator[ElementTree.Element]:
         raise ValueError("the sheet is cut off")
 
 
+def check_schemes(files: DataFrame) -> None:
+    """Raises ValueError if :func:`open_file` does not know the scheme of a path; nothing is opened."""
+    scheme = F.regexp_extract("path", "^([A-Za-z][A-Za-z0-9+.-]*):", 1)
+    unknown = files.select(scheme.alias("scheme")).distinct().filter(~F.col("scheme").isin("", *SCHEMES)).limit(5).collect()
+    if unknown:
+        names = ", ".join(sorted(r.scheme for r in unknown))
+        raise ValueError(f"no way to open paths of the scheme {names}; known are {', '.join(SCHEMES)}, others need an opener")
+
+
 def open_file(path: str) -> BinaryIO:
-    """A seekable file of any file system that Arrow knows; ``s3a`` is read as ``s3``."""
+    """A seekable file of one of ``SCHEMES``; ``s3a`` and ``s3n`` are read as ``s3``."""
     path = re.sub("^s3[an]:", "s3:", path)
     if path.startswith("file:"):
         return open(re.sub("^file:/*", "/", path), "rb")
@@ -235,10 +248,10 @@ def _batch(path, modified, first_row_no: int, rows: list[list], kind: str, **kno
     return pa.RecordBatch.from_arrays([columns[f.name] for f in _ARROW_SCHEMA], schema=_ARROW_SCHEMA)
 
 
-def _decode_file(path: str, modified) -> Iterator[pa.RecordBatch]:
-    headers, error, row_no, pending, started = [], None, 1, [], time.monotonic()
+def _decode_file(path: str, modified, opener: Opener) -> Iterator[pa.RecordBatch]:
+    headers, error, storage, row_no, pending, started = [], None, False, 1, [], time.monotonic()
     try:
-        with open_file(path) as file:
+        with opener(path) as file:
             headers, rows = _read(file)
             for row in rows:
                 pending.append(row)
@@ -248,21 +261,38 @@ def _decode_file(path: str, modified) -> Iterator[pa.RecordBatch]:
             if pending:
                 yield _batch(path, modified, row_no, pending, "row")
                 row_no += len(pending)
+    except FileNotFoundError as problem:
+        error = f"Not readable as a workbook ({type(problem).__name__}: {problem})"
+    except OSError as problem:  # the storage is at fault, perhaps for a moment: another try may open the file
+        error, storage = f"Not readable from storage ({type(problem).__name__}: {problem})", True
+    except MemoryError:
+        raise
     except Exception as problem:  # the file is at fault, not the job: reject it and go on
         error = f"Not readable as a workbook ({type(problem).__name__}: {problem})"
     seconds = round(time.monotonic() - started, 3)
-    yield _batch(path, modified, 0, [headers], "file", error=error, rows_read=row_no - 1, seconds=seconds)
+    yield _batch(path, modified, 0, [headers], "file", error=error, storage=storage, rows_read=row_no - 1, seconds=seconds)
+
+
+def scan_workbooks(files: DataFrame, opener: Opener | None = None) -> DataFrame:
+    """Decode the workbooks of ``(path, modificationTime)`` into landing records (``LANDING_SCHEMA``).
+
+    ``opener`` takes the place of :func:`open_file`, for other file systems or credentials. It runs in the tasks.
+    """
+    if opener is None:
+        check_schemes(files)
+    use = opener or open_file
 
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, modified in zip(batch.column("path"), batch.column("modificationTime"), strict=True):
+                yield from _decode_file(path.as_py(), modified.as_py(), use)
 
-def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for files in batches:
-        for path, modified in zip(files.column("path"), files.column("modificationTime"), strict=True):
-            yield from _decode_file(path.as_py(), modified.as_py())
+    return files.select("path", "modificationTime").mapInArrow(decode, LANDING_SCHEMA)
 
 
-def scan_workbooks(files: DataFrame) -> DataFrame:
-    """Decode the workbooks of ``(path, modificationTime)`` into landing records (``LANDING_SCHEMA``)."""
-    return files.select("path", "modificationTime").mapInArrow(_decode, LANDING_SCHEMA)
+def storage_failures(landing: DataFrame) -> DataFrame:
+    """(path, modified_at, error) of the files that the storage did not give."""
+    return landing.filter("kind = 'file' AND storage").select("path", "modified_at", "error")
 
 
 def raw_files(landing: DataFrame) -> DataFrame:
