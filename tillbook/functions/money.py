@@ -29,15 +29,19 @@ def _whole(n: int) -> Column:
     return F.lit(str(n)).cast(f"decimal({len(str(n))},0)")
 
 
-def unit_sum(x: Column) -> Column:
-    """Aggregate: the sum of ``x`` in 1/1,000,000 units as DECIMAL(38,0), halves away from zero."""
+def unit_parts(x: Column) -> tuple[Column, Column, Column]:
+    """Aggregates: the three parts of a sum, which add up to those of a larger one."""
     base = F.lit(float(1 << _PART_BITS))
     units = F.rint(x * F.lit(float(1 << _FRACTION_BITS)))
     low = units % base
     above = (units - low) / base
     middle = above % base
     lows, middles = (F.sum(part.try_cast("bigint")).cast("decimal(20,0)") for part in (low, middle))
-    rest = F.sum((above - middle) / base)
+    return lows, middles, F.sum((above - middle) / base)
+
+
+def units_of(lows: Column, middles: Column, rest: Column) -> Column:
+    """The sum in 1/1,000,000 units as DECIMAL(38,0), halves away from zero, from its parts."""
     exact = (
         rest.try_cast("bigint").cast("decimal(16,0)") * _whole(1 << 2 * _PART_BITS)
         + F.coalesce(middles, _whole(0)) * _whole(1 << _PART_BITS)
@@ -48,6 +52,11 @@ def unit_sum(x: Column) -> Column:
     return F.when(F.abs(rest) < _EXACT, millionths).otherwise(rough)
 
 
+def unit_sum(x: Column) -> Column:
+    """Aggregate: the sum of ``x`` in 1/1,000,000 units as DECIMAL(38,0), halves away from zero."""
+    return units_of(*unit_parts(x))
+
+
 def ratio_2dp(numerator: Column, denominator: Column) -> Column:
     """Quotient of two whole numbers to 2 places, halves away from zero.
 
@@ -81,10 +90,14 @@ def money_sum(x: Column) -> Column:
     return units_2dp(unit_sum(x))
 
 
+def units_avg(units: Column, count: Column) -> Column:
+    """The average in currency of a unit total over ``count`` values."""
+    return ratio_2dp(units, count.cast("decimal(19,0)") * _whole(UNITS))
+
+
 def money_avg(x: Column) -> Column:
     """Aggregate: ``ROUND(AVG(x), 2)``."""
-    count = F.count(x).cast("decimal(19,0)")
-    return ratio_2dp(unit_sum(x), count * _whole(UNITS))
+    return units_avg(unit_sum(x), F.count(x))
 
 
 def share_pct(part: Column, total: Column) -> Column:

@@ -19,12 +19,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillbook.functions.money import money_avg, money_sum
+from tillbook.functions.sketch import STANDARD_ERROR
 from tillbook.operators.cleaning import CleaningOptions, add_date_mode, clean
 from tillbook.operators.filters import filter_sales
 from tillbook.operators.headers import header_map, plan_files
 from tillbook.operators.verdict import count_rows, detected_events, file_report, outcome_events, rejected_rows
 from tillbook.plans.dashboard import PANELS
 from tillbook.plans.sample_books import busy_opener, workbook_bytes, write_file, write_workbooks
+from tillbook.plans.states import PanelStates
 from tillbook.plans.untidy import untidy_files, untidy_rows
 from tillbook.plans.views import VIEWS
 from tillbook.schema import CANONICAL_COLUMNS, SALES_COLUMNS
@@ -33,7 +35,7 @@ from tillbook.sources.folder import workbook_files, workbook_stream
 from tillbook.sources.staging import append_sales, read_sales
 from tillbook.sources.star import star_sales
 from tillbook.sources.workbook import raw_files, raw_rows, scan_workbooks
-from tillbook.streaming.ingest import SalesStore, ingest_folder, start_ingest_stream
+from tillbook.streaming.ingest import SalesStore, append_batch, ingest_folder, start_ingest_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -358,10 +360,39 @@ def log_after_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return months.withColumn("rows_committed", total)
 
 
+def _refreshed_store(spark: SparkSession, sf_dir: str) -> SalesStore:
+    """All sales in three batches, with panels refreshed after each, by distinct values and by sketches."""
+
+    def write(path: str) -> None:
+        store = SalesStore(path)
+        for part in range(3):
+            sales = sales_table(spark, sf_dir).filter(F.pmod(F.xxhash64("customer_name", "sale_date"), F.lit(3)) == part)
+            append_batch(sales.select(*SALES_COLUMNS), store, f"part-{part}")
+            for approximate in (False, True):
+                PanelStates(spark, store, approximate).refresh()
+
+    return SalesStore(_written(spark, sf_dir, "refreshed", write))
+
+
+def _refreshed(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return PanelStates(spark, _refreshed_store(spark, sf_dir)).panels()[name]
+
+
+def approx_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per region and state, the exact number of customers, and whether merged sketches come within three standard errors."""
+    store = _refreshed_store(spark, sf_dir)
+    exact, approximate = (PanelStates(spark, store, a).rows("regional") for a in (False, True))
+    near = approximate.select(F.col("region").alias("r"), F.col("state").alias("s"), F.col("unique_customers").alias("approx"))
+    both = exact.join(near, F.col("region").eqNullSafe(F.col("r")) & F.col("state").eqNullSafe(F.col("s")))
+    within = F.abs(F.col("approx") - F.col("unique_customers")) <= F.greatest(F.lit(1.0), 3 * STANDARD_ERROR * F.col("unique_customers"))
+    return both.select("region", "state", "unique_customers", within.alias("within_error"))
+
+
 def queries() -> dict[str, Query]:
     """Every registered query."""
     out: dict[str, Query] = {v.removeprefix("v_"): partial(_view, v) for v in VIEWS}
     out.update({f"dash_{p}": partial(_panel, p) for p in PANELS})
+    out.update({f"refreshed_{p}": partial(_refreshed, p) for p in PANELS})
     out.update(
         staging_rows=staging_rows,
         fine_amounts=fine_amounts,
@@ -385,5 +416,6 @@ def queries() -> dict[str, Query]:
         overlapping_loads=overlapping_loads,
         retried_files=retried_files,
         log_after_compaction=log_after_compaction,
+        approx_customers=approx_customers,
     )
     return out

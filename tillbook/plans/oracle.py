@@ -357,6 +357,8 @@ WORKBOOK_SQL = {
        for name in ("folder_batch", "batch_then_stream", "two_streams", "ingest_resumed", "retried_files")},
     "overlapping_loads": f"""SELECT loads, {_SALES_LIST} FROM staging_sales,
         (VALUES ('batch in stream'), ('stream in batch'), ('batch in batch')) AS l(loads)""",
+    "approx_customers": f"""SELECT region, state, {_CUSTOMERS} AS unique_customers, true AS within_error
+        FROM staging_sales GROUP BY ALL""",
     "log_after_compaction": """SELECT strftime(sale_date, '%Y-%m') AS sale_month, count(*) AS rows_loaded,
         CAST(sum(quantity) AS BIGINT) AS units, CAST(sum(count(*)) OVER () AS BIGINT) AS rows_committed
         FROM staging_sales GROUP BY ALL""",
@@ -369,6 +371,7 @@ def oracle_sql() -> dict[str, str]:
     out = {}
     for group in (VIEW_SQL, DASHBOARD_SQL, TABLE_SQL, WORKBOOK_SQL):
         out.update({name: f"WITH {SALES} {sql}" for name, sql in group.items()})
+    out.update({name.replace("dash_", "refreshed_"): out[name] for name in DASHBOARD_SQL})
     for name, sql in INGEST_SQL.items():
         headers_only = name in ("header_map", "file_plan")
         parts = HEADERS if headers_only else f"{SALES}, {HEADERS}, {CLEANED}"

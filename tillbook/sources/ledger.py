@@ -106,8 +106,8 @@ class Ledger:
 
     # Claims -------------------------------------------------------------------------------------
 
-    def claim(self, batch_id: str, lease: float, choose: Callable[[State], DataFrame]) -> Claim | None:
-        """Claims the files that ``choose`` gives (``CLAIMED_SCHEMA``); None if there are none.
+    def claim(self, batch_id: str, lease: float, choose: Callable[[State], DataFrame], empty: bool = False) -> Claim | None:
+        """Claims the files that ``choose`` gives (``CLAIMED_SCHEMA``); None if there are none, unless ``empty`` is set.
 
         ``choose`` is asked again if another entry came first. Claims that have run out, and earlier ones of
         the same batch, end with this one.
@@ -120,7 +120,7 @@ class Ledger:
             choose(state).select(*CLAIMED_SCHEMA.fieldNames()).write.parquet(path)
             made["files"] = self.spark.read.schema(CLAIMED_SCHEMA).parquet(path)
             made["n"] = made["files"].count()
-            if not made["n"]:
+            if not made["n"] and not empty:
                 return None
             now = time.time()
             instead = [n for n, c in state.active.items() if c["until"] < now or c["batch_id"] == batch_id]

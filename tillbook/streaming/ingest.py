@@ -25,7 +25,7 @@ from tillbook.operators.cleaning import CleaningOptions, add_date_mode, clean
 from tillbook.operators.headers import DEFAULT_THRESHOLD, plan_files
 from tillbook.operators.verdict import count_rows, detected_events, file_report, outcome_events, postponed_events, rejected_rows
 from tillbook.package import ship_package
-from tillbook.schema import FILES_SCHEMA, INGEST_LOG_SCHEMA, LANDING_SCHEMA, QUARANTINE_SCHEMA, RETRIES_SCHEMA
+from tillbook.schema import CLAIMED_SCHEMA, FILES_SCHEMA, INGEST_LOG_SCHEMA, LANDING_SCHEMA, QUARANTINE_SCHEMA, RETRIES_SCHEMA
 from tillbook.sources.folder import new_files, workbook_files
 from tillbook.sources.ledger import Claim, Ledger, State
 from tillbook.sources.staging import append_sales, read_batch, read_sales, read_table
@@ -183,6 +183,20 @@ def _load(claim: Claim, store: SalesStore) -> int:
     return loaded
 
 
+def append_batch(rows: DataFrame, store: SalesStore, name: str) -> int:
+    """Append sales that are at hand as a DataFrame, as one committed batch; returns their number."""
+    spark = rows.sparkSession
+    claim = store.ledger(spark).claim(name, store.lease_seconds, lambda _: spark.createDataFrame([], CLAIMED_SCHEMA), empty=True)
+    claim.keep()
+    try:
+        loaded = append_sales(rows, store.path("staging_sales"), claim.attempt_id)
+        commit(claim, loaded, 0)
+    except BaseException:
+        claim.release()
+        raise
+    return loaded
+
+
 def _put_off(claim: Claim, landing: DataFrame, store: SalesStore) -> int:
     """Writes down which files are tried again, and when; their number."""
     failed = storage_failures(landing)
