@@ -1,6 +1,8 @@
+import random
+
 import pytest
 
-from tillbook.llm.html import extract_text, main_text
+from tillbook.llm.html import ASIDE_WORDS, extract_text, main_text
 
 LONG = "The quick brown fox, they say, jumps over the lazy dog, and then it sleeps."
 TALK = "I really liked this, thank you, and I will come back to read some more of it."
@@ -108,3 +110,61 @@ def test_table_of_pages(spark):
     assert sorted(tuple(r) for r in found.select("text", "n_chars").collect()) == [("", 0), ("", 0), ("One, two.", 9), ("One, two.", 9)]
     assert found.columns.count("n_chars") == 1
     assert extract_text(pages.limit(0)).count() == 0
+
+
+SMALL_BLOCK = f"<div><p>{TALK}</p></div>"
+
+
+@pytest.mark.parametrize("opening, closing", [
+    ('<article class="post-12 post category-social">', "</article>"), ('<main><article class="post tag-search">', "</article></main>"),
+    ('<article class="cookie-recipe">', "</article>"), ('<div id="content" class="content sidebar-right">', "</div>"),
+    ('<div id="story" class="story login-required">', "</div>"), ('<div class="main-content no-comments">', "</div>"),
+    ('<section class="entry sidebar-left">', "</section>"), ('<div class="post has-sidebar">', "</div>"),
+    *[(f'<article class="post {name}-{word}">', "</article>") for word in sorted(ASIDE_WORDS) for name in ("tag", "category")],
+    *[(f'<article class="{name}-{word}">', "</article>") for word in sorted(ASIDE_WORDS) for name in ("tag", "category")],
+])
+def test_names_of_subjects_and_layout_do_not_lose_the_article(opening, closing):
+    page = f"{BEFORE}{ASIDES[1]}{opening}<h1>Title</h1>{f'<p>{LONG}</p>' * 3}<p>Short.</p>{closing}{ASIDES[9]}<footer>{TALK}</footer>"
+    assert main_text(page) == "\n".join(["Title", *[LONG] * 3, "Short."])
+
+
+@pytest.mark.parametrize("name", ["wrapper sidebar-left", "page-banner-on", "layout-widget-free"])
+def test_a_layout_that_holds_all_is_read_by_its_points(name):
+    page = f'{BEFORE}{ASIDES[1]}<div class="{name}"><div><h2>T</h2>{f"<p>{LONG}</p>" * 9}</div></div>{SMALL_BLOCK}'
+    assert main_text(page).startswith("\n".join(["T", *[LONG] * 9]))
+
+
+@pytest.mark.parametrize("part", [
+    '<article class="comment byuser">', '<div class="comment-list">', '<div class="site-comments">', '<div id="comments" class="content">',
+    '<section class="widget widget-area">', '<div class="mobile-nav-bar">', '<div class="site-sidebar">', '<article class="sidebar">',
+])
+def test_parts_beside_the_article_go_by_name(part):
+    end = part[1:].split()[0]
+    page = f"{BEFORE}<article><p>{LONG}</p><p>{LONG}</p></article>{part}{f'<p>{TALK}</p>' * 2}</{end}>"
+    assert main_text(page) == f"{LONG}\n{LONG}"
+    inside = f"{BEFORE}<article><p>{LONG}</p>{part}<p>{TALK}</p></{end}><p>{LONG}</p></article>"
+    assert main_text(inside) == f"{LONG}\n{LONG}"
+
+
+def _tree(rng, depth, chosen):
+    """A random page with its article's blocks, told by construction: asides are clearly named, the article is <article>."""
+    aside = rng.choice(["nav", 'div class="sidebar"', 'section id="comments"', "footer", 'div class="cookie-notice"'])
+    tag = aside.split()[0]
+    extra = f"<{aside}><p>{TALK}</p></{tag}>" if rng.random() < 0.7 else ""
+    if not depth:
+        blocks = [f"{LONG} {rng.randrange(1000)}." for _ in range(rng.randint(1, 5))]
+        chosen += blocks
+        names = rng.choice(["", ' class="post tag-widget"', ' class="hentry sidebar-off entry"', ' id="post-3"'])
+        inner = "".join(f"<p>{b}</p>{extra if rng.random() < 0.2 else ''}" for b in blocks)
+        return f"<article{names}>{inner}</article>"
+    inside = _tree(rng, depth - 1, chosen)
+    wrap = rng.choice(["div", 'div class="content sidebar-right"', "main", 'section id="story" class="story login-required"'])
+    return f"<{wrap}>{extra if rng.random() < 0.5 else ''}{inside}{extra}</{wrap.split()[0]}>"
+
+
+def test_random_small_trees():
+    rng = random.Random(4)
+    for _ in range(300):
+        chosen = []
+        page = _tree(rng, rng.randint(0, 3), chosen)
+        assert main_text(f"{BEFORE}{page}</body></html>") == "\n".join(chosen), page

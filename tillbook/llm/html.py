@@ -6,6 +6,11 @@ length and its commas, less its share of link text, and passes them on to its an
 The container with the most points, less its own share of link text, is kept, with those siblings that
 score or read like it; if it lies in an <article> or <main>, or in a container named like an article, the
 nearest of these is kept in its place. All its blocks are returned, short ones too.
+
+A name is judged with the other names of its element: an <article> is left out only if one of its classes means
+nothing but a part beside the article ("comment", "cookie-notice") and none names the article, and a container that is
+named like the article only by its id. Names in which such a word is one among others ("sidebar-right",
+"site-notice") leave other containers out, unless the page has by far its most points in them.
 """
 
 from __future__ import annotations
@@ -66,6 +71,17 @@ _CLOSES = {
 
 #: Words after which a name tells what an element has, not what it is.
 _HAVING = frozenset("with has have no without is".split())
+#: Words by which a name tells that an element is the article, whatever its other names.
+OWN_WORDS = frozenset("article content entry main post story".split())
+#: Words that add nothing to the word of a part beside the article ("comment-list", "widget-area").
+FILL_WORDS = frozenset("area bar block box container group holder inner item items links list outer panel section wrap wrapper".split())
+#: Readers' comments, in whatever name.
+COMMENT_WORDS = frozenset("comment comments commentlist disqus respond reply replies".split())
+
+#: Readings of a page: by all names; by those that name a part clearly; by none.
+ALL_NAMES, CLEAR_NAMES, NO_NAMES = 2, 1, 0
+#: The second reading takes the place of the first if its container has so many times its points.
+MORE_POINTS = 3.0
 
 LEAST_PARAGRAPH = 25
 LEAST_SIBLING = 80
@@ -95,8 +111,10 @@ def _hidden(attributes: dict[str, str]) -> bool:
 class Page:
     """The elements of a page in the order of their start; ``parent`` points back."""
 
-    def __init__(self, source: str, by_name: bool) -> None:
-        self.by_name = by_name
+    def __init__(self, source: str, names: int) -> None:
+        self.names = names
+        self.doubtful = False  # a part was left out for a name that need not mean it
+        self.points = 0.0
         self.tags, self.parents, self.dropped, self.bonus = ["html"], [-1], [False], [0.0]
         self.parts: list[tuple[int, str]] = []  # (element, text) in page order; an empty text is white space
         self._stack = [0]
@@ -208,9 +226,9 @@ class Page:
         named = _attributes(attributes)
         if _hidden(named):
             return True, 0.0
-        if not self.by_name:
+        if not self.names:
             return False, bonus
-        article = aside = False
+        article = own = pure = clear = loose = pure_id = False
         for name in ("class", "id", "role"):
             value = named.get(name, "")
             if name == "role" and value.strip().lower() in ROLES:
@@ -219,10 +237,22 @@ class Page:
                 words = [w.lower() for w in _PARTS.findall(one)]
                 article |= not ARTICLE_WORDS.isdisjoint(words)
                 if not _HAVING.isdisjoint(words) or ASIDE_WORDS.isdisjoint(words):
-                    continue
-                aside |= ARTICLE_WORDS.isdisjoint(words) or words[-1] in ASIDE_WORDS
-        if aside and tag not in ("html", "body", "main") and not (tag in HEADING and titled):
-            return True, 0.0
+                    own |= not OWN_WORDS.isdisjoint(words)
+                elif ARTICLE_WORDS.isdisjoint(words) or words[-1] in ASIDE_WORDS:
+                    bare = ASIDE_WORDS.union(FILL_WORDS, ARTICLE_WORDS).issuperset(words)
+                    pure |= bare
+                    pure_id |= bare and name == "id"
+                    clear |= bare or not COMMENT_WORDS.isdisjoint(words)
+                    loose = True
+        if loose and tag not in ("html", "body", "main") and not (tag in HEADING and titled):
+            # An <article>, or what is named like one, has words of its subjects and its layout in its names too.
+            if tag == "article":
+                aside = pure and not own
+            else:
+                aside = pure_id if own else clear or self.names == ALL_NAMES
+                self.doubtful |= aside and not own and not clear
+            if aside:
+                return True, 0.0
         return False, bonus + (CLASS_POINTS if article and tag in CONTAINER else 0.0)
 
     def _article_of(self, best: int) -> int:
@@ -277,8 +307,10 @@ class Page:
         if not any(total):
             named = [i for i in range(n) if self.bonus[i] and size[i]]
             best = named[0] if named else 0
+            self.points = self.bonus[best]
         else:
             best = self._article_of(max(range(n), key=lambda i: (total[i], -i)))
+            self.points = max(total)
         kept = {best}
         floor = SIBLING_SHARE * total[best]
         for i in range(1, n) if best else ():
@@ -318,8 +350,14 @@ def main_text(source: str | None) -> str:
     """The article of one page, one block per line."""
     if not source:
         return ""
-    blocks = Page(source, by_name=True).main_blocks() or Page(source, by_name=False).main_blocks()
-    return "\n".join(blocks)
+    page = Page(source, ALL_NAMES)
+    blocks = page.main_blocks()
+    if page.doubtful:
+        second = Page(source, CLEAR_NAMES)
+        other = second.main_blocks()
+        if other and (not blocks or second.points > MORE_POINTS * page.points):
+            blocks = other
+    return "\n".join(blocks or Page(source, NO_NAMES).main_blocks())
 
 
 def extract_text(pages: DataFrame, *, source: str = "html", keep: Sequence[str] | None = None) -> DataFrame:
