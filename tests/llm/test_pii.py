@@ -1,10 +1,11 @@
 import re
+import time
 
 import numpy as np
 import pytest
 
 from tillbook.llm.pii import SpanClassifier, find_personal_data, likelihoods, mask, mask_personal_data, pattern_of, train_spans
-from tillbook.llm.pii_labelers import base_spans, candidates
+from tillbook.llm.pii_labelers import add_apart, base_spans, candidates
 
 # The contract's patterns, plainly.
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -41,6 +42,32 @@ def test_long_runs_take_linear_time():
         candidates(unit * 200_000)
 
 
+def test_a_hundred_thousand_numbers_take_seconds():
+    texts = ["".join(unit.format(i % 10_000) for i in range(100_000)) for unit in ("call (555) 123-{0:04d} or ", "4539 1488 0343 {0:04d}x ", "me (at) h{0}.com, ")]
+    classifier = SpanClassifier(*_counted([t[:20_000] for t in texts]))
+    started = time.time()
+    for text in texts:
+        classifier.spans(text)
+    assert time.time() - started < 90
+
+
+def _counted(texts):
+    patterns = [pattern_of(c) for t in texts for c in candidates(t)]
+    return np.unique(np.array(patterns), return_counts=True)
+
+
+def test_spans_apart_are_those_of_plain_comparison():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        spans, plainly = [], []
+        for a in rng.integers(0, 60, 30).tolist():
+            b = a + int(rng.integers(1, 6))
+            fits = not any(x < b and a < y for x, y in plainly)
+            plainly += [(a, b)] if fits else []
+            assert add_apart(spans, a, b) == fits
+        assert spans == sorted(plainly)
+
+
 def test_votes_add_spans_and_base_ones_stay(spark):
     good = [f"ring +1 (20{i % 10}) 555-{i:04d} or write to u{i}@mail.example.com now" for i in range(200)]
     lost = "ring +1 (269) 555-3296 4539148803436467 today"  # one run of 27 digits to the base patterns

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillbook.llm.common import map_text, pieces, prepare
-from tillbook.llm.pii_labelers import KINDS, LABELERS, Candidate, candidates
+from tillbook.llm.pii_labelers import KINDS, LABELERS, Candidate, add_apart, candidates
 
 _BASES = (len(KINDS), *[3] * len(LABELERS), 4, 4, 5)
 ADD_FROM = 0.5
@@ -143,8 +143,9 @@ class SpanClassifier:
         scored = [(c, self.score(c)) for c in candidates(text)]
         kept = [(c, s) for c, s in scored if c.base]
         added: list[tuple[Candidate, float]] = []
+        taken: list[tuple[int, int]] = []
         for c, s in sorted((x for x in scored if not x[0].base and x[1] >= ADD_FROM), key=lambda x: (-x[1], x[0].start)):
-            if not any(c.start < o.end and o.start < c.end for o, _ in added):
+            if add_apart(taken, c.start, c.end):
                 added.append((c, s))
         kept = sorted(kept + added, key=lambda x: (x[0].kind, x[0].start))
         return [{"kind": KINDS[c.kind], "start": c.start, "end": c.end, "score": s, "base": c.base} for c, s in kept]

@@ -6,6 +6,7 @@ A labeler votes 1 (personal data of this kind), -1 (not) or 0 (no opinion).
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from typing import NamedTuple
 
 KINDS = ("email", "ip", "card", "phone")
@@ -137,6 +138,15 @@ def _votes(kind: int, text: str, start: int, end: int, base: bool) -> Candidate:
     return Candidate(kind, start, end, base, votes, (_side(before), _side(after), min(len(span) // 8, 4)))
 
 
+def add_apart(spans: list[tuple[int, int]], start: int, end: int) -> bool:
+    """Puts a span among sorted ones that don't overlap, unless it overlaps one of them."""
+    at = bisect_left(spans, (start, end))
+    if (at and spans[at - 1][1] > start) or (at < len(spans) and spans[at][0] < end):
+        return False
+    spans.insert(at, (start, end))
+    return True
+
+
 def candidates(text: str | None) -> list[Candidate]:
     """Base spans, and looser ones that overlap none of them, by kind and start."""
     if not text:
@@ -158,10 +168,7 @@ def candidates(text: str | None) -> list[Candidate]:
         own: list[tuple[int, int]] = []
         for pattern in _MORE[name]:
             for m in pattern.finditer(text):
-                a, b = m.span()
-                if not any(x < b and a < y for x, y in own):
-                    own.append((a, b))
-        own.sort()
+                add_apart(own, *m.span())
         i = 0
         for a, b in own:
             while i < len(taken) and taken[i][1] <= a:
