@@ -3,7 +3,7 @@ from conftest import SMALL  # noqa: F401
 from pyspark.sql import functions as F
 
 from tillbook.llm.queries import held_out
-from tillbook.llm.quality import STATISTICS, fit, score_quality, train_quality
+from tillbook.llm.quality import FOLDS, SHRINK_DIAGONAL, SHRINK_POOLED, STATISTICS, _moments, choose_shrinkage, fit, score_quality, train_quality
 
 
 def test_held_out_accuracy(spark):
@@ -44,3 +44,28 @@ def test_odd_documents(spark, odd, no_documents):
     assert {r["score"] for r in score_quality(odd, unlearnt).collect()} == {0.5}
     one_class = train_quality(odd, labels.where("quality = 1"))
     assert {round(r["score"], 6) for r in score_quality(odd, one_class).collect()} == {round(3 / 4, 6)}
+
+
+def test_shrinkage_is_chosen_by_the_folds(spark):
+    """Every pair's error, and the choice, as by a plain loop over the training rows."""
+    rng = np.random.default_rng(8)
+    d, n = len(STATISTICS), 240
+    label = (rng.random(n) < 0.7).astype(int)
+    turn = np.linalg.qr(rng.standard_normal((d, d)))[0]
+    x = rng.standard_normal((n, d)) * np.linspace(0.2, 3, d) @ turn * np.where(label == 1, 1, 1.6)[:, None] + 0.4 * label[:, None]
+    fold = np.arange(n) % FOLDS
+    rows = [(int(c), [float(v) for v in r], int(f)) for c, r, f in zip(label, x, fold, strict=True)]
+    labelled = spark.createDataFrame(rows, "label long, statistics array<double>, fold long").repartition(3)
+    errors = {}
+    for p in SHRINK_POOLED:
+        for q in SHRINK_DIAGONAL:
+            missed = np.zeros(2)
+            for f in range(FOLDS):
+                ones = np.column_stack([np.ones(n), x])
+                own = {c: ones[(fold != f) & (label == c)] for c in (0, 1)}
+                model = fit({c: v.T @ v for c, v in own.items()}, p, q)
+                at = fold == f
+                wrong = (model.scores(x[at]) >= 0.3) != label[at]
+                missed += np.bincount(label[at][wrong], minlength=2)
+            errors[p, q] = round(missed[0] / (label == 0).sum() + missed[1] / (label == 1).sum(), 12)
+    assert choose_shrinkage(labelled, _moments(labelled)) == min(errors, key=errors.get)

@@ -2,7 +2,8 @@
 
 Every document becomes a vector of transformed statistics. Per class, counts, sums and cross products
 are added up over all labelled rows; the class covariances are shrunk towards the pooled one and towards
-its diagonal, and factored once. A score is the logistic function of the difference of the two
+its diagonal, and factored once. How much they are shrunk is chosen by cross-validation among the labelled
+rows: folds by the hash of the document's id, each judged by the moments of the others. A score is the logistic function of the difference of the two
 log-densities (half squared Mahalanobis distances and log-determinants), with the class shares as prior.
 """
 
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillbook.llm.common import Words, fields, map_text
+from tillbook.llm.common import Words, fields, map_text, stored
 
 LETTERS, UPPER, DIGITS, SPACE, LINES, STOPS, SYMBOLS = range(7)
 _CLASS = np.full(256, SYMBOLS, dtype=np.uint8)
@@ -32,8 +33,11 @@ STATISTICS = (
     "variety",
 )
 
-SHRINK_POOLED = 0.5
-SHRINK_DIAGONAL = 0.05
+#: Shares of the pooled covariance and of the diagonal that are tried, strongest first; without errors to
+#: tell them apart, the first pair is taken.
+SHRINK_POOLED = (0.8, 0.5, 0.2, 0.05)
+SHRINK_DIAGONAL = (0.3, 0.1, 0.05, 0.01)
+FOLDS = 4
 PREDICT_FROM = 0.3
 
 
@@ -106,32 +110,68 @@ class Discriminant:
         return 1 / (1 + np.exp(-np.clip(self.constant + (far[0] - far[1]) / 2, -500, 500)))
 
 
-def _moments(labelled: DataFrame) -> dict[int, np.ndarray]:
-    """Per label, the flattened sums of all products of (1, statistics) with itself, over all rows."""
+def _moments(labelled: DataFrame) -> dict[int, dict[int, np.ndarray]]:
+    """Per fold and label, the sums of all products of (1, statistics) with itself, over all rows."""
     d = len(STATISTICS) + 1
+    groups = [(f, c) for f in range(FOLDS) for c in (0, 1)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = {0: np.zeros((d, d)), 1: np.zeros((d, d))}
+        total = {g: np.zeros((d, d)) for g in groups}
         for batch in batches:
             rows = np.array(batch.column("statistics").flatten()).reshape(-1, d - 1)
             rows = np.column_stack([np.ones(rows.shape[0]), rows])
-            label = batch.column("label").to_numpy(zero_copy_only=False)
-            for c in total:
-                own = rows[label == c]
-                total[c] += own.T @ own
-        for c, sums in total.items():
+            label, fold = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("label", "fold"))
+            for f, c in groups:
+                own = rows[(label == c) & (fold == f)]
+                total[f, c] += own.T @ own
+        for (f, c), sums in total.items():
             cell = np.arange(d * d)
-            made = [pa.array(np.full(d * d, c)), pa.array(cell), pa.array(sums.ravel())]
-            yield pa.RecordBatch.from_arrays(made, names=["label", "cell", "value"])
+            made = [pa.array(np.full(d * d, f)), pa.array(np.full(d * d, c)), pa.array(cell), pa.array(sums.ravel())]
+            yield pa.RecordBatch.from_arrays(made, names=["fold", "label", "cell", "value"])
 
-    sums = labelled.select("label", "statistics").mapInArrow(run, "label long, cell long, value double")
-    out = {0: np.zeros(d * d), 1: np.zeros(d * d)}
-    for row in sums.groupBy("label", "cell").agg(F.sum("value").alias("value")).collect():  # 2 d^2 numbers
-        out[row["label"]][row["cell"]] = row["value"]
-    return {c: v.reshape(d, d) for c, v in out.items()}
+    sums = labelled.select("label", "fold", "statistics").mapInArrow(run, "fold long, label long, cell long, value double")
+    out = {f: {c: np.zeros(d * d) for c in (0, 1)} for f in range(FOLDS)}
+    for row in sums.groupBy("fold", "label", "cell").agg(F.sum("value").alias("value")).collect():  # 2 FOLDS d^2 numbers
+        out[row["fold"]][row["label"]][row["cell"]] = row["value"]
+    return {f: {c: v.reshape(d, d) for c, v in own.items()} for f, own in out.items()}
 
 
-def fit(moments: dict[int, np.ndarray], pooled: float = SHRINK_POOLED, diagonal: float = SHRINK_DIAGONAL) -> Discriminant:
+def _sum(moments: dict[int, dict[int, np.ndarray]], but: int | None = None) -> dict[int, np.ndarray]:
+    return {c: sum(m[c] for f, m in moments.items() if f != but) for c in (0, 1)}
+
+
+def choose_shrinkage(labelled: DataFrame, moments: dict[int, dict[int, np.ndarray]], predict_from: float = PREDICT_FROM) -> tuple[float, float]:
+    """The pair of shrinkages with the least error over all folds; of equal ones the strongest.
+
+    The error is the mean over both classes of the share of wrong predictions.
+    """
+    pairs = [(p, d) for p in SHRINK_POOLED for d in SHRINK_DIAGONAL]
+    models = [[fit(_sum(moments, f), p, d) for p, d in pairs] for f in range(FOLDS)]
+    shared = labelled.sparkSession.sparkContext.broadcast(models)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        wrong = np.zeros((2, len(pairs)), dtype=np.int64)
+        for batch in batches:
+            rows = np.array(batch.column("statistics").flatten()).reshape(-1, len(STATISTICS))
+            label, fold = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("label", "fold"))
+            for f in np.unique(fold).tolist():
+                at = fold == f
+                for i, model in enumerate(own[f]):
+                    missed = (model.scores(rows[at]) >= predict_from) != label[at]
+                    wrong[:, i] += np.bincount(label[at][missed].astype(np.int64), minlength=2)
+        made = [pa.array(np.repeat([0, 1], len(pairs))), pa.array(np.tile(np.arange(len(pairs)), 2)), pa.array(wrong.ravel())]
+        yield pa.RecordBatch.from_arrays(made, names=["label", "pair", "wrong"])
+
+    counts = labelled.select("label", "fold", "statistics").mapInArrow(run, "label long, pair long, wrong long")
+    n = {c: max(1.0, _sum(moments)[c][0, 0]) for c in (0, 1)}
+    error = np.zeros(len(pairs))
+    for row in counts.groupBy("label", "pair").agg(F.sum("wrong").alias("wrong")).collect():  # a few numbers
+        error[row["pair"]] += row["wrong"] / n[row["label"]]
+    return pairs[int(np.argmin(np.round(error, 12)))]
+
+
+def fit(moments: dict[int, np.ndarray], pooled: float, diagonal: float) -> Discriminant:
     """The discriminant of given class moments; without two rows of either class, the prior alone."""
     n = np.array([moments[c][0, 0] for c in (0, 1)])
     prior = float(np.log((n[1] + 1) / (n[0] + 1)))
@@ -147,6 +187,9 @@ def fit(moments: dict[int, np.ndarray], pooled: float = SHRINK_POOLED, diagonal:
     for own in cov:
         s = (1 - pooled) * own + pooled * both
         s = (1 - diagonal) * s + diagonal * np.diag(np.diag(s)) + 1e-6 * np.eye(s.shape[0])
+        least, axes = np.linalg.eigh((s + s.T) / 2)
+        if least[0] < 1e-7:  # rows that are almost equal leave only the rounding of their sums
+            s = (axes * np.maximum(least, 1e-6)) @ axes.T
         lower = np.linalg.cholesky(s)
         factors.append(np.linalg.inv(lower))
         logs.append(np.log(np.diag(lower)).sum())
@@ -155,10 +198,15 @@ def fit(moments: dict[int, np.ndarray], pooled: float = SHRINK_POOLED, diagonal:
 
 def train_quality(docs: DataFrame, labels: DataFrame, *, doc: str = "doc_id", text: str = "text", label: str = "quality") -> Discriminant:
     """The discriminant of all documents that have a label 0 or 1; repeated rows count each time."""
-    rows = with_statistics(docs.where(F.col(f"`{doc}`").isNotNull()), text, [doc])
     known = labels.select(F.col(f"`{doc}`").alias("known"), F.col(f"`{label}`").cast("long").alias("label"))
-    known = known.where("label in (0, 1)")
-    return fit(_moments(rows.join(known, F.col(f"`{doc}`") == F.col("known"))))
+    known = known.where("label in (0, 1) AND known IS NOT NULL")
+    # Only the texts that have a label are read closer; labels are a small part of what documents are.
+    texts = docs.select(F.col(f"`{doc}`").alias("doc"), F.col(f"`{text}`").alias("text"))
+    rows = with_statistics(texts.join(known, F.col("doc") == F.col("known")), "text", ["doc", "label"])
+    fold = F.pmod(F.xxhash64(F.col("doc").cast("string")), F.lit(FOLDS))
+    labelled = stored(rows.select("label", "statistics", fold.alias("fold")), "labelled")
+    moments = _moments(labelled)
+    return fit(_sum(moments), *choose_shrinkage(labelled, moments))
 
 
 def score_quality(
