@@ -3,6 +3,7 @@
 import pytest
 from compare import duck, duck_rows, spark_rows
 from conftest import SMALL
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tillbook.llm.oracle import ORACLE_SQL
@@ -48,3 +49,16 @@ def test_pipeline_over_odd_documents(spark, odd):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, SMALL)
     assert empty.count() == 0
+
+
+def test_pipeline_stages_keep_columns_named_like_results(spark):
+    """Columns that the operators make themselves hold what the caller put there, after every stage that keeps columns."""
+    names = ("score", "predicted", "n_words", "n_hit", "n_items", "items", "contaminated", "row", "whole", "text key", "node", "found", "marks", "statistics")
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    named = docs.select("*", *[F.concat(F.lit(f"{c}-"), "doc_id").alias(c) for c in names])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before, named = named.columns, stage(spark, named, SMALL)
+        assert named.columns == before, name
+        wrong = [F.col(f"`{c}`") != F.concat(F.lit(f"{c}-"), "doc_id") for c in names]
+        count = named.count()
+        assert count > 0 and named.where(F.coalesce(*[F.when(w, True) for w in wrong])).count() == 0, name
