@@ -200,9 +200,9 @@ def train_quality(docs: DataFrame, labels: DataFrame, *, doc: str = "doc_id", te
     """The discriminant of all documents that have a label 0 or 1; repeated rows count each time."""
     known = labels.select(F.col(f"`{doc}`").alias("known"), F.col(f"`{label}`").cast("long").alias("label"))
     known = known.where("label in (0, 1) AND known IS NOT NULL")
-    # Only the texts that have a label are read closer; labels are a small part of what documents are.
-    texts = docs.select(F.col(f"`{doc}`").alias("doc"), F.col(f"`{text}`").alias("text"))
-    rows = with_statistics(texts.join(known, F.col("doc") == F.col("known")), "text", ["doc", "label"])
+    # Statistics of all texts are made where they lie: to read labelled texts only, all texts would be shuffled first.
+    texts = docs.select(F.col(f"`{doc}`").alias("doc"), F.col(f"`{text}`").alias("text")).where("doc IS NOT NULL")
+    rows = with_statistics(texts, "text", ["doc"]).join(known, F.col("doc") == F.col("known"))
     fold = F.pmod(F.xxhash64(F.col("doc").cast("string")), F.lit(FOLDS))
     labelled = stored(rows.select("label", "statistics", fold.alias("fold")), "labelled")
     moments = _moments(labelled)
