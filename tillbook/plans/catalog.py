@@ -25,14 +25,15 @@ from tillbook.operators.filters import filter_sales
 from tillbook.operators.headers import header_map, plan_files
 from tillbook.operators.verdict import count_rows, detected_events, file_report, outcome_events, rejected_rows
 from tillbook.plans.dashboard import PANELS
+from tillbook.plans.order import disorders
 from tillbook.plans.sample_books import busy_opener, workbook_bytes, write_file, write_workbooks
 from tillbook.plans.states import PanelStates
 from tillbook.plans.untidy import untidy_files, untidy_rows
-from tillbook.plans.views import VIEWS
-from tillbook.schema import CANONICAL_COLUMNS, SALES_COLUMNS
+from tillbook.plans.views import VIEWS, register_views
+from tillbook.schema import CANONICAL_COLUMNS, INGEST_LOG_SCHEMA, SALES_COLUMNS
 from tillbook.package import ship_package
 from tillbook.sources.folder import workbook_files, workbook_stream
-from tillbook.sources.staging import append_sales, read_sales
+from tillbook.sources.staging import append_sales, query, query_scalar, read_sales
 from tillbook.sources.star import star_sales
 from tillbook.sources.workbook import raw_files, raw_rows, scan_workbooks
 from tillbook.streaming.ingest import SalesStore, append_batch, ingest_folder, start_ingest_stream
@@ -388,6 +389,65 @@ def approx_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("region", "state", "unique_customers", within.alias("within_error"))
 
 
+ORDERED_VIEWS = ("v_daily_sales", "v_regional_performance", "v_date_region", "v_heatmap_region_month")
+ORDERED_PANELS = {"daily_sales": ("sale_date",), "regional": ("-total_revenue",), "file_statistics": ("-first_loaded_at",)}
+
+
+def row_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of ordered views and panels, and how many neighbours among them stand the wrong way round."""
+    sales = sales_table(spark, sf_dir)
+    views = {v: (VIEWS[v](sales), VIEWS[v].order) for v in ORDERED_VIEWS}
+    return disorders(views | {p: (PANELS[p](sales), order) for p, order in ORDERED_PANELS.items()})
+
+
+def sql_access(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A view by SQL with a parameter, beside scalars: all rows, a query without rows, and a table that was never written."""
+    register_views(spark, sales_table(spark, sf_dir))
+    rows = query(spark, "SELECT region, state, total_orders FROM v_regional_performance WHERE region = :r", {"r": "ASIA"})
+    everything = query_scalar(spark, "SELECT count(*) FROM staging_sales")
+    nothing = query_scalar(spark, "SELECT total_revenue FROM v_daily_sales WHERE sale_date < DATE '1900-01-01'")
+    unwritten = SalesStore(f"{_new_folder(spark, 'unwritten')}/store").sales(spark).count()
+    return rows.withColumns({"all_rows": F.lit(everything), "no_row": F.lit(nothing is None), "unwritten_rows": F.lit(unwritten)})
+
+
+def load_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales without a loading time, appended in three batches: rows and distinct loading times of each, and whether these are of now."""
+    store, begun = SalesStore(f"{_new_folder(spark, 'defaults')}/store"), datetime.now(timezone.utc)
+    for part in range(3):
+        rows = sales_table(spark, sf_dir).filter(F.year("sale_date") % 3 == part).select(*CANONICAL_COLUMNS, "source_file")
+        append_batch(rows, store, f"part-{part}")
+    times = F.coalesce(F.min("loaded_at") >= F.lit(begun), F.lit(False)) & (F.max("loaded_at") <= F.current_timestamp())
+    per_batch = store.sales(spark).groupBy(F.split("batch_id", "[.]")[0].alias("batch"))
+    return per_batch.agg(F.count("loaded_at").alias("rows_loaded"), F.countDistinct("loaded_at").alias("n_times"), times.alias("of_now"))
+
+
+def last_resort_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The days of sale per year, from files whose cells mostly have one format, some a time of day, and some one-digit parts."""
+    days = sales_table(spark, sf_dir).filter("sale_date IS NOT NULL").select("sale_date").distinct()
+    kind = F.dayofyear("sale_date") % 5
+    cell = (
+        F.when(kind == 0, F.date_format("sale_date", "yyyy-M-d"))
+        .when(kind == 1, F.date_format("sale_date", "yyyy-MM-dd'T'10:20:30"))
+        .otherwise(F.date_format("sale_date", "dd/MM/yyyy"))
+    )
+    path = F.concat(F.lit("/inbox/"), F.year("sale_date").cast("string"), F.lit(".xlsx"))
+    cells = F.array(cell, *[F.lit("1") for _ in CANONICAL_COLUMNS[1:]])
+    rows = days.select(path.alias("path"), F.element_at(F.split(path, "/"), -1).alias("source_file"), F.unix_date("sale_date").cast("long").alias("row_no"), cells.alias("cells"))
+    files = rows.select("path", "source_file").distinct().select("*", F.array(*map(F.lit, CANONICAL_COLUMNS)).alias("headers"), F.lit(None).cast("string").alias("error"))
+    return clean(rows, add_date_mode(plan_files(files), rows)).select("source_file", "sale_date")
+
+
+def long_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log events of one rejected file per customer, whose reason is longer than a message may be."""
+    reason = F.repeat(F.concat_ws("; ", "c_name", "c_mktsegment"), 40)
+    given = {"source_file": F.concat("c_name", F.lit(".xlsx")), "reason": reason}
+    unknown = {f.name: F.lit(None).cast(f.dataType) for f in INGEST_LOG_SCHEMA}
+    columns = ("source_file", "path", "modified_at", "columns_read", "rows_read", "rows_loaded", "rows_dropped", "seconds", "reason")
+    report = spark.read.parquet(f"{sf_dir}/customer.parquet").select(*[given.get(c, unknown.get(c, F.lit(None))).alias(c) for c in columns])
+    at = F.lit(datetime(2024, 1, 2, 3, 4, 5, tzinfo=timezone.utc))
+    return outcome_events(report, at).select("source_file", "event", "message", "target_name")
+
+
 def queries() -> dict[str, Query]:
     """Every registered query."""
     out: dict[str, Query] = {v.removeprefix("v_"): partial(_view, v) for v in VIEWS}
@@ -417,5 +477,10 @@ def queries() -> dict[str, Query]:
         retried_files=retried_files,
         log_after_compaction=log_after_compaction,
         approx_customers=approx_customers,
+        row_order=row_order,
+        sql_access=sql_access,
+        load_defaults=load_defaults,
+        last_resort_dates=last_resort_dates,
+        long_messages=long_messages,
     )
     return out

@@ -357,6 +357,23 @@ WORKBOOK_SQL = {
        for name in ("folder_batch", "batch_then_stream", "two_streams", "ingest_resumed", "retried_files")},
     "overlapping_loads": f"""SELECT loads, {_SALES_LIST} FROM staging_sales,
         (VALUES ('batch in stream'), ('stream in batch'), ('batch in batch')) AS l(loads)""",
+    "row_order": """
+        SELECT 'v_daily_sales' AS name, count(DISTINCT sale_date) AS n_rows, 0::BIGINT AS n_out_of_order FROM staging_sales
+        UNION ALL SELECT 'daily_sales', count(DISTINCT sale_date), 0 FROM staging_sales
+        UNION ALL SELECT n, count(*), 0 FROM (SELECT DISTINCT region, state FROM staging_sales),
+            (VALUES ('v_regional_performance'), ('regional')) AS v(n) GROUP BY n
+        UNION ALL SELECT 'v_date_region', count(*), 0 FROM (SELECT DISTINCT sale_date, region FROM staging_sales WHERE sale_date IS NOT NULL)
+        UNION ALL SELECT 'v_heatmap_region_month', count(*), 0
+            FROM (SELECT DISTINCT region, strftime(sale_date, '%Y-%m') FROM staging_sales WHERE sale_date IS NOT NULL AND region IS NOT NULL)
+        UNION ALL SELECT 'file_statistics', count(DISTINCT source_file), 0 FROM staging_sales""",
+    "sql_access": """SELECT region, state, count(*) AS total_orders, (SELECT count(*) FROM staging_sales) AS all_rows,
+        true AS no_row, 0::BIGINT AS unwritten_rows FROM staging_sales WHERE region = 'ASIA' GROUP BY region, state""",
+    "load_defaults": """SELECT 'part-' || (year(sale_date) % 3) AS batch, count(*) AS rows_loaded, 1::BIGINT AS n_times, true AS of_now
+        FROM staging_sales GROUP BY ALL""",
+    "last_resort_dates": "SELECT DISTINCT year(sale_date) || '.xlsx' AS source_file, sale_date FROM staging_sales",
+    "long_messages": """SELECT c_name || '.xlsx' AS source_file, event,
+        substr(repeat(c_name || '; ' || c_mktsegment, 40), 1, CASE event WHEN 'failure' THEN 600 ELSE 400 END) AS message,
+        '20240102_030405_' || c_name || '.xlsx' AS target_name FROM customer, (VALUES ('failure'), ('corrupted')) AS e(event)""",
     "approx_customers": f"""SELECT region, state, {_CUSTOMERS} AS unique_customers, true AS within_error
         FROM staging_sales GROUP BY ALL""",
     "log_after_compaction": """SELECT strftime(sale_date, '%Y-%m') AS sale_month, count(*) AS rows_loaded,
