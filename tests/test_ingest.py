@@ -3,6 +3,7 @@
 import io
 import os
 import time
+import tracemalloc
 import zipfile
 from datetime import date, datetime
 
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from tillbook.plans.dashboard import refresh
 from tillbook.plans.sample_books import workbook_bytes
 from tillbook.schema import CANONICAL_COLUMNS, FILES_SCHEMA
+from tillbook.sources import workbook
 from tillbook.sources.folder import workbook_files, workbook_stream
 from tillbook.sources.workbook import raw_files, raw_rows, scan_workbooks, sheet_rows
 from tillbook.streaming import ingest
@@ -73,6 +75,26 @@ def test_cell_kinds():
     assert rows[3] == ["#N/A", None, "12"]
 
 
+@pytest.mark.parametrize("bound, grows", [(1 << 30, True), (1 << 16, False)])
+def test_shared_strings_beyond_the_bound(monkeypatch, bound, grows):
+    """The same rows from a table in files, and memory that does not grow with it."""
+    monkeypatch.setattr(workbook, "STRING_BYTES", bound)
+    held = []
+    for n in (60_000, 180_000):
+        texts = [f"é{i} " + "x" * (i % 50) for i in range(n)]
+        strings = f"<sst {NS}>" + "".join(f"<si><t xml:space='preserve'>{t}</t></si>" for t in texts) + "</sst>"
+        order = [(i * 7919) % n for i in range(n)]
+        cells = "".join(f'<row><c t="s"><v>{i}</v></c><c t="s"><v>{j}</v></c></row>' for i, j in enumerate(order))
+        book = io.BytesIO(parts(**{"xl/worksheets/sheet1.xml": f"<worksheet {NS}><sheetData>{cells}</sheetData></worksheet>", "xl/sharedStrings.xml": strings}))
+        del strings, cells
+        tracemalloc.start()
+        for i, row in enumerate(sheet_rows(book)):
+            assert row == [texts[i], texts[order[i]]]
+        held.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert (held[1] - held[0] > 8e6) == grows, held
+
+
 def test_1904_calendar():
     book = parts(**{"xl/worksheets/sheet1.xml": SHEET, "xl/sharedStrings.xml": STRINGS, "xl/styles.xml": STYLES,
                     "xl/workbook.xml": zipfile.ZipFile(io.BytesIO(workbook_bytes(["a"], []))).read("xl/workbook.xml")

@@ -86,7 +86,8 @@ def sales_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def landing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw rows of all untidy files, as a scan would leave them."""
-    path = _written(spark, sf_dir, "raw_rows", lambda p: untidy_rows(spark, sf_dir).write.parquet(p))
+    # Dealt evenly, as the landing table of a scan is by its tasks; the number of parts follows from the size.
+    path = _written(spark, sf_dir, "raw_rows", lambda p: untidy_rows(spark, sf_dir).hint("rebalance").write.parquet(p))
     return spark.read.parquet(path)
 
 

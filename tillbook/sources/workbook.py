@@ -3,17 +3,21 @@
 Spark distributes the paths; each task opens its own files where they are, reads
 only the parts it needs with the standard library, and hands Arrow batches back.
 A sheet holds at most 1,048,576 rows by the file format, so one workbook is a
-bounded unit of work; its rows are streamed, and no file is held whole.
+bounded unit of work; its rows are streamed, its shared strings go to a file
+beyond a bound, and nothing of it is held whole.
 """
 
 from __future__ import annotations
 
+import os
 import re
+import struct
 import time
 import zipfile
 from collections.abc import Callable, Iterator
 from datetime import datetime, timedelta
 from posixpath import basename, join, normpath
+from tempfile import TemporaryFile
 from typing import BinaryIO
 from xml.etree import ElementTree
 
@@ -67,15 +71,72 @@ def _plain_text(element) -> str:
     return "".join(parts)
 
 
-def _shared_strings(book: zipfile.ZipFile) -> list[str]:
+#: Shared strings of so many bytes are held in memory; those beyond go to a file.
+STRING_BYTES = 32 << 20
+_RECENT = 4096
+
+
+class SharedStrings:
+    """The string table of a workbook. Beyond a bound its bytes, and where each string begins, are in files.
+
+    The files are the task's own scratch: they have no name, and go with the task.
+    """
+
+    def __init__(self, bound: int | None = None) -> None:
+        self._bound = STRING_BYTES if bound is None else bound
+        self._near: list[str] = []
+        self._held = self._written = 0
+        self._texts: BinaryIO | None = None
+        self._ends: BinaryIO | None = None
+        self._recent: dict[int, str] = {}
+
+    def append(self, text: str) -> None:
+        if self._texts is None:
+            if self._held <= self._bound:
+                self._near.append(text)
+                self._held += len(text) + 64
+                return
+            self._texts, self._ends = TemporaryFile(), TemporaryFile()
+            self._ends.write(struct.pack("<q", 0))
+        data = text.encode("utf-8", "surrogatepass")
+        self._texts.write(data)
+        self._written += len(data)
+        self._ends.write(struct.pack("<q", self._written))
+
+    def close_writing(self) -> None:
+        """To be called once, after the last string."""
+        if self._texts is not None:
+            self._texts.flush()
+            self._ends.flush()
+
+    def __getitem__(self, i: int) -> str:
+        if 0 <= i < len(self._near):
+            return self._near[i]
+        text = self._recent.get(i)
+        if text is None:
+            where = os.pread(self._ends.fileno(), 16, 8 * (i - len(self._near))) if self._ends and i >= 0 else b""
+            if len(where) < 16:
+                raise IndexError(f"no shared string {i}")
+            begin, end = struct.unpack("<qq", where)
+            text = os.pread(self._texts.fileno(), end - begin, begin).decode("utf-8", "surrogatepass")
+            if len(self._recent) >= _RECENT:
+                self._recent.clear()
+            self._recent[i] = text
+        return text
+
+
+def _shared_strings(book: zipfile.ZipFile) -> SharedStrings:
+    strings = SharedStrings()
     if "xl/sharedStrings.xml" not in book.namelist():
-        return []
-    strings = []
+        return strings
     with book.open("xl/sharedStrings.xml") as part:
-        for _, element in ElementTree.iterparse(part):
-            if _tag(element) == "si":
+        events = ElementTree.iterparse(part, events=("start", "end"))
+        _, root = next(events)
+        for event, element in events:
+            if event == "end" and _tag(element) == "si":
                 strings.append(_plain_text(element))
-                element.clear()
+                root.clear()  # also of the elements that were read
+    strings.close_writing()
     return strings
 
 
@@ -122,7 +183,7 @@ def _number_text(value: str) -> str:
     return value if value.lstrip("-").isdigit() else repr(float(value))
 
 
-def _cell_text(cell, ns: str, strings: list[str], dated: set[int], day_zero: datetime) -> str | None:
+def _cell_text(cell, ns: str, strings: SharedStrings, dated: set[int], day_zero: datetime) -> str | None:
     kind = cell.get("t", "n")
     if kind == "inlineStr":
         inline = cell.find(ns + "is")
