@@ -1,9 +1,13 @@
 import hashlib
+import time
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 from test_words import words_of
 
-from tillbook.llm.decontaminate import WINDOW, decontaminate
+from tillbook.llm.common import Words
+from tillbook.llm.decontaminate import WINDOW, decontaminate, item_windows, rarest_prefixes
 
 
 def brute(docs, items):
@@ -65,3 +69,44 @@ def test_odd_documents(spark, odd, no_documents):
     assert decontaminate(no_documents, items).count() == 0
     none = decontaminate(odd, items.limit(0))
     assert none.count() == odd.count() and none.where("n_hit > 0 OR contaminated").count() == 0
+
+
+def test_windows_are_those_of_plain_python():
+    rng = np.random.default_rng(4)
+    texts = [" ".join(rng.choice(["a", "Bb", "ü", "c3"], rng.integers(0, 40))) for _ in range(60)] + [None, "", "..", "x" * 5000, "q w e r t"]
+    names = [str(i % 50) for i in range(len(texts))]
+    expected = {}
+    for name, text in zip(names, texts, strict=True):
+        words = words_of(text)
+        n = min(WINDOW, len(words))
+        for i in range(len(words) - n + 1) if n else ():
+            expected.setdefault(" ".join(words[i : i + n]).encode(), set()).add(name)
+    found = item_windows(pa.array(names), pa.array(texts))
+    got = {found.text(w): {found.names[i] for i in found.item[found.first[w] : found.first[w + 1]]} for w in range(found.at.size)}
+    assert got == expected and found.at.size == len(expected)
+
+
+def test_hash_collisions_keep_windows_apart(monkeypatch):
+    """With every hash the same, windows are still told apart by their words."""
+    windows = Words.windows
+    monkeypatch.setattr(Words, "windows", lambda self, n: (lambda at, value: (at, value * np.uint64(0) + np.uint64(7)))(*windows(self, n)))
+    found = item_windows(pa.array(["a", "b", "c"]), pa.array(["one two", "one three", "one two"]))
+    got = [(found.text(w), sorted(found.names[i] for i in found.item[found.first[w] : found.first[w + 1]])) for w in range(found.at.size)]
+    assert (b"one three", ["b"]) in got and {t for t, _ in got} == {b"one two", b"one three"}
+
+
+def test_a_block_of_16_mb_takes_bounded_memory():
+    rng = np.random.default_rng(6)
+    words = np.array([f"{a}{i}" for i in range(3000) for a in ("wo", "rdly", "x")])
+    texts = [" ".join(rng.choice(words, 40)) for _ in range(60_000)]
+    ids, texts = pa.array([str(i) for i in range(len(texts))]), pa.array(texts)
+    assert 15 << 20 < texts.nbytes < 18 << 20
+    tracemalloc.start()
+    started = time.time()
+    block = item_windows(ids, texts)
+    keys = np.unique(block.shingle)
+    prefixes = rarest_prefixes(block, keys, np.ones(keys.size, dtype=np.int64))
+    held, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert most < 500e6 and time.time() - started < 60
+    assert held < 300e6 and prefixes.windows.size > 1_000_000

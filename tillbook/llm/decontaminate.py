@@ -6,8 +6,9 @@ corpus. Documents are joined with these prefix shingles by hash; the place of a
 gives the only possible start, which must leave room for the window's length; then the words are compared.
 
 The documents stay where they are: only benchmark windows travel, as broadcast blocks of at most
-``block_bytes`` of benchmark text. A larger benchmark is taken in several blocks, one pass each, whose
-marks are joined per document in a stored table.
+``block_bytes`` of benchmark text (or one longer item). The driver and each Python worker hold a block as
+arrays: about 20 times its text while it is built, 8 times after. A larger benchmark is taken in several blocks, one pass
+each, whose marks are joined per document in a stored table.
 """
 
 from __future__ import annotations
@@ -35,55 +36,91 @@ _FILTER_BITS = 22
 
 @dataclass
 class Windows:
-    """The distinct windows of one block of items, all arrays ready to be broadcast.
+    """The distinct windows of one block of items, as arrays that can be broadcast.
 
-    Shingles of window ``w`` are ``shingle[first[w]:first[w + 1]]``, in the order of their places.
+    ``data`` holds the items' words, a space between those of one item; word ``p`` is ``data[begin[p]:end[p]]``.
+    Window ``w`` is the ``sizes[w]`` words from ``at[w]`` on, and stands in the items
+    ``names[i]`` for i in ``item[first[w]:first[w + 1]]``. ``shingle[p]`` is the hash of the shingle that begins at
+    word ``p``; only the driver needs it.
     """
 
-    texts: list[bytes]
+    data: np.ndarray
+    begin: np.ndarray
+    end: np.ndarray
+    at: np.ndarray
     sizes: np.ndarray
     hashes: np.ndarray
-    shingle: np.ndarray
     first: np.ndarray
-    items: list[list[str]]
+    item: np.ndarray
+    names: list[str]
+    shingle: np.ndarray
+    shingle_sizes: list[int]
+
+    def text(self, w: int) -> bytes:
+        """The words of a window, joined by a space."""
+        at = self.at[w]
+        return self.data[self.begin[at] : self.end[at + self.sizes[w] - 1]].tobytes()
+
+    def shingles(self) -> np.ndarray:
+        """How many shingles each window has, one behind the other from its first word on."""
+        return self.sizes.astype(np.int64) - np.minimum(SHINGLE, self.sizes) + 1
+
 
-    @property
-    def shingle_sizes(self) -> list[int]:
-        return sorted({min(SHINGLE, int(n)) for n in self.sizes})
+def _joined(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The lower-cased words with one space between those of a text, and where each word begins and ends."""
+    more = np.ones(words.begin.size, dtype=np.int64)
+    more[words.first[1:][words.counts > 0] - 1] = 0  # the last word of a text
+    size = words.end - words.begin
+    end = np.cumsum(size + more) - more
+    change = np.zeros(words.lower.size + 2, dtype=np.int8)
+    change[words.begin] += 1
+    change[words.end + more] -= 1
+    data = words.lower[np.cumsum(change[: words.lower.size], dtype=np.int8) > 0]
+    data[end[more > 0]] = 32
+    return data, (end - size).astype(np.int32), end.astype(np.int32)
 
 
 def item_windows(ids: pa.Array, texts: pa.Array) -> Windows:
     """All windows of the given items, equal ones once with the items that hold them."""
     words = Words(texts)
     names = [i if i is not None else "" for i in ids.cast(pa.string()).to_pylist()]
-    at: dict[bytes, int] = {}
-    out = replace(NO_WINDOWS, texts=[], items=[])
-    sizes, hashes, shingles, first = [], [], [], [0]
-    by_size = {n: dict(zip(*(x.tolist() for x in words.windows(n)), strict=True)) for n in range(1, WINDOW + 1)}
-    for item, name in enumerate(names):
-        n, begin = int(words.counts[item]), int(words.first[item])
-        size = min(WINDOW, n)
-        for start in range(begin, begin + n - size + 1) if n else ():
-            text = words.bytes_of(start, size)
-            w = at.setdefault(text, len(out.texts))
-            if w == len(out.texts):
-                out.texts.append(text)
-                out.items.append([])
-                sizes.append(size)
-                hashes.append(by_size[size][start])
-                k = min(SHINGLE, size)
-                shingles.extend(by_size[k][s] for s in range(start, start + size - k + 1))
-                first.append(len(shingles))
-            if name not in out.items[w][-1:]:
-                out.items[w].append(name)
-    out.sizes = np.array(sizes, dtype=np.int64)
-    out.hashes = np.array(hashes, dtype=np.uint64)
-    out.shingle = np.array(shingles, dtype=np.uint64)
-    out.first = np.array(first, dtype=np.int64)
+    item = np.repeat(np.arange(len(names)), words.counts)
+    rest = words.first[1:][item] - np.arange(item.size)  # words from here to the end of the item
+    size = np.minimum(WINDOW, words.counts)[item]
+    k = np.minimum(SHINGLE, words.counts)[item]
+    shingle = np.zeros(item.size, dtype=np.uint64)
+    for n in np.unique(k):
+        at, value = words.windows(int(n))
+        own = k[at] == n
+        shingle[at[own]] = value[own]
+    at = np.flatnonzero(rest >= size)
+    sizes, hashes = size[at].astype(np.int8), np.zeros(at.size, dtype=np.uint64)
+    for n in np.unique(sizes):
+        place, value = words.windows(int(n))
+        own = sizes == n
+        hashes[own] = value[np.searchsorted(place, at[own])]
+    item = item[at]
+    data, begin, end = _joined(words)
+    out = Windows(data, begin, end, at.astype(np.int32), sizes, hashes, np.zeros(1, np.int32), np.zeros(0, np.int32), names, shingle, [int(n) for n in np.unique(k)])
+
+    order = np.lexsort((at, hashes))
+    new = np.ones(at.size, dtype=bool)
+    new[1:] = hashes[order][1:] != hashes[order][:-1]
+    group = np.cumsum(new) - 1
+    kept = order[new]
+    apart = [w for w, g in zip(order[~new].tolist(), group[~new].tolist(), strict=True) if out.text(w) != out.text(kept[g])]
+    of = np.empty(at.size, dtype=np.int64)
+    of[order] = group
+    of[apart] = kept.size + np.arange(len(apart))  # other words under the same hash are windows of their own
+    kept = np.concatenate([kept, np.array(apart, dtype=np.int64)])
+    held = np.unique(of * max(len(names), 1) + item)
+    out.first = np.searchsorted(held, np.arange(kept.size + 1) * max(len(names), 1)).astype(np.int32)
+    out.item = (held % max(len(names), 1)).astype(np.int32)
+    out.at, out.sizes, out.hashes = out.at[kept], sizes[kept], hashes[kept]
     return out
 
 
-NO_WINDOWS = Windows([], np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(1, np.int64), [])
+NO_WINDOWS = item_windows(pa.array([], pa.string()), pa.array([], pa.string()))
 
 
 class Lookup:
@@ -144,16 +181,18 @@ def rarest_prefixes(windows: Windows, keys: np.ndarray, documents: np.ndarray) -
     """The rarest shingle of every window; of equally rare ones the first in key order."""
     rank = np.empty(keys.size, dtype=np.int64)
     rank[np.lexsort((keys, documents))] = np.arange(keys.size)
-    of_shingle = rank[np.searchsorted(keys, windows.shingle)]
-    key, place = [], []
-    for a, b in zip(windows.first[:-1], windows.first[1:], strict=True):
-        best = int(np.argmin(of_shingle[a:b]))
-        key.append(windows.shingle[a + best])
-        place.append(best)
-    chosen = np.array(key, dtype=np.uint64)
-    order = np.argsort(chosen, kind="stable")
+    of_word = rank[np.searchsorted(keys, windows.shingle)] if keys.size else np.zeros(0, np.int64)
+    many = windows.shingles()
+    best, place = np.full(many.size, keys.size, dtype=np.int64), np.zeros(many.size, dtype=np.int8)
+    for o in range(int(many.max(initial=0))):
+        own = np.flatnonzero(many > o)
+        found = of_word[windows.at[own] + o]
+        less = found < best[own]
+        best[own[less]], place[own[less]] = found[less], o
+    chosen = windows.shingle[windows.at + place]
+    order = np.argsort(chosen, kind="stable").astype(np.int32)
     unique, first = np.unique(chosen[order], return_index=True)
-    return Prefixes(unique, np.append(first, order.size), order, np.array(place, dtype=np.int64)[order])
+    return Prefixes(unique, np.append(first, order.size).astype(np.int32), order, place[order])
 
 
 def find_windows(words: Words, windows: Windows, prefixes: Prefixes, lookup: Lookup) -> tuple[np.ndarray, np.ndarray]:
@@ -178,7 +217,7 @@ def find_windows(words: Words, windows: Windows, prefixes: Prefixes, lookup: Loo
         own = np.flatnonzero(windows.sizes[number] == size)
         at, value = words.windows(int(size))
         same[own] = value[np.searchsorted(at, start[own])] == windows.hashes[number[own]]
-    right = [i for i in np.flatnonzero(same) if words.bytes_of(start[i], windows.sizes[number[i]]) == windows.texts[number[i]]]
+    right = [i for i in np.flatnonzero(same) if words.bytes_of(start[i], windows.sizes[number[i]]) == windows.text(number[i])]
     return start[right], number[right]
 
 
@@ -186,9 +225,12 @@ def mark_block(docs: DataFrame, text: str, keep: list[str], block: Windows) -> D
     """``keep``, and per document: a bit per word that is hit, the items found, the number of words."""
     spark = docs.sparkSession
     prepare(spark)
-    keys = np.unique(block.shingle)
+    whole = np.zeros(block.shingle.size + 1, dtype=np.int64)
+    np.add.at(whole, block.at, 1)
+    np.add.at(whole, block.at + block.shingles(), -1)
+    keys = np.unique(block.shingle[np.cumsum(whole[:-1]) > 0])  # of the places that are in a window
     prefixes = rarest_prefixes(block, keys, shingle_documents(docs, text, keys, block.shingle_sizes))
-    shared = spark.sparkContext.broadcast((block, prefixes))
+    shared = spark.sparkContext.broadcast((replace(block, shingle=NO_WINDOWS.shingle), prefixes))
 
     def start():
         windows, chosen = shared.value
@@ -206,7 +248,7 @@ def mark_block(docs: DataFrame, text: str, keep: list[str], block: Windows) -> D
             document = document_of(words.first, begin)
             for d in np.unique(document):
                 marks[d] = np.packbits(hit[words.first[d] : words.first[d + 1]]).tobytes()
-                found[d] = sorted({i for w in np.unique(number[document == d]) for i in windows.items[w]})
+                found[d] = sorted({windows.names[i] for w in np.unique(number[document == d]) for i in windows.item[windows.first[w] : windows.first[w + 1]]})
             return [pa.array(marks, pa.binary()), pa.array(found, pa.list_(pa.string())), pa.array(words.counts)]
 
         return step
