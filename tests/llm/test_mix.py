@@ -61,3 +61,18 @@ def test_odd_documents(odd, no_documents):
     assert found.count() == odd.count() and found.columns.count("taken") == 1
     assert found.where("text IS NULL AND (size <> 0 OR taken <> 0)").count() == 0
     assert mix(no_documents).count() == 0
+
+
+def test_target_among_equal_rows(spark):
+    """The target falls among rows of one id: many texts, and many copies of one."""
+    rows = [(None, "hot", "w " * (1 + i % 5)) for i in range(600)] + [(None, "hot", f"x{i} y") for i in range(300)]
+    rows += [(9, "hot", None)] * 50 + [(i, "cold", "a b c") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(5)
+    weights = spark.createDataFrame([("hot", 1.0), ("cold", 1.0)], "source string, weight double")
+    for share in (0.05, 0.37, 0.8, 1.5):
+        mixed = mix(docs, weights=weights, share=share)
+        assert mixed.count() == len(rows) and mixed.where("taken < 0 OR taken > 2 * size").count() == 0
+        for r in mixed.groupBy("source").agg(F.sum("taken").alias("taken"), F.max("target").alias("target")).collect():
+            assert r["taken"] == int(r["target"])
+        again = mix(docs.repartition(3), weights=weights, share=share)
+        assert sorted(map(str, mixed.collect())) == sorted(map(str, again.collect()))

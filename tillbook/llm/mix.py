@@ -4,8 +4,9 @@ The words of the mix are a share of all words. They are dealt to the sources in
 weights; a source whose part would exceed its maximum of epochs is clamped there, and what is left over is
 dealt again among the others, until no part exceeds. A source is then taken as often as its target holds
 it whole, and a seeded part of it once more: its documents in the order of a hash, up to the target, the
-last one in part. All steps are grouped sums; a source is never gathered in one place, only the documents
-of the one hash slice in which its target is met.
+last one in part. The place where a target is met is found by sums of hash slices, then by running totals of
+the keys within one slice, which are sorted into parts by range. No source, slice or set of equal rows is gathered in one
+task, and no text is sorted.
 """
 
 from __future__ import annotations
@@ -79,6 +80,23 @@ def water_fill(weighted: DataFrame, share: float = SHARE, max_epochs: float = MA
     return rows.withColumn("target", target).drop("cap")
 
 
+def _parts(frame: DataFrame, value: str, what: str) -> DataFrame:
+    """The frame stored, with ``before``: the sum of ``value`` over its source in all earlier parts; ``part`` names the part."""
+    parts = stored(frame.withColumn("part", F.spark_partition_id()), what)
+    earlier = Window.partitionBy("of").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per part
+    sums = parts.groupBy("of", "part").agg(F.sum(value).alias("n"))
+    sums = sums.select(F.col("of").alias("whose"), F.col("part").alias("earlier_than"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    met = (F.col("part") == F.col("earlier_than")) & F.col("of").eqNullSafe(F.col("whose"))
+    return parts.join(sums, met).drop("earlier_than", "whose")
+
+
+def _met(sums: DataFrame, upto: Column, targets: DataFrame, left: str) -> DataFrame:
+    """The row of each source in which ``left`` of it is met, with ``open``: what is left when the row begins."""
+    found = sums.withColumn("upto", upto).join(targets, F.col("of").eqNullSafe(F.col("source")))
+    found = found.where((F.col("upto") > F.col(left)) & (F.col("upto") - F.col("size") <= F.col(left)))
+    return found.withColumn("open", F.col(left) - F.col("upto") + F.col("size"))
+
+
 def mix(
     docs: DataFrame,
     *,
@@ -97,18 +115,21 @@ def mix(
     seeds give equal mixes. The words taken from a source are its target, rounded down; a document gives
     at most one more than the whole number of epochs. Rows that repeat are taken one by one; documents of
     one id are ordered by size and text. A null text has no words; a null source is a source; a null id is
-    the empty string. Input columns named like a result give way to it.
+    the empty string. Rows alike in id and text, where the target falls among them, are taken one after the
+    other, in no stated order. Input columns named like a result give way to it.
     """
     new = ("size", "source_size", "target", "taken")
     keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in new]
     order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(f"`{doc}`").cast("string"), F.lit(""))))
+    body = F.col(f"`{text}`").cast("string")
+    key = F.struct(order.alias("order"), words_in(text).alias("size"), F.md5(body).alias("text"), body.isNull().alias("none"))
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row") if keep else F.struct(F.lit(0).alias("none")).alias("row"),
         F.col(f"`{source}`").cast("string").alias("source"),
         words_in(text).alias("size"),
         order.alias("order"),
         F.substring(order, 1, SLICE_DIGITS).alias("slice"),
-        F.col(f"`{text}`").cast("string").alias("text"),
+        key.alias("key"),
     )
     slices = stored(rows.groupBy("source", "slice").agg(F.sum("size").alias("size")), "slices")
     sources = source_sizes(slices)
@@ -122,24 +143,30 @@ def mix(
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     targets = targets.withColumn("whole", whole.cast("long"))
     targets = targets.withColumn("rest", F.floor("target").cast("long") - F.col("whole") * F.col("source_size"))
-    # The slice in which the rest of a source is met, and what comes before it.
+    # The slice in which the rest of a source is met, and in it the key.
     named = slices.select(F.col("source").alias("of"), "slice", "size")
-    upto = F.sum("size").over(Window.partitionBy("of").orderBy("slice"))
-    met = named.withColumn("upto", upto).join(targets, F.col("of").eqNullSafe(F.col("source")))
-    met = met.where((F.col("upto") > F.col("rest")) & (F.col("upto") - F.col("size") <= F.col("rest")))
-    plan = targets.join(
-        met.select("of", F.col("slice").alias("cut"), (F.col("upto") - F.col("size")).alias("before")),
-        F.col("source").eqNullSafe(F.col("of")), "left",
-    ).select(F.col("source").alias("of"), "source_size", "target", "whole", "rest", "cut", "before")
+    cuts = _met(named, F.sum("size").over(Window.partitionBy("of").orderBy("slice")), targets, "rest")
+    cuts = stored(cuts.select("source", F.col("slice").alias("cut"), "open"), "cuts")
+    inside = rows.select(F.col("source").alias("of"), "slice", "key", "size").join(
+        cuts.select("source", "cut"), F.col("of").eqNullSafe(F.col("source")) & (F.col("slice") == F.col("cut"))
+    )
+    keys = inside.groupBy("of", "key").agg(F.sum("size").alias("size"))
+    keys = _parts(keys.orderBy("of", "key"), "size", "keys")
+    within = F.sum("size").over(Window.partitionBy("part", "of").orderBy("key"))
+    edges = _met(keys, F.col("before") + within, cuts, "open")
+    edges = edges.select("of", "cut", F.col("key").alias("edge"), "open")
+    plan = targets.join(edges, F.col("source").eqNullSafe(F.col("of")), "left").select(
+        F.col("source").alias("of"), "source_size", "target", "whole", "cut", "edge", "open"
+    )
     dealt = rows.join(stored(plan, "targets"), F.col("source").eqNullSafe(F.col("of")))
-    # A source that is taken in whole epochs, or has no words, has no such slice, or one with nothing in it.
-    sure = dealt.where("cut IS NULL OR slice <> cut")
-    sure = sure.withColumn("taken", F.col("size") * (F.col("whole") + F.when(F.col("slice") < F.col("cut"), 1).otherwise(0)))
-    close = dealt.where("slice = cut")
-    earlier = Window.partitionBy("of").orderBy("order", "size", F.md5("text"), F.col("text").isNull())
-    earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
-    open_ = F.col("rest") - F.col("before") - F.coalesce(F.sum("size").over(earlier), F.lit(0))
-    more = F.greatest(F.lit(0), F.least(F.col("size"), open_))
+    # A source that is taken in whole epochs, or has no words, has no edge.
+    at_edge = F.coalesce((F.col("slice") == F.col("cut")) & (F.col("key") == F.col("edge")), F.lit(False))
+    below = (F.col("slice") < F.col("cut")) | ((F.col("slice") == F.col("cut")) & (F.col("key") < F.col("edge")))
+    sure = dealt.where(~at_edge).withColumn("taken", F.col("size") * (F.col("whole") + F.when(below, 1).otherwise(0)))
+    close = dealt.where(at_edge).select("of", "row", "size", "source_size", "target", "whole", "open")
+    close = _parts(close.withColumns({"at": F.monotonically_increasing_id(), "one": F.lit(1)}), "one", "edges")
+    number = F.col("before") + F.row_number().over(Window.partitionBy("part", "of").orderBy("at")) - 1
+    more = F.greatest(F.lit(0), F.least(F.col("size"), F.col("open") - number * F.col("size")))
     close = close.withColumn("taken", F.col("size") * F.col("whole") + more)
     both = sure.select("row", *new).unionByName(close.select("row", *new))
     return both.select(*[F.col("row").getField(c).alias(c) for c in keep], *new)
