@@ -1,11 +1,15 @@
+import itertools
+import math
+import random
 import re
+from collections import Counter
 
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tillbook.llm.queries import op2_secrets
-from tillbook.llm.secrets import LEAST_LENGTH, Language, candidate_spans, count_words, find_candidates, known_label, remove_false_positives
+from tillbook.llm.secrets import LEAST_LENGTH, Language, candidate_spans, count_words, features, find_candidates, known_label, remove_false_positives
 
 
 def test_candidates_are_those_of_the_pattern():
@@ -24,7 +28,8 @@ WEB_TOKEN = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOjF9.dBjftJeZ-4_x"
     ('{"api_key": "QwErTyUiOp", "n": 1}', ["QwErTyUiOp"]), ("Authorization: Bearer abc.def~ghi+j==", ["abc.def~ghi+j=="]),
     (f"see {WEB_TOKEN}, then", [WEB_TOKEN]), ("passwd=pa$$w.rd@home!%~,x", ["pa$$w.rd@home!%~"]), ("x --token Zq9.Lm2!k y", ["Zq9.Lm2!k"]),
     ("db = p4ss.w0rd!", ["p4ss.w0rd!"]), ("session: QwErTyUiOp.", ["QwErTyUiOp"]), ("cmd: 'login token=a1b2c3 now'", ["a1b2c3"]),
-    ("user=u&token=Ab:cd=ef9&x=1", ["Ab:cd=ef9"]), ("at 12:30 a: b, no value = 1", []), ("password:\nnext", []), ("tokens and passwords", []),
+    ("signing_key=zz9", ["zz9"]), ("key = abcdef", ["abcdef"]), ("private key abcdEFGH1234", ["abcdEFGH1234"]), ("monkey = abc", []),
+    ("cookie: a=b", ["a=b"]), ("user=u&token=Ab:cd=ef9&x=1", ["Ab:cd=ef9"]), ("at 12:30 a: b, no value = 1", []), ("password:\nnext", []), ("tokens and passwords", []),
 ])
 def test_short_values_and_values_with_signs_are_candidates(text, values):
     assert [text[b:e] for b, e in candidate_spans(pa.array([text]))[0]] == values
@@ -41,7 +46,7 @@ ISSUED = "ghp_" + "a1B2" * 9
     ("x 6fa459ea-ee8a-3ca4-894e-db77e160355e", [0]), (f"x{ISSUED}", [None]),
 ])
 def test_labels_are_by_clear_marks_only(text, labels):
-    language = Language({"word": 1, "words": 1})
+    language = Language({"word": 1, "words": 1}, {})
     assert [known_label(text, b, e, language) for b, e in candidate_spans(pa.array([text]))[0]] == labels
 
 
@@ -64,15 +69,65 @@ def test_held_out_findings(spark):
     assert row[0] >= 50 and row[1] >= 20 and row[2] >= 0.97
 
 
+def plain_counts(texts, rarity):
+    """Words and pairs by plain counting."""
+    words = Counter(w for t in texts for w in re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")))
+    words = Counter({w: n for w, n in words.items() if 3 <= len(w) <= 12 and not re.search("[0-9]", w)})
+    pairs = Counter()
+    for w, n in words.items():
+        for i in range(len(w) - 1):
+            pairs[w[i : i + 2]] += n
+    return tuple({k: n for k, n in c.items() if n * rarity >= sum(c.values())} for c in (words, pairs))
+
+
 def test_word_counts(spark, odd):
-    words = count_words(odd, size=40)
-    assert words["alpha"] == 4 and words["iota"] == 1 and words["one"] == 2 and len(words) == 14
-    assert set(count_words(odd, size=13)) == set(words) - {"iota"} and count_words(odd, size=2) == {}
-    language = Language({"alpha": 3, "beta": 1, "alph": 1})
-    assert language.coverage("alphabeta7") == 0.9 and language.coverage("x7x7") == 0.0
+    docs = odd.union(odd.where("doc_id = 9")).unionByName(odd.limit(0))
+    texts = [r["text"] for r in docs.select("text").collect()]
+    for rarity in (10, 30, 200_000):
+        assert count_words(docs, rarity=rarity) == plain_counts(texts, rarity)
+    assert count_words(odd)[0]["alpha"] == 4 and "éééé" not in count_words(odd)[0] and count_words(odd)[0]["ééé"] == 50
+    assert count_words(odd.limit(0)) == ({}, {})
+    given = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    assert count_words(given) == plain_counts([r["text"] for r in given.select("text").collect()], 200_000)
+
+
+def test_language():
+    language = Language({"alpha": 3, "beta": 1, "alph": 1, "the": 9}, {"al": 4, "lp": 4, "ph": 4, "ha": 3, "be": 1, "et": 1, "ta": 1})
+    assert language.coverage("alphabeta7") == 0.9 and language.coverage("x7x7") == 0.0 and language.coverage("thethe1") == 6 / 7
     assert language.surprise("alpha") < language.surprise("xq7z9")
 
 
+def plain_coverage(value, words):
+    low, at, covered = value.lower(), 0, 0
+    while at < len(low):
+        fits = [w for w in words if low.startswith(w, at)]
+        covered += max(map(len, fits), default=0)
+        at += max(map(len, fits), default=1)
+    return covered / len(low)
+
+
+def test_features_against_plain_ones():
+    chance = random.Random(5)
+    words = {"".join(chance.choices("abé", k=chance.randint(3, 6))) for _ in range(40)}
+    language = Language(dict.fromkeys(words, 1), {"ab": 3, "ba": 2})
+    for _ in range(200):
+        value = "".join(chance.choices("abéAB1-", k=chance.randint(1, 30)))
+        got = features(f"my key = {value} of", 9, 9 + len(value), "a/b", language)
+        kinds = ["d" if c.isdigit() else "l" if c.islower() else "u" if c.isupper() else "o" for c in value]
+        assert got[0] == len(value) and got[1] == sum(x != y for x, y in itertools.pairwise(kinds)) / max(len(value) - 1, 1)
+        assert got[2:6] == [kinds.count(k) / len(value) for k in "dluo"]
+        bits = [{"ab": -math.log2(4 / 67), "ba": -math.log2(3 / 66)}.get(value[i : i + 2].lower(), 12.0) for i in range(len(value) - 1)]
+        assert got[8] == pytest.approx(sum(bits) / max(len(bits), 1)) and got[9] == pytest.approx(plain_coverage(value, words))
+
+
+def test_forest_does_not_depend_on_the_layout(spark):
+    chance = random.Random(3)
+    rows = [(int(x + chance.random() > 1), [x, chance.random(), float(i % 3)]) for i, x in enumerate([chance.random() for _ in range(400)])]
+    found = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, label int, features array<double>")
+    one, two = (remove_false_positives(found, found.repartition(n, "i")).orderBy("i").select("score").collect() for n in (1, 7))
+    assert one == two
+
+
 def test_odd_documents(spark, odd, no_documents):
     rows = [(1, "password=a1b2c3d4e5f6a7b8c9", None), (2, "ordinary-words-with-2-dashes", "p"), (2, "ordinary-words-with-2-dashes", "p")]
     docs = odd.select("doc_id", "text", "source").union(spark.createDataFrame(rows, "doc_id long, text string, source string"))
@@ -81,5 +136,5 @@ def test_odd_documents(spark, odd, no_documents):
     scored = remove_false_positives(found, found)
     assert scored.count() == found.count() and scored.where("score < 0 OR score > 1 OR score IS NULL").count() == 0
     assert {r["score"] for r in remove_false_positives(found, found.where("label = 0")).collect()} == {1 / (2 + found.where("label = 0").count())}
-    empty = find_candidates(no_documents, {})
+    empty = find_candidates(no_documents, ({}, {}))
     assert remove_false_positives(empty, empty).count() == 0

@@ -5,10 +5,9 @@ quotes around them, up to white space, a quote or one of ``,;&)}]>``); values of
 name or such a sign alone, or after ``Bearer``; and, wherever they stand, keys in an issuer's format, JSON web tokens
 and runs of 16 or more letters, digits and ``+/_-`` that hold a digit. A forest trained on labelled findings scores them by their length, how their characters follow one another (in kind, and against the
 corpus' own words), how much of them dictionary words cover, the path of their document, and the words
-around them. The dictionary is counted over all texts, but cut to at most ``DICTIONARY`` of the most frequent
-words of 3 to 12 letters, by whole classes of frequency (empty if the top class alone does not fit); character
-transitions are counted in these words only. The cut moves two features, and which findings are labelled as words;
-no candidate depends on it.
+around them. The dictionary holds the words of 3 to 12 letters that make up at least one in ``RARITY`` of all such words
+of all texts, so it has at most ``RARITY`` entries however many texts there are; character transitions are counted over all these words, in
+the dictionary or not, and kept by the same rule. Both move features, and which findings are labelled as words; no candidate depends on them.
 """
 
 from __future__ import annotations
@@ -33,10 +32,10 @@ from tillbook.llm.common import Words, fields, map_text, pieces, prepare, stored
 LEAST_LENGTH = 16
 #: Shortest value after a key's name or a sign of assignment alone; after both, any length will do.
 LEAST_VALUE = 8
-#: The dictionary holds at most this many of the most frequent words of 3 to 12 letters.
-DICTIONARY = 50_000
-#: Classes of frequency between a count and its double.
-FREQUENCY_CLASSES = 32
+#: A word belongs to the dictionary if it is at least one in so many of all words of 3 to 12 letters; a pair of letters alike.
+RARITY = 200_000
+#: Labelled findings in one part of the training rows; the number of parts follows from their number alone.
+PART_ROWS = 100_000
 TREES, DEPTH, SEED = 24, 8, 11
 SECRET_FROM = 0.5
 PATH_BUCKETS = 8
@@ -56,9 +55,11 @@ _NEAR = (
     frozenset("id uuid guid order invoice serial isbn card number phone".split()),
     frozenset("example sample test dummy placeholder fake".split()),
 )
-_NAMES = r"(?:password|passwd|pwd|passphrase|secret|token|api[_-]?key|access[_-]?key|auth|bearer)"
+_NAMES = r"(?:password|passwd|pwd|passphrase|secret|token|(?:api|access|private|signing)[ _-]?key|auth|bearer|credentials?)"
+#: Names that announce a value, but not surely a secret one.
+_ANY_NAME = rf"(?:{_NAMES}|(?<![^\W_])(?:key|session|cookie))"
 _GIVEN = r"[ \t]{0,20}(?:=>|:=|[=:])[ \t]{0,20}"
-_NAMED = re.compile(rf"{_NAMES}(?:(?P<sign>[\"']?{_GIVEN})|[\"']?[ \t]{{1,20}})", re.I)
+_NAMED = re.compile(rf"{_ANY_NAME}(?:(?P<sign>[\"']?{_GIVEN})|[\"']?[ \t]{{1,20}})", re.I)
 _SIGN = re.compile(r"(?<![=!<>:])(?:=>|:=|[=:])(?![=:]|//)[ \t]{0,20}")
 _QUOTED = re.compile(r"\"([^\"\n]+)\"|'([^'\n]+)'")
 _NAMED_VALUE = re.compile(r"[\"'`]?([^\s\"'`,;&)}\]>]+)")
@@ -69,7 +70,7 @@ _ISSUED = re.compile(
 )
 _KEY_NAME = re.compile(rf"(?:{_NAMES}[\"']?{_GIVEN}|(?<![^\W_])bearer[ \t]{{1,20}})[\"'`]?$", re.I)
 #: What keeps a value without a mark of a secret from being a sure false positive.
-_HINT = re.compile(_NAMES, re.I)
+_HINT = re.compile(_ANY_NAME, re.I)
 _DIGEST = re.compile(r"(?:hash|sha-?\d*|md5|commit|checksum|digest|revision)[\"']?\s{0,2}[=:]?\s{0,2}[\"']?$", re.I)
 _NUMBER = re.compile(r"[\d+/_.:-]+")
 _UUID = re.compile(r"[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}", re.I)
@@ -153,10 +154,10 @@ def _run_spans(texts: pa.Array) -> list[list[tuple[int, int]]]:
     return out
 
 
-def count_words(docs: DataFrame, text: str = "text", size: int = DICTIONARY) -> dict[str, int]:
-    """The most frequent words of 3 to 12 letters over all texts, with their counts.
+def count_words(docs: DataFrame, text: str = "text", rarity: int = RARITY) -> tuple[dict[str, int], dict[str, int]]:
+    """Counts of the words of 3 to 12 letters, and of the pairs of letters in them, that are one in ``rarity`` of all or more.
 
-    Words of like frequency are taken together: as many whole classes as fit, the most frequent first.
+    All texts are counted whole. What comes to the driver is at most ``rarity`` words and as many pairs.
     """
     prepare(docs.sparkSession)
 
@@ -165,7 +166,8 @@ def count_words(docs: DataFrame, text: str = "text", size: int = DICTIONARY) ->
         for batch in batches:
             for piece in pieces(batch, 0):
                 words = Words(piece.column(0))
-                lengths = words.end - words.begin
+                upto = np.concatenate([[0], np.cumsum((words.lower & 0xC0) != 0x80)])  # code points, not bytes
+                lengths = upto[words.end] - upto[words.begin]
                 fit = np.flatnonzero((lengths >= 3) & (lengths <= 12))
                 _, first, n = np.unique(words.hashes[fit], return_index=True, return_counts=True)
                 for w, k in zip(fit[first], n.tolist(), strict=True):
@@ -177,18 +179,17 @@ def count_words(docs: DataFrame, text: str = "text", size: int = DICTIONARY) ->
 
     texts = docs.select(F.col(f"`{text}`").cast("string"))
     counted = texts.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    kind = F.floor(F.log2(F.col("n")) * FREQUENCY_CLASSES)
-    counted = stored(counted.where(~F.col("word").rlike("[0-9]")).withColumn("class", kind), "words")
-    classes = counted.groupBy("class").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("class")).collect()  # 2048 at most
-    room, lowest = size, None
-    for row in classes:
-        room -= row["words"]
-        if room < 0:
-            break
-        lowest = row["class"]
-    if lowest is None:
-        return {}
-    return {r["word"]: r["n"] for r in counted.where(F.col("class") >= lowest).select("word", "n").collect()}  # ``size`` at most
+    counted = stored(counted.where(~F.col("word").rlike("[0-9]")), "words")
+    starts = F.sequence(F.lit(1), F.length("word") - 1)
+    pairs = counted.select(F.explode(F.transform(starts, lambda i: F.substring("word", i, F.lit(2)))).alias("pair"), "n")
+    pairs = stored(pairs.groupBy("pair").agg(F.sum("n").alias("n")), "pairs")
+    return _frequent(counted, "word", rarity), _frequent(pairs, "pair", rarity)
+
+
+def _frequent(counts: DataFrame, what: str, rarity: int) -> dict[str, int]:
+    """The counts that are one in ``rarity`` of their sum or more: at most ``rarity`` of them."""
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    return {r[what]: r["n"] for r in counts.where(F.col("n") * F.lit(rarity) >= F.lit(total)).select(what, "n").collect()}
 
 
 def _word_batch(seen: Counter[bytes]) -> pa.RecordBatch:
@@ -197,14 +198,10 @@ def _word_batch(seen: Counter[bytes]) -> pa.RecordBatch:
 
 
 class Language:
-    """The dictionary, and how likely one letter follows another in its words."""
+    """The dictionary, and how likely one letter follows another in the words of the corpus."""
 
-    def __init__(self, words: dict[str, int]) -> None:
+    def __init__(self, words: dict[str, int], pairs: dict[str, int]) -> None:
         self.words = frozenset(words)
-        pairs: Counter[str] = Counter()
-        for word, n in words.items():
-            for pair in zip(word, word[1:], strict=False):
-                pairs["".join(pair)] += n
         first: Counter[str] = Counter()
         for pair, n in pairs.items():
             first[pair[0]] += n
@@ -220,7 +217,7 @@ class Language:
         """Share of the characters that lie in dictionary words, taken greedily from the left, long ones first."""
         low, at, covered = value.lower(), 0, 0
         while at < len(low):
-            size = next((n for n in range(min(12, len(low) - at), 3, -1) if low[at : at + n] in self.words), 0)
+            size = next((n for n in range(min(12, len(low) - at), 2, -1) if low[at : at + n] in self.words), 0)
             covered += size
             at += size or 1
         return covered / len(low)
@@ -271,13 +268,13 @@ def known_label(text: str, start: int, end: int, language: Language) -> int | No
 
 
 def find_candidates(
-    docs: DataFrame, words: dict[str, int], *, text: str = "text", path: str = "source", keep: Sequence[str] = ("doc_id",)
+    docs: DataFrame, counted: tuple[dict[str, int], dict[str, int]], *, text: str = "text", path: str = "source", keep: Sequence[str] = ("doc_id",)
 ) -> DataFrame:
     """Columns ``keep``, begin, end, label and features of every candidate of every text, stored.
 
     The label is null without a clear mark. A null or empty text has no candidates, a null path is the empty string. Whole texts are searched.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(Language(words))
+    shared = docs.sparkSession.sparkContext.broadcast(Language(*counted))
     own_path = F.translate(F.coalesce(F.col(f"`{path}`").cast("string"), F.lit("")), "\n", " ")
     both = F.concat(own_path, F.lit("\n"), F.col(f"`{text}`").cast("string")).alias("path and text")
     rows = docs.select(*[F.col(f"`{c}`") for c in keep], both)
@@ -313,7 +310,8 @@ def remove_false_positives(candidates: DataFrame, training: DataFrame) -> DataFr
     """The candidates with score (0 to 1) and secret (score of 0.5 or more), by a forest grown on ``training``.
 
     Training rows have label (0 or 1; rows with null teach nothing) and features. If they lack one of the labels, every score is their
-    smoothed share of label 1. Rows that repeat count each time.
+    smoothed share of label 1. Rows that repeat count each time. The rows are dealt to parts by their content and sorted
+    there, so the forest does not depend on how the cluster laid them out.
     """
     training = training.where("label IS NOT NULL")
     seen = {r["label"]: r["n"] for r in training.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -322,6 +320,8 @@ def remove_false_positives(candidates: DataFrame, training: DataFrame) -> DataFr
         return candidates.withColumns({"score": F.lit(share), "secret": F.lit(share >= SECRET_FROM)})
     # Labels weigh the same in all, however few there are of one.
     weight = F.create_map(*[x for k, n in seen.items() for x in (F.lit(k), F.lit(1 / n))])
+    parts = -(-sum(seen.values()) // PART_ROWS)
+    training = training.select("label", "features").repartition(parts, "features", "label").sortWithinPartitions("features", "label")
     rows = training.select(F.col("label").cast("double"), array_to_vector("features").alias("features"), (weight[F.col("label")] * sum(seen.values()) / 2).alias("weight"))
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, weightCol="weight").fit(rows)
     scored = forest.transform(candidates.withColumn("features", array_to_vector("features")))
