@@ -143,6 +143,27 @@ def filtered_by_load_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_sales(sales_table(spark, sf_dir), **bounds).select(*SALES_COLUMNS)
 
 
+_CLUSTERED = ("region", "city", "product_category", "customer_name")
+
+
+def clustered_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sales table, stored along a curve through four columns."""
+    path = _written(
+        spark, sf_dir, "clustered_sales", lambda p: append_sales(star_sales(spark, sf_dir), p, "star", _CLUSTERED)
+    )
+    return read_sales(spark, path)
+
+
+def clustered_by_city(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sales of three cities, from the table along the curve."""
+    return filter_sales(clustered_sales(spark, sf_dir), cities=["NATION_1_C1", "NATION_8_C2", "NATION_17_C3"]).select(*SALES_COLUMNS)
+
+
+def clustered_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sales of one category, from the table along the curve."""
+    return filter_sales(clustered_sales(spark, sf_dir), categories=["PROMO"]).select(*SALES_COLUMNS)
+
+
 def fine_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sums and averages of amounts with many decimals, per category."""
     part = F.col("sales_amount") / 7.0
@@ -461,6 +482,8 @@ def queries() -> dict[str, Query]:
         filtered_by_customer=filtered_by_customer,
         filtered_by_file=filtered_by_file,
         filtered_by_load_time=filtered_by_load_time,
+        clustered_by_city=clustered_by_city,
+        clustered_by_category=clustered_by_category,
         header_map=mapped_headers,
         file_plan=planned_files,
         clean_sales=clean_sales,

@@ -183,6 +183,11 @@ TABLE_SQL = {
     "filtered_by_load_time": f"""
         SELECT {_SALES_LIST}, source_file, loaded_at FROM staging_sales
         WHERE loaded_at BETWEEN TIMESTAMP '1997-01-01' AND TIMESTAMP '1997-06-30'""",
+    "clustered_by_city": f"""
+        SELECT {_SALES_LIST}, source_file, loaded_at FROM staging_sales
+        WHERE city IN ('NATION_1_C1', 'NATION_8_C2', 'NATION_17_C3')""",
+    "clustered_by_category": f"""
+        SELECT {_SALES_LIST}, source_file, loaded_at FROM staging_sales WHERE product_category = 'PROMO'""",
 }
 
 

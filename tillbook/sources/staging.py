@@ -2,37 +2,43 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillbook.schema import STAGING_SCHEMA, STORED_SCHEMA
+from tillbook.sources.clustering import along_curve
 
 
 def _batch_path(table: str, batch_id: str) -> str:
     return f"{table}/batch_id={batch_id}"
 
 
-def append_sales(rows: DataFrame, table: str, batch_id: str) -> int:
+def append_sales(rows: DataFrame, table: str, batch_id: str, cluster_by: Sequence[str] = ()) -> int:
     """Write one batch into the table at path ``table`` and return its row count.
 
     Columns are matched by name; a missing ``loaded_at`` becomes the time of the
     load, a missing ``path`` is NULL. The batch has a folder of its own, so writing the same ``batch_id``
     again replaces it and a repeated batch never doubles rows. Rows are
     rebalanced by month to get few files, with large months split by adaptive
-    execution, and sorted to make row-group statistics selective.
+    execution, and sorted to make row-group statistics selective. ``cluster_by`` orders the rows of a month along a
+    curve through these columns instead; the rows are then read once more, to count their values.
     """
     if "loaded_at" not in rows.columns:
         rows = rows.withColumn("loaded_at", F.current_timestamp())
     if "path" not in rows.columns:
         rows = rows.withColumn("path", F.lit(None).cast("string"))
     month = F.coalesce(F.date_format("sale_date", "yyyy-MM"), F.lit("none"))
+    dated = rows.select(*STORED_SCHEMA.fieldNames(), month.alias("sale_month"))
+    if cluster_by:
+        ordered = along_curve(dated, cluster_by)
+    else:
+        ordered = dated.hint("rebalance", F.col("sale_month")).sortWithinPartitions("sale_month", "region", "city")
     (
-        rows.select(*STORED_SCHEMA.fieldNames(), month.alias("sale_month"))
-        .hint("rebalance", F.col("sale_month"))
-        .sortWithinPartitions("sale_month", "region", "city")
-        .write.mode("overwrite")
+        ordered.write.mode("overwrite")
         # Equality filters on these columns, by which rows aren't sorted, skip row groups.
         .option("parquet.bloom.filter.enabled#customer_name", "true")
         .option("parquet.bloom.filter.enabled#source_file", "true")

@@ -43,6 +43,7 @@ class SalesStore:
 
     ``lease_seconds``: for how long a load that has died keeps others from its files. ``compact_every``: ledger
     entries between two snapshots. ``opener``: opens a workbook in a task, for file systems that Arrow does not know.
+    ``cluster_by``: columns along whose curve the rows of a batch are stored (see :func:`append_sales`).
     """
 
     root: str
@@ -53,6 +54,7 @@ class SalesStore:
     lease_seconds: float = 900.0
     compact_every: int = 100
     opener: Opener | None = None
+    cluster_by: tuple[str, ...] = ()
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
@@ -168,7 +170,7 @@ def _load(claim: Claim, store: SalesStore) -> int:
 
     cleaned = clean(rows, planned, store.cleaning).withColumn("loaded_at", loaded_at)
     # The count per file is taken from the stored rows; the path that tells files apart goes with them.
-    loaded = append_sales(cleaned, store.path("staging_sales"), attempt)
+    loaded = append_sales(cleaned, store.path("staging_sales"), attempt, store.cluster_by)
 
     staged = read_batch(spark, store.path("staging_sales"), attempt)
     # Stored for the same reason as the file plan: the rejected rows are found without a shuffle.
@@ -189,7 +191,7 @@ def append_batch(rows: DataFrame, store: SalesStore, name: str) -> int:
     claim = store.ledger(spark).claim(name, store.lease_seconds, lambda _: spark.createDataFrame([], CLAIMED_SCHEMA), empty=True)
     claim.keep()
     try:
-        loaded = append_sales(rows, store.path("staging_sales"), claim.attempt_id)
+        loaded = append_sales(rows, store.path("staging_sales"), claim.attempt_id, store.cluster_by)
         commit(claim, loaded, 0)
     except BaseException:
         claim.release()
