@@ -122,15 +122,16 @@ def mix(
     keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in new]
     order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(f"`{doc}`").cast("string"), F.lit(""))))
     body = F.col(f"`{text}`").cast("string")
-    key = F.struct(order.alias("order"), words_in(text).alias("size"), F.md5(body).alias("text"), body.isNull().alias("none"))
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row") if keep else F.struct(F.lit(0).alias("none")).alias("row"),
         F.col(f"`{source}`").cast("string").alias("source"),
         words_in(text).alias("size"),
         order.alias("order"),
         F.substring(order, 1, SLICE_DIGITS).alias("slice"),
-        key.alias("key"),
+        body.alias("text"),
     )
+    # Made of the rows of one slice only, so above the joins that choose them.
+    key = F.struct("order", words_in("text").alias("size"), F.md5("text").alias("text"), F.col("text").isNull().alias("none"))
     slices = stored(rows.groupBy("source", "slice").agg(F.sum("size").alias("size")), "slices")
     sources = source_sizes(slices)
     if weights is None:
@@ -147,10 +148,10 @@ def mix(
     named = slices.select(F.col("source").alias("of"), "slice", "size")
     cuts = _met(named, F.sum("size").over(Window.partitionBy("of").orderBy("slice")), targets, "rest")
     cuts = stored(cuts.select("source", F.col("slice").alias("cut"), "open"), "cuts")
-    inside = rows.select(F.col("source").alias("of"), "slice", "key", "size").join(
+    inside = rows.select(F.col("source").alias("of"), "slice", "order", "text").join(
         cuts.select("source", "cut"), F.col("of").eqNullSafe(F.col("source")) & (F.col("slice") == F.col("cut"))
     )
-    keys = inside.groupBy("of", "key").agg(F.sum("size").alias("size"))
+    keys = inside.select("of", key.alias("key")).select("of", "key", F.col("key.size").alias("size")).groupBy("of", "key").agg(F.sum("size").alias("size"))
     keys = _parts(keys.orderBy("of", "key"), "size", "keys")
     within = F.sum("size").over(Window.partitionBy("part", "of").orderBy("key"))
     edges = _met(keys, F.col("before") + within, cuts, "open")
@@ -160,9 +161,10 @@ def mix(
     )
     dealt = rows.join(stored(plan, "targets"), F.col("source").eqNullSafe(F.col("of")))
     # A source that is taken in whole epochs, or has no words, has no edge.
-    at_edge = F.coalesce((F.col("slice") == F.col("cut")) & (F.col("key") == F.col("edge")), F.lit(False))
-    below = (F.col("slice") < F.col("cut")) | ((F.col("slice") == F.col("cut")) & (F.col("key") < F.col("edge")))
-    sure = dealt.where(~at_edge).withColumn("taken", F.col("size") * (F.col("whole") + F.when(below, 1).otherwise(0)))
+    inside_key = F.when(F.col("slice") == F.col("cut"), key)
+    at_edge = (F.col("slice") == F.col("cut")) & (inside_key == F.col("edge"))
+    below = (F.col("slice") < F.col("cut")) | (inside_key < F.col("edge"))
+    sure = dealt.where(~F.coalesce(at_edge, F.lit(False))).withColumn("taken", F.col("size") * (F.col("whole") + F.when(below, 1).otherwise(0)))
     close = dealt.where(at_edge).select("of", "row", "size", "source_size", "target", "whole", "open")
     close = _parts(close.withColumns({"at": F.monotonically_increasing_id(), "one": F.lit(1)}), "one", "edges")
     number = F.col("before") + F.row_number().over(Window.partitionBy("part", "of").orderBy("at")) - 1
