@@ -3,6 +3,7 @@ import collections
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from test_words import words_of
 
 from tillbook.llm import neardup
@@ -62,9 +63,10 @@ def grouped(frame):
     return sorted(sorted(v) for v in out.values())
 
 
-@pytest.mark.parametrize("block", [1024, 16])
-def test_same_classes_as_brute_force(spark, monkeypatch, block):
+@pytest.mark.parametrize(("block", "shingles"), [(1024, 1 << 20), (16, 1 << 20), (1024, 700)])
+def test_same_classes_as_brute_force(spark, monkeypatch, block, shingles):
     monkeypatch.setattr(neardup, "BLOCK", block)
+    monkeypatch.setattr(neardup, "BLOCK_SHINGLES", shingles)
     docs = family(block, 40)
     frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
     found = near_duplicates(frame)
@@ -72,6 +74,32 @@ def test_same_classes_as_brute_force(spark, monkeypatch, block):
     assert found.where("kept").count() == len(classes(docs))
 
 
+def test_blocks_are_bounded_by_shingles(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK_SHINGLES", 4000)
+    held = spark.sparkContext.accumulator(0)
+    rng = np.random.default_rng(3)
+    base = [f"w{i}" for i in range(400)]
+    docs = []
+    for i in range(60):  # one family in many components: each text keeps about half of the words
+        docs += [(i, " ".join(w if rng.random() < 0.98 else f"x{i}" for w in base))]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    plain = neardup._links_across
+
+    def counted(group):
+        held.add(int(group["shingles"].map(len).sum() > 3 * 4000))
+        return plain(group)
+
+    monkeypatch.setattr(neardup, "_links_across", counted)
+    assert grouped(near_duplicates(frame)) == classes(docs)
+    assert held.value == 0
+
+
+def test_texts_with_one_key_are_told_apart(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "text_key", lambda: F.lit(7).cast("long"))
+    docs = family(2, 8)
+    assert grouped(near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"))) == classes(docs)
+
+
 def test_multiset_counts_matter(spark):
     line = "one two three four five six seven. "
     docs = [(1, line * 10), (2, line * 9), (3, line * 30)]

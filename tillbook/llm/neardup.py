@@ -1,14 +1,15 @@
 """Near-duplicate documents: weighted MinHash signatures, bands, and verified multiset overlap.
 
 1. One pass gives every row the bag of its five-word shingles (a 16-byte id) and, per distinct bag, a
-   signature of 192 slots. Rows with one bag are one node from here on.
+   signature of 192 slots. Rows with one bag are one node from here on, named by a number.
 2. Nodes that agree in all six slots of one of 32 bands share a bucket. Every node is paired with the
    least node of each of its buckets; pairs whose signatures agree too little are left, the others are
    verified on their bags. Verified links form components.
 3. Buckets with nodes of several components are gone through again: their nodes are brought together by
    the largest of these components, and all pairs from different components are compared, first by
    signature, then by bag. What is already connected is not compared. Large sets are split into blocks
-   that meet two by two, so that no task holds more than two blocks.
+   that meet two by two, so that no group holds more than two blocks; a set has as many blocks as its
+   nodes or its shingles ask for, dealt by hash.
 
 A pair of similarity 0.8 shares no bucket with a probability of 6e-5.
 """
@@ -20,7 +21,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillbook.llm.bagminhash import BANDS, ROWS, SLOTS, bags_of, overlap, signatures
@@ -30,19 +31,25 @@ from tillbook.llm.components import components
 SIMILAR = 0.8
 #: Four standard deviations of the estimate at 0.8: a similar pair falls below with a probability of 3e-5.
 LEAST_ESTIMATE = SIMILAR - 4 * (SIMILAR * (1 - SIMILAR) / SLOTS) ** 0.5
-#: Nodes of a block of step 3.
+#: Nodes of a block of step 3, and distinct shingles (16 bytes each); a longer text is in a block as a whole.
 BLOCK = 1024
+BLOCK_SHINGLES = 1 << 20
 #: Keys (8 bytes each) that are broadcast at most; more are joined by a shuffle.
 BROADCAST_KEYS = 2_000_000
 
 
+def text_key() -> Column:
+    """The key by which one text of a node is found again; texts may share it."""
+    return F.xxhash64("text")
+
+
 def few_keys(keys: DataFrame) -> DataFrame:
     """The stored keys, marked for broadcast only if they are few."""
     return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
 
 
 def signed_rows(docs: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
-    """row (struct of ``keep``), row_id, text_key, bag and signature of every row, stored."""
+    """row (struct of ``keep``), row_id, text_key, bag, its distinct shingles and signature of every row, stored."""
 
     def start():
         def step(texts: pa.Array) -> list[pa.Array]:
@@ -51,6 +58,7 @@ def signed_rows(docs: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
             signed = signatures(bags)
             return [
                 pa.array(ids, pa.binary()),
+                pa.array(np.diff(bags.first), pa.int64()),
                 pa.array([s.tobytes() if i else None for s, i in zip(signed, ids, strict=True)], pa.binary()),
             ]
 
@@ -58,17 +66,28 @@ def signed_rows(docs: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
 
     row = F.struct(*[F.col(f"`{c}`") for c in keep]) if keep else F.struct(F.lit(0).alias("none"))
     rows = docs.select(row.alias("row"), F.col(f"`{text}`").cast("string").alias("text"))
-    rows = rows.withColumn("text_key", F.xxhash64("text"))
-    signed = map_text(rows, "text", ["row", "text_key"], fields(bag="binary", signature="binary"), start)
+    rows = rows.withColumn("text_key", text_key())
+    signed = map_text(rows, "text", ["row", "text_key"], fields(bag="binary", size="long", signature="binary"), start)
     return stored(signed.withColumn("row_id", F.monotonically_increasing_id()), "signed")
 
 
-def bags_for(docs: DataFrame, text: str, signed: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node, shingles and counts of the given nodes, made again from one text of each, stored."""
-    keys = signed.join(nodes, "node", "left_semi").select(F.col("text_key").alias("key"))
-    keys = few_keys(stored(keys.distinct(), "keys"))
-    texts = docs.select(F.col(f"`{text}`").cast("string").alias("text")).withColumn("key", F.xxhash64("text"))
-    texts = texts.join(keys, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
+def nodes_of(rows: DataFrame) -> DataFrame:
+    """The distinct bags of the signed rows, numbered, stored."""
+    nodes = rows.where("bag IS NOT NULL").groupBy("bag")
+    nodes = nodes.agg(F.first("signature").alias("signature"), F.min("text_key").alias("text_key"), F.first("size").alias("size"))
+    return stored(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+
+
+def bags_for(docs: DataFrame, text: str, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """node, shingles and counts of the wanted nodes, made again from one text of each, stored.
+
+    Texts that share a key by chance are told apart by a second hash and by their bags.
+    """
+    keys = nodes.join(wanted, "node", "left_semi").select(F.col("text_key").alias("key"), "node", "bag")
+    keys = few_keys(stored(keys, "keys"))
+    texts = docs.select(F.col(f"`{text}`").cast("string").alias("text"))
+    texts = texts.withColumns({"key": text_key(), "second": F.xxhash64(F.lit(1), "text")}).join(keys, "key")
+    texts = texts.groupBy("key", "second", "node").agg(F.first("text").alias("text"), F.first("bag").alias("bag"))
 
     def start():
         def step(texts: pa.Array) -> list[pa.Array]:
@@ -79,23 +98,23 @@ def bags_for(docs: DataFrame, text: str, signed: DataFrame, nodes: DataFrame) ->
 
         return step
 
-    made = map_text(texts, "text", [], fields(node="binary", shingles="longs", counts="longs"), start)
-    return stored(made.where("node IS NOT NULL").dropDuplicates(["node"]), "bags")
+    made = map_text(texts, "text", ["node", "bag"], fields(made="binary", shingles="longs", counts="longs"), start)
+    return stored(made.where("made = bag").select("node", "shingles", "counts"), "bags")
 
 
-def _agreement(pairs: DataFrame, signed: DataFrame) -> DataFrame:
+def _agreement(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs (a, b) whose signatures agree in enough slots."""
     prepare(pairs.sparkSession)
-    one = signed.select(F.col("node").alias("a"), F.col("signature").alias("sa"))
-    two = signed.select(F.col("node").alias("b"), F.col("signature").alias("sb"))
+    one = nodes.select(F.col("node").alias("a"), F.col("signature").alias("sa"))
+    two = nodes.select(F.col("node").alias("b"), F.col("signature").alias("sb"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sides = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, SLOTS) for c in ("sa", "sb")]
             enough = (sides[0] == sides[1]).mean(axis=1) >= LEAST_ESTIMATE
-            yield pa.RecordBatch.from_pandas(batch.select(["a", "b"]).to_pandas()[enough], schema=pa.schema([("a", pa.binary()), ("b", pa.binary())]), preserve_index=False)
+            yield pa.RecordBatch.from_pandas(batch.select(["a", "b"]).to_pandas()[enough], schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]), preserve_index=False)
 
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a binary, b binary")
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
 def _similar(pairs: DataFrame, bags: DataFrame) -> DataFrame:
@@ -115,14 +134,14 @@ def _similar(pairs: DataFrame, bags: DataFrame) -> DataFrame:
             yield batch.select(["a", "b"]).take(pa.array(rows, pa.int64()))
 
     joined = pairs.join(left, "a").join(right, "b")
-    return joined.select("a", "b", "xs", "xn", "ys", "yn").mapInArrow(run, "a binary, b binary")
+    return joined.select("a", "b", "xs", "xn", "ys", "yn").mapInArrow(run, "a long, b long")
 
 
 def _links_across(group: pd.DataFrame) -> pd.DataFrame:
     """Links that connect different components among the nodes of one or two blocks."""
     roots = {r: r for r in group["root"]}
 
-    def find(x: bytes) -> bytes:
+    def find(x: int) -> int:
         while roots[x] != x:
             roots[x] = roots[roots[x]]
             x = roots[x]
@@ -148,43 +167,42 @@ def _links_across(group: pd.DataFrame) -> pd.DataFrame:
             if both >= SIMILAR * either:
                 roots[find(names[i])] = find(names[j])
                 out.append((nodes[i], nodes[j]))
-    return pd.DataFrame(out, columns=["a", "b"])
+    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
-def _remaining_links(docs: DataFrame, text: str, buckets: DataFrame, signed: DataFrame, roots: DataFrame) -> DataFrame:
+def _remaining_links(docs: DataFrame, text: str, buckets: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
     """Step 3: links between components that share a bucket."""
     rooted = buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     per_root = rooted.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
     mixed = per_root.groupBy("bucket").agg(F.count(F.lit(1)).alias("k"), F.max(F.struct("n", "root"))["root"].alias("head"))
     mixed = mixed.where("k > 1").select("bucket", "head")
     sets = stored(rooted.join(mixed, "bucket").select("head", "node", "root").distinct(), "sets")
-    bags = bags_for(docs, text, signed, sets.select("node").distinct())
-    sizes = sets.groupBy("head").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    bags = bags_for(docs, text, nodes, sets.select("node").distinct())
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("size") / BLOCK_SHINGLES)).cast("int")
+    sizes = sets.join(nodes.select("node", "size"), "node").groupBy("head").agg(blocks.alias("blocks"))
     placed = sets.join(sizes, "head").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     met = placed.select("head", "node", "root", "block", other)
     met = met.withColumns({"first_block": F.least("block", "other"), "second_block": F.greatest("block", "other")})
-    full = met.join(signed.drop("text_key"), "node").join(bags, "node")
+    full = met.join(nodes.select("node", "signature"), "node").join(bags, "node")
     columns = ["head", "first_block", "second_block", "block", "node", "root", "signature", "shingles", "counts"]
-    return full.select(*columns).groupBy("head", "first_block", "second_block").applyInPandas(_links_across, "a binary, b binary")
+    return full.select(*columns).groupBy("head", "first_block", "second_block").applyInPandas(_links_across, "a long, b long")
 
 
-def near_duplicate_links(docs: DataFrame, text: str, rows: DataFrame) -> DataFrame:
-    """Verified links (a, b) between bags that connect all near duplicates, stored."""
-    signed = rows.where("bag IS NOT NULL").groupBy(F.col("bag").alias("node"))
-    signed = stored(signed.agg(F.first("signature").alias("signature"), F.min("text_key").alias("text_key")), "nodes")
+def near_duplicate_links(docs: DataFrame, text: str, nodes: DataFrame) -> DataFrame:
+    """Verified links (a, b) between nodes that connect all near duplicates, stored."""
     width = 2 * ROWS
     keys = F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.substring("signature", b * width + 1, F.lit(width)))
     )
-    banded = signed.select("node", F.explode(keys).alias("bucket"))
+    banded = nodes.select("node", F.explode(keys).alias("bucket"))
     heads = banded.groupBy("bucket").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head <> last")
     buckets = stored(banded.join(heads.select("bucket", "head"), "bucket"), "buckets")
     stars = buckets.where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
-    close = stored(_agreement(stars, signed), "close")
+    close = stored(_agreement(stars, nodes), "close")
     ends = close.select(F.col("a").alias("node")).union(close.select(F.col("b").alias("node"))).distinct()
-    links = stored(_similar(close, bags_for(docs, text, signed, ends)), "links")
-    rest = _remaining_links(docs, text, buckets.select("bucket", "node"), signed, stored(components(links), "roots"))
+    links = stored(_similar(close, bags_for(docs, text, nodes, ends)), "links")
+    rest = _remaining_links(docs, text, buckets.select("bucket", "node"), nodes, stored(components(links), "roots"))
     return stored(links.union(rest), "links")
 
 
@@ -200,27 +218,28 @@ def near_duplicates(docs: DataFrame, *, doc: str = "doc_id", text: str = "text",
     new = ("class_id", "class_size", "kept")
     keep = [c for c in ([c for c in docs.columns if c != text] if keep is None else keep) if c.lower() not in new]
     rows, classes = _classified(docs, doc, text, keep)
-    return rows.join(classes, rows["bag"] == classes["node"], "left").select(
+    return rows.join(classes, "bag", "left").select(
         *[F.col("row").getField("keep").getField(c).alias(c) for c in keep],
         F.coalesce("class_id", F.col("row.id")).alias("class_id"),
         F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"),
-        (F.col("node").isNull() | (F.col("kept_row") == F.col("row_id"))).alias("kept"),
+        (F.col("kept_row").isNull() | (F.col("kept_row") == F.col("row_id"))).alias("kept"),
     )
 
 
 def _classified(docs: DataFrame, doc: str, text: str, keep: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """The signed rows, and class_id, class_size and kept_row of every node."""
+    """The signed rows, and class_id, class_size and kept_row of every bag."""
     kept = F.struct(*[F.col(f"`{c}`") for c in keep]) if keep else F.struct(F.lit(0).alias("none"))
     inner = docs.select(F.col(f"`{doc}`").alias("id"), kept.alias("keep"), F.col(f"`{text}`").cast("string").alias("text"))
     rows = signed_rows(inner, "text", ["id", "keep"])
-    roots = stored(components(near_duplicate_links(inner, "text", rows)), "roots")
+    nodes = nodes_of(rows)
+    roots = stored(components(near_duplicate_links(inner, "text", nodes)), "roots")
+    named = nodes.select("bag", "node").join(roots, "node", "left").select("bag", F.coalesce("root", "node").alias("root"))
     first = F.min(F.struct(F.col("row.id").isNull(), F.col("row.id").alias("id"), "row_id")).alias("first")
     per_bag = rows.where("bag IS NOT NULL").groupBy("bag").agg(first, F.count(F.lit(1)).alias("n"))
-    per_bag = per_bag.join(roots, F.col("bag") == F.col("node"), "left").withColumn("root", F.coalesce("root", "bag"))
-    per_bag = stored(per_bag.select("bag", "root", "first", "n"), "bag-roots")
+    per_bag = stored(per_bag.join(named, "bag"), "bag-roots")
     per_class = per_bag.groupBy("root").agg(F.min("first").alias("first"), F.sum("n").alias("class_size"))
-    classes = per_bag.select(F.col("bag").alias("node"), "root").join(per_class, "root").select(
-        "node", F.col("first.id").alias("class_id"), "class_size", F.col("first.row_id").alias("kept_row")
+    classes = per_bag.select("bag", "root").join(per_class, "root").select(
+        "bag", F.col("first.id").alias("class_id"), "class_size", F.col("first.row_id").alias("kept_row")
     )
     return rows, stored(classes, "classes")
 
@@ -228,6 +247,6 @@ def _classified(docs: DataFrame, doc: str, text: str, keep: Sequence[str]) -> tu
 def drop_near_duplicates(docs: DataFrame, *, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that ``near_duplicates`` keeps, with all their columns."""
     rows, classes = _classified(docs, doc, text, docs.columns)
-    gone = rows.join(classes.where("class_size > 1"), rows["bag"] == classes["node"]).where("row_id <> kept_row")
+    gone = rows.join(classes.where("class_size > 1"), "bag").where("row_id <> kept_row")
     gone = few_keys(stored(gone.select("row_id"), "gone"))
     return rows.join(gone, "row_id", "left_anti").select("row.keep.*")
