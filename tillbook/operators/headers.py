@@ -8,11 +8,12 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillbook.functions.similarity import PATTERN_TYPE, indel_ratio, pattern, score_of, token_sort
 from tillbook.functions.text import WHITESPACE, once
+from tillbook.operators.aliases import match_aliases
 from tillbook.schema import CANONICAL_COLUMNS, HEADER_ALIASES
 
 DEFAULT_THRESHOLD = 70
@@ -43,6 +44,12 @@ def _corpus() -> Column:
     return F.from_json(F.lit(json.dumps(entries)), f"array<{entry_type}>")
 
 
+def built_in_aliases(spark: SparkSession) -> DataFrame:
+    """The built-in aliases as a table (alias, canonical, rank), to add others to."""
+    rows = [(s, name) for name, spellings in HEADER_ALIASES.items() for s in spellings]
+    return spark.createDataFrame([(s, name, i) for i, (s, name) in enumerate(rows)], "alias string, canonical string, rank long")
+
+
 def _no_match() -> Column:
     text = F.lit(None).cast("string")
     return F.struct(F.lit(0.0).alias("ratio"), F.lit(-999).alias("rank"), text.alias("alias"), text.alias("canonical"))
@@ -92,19 +99,20 @@ def match_header(normalised: Column, threshold: int = DEFAULT_THRESHOLD) -> Colu
     return once(F.struct(exact.alias("exact"), best.alias("best")), report)
 
 
-def header_map(raw_files: DataFrame, threshold: int = DEFAULT_THRESHOLD) -> DataFrame:
+def header_map(raw_files: DataFrame, threshold: int = DEFAULT_THRESHOLD, aliases: DataFrame | None = None) -> DataFrame:
     """One row per header of each file with the canonical column it maps to."""
-    return header_lists(raw_files, threshold).select(
+    return header_lists(raw_files, threshold, aliases).select(
         "path", "source_file", F.posexplode("mapped").alias("position", "m")
     ).select("path", "source_file", "position", "m.*")
 
 
-def header_lists(raw_files: DataFrame, threshold: int = DEFAULT_THRESHOLD) -> DataFrame:
+def header_lists(raw_files: DataFrame, threshold: int = DEFAULT_THRESHOLD, aliases: DataFrame | None = None) -> DataFrame:
     """The files with ``mapped``: for each header its text and its match, in order.
 
     Files of one origin share their whole header list, so distinct lists are
     planned once; and lists share spellings, so each distinct spelling is scored
-    once. A file meets its list by a hash and the list itself.
+    once. A file meets its list by a hash and the list itself. ``aliases`` (alias,
+    canonical, rank) takes the place of the built-in ones and may have any size.
     """
     listed = raw_files.withColumn("list_key", F.xxhash64("headers"))
     lists = listed.where("headers IS NOT NULL").select("list_key", "headers").distinct()
@@ -112,7 +120,10 @@ def header_lists(raw_files: DataFrame, threshold: int = DEFAULT_THRESHOLD) -> Da
         "normalised", normalise(F.coalesce("raw_header", F.lit("")))
     )
     spellings = spelled.select("normalised").distinct()
-    matched = spellings.select("normalised", match_header(F.col("normalised"), threshold).alias("m"))
+    if aliases is None:
+        matched = spellings.select("normalised", match_header(F.col("normalised"), threshold).alias("m"))
+    else:
+        matched = match_aliases(spellings, aliases, threshold)
     one = F.struct("position", "raw_header", "m.canonical", "m.via_alias", "m.score", "m.method")
     # A list is no longer than a sheet is wide.
     in_order = F.array_sort(F.collect_list(one))
@@ -122,14 +133,14 @@ def header_lists(raw_files: DataFrame, threshold: int = DEFAULT_THRESHOLD) -> Da
     return listed.join(mapped, ["list_key", "headers"], "left").drop("list_key").select(*raw_files.columns, "mapped")
 
 
-def plan_files(raw_files: DataFrame, threshold: int = DEFAULT_THRESHOLD) -> DataFrame:
+def plan_files(raw_files: DataFrame, threshold: int = DEFAULT_THRESHOLD, aliases: DataFrame | None = None) -> DataFrame:
     """Decide per file whether its headers are usable, and where each column sits.
 
     Adds ``columns_read``, ``missing`` and ``duplicated`` (canonical names),
     ``positions`` (index of each canonical column) and ``problem`` (NULL for a
     usable file). A file without headers is kept.
     """
-    found = header_lists(raw_files, threshold).withColumn(
+    found = header_lists(raw_files, threshold, aliases).withColumn(
         "names", F.coalesce(F.transform("mapped", lambda m: m["canonical"]), F.array().cast("array<string>"))
     )
 

@@ -22,7 +22,7 @@ from tillbook.functions.money import money_avg, money_sum
 from tillbook.functions.sketch import STANDARD_ERROR
 from tillbook.operators.cleaning import CleaningOptions, add_date_mode, clean
 from tillbook.operators.filters import filter_sales
-from tillbook.operators.headers import header_map, plan_files
+from tillbook.operators.headers import built_in_aliases, header_map, plan_files
 from tillbook.operators.verdict import count_rows, detected_events, file_report, outcome_events, rejected_rows
 from tillbook.plans.dashboard import PANELS
 from tillbook.plans.order import disorders
@@ -176,6 +176,11 @@ def mapped_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return header_map(untidy_files(spark, sf_dir)).drop("path")
 
 
+def mapped_by_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the aliases as a table, through the index of letter pairs."""
+    return header_map(untidy_files(spark, sf_dir), aliases=built_in_aliases(spark)).drop("path")
+
+
 def planned_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Missing and duplicated columns per untidy file."""
     return plan_files(untidy_files(spark, sf_dir)).select(
@@ -485,6 +490,7 @@ def queries() -> dict[str, Query]:
         clustered_by_city=clustered_by_city,
         clustered_by_category=clustered_by_category,
         header_map=mapped_headers,
+        header_map_by_table=mapped_by_table,
         file_plan=planned_files,
         clean_sales=clean_sales,
         clean_sales_iso=clean_sales_iso,

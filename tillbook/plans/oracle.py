@@ -328,6 +328,9 @@ CLEANED = f"""
 
 INGEST_SQL = {
     "header_map": "SELECT * FROM header_map",
+    "header_map_by_table": """SELECT * REPLACE (CASE WHEN method <> 'low_score' THEN via_alias END AS via_alias,
+        CASE WHEN method <> 'low_score' THEN score ELSE 0 END AS score, replace(method, 'low_score', 'no_match') AS method)
+        FROM header_map""",
     "file_plan": "SELECT * FROM file_plan",
     "clean_sales": f"""
         SELECT {_SALES_LIST}, source_file FROM expected
@@ -395,7 +398,7 @@ def oracle_sql() -> dict[str, str]:
         out.update({name: f"WITH {SALES} {sql}" for name, sql in group.items()})
     out.update({name.replace("dash_", "refreshed_"): out[name] for name in DASHBOARD_SQL})
     for name, sql in INGEST_SQL.items():
-        headers_only = name in ("header_map", "file_plan")
+        headers_only = name in ("header_map", "header_map_by_table", "file_plan")
         parts = HEADERS if headers_only else f"{SALES}, {HEADERS}, {CLEANED}"
         out[name] = f"WITH RECURSIVE {parts} {sql}"
     return out
