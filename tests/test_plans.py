@@ -67,4 +67,4 @@ def test_shared_folder_follows_the_session(spark):
 
 def test_all_views_are_registered():
     assert len(VIEWS) == 16 and {v.removeprefix("v_") for v in VIEWS} <= set(catalog.queries())
-    assert len(catalog.queries()) == 60
+    assert len(catalog.queries()) == 61
