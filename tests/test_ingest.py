@@ -7,11 +7,12 @@ import tracemalloc
 import zipfile
 from datetime import date, datetime
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tillbook.plans.dashboard import refresh
-from tillbook.plans.sample_books import workbook_bytes
+from tillbook.plans.sample_books import workbook_bytes, workbook_of
 from tillbook.schema import CANONICAL_COLUMNS, FILES_SCHEMA
 from tillbook.sources import workbook
 from tillbook.sources.folder import workbook_files, workbook_stream
@@ -95,6 +96,49 @@ def test_shared_strings_beyond_the_bound(monkeypatch, bound, grows):
     assert (held[1] - held[0] > 8e6) == grows, held
 
 
+ROWS = [
+    '<row r="2"><c r="A2" t="s"><v>1</v></c><c r="C2" s="1"><v>44929</v></c></row>',
+    '<row><c t="inlineStr"><is><t xml:space="preserve"> a &lt;b&gt; &amp;amp; </t></is></c><c/><c s="1"><v>44929.5</v></c></row>',
+    '<row spans="1:3">\n<c t="b"><v>1</v></c><c t="str"><v>&quot;x&apos;</v></c><c><v>0.10000000000000001</v></c></row>',
+    '<row><c t="inlineStr"><is><t></t></is></c><c t="inlineStr"/><c t="e"><v>#N/A</v></c><c><is><t>1</t></is></c></row>',
+    '<row r="9" other="1"><c r="B9"><f>A1</f><v>7</v></c></row>',
+    '<row><c><v>1</v><!-- x --></c><c t="str"><v>a\r\nb</v></c><c t="str"><v>&#65;</v></c></row>',
+]
+
+
+@pytest.mark.parametrize("content", [*ROWS, "".join(ROWS[:4]), "".join(ROWS), "<row><c><v>&amp;</v></c></row>"])
+def test_plain_rows_read_like_parsed_ones(content):
+    args = (["zero", "a&b"], {1}, datetime(1899, 12, 30))
+    head = f"<worksheet {NS}><sheetData>".encode()
+
+    def cells(rows):
+        try:
+            return list(rows)
+        except ValueError as problem:
+            return str(problem)
+
+    parsed = cells(workbook._parsed_rows(workbook.ElementTree.fromstring(head + content.encode() + b"</sheetData></worksheet>")[-1], *args))
+    plain = workbook._PlainRows(*args).rows(head, content.encode())
+    if any(odd in content for odd in ROWS[4:]):
+        assert plain is None
+    else:
+        assert cells(plain) == parsed
+
+
+@pytest.mark.parametrize("text", ["a]]>b", "&x;", "a\x01b", "\ufffe"])
+def test_what_is_no_xml_is_left_to_the_parser(text):
+    content = f"<row><c t='str'><v>{text}</v></c></row>".replace("'", '"').encode()
+    assert workbook._PlainRows([], set(), datetime(1899, 12, 30)).rows(f"<worksheet {NS}><sheetData>".encode(), content) is None
+
+
+def test_workbooks_of_rows_are_read_without_a_parser(monkeypatch):
+    rows = pa.RecordBatch.from_pylist([{"day": date(2023, 1, 5), "name": "A & <B>", "n": 2, "x": 0.1, "none": None}] * 3)
+    monkeypatch.setattr(workbook, "_parsed_rows", None)
+    expected = [["day", "name", "n", "x", "none"], *[["2023-01-05", "A & <B>", "2", "0.1", None]] * 3]
+    assert list(sheet_rows(io.BytesIO(workbook_of(rows)))) == expected
+    assert list(sheet_rows(io.BytesIO(workbook_bytes(rows.schema.names, [r.values() for r in rows.to_pylist()])))) == expected
+
+
 def test_1904_calendar():
     book = parts(**{"xl/worksheets/sheet1.xml": SHEET, "xl/sharedStrings.xml": STRINGS, "xl/styles.xml": STYLES,
                     "xl/workbook.xml": zipfile.ZipFile(io.BytesIO(workbook_bytes(["a"], []))).read("xl/workbook.xml")
