@@ -1,10 +1,12 @@
 """The executed plans must hold at scale."""
 
 import re
+from datetime import datetime
 
 import pytest
 
 import __spark_entry__ as contract
+from tillbook.operators.verdict import count_rows
 from tillbook.plans import catalog
 from tillbook.plans.catalog import shared_folder
 from tillbook.plans.views import VIEWS
@@ -68,3 +70,27 @@ def test_shared_folder_follows_the_session(spark):
 def test_all_views_are_registered():
     assert len(VIEWS) == 16 and {v.removeprefix("v_") for v in VIEWS} <= set(catalog.queries())
     assert len(catalog.queries()) == 61
+
+
+def test_raw_rows_of_a_file_lie_together(spark, tmp_path, monkeypatch):
+    day = datetime(2020, 1, 2)
+    tables = {
+        "region": ([(0, "ASIA")], "r_regionkey int, r_name string"),
+        "nation": ([(0, "N", 0)], "n_nationkey int, n_name string, n_regionkey int"),
+        "customer": ([(i, f"Customer#{i}" if i else None, 0) for i in range(5)], "c_custkey long, c_name string, c_nationkey int"),
+        "part": ([(0, "bolt", "PROMO", 9.5)], "p_partkey long, p_name string, p_type string, p_retailprice double"),
+        "orders": ([(i, i % 5, day) for i in range(10)], "o_orderkey long, o_custkey long, o_orderdate timestamp"),
+        "lineitem": (
+            [(i % 10, 0, i // 10, 1.0, 8.0, 0.5, day) for i in range(40)],
+            "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_shipdate timestamp",
+        ),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    monkeypatch.setattr(catalog, "_ROWS_PER_BUCKET", 10)
+    rows = catalog.landing_rows(spark, str(tmp_path))
+    counted = count_rows(rows, "n")
+    assert "Exchange" not in counted._jdf.queryExecution().executedPlan().toString()
+    names = [None, *[f"inbox/Customer_{i}.xlsx" for i in range(1, 5)]]
+    assert sorted(map(tuple, counted.collect()), key=str) == sorted([(n, 8) for n in names], key=str)
+    assert sorted(map(tuple, rows.select("path", "source_file").distinct().collect()), key=str) == sorted([(n, n and n[6:]) for n in names], key=str)

@@ -42,6 +42,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 _LOCAL_FOLDER: list[tempfile.TemporaryDirectory] = []
 _WRITTEN: dict[tuple[str, str, str], str] = {}
+_TABLES: dict[str, str] = {}
+
+#: Raw rows of a bucket, about: some 50 MB in memory.
+_ROWS_PER_BUCKET = 250_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -86,9 +90,16 @@ def sales_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def landing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw rows of all untidy files, as a scan would leave them."""
-    # Dealt evenly, as the landing table of a scan is by its tasks; the number of parts follows from the size.
-    path = _written(spark, sf_dir, "raw_rows", lambda p: untidy_rows(spark, sf_dir).hint("rebalance").write.parquet(p))
-    return spark.read.parquet(path)
+    name = f"tillbook_raw_rows_{uuid.uuid4().hex}"
+
+    def write(path: str) -> None:
+        # The rows of a file lie together, as a scan leaves them: counts per file and joins with the file plan need no shuffle of rows.
+        parts = max(1, math.ceil(spark.read.parquet(f"{sf_dir}/lineitem.parquet").count() / _ROWS_PER_BUCKET))
+        untidy_rows(spark, sf_dir, parts).write.bucketBy(parts, "path").sortBy("path").option("path", path).saveAsTable(name)
+        _TABLES[path] = name
+
+    path = _written(spark, sf_dir, "raw_rows", write)
+    return spark.table(_TABLES[path])
 
 
 def landing_plan(spark: SparkSession, sf_dir: str, options: CleaningOptions = CleaningOptions()) -> DataFrame:

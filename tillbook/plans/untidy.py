@@ -115,14 +115,20 @@ def _padded(name: str) -> Column:
     return F.when(F.expr("k % 3 = 1"), F.concat(F.lit("\t"), name, F.lit("  "))).otherwise(F.col(name))
 
 
-def untidy_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(path, source_file, row_no, cells)``: one row per line item."""
-    lines = star_lines(spark, sf_dir).drop("source_file").selectExpr(
-        "*",
-        "replace(customer_name, '#', '_') || '.xlsx' AS source_file",
+def untidy_rows(spark: SparkSession, sf_dir: str, parts: int | None = None) -> DataFrame:
+    """``(path, source_file, row_no, cells)``: one row per line item.
+
+    With ``parts`` the rows are dealt by path into so many partitions, while their columns are still narrow.
+    """
+    lines = star_lines(spark, sf_dir).selectExpr(
+        *CANONICAL_COLUMNS,
+        "'inbox/' || replace(customer_name, '#', '_') || '.xlsx' AS path",
         "c_custkey AS k",
         "l_orderkey * 8 + l_linenumber AS row_no",
     )
+    if parts:
+        lines = lines.repartition(parts, "path")
+    lines = lines.withColumn("source_file", F.substring("path", len("inbox/") + 1, 1 << 30))
     whole = F.col("quantity").cast("string")
     cells = {
         **{c: _padded(c) for c in ("city", "state", "region", "product_category", "product_name")},
@@ -135,6 +141,4 @@ def untidy_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sales_amount": F.when(F.expr(BAD_AMOUNT), "$12").otherwise(_money_text("sales_amount")),
     }
     ordered = F.array(*[cells[c] for c in CANONICAL_COLUMNS])
-    return _in_file_order(lines, "cells", ordered, F.lit("none"), F.lit("1.0")).select(
-        F.concat(F.lit("inbox/"), "source_file").alias("path"), "source_file", "row_no", "cells"
-    )
+    return _in_file_order(lines, "cells", ordered, F.lit("none"), F.lit("1.0")).select("path", "source_file", "row_no", "cells")
