@@ -110,3 +110,11 @@ def test_a_block_of_16_mb_takes_bounded_memory():
     tracemalloc.stop()
     assert most < 500e6 and time.time() - started < 60
     assert held < 300e6 and prefixes.windows.size > 1_000_000
+
+
+def test_one_block_takes_one_python_worker(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "other words")], "doc_id long, text string")
+    items = spark.createDataFrame([("i", "b c d")], "item_id string, text string")
+    found = decontaminate(docs, items)
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert [(r.n_hit, r.n_items, r["items"], r.contaminated) for r in found.orderBy("doc_id").collect()] == [(3, 1, ["i"], True), (0, 0, [], False)]

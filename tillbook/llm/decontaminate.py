@@ -221,8 +221,11 @@ def find_windows(words: Words, windows: Windows, prefixes: Prefixes, lookup: Loo
     return start[right], number[right]
 
 
-def mark_block(docs: DataFrame, text: str, keep: list[str], block: Windows) -> DataFrame:
-    """``keep``, and per document: a bit per word that is hit, the items found, the number of words."""
+def mark_block(docs: DataFrame, text: str, keep: list[str], block: Windows, only: bool = False) -> DataFrame:
+    """``keep``, and per document: a bit per word that is hit, the items found, the number of words.
+
+    If the block is the only one, the columns of ``RESULT`` come instead, from the same Python worker.
+    """
     spark = docs.sparkSession
     prepare(spark)
     whole = np.zeros(block.shingle.size + 1, dtype=np.int64)
@@ -249,29 +252,36 @@ def mark_block(docs: DataFrame, text: str, keep: list[str], block: Windows) -> D
             for d in np.unique(document):
                 marks[d] = np.packbits(hit[words.first[d] : words.first[d + 1]]).tobytes()
                 found[d] = sorted({windows.names[i] for w in np.unique(number[document == d]) for i in windows.item[windows.first[w] : windows.first[w + 1]]})
+            if only:
+                return _summary([[m] for m in marks], found, words.counts.tolist())
             return [pa.array(marks, pa.binary()), pa.array(found, pa.list_(pa.string())), pa.array(words.counts)]
 
         return step
 
-    return map_text(docs, text, keep, _MARKS, start)
+    return map_text(docs, text, keep, RESULT if only else _MARKS, start)
+
+
+def _hits(marks: list[bytes | None]) -> int:
+    bits = [np.frombuffer(m, np.uint8) for m in marks if m]
+    return int(np.unpackbits(np.bitwise_or.reduce(bits)).sum()) if bits else 0
+
+
+def _summary(marks: list[list[bytes | None]], found: list[list[str]], n: list[int]) -> list[pa.Array]:
+    """The columns of ``RESULT``, from the marks and items of each document in all blocks."""
+    items = [sorted(set(i)) for i in found]
+    n_hit = [_hits(m) for m in marks]
+    digest = [hashlib.sha256(",".join(i).encode()).hexdigest() for i in items]
+    bad = [h > 0 and 20 * h >= w for h, w in zip(n_hit, n, strict=True)]
+    made = [pa.array(n, pa.int64()), pa.array(n_hit, pa.int64()), pa.array([len(i) for i in items], pa.int64())]
+    return made + [pa.array(digest, pa.string()), pa.array(bad, pa.bool_()), pa.array(items, pa.list_(pa.string()))]
 
 
 def _summaries(marked: DataFrame, new: T.StructType) -> DataFrame:
     schema = T.StructType([marked.schema["row"], *new])
 
-    def hits(marks: list[bytes | None]) -> int:
-        bits = [np.frombuffer(m, np.uint8) for m in marks if m]
-        return int(np.unpackbits(np.bitwise_or.reduce(bits)).sum()) if bits else 0
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            items = [sorted(set(i)) for i in batch.column("found").to_pylist()]
-            n_hit = [hits(m) for m in batch.column("marks").to_pylist()]
-            digest = [hashlib.sha256(",".join(i).encode()).hexdigest() for i in items]
-            n = batch.column("n_words").to_pylist()
-            bad = [h > 0 and 20 * h >= w for h, w in zip(n_hit, n, strict=True)]
-            made = [pa.array(n, pa.int64()), pa.array(n_hit, pa.int64()), pa.array([len(i) for i in items], pa.int64())]
-            made += [pa.array(digest, pa.string()), pa.array(bad, pa.bool_()), pa.array(items, pa.list_(pa.string()))]
+            made = _summary(*(batch.column(c).to_pylist() for c in ("marks", "found", "n_words")))
             yield pa.RecordBatch.from_arrays([batch.column("row"), *made], names=schema.names)
 
     return marked.select("row", "marks", "found", "n_words").mapInArrow(run, schema)
@@ -319,6 +329,9 @@ def decontaminate(
     state = rows.withColumns({"marks": F.array().cast("array<binary>"), "found": F.array().cast("array<string>")})
     blocks = _blocks(benchmark, item, item_text, block_bytes)
     block, later = next(blocks, NO_WINDOWS), next(blocks, None)
+    if later is None:
+        out = mark_block(rows, "text", ["row"], block, only=True)
+        return out.select(*[F.col("row").getField(c).alias(c) for c in keep], *[f.name for f in RESULT])
     while True:
         carry = state.select("row", "text", F.col("marks").alias("old_marks"), F.col("found").alias("old_found"))
         kept = ["row", "old_marks", "old_found", *(["text"] if later else [])]
