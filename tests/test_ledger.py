@@ -8,12 +8,12 @@ import pytest
 from pyspark.sql import functions as F
 from test_ingest import HEADERS, inbox, line, put, store  # noqa: F401
 
-from tillbook.schema import CLAIMED_SCHEMA, FILES_SCHEMA, RETRIES_SCHEMA
+from tillbook.schema import CLAIMED_SCHEMA, FILES_SCHEMA, RETRIES_SCHEMA, SALES_FIELDS
 from tillbook.sources import ledger as ledger_module
 from tillbook.sources.ledger import ClaimLost, Ledger
 from tillbook.sources.objects import HadoopObjects, LocalObjects, objects
 from tillbook.sources.workbook import open_file, scan_workbooks
-from tillbook.streaming.ingest import SalesStore, ingest_files, ingest_folder
+from tillbook.streaming.ingest import SalesStore, append_batch, ingest_files, ingest_folder
 
 DAY = datetime(2024, 1, 1)
 
@@ -242,3 +242,17 @@ def test_a_load_that_was_taken_for_dead_adds_nothing(spark, inbox, tmp_path):  #
         ingest_folder(spark, str(inbox), Slow(root))
     assert SalesStore(root).sales(spark).count() == 1
     assert SalesStore(root).ingest_log(spark).groupBy("event").count().filter(F.col("count") > 1).count() == 0
+
+
+def test_sales_of_committed_batches_are_not_sorted_to_find_them(spark, tmp_path):
+    """However few batches there are, and whether or not there is a snapshot: the rows of a batch do not meet in one task."""
+    store = SalesStore(str(tmp_path))
+    one = spark.createDataFrame([(DAY.date(), "C")], "sale_date date, customer_name string")
+    rows = one.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in SALES_FIELDS if f.name not in one.columns])
+    for n in range(3):
+        append_batch(rows, store, f"b{n}")
+        assert store.ledger(spark).compact(4) == (n == 1)
+        sales = store.sales(spark)
+        assert sales.count() == n + 1
+        plan = sales._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan

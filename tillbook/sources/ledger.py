@@ -20,6 +20,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -173,11 +174,15 @@ class Ledger:
         return state.retries is not None or any(c["n_retries"] for c in state.commits)
 
     def commits(self, state: State) -> DataFrame:
-        """One row per complete batch, with the number of its commit."""
-        rows = [(c["rows_loaded"], c["committed_at"], c["attempt_id"], c["number"]) for c in state.commits]
-        tail = self.spark.createDataFrame(rows, "rows_loaded long, committed_at double, batch_id string, number long")
-        tail = tail.withColumn("committed_at", F.timestamp_seconds("committed_at")).select(*COMMITS_SCHEMA.fieldNames())
-        return self._segments(state.committed, COMMITS_SCHEMA).unionByName(tail)
+        """One row per complete batch, with the number of its commit.
+
+        Its size is known to Spark, as an Arrow table's is and that of rows in a Python list is not, so that a join with it
+        is a broadcast one: sorted and merged, all rows of a batch would go through one task.
+        """
+        rows = {"rows_loaded": pa.int64(), "committed_at": pa.float64(), "attempt_id": pa.string(), "number": pa.int64()}
+        tail = self.spark.createDataFrame(pa.table({n: pa.array([c[n] for c in state.commits], kind) for n, kind in rows.items()}))
+        tail = tail.withColumn("committed_at", F.timestamp_seconds("committed_at")).withColumnRenamed("attempt_id", "batch_id").select(*COMMITS_SCHEMA.fieldNames())
+        return self._segments(state.committed, COMMITS_SCHEMA).unionByName(tail) if state.committed else tail
 
     def _segments(self, segments: list[list], schema) -> DataFrame:
         if not segments:
