@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillbook.operators.filters import filter_sales
-from tillbook.sources.clustering import curve_place, range_starts
+from tillbook.sources.clustering import along_curve, curve_place, range_starts
 from tillbook.sources.staging import append_sales, read_sales
 from tillbook.sources.star import star_sales
 from tillbook.streaming.ingest import SalesStore, append_batch
@@ -83,3 +83,29 @@ def test_odd_rows(spark, tmp_path):
     assert store.sales(spark).where("region IS NULL AND sale_month = 'none'").count() == 100
     with pytest.raises(ValueError):
         curve_place({c: [] for c in "abcdefghijk"}, 6)
+
+
+def test_rows_are_made_twice_and_large_months_cut_along_the_curve(spark):
+    """Once to count values, once to be dealt; each stretch of a month lies together, as far as it is small."""
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(_):
+        read.add(1)
+        return True
+
+    values = [(f"m{i % 2}", f"x{i % 50:02d}", None if i % 9 == 0 else f"y{i % 7}", i) for i in range(2000)] * 2
+    rows = spark.createDataFrame(values, "sale_month string, x string, y string, i int")
+    curve = along_curve(rows.filter(F.udf(seen, "boolean")("i")), ["x", "y"], cell_rows=500)
+    assert read.value == len(values)
+    dealt = curve.withColumns({"task": F.spark_partition_id(), "at": F.monotonically_increasing_id()}).collect()
+    assert read.value == 2 * len(values)
+    assert sorted(r["i"] for r in dealt) == sorted(v[3] for v in values)
+    place = curve_place(range_starts(rows, ["x", "y"]))
+    placed = {(r.sale_month, r.x, r.y): r.place for r in rows.distinct().select("*", place.alias("place")).collect()}
+    tasks, last = {}, {}
+    for r in sorted(dealt, key=lambda r: r["at"]):
+        at = placed[r.sale_month, r.x, r.y]
+        tasks.setdefault((r.sale_month, at >> 9), set()).add(r["task"])
+        assert last.get(r["task"], ("", 0)) <= (r.sale_month, at)
+        last[r["task"]] = (r.sale_month, at)
+    assert len(tasks) == 8 and all(len(t) == 1 for t in tasks.values())
