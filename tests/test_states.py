@@ -82,3 +82,25 @@ def test_merged_sketches_are_those_of_all_rows(spark, tmp_path):
 def test_empty_store(spark, tmp_path, approximate):
     panels = refresh_panels(spark, SalesStore(str(tmp_path)), approximate)
     assert panels["kpis"].first().unique_customers == 0 and panels["regional"].count() == 0
+
+
+@pytest.mark.parametrize("approximate", [False, True])
+def test_a_refresh_goes_three_times_through_the_new_rows(spark, tmp_path, monkeypatch, approximate):
+    """Once per grouping, however many panels and distinct counts are made from it."""
+    store, new_rows, read = SalesStore(str(tmp_path)), PanelStates.new_rows, spark.sparkContext.accumulator(0)
+
+    def seen(_):
+        read.add(1)
+        return True
+
+    def counted(self, since):
+        rows, number = new_rows(self, since)
+        return rows.filter(F.udf(seen, "boolean")("source_file")), number
+
+    monkeypatch.setattr(PanelStates, "new_rows", counted)
+    for n in range(2):
+        append_batch(spark.createDataFrame(sales(n, 20), SCHEMA), store, f"b{n}")
+        PanelStates(spark, store, approximate).refresh()
+        assert read.value == 3 * 20 * (n + 1)
+    total = PANELS["kpis"](spark.createDataFrame(sales(0, 20) + sales(1, 20), SCHEMA)).first()
+    assert PanelStates(spark, store, approximate).panels()["kpis"].first().total_revenue == total.total_revenue

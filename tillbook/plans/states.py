@@ -3,7 +3,8 @@
 For each panel the store keeps one row per key with parts that add up: counts, the three whole-number parts
 of money sums, minima and maxima. For distinct counts it keeps the distinct values per key, or, if asked for,
 a sketch of them. A refresh aggregates the batches committed since the last one, merges their rows with
-the kept ones, and writes a new generation; it reads no sales row of an older batch. Two refreshes at a time
+the kept ones, and writes a new generation; it reads no sales row of an older batch, and those of the new ones three times,
+once per grouping that panels share (kept beside them as ``new-...``). Two refreshes at a time
 write a generation each, and either is complete up to the commit it names.
 """
 
@@ -12,6 +13,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,6 +27,7 @@ from tillbook.sources.objects import objects
 from tillbook.streaming.ingest import SalesStore
 
 _LATEST = "latest.json"
+_SIDE_BY_SIDE = 4
 _MONEY = {"amount": "sales_amount", "price": "price_per_unit"}
 
 
@@ -116,6 +119,26 @@ STATES: dict[str, PanelState] = {
 }
 
 
+#: What the new sales are grouped by, each in one pass over them: a panel whose keys are among those of a grouping,
+#: and whose distinct values are too, is made from its rows, which are fewer.
+GROUPINGS: dict[str, PanelState] = {
+    "customers": PanelState(("customer_name", "city", "state", "region"), ("rows", "quantity", "amount"), {}),
+    "products": PanelState(("product_name", "product_category"), ("quantity", "amount", "price"), {}),
+    "days": PanelState(("source_file", "sale_date"), ("rows", "amount", "loaded_at"), {}),
+}
+
+
+def _grouping(columns: tuple[str, ...], parts: tuple[str, ...] = ()) -> str:
+    """The first grouping that has these columns and parts."""
+    return next(n for n, g in GROUPINGS.items() if {*columns} <= {*g.keys} and {*parts} <= {*g.parts})
+
+
+def _write_all(tables: dict[str, DataFrame]) -> None:
+    """Writes each table to its path, side by side: most of them are small and leave cores idle."""
+    with ThreadPoolExecutor(_SIDE_BY_SIDE) as pool:
+        list(pool.map(lambda path: tables[path].write.parquet(path), tables))
+
+
 class PanelStates:
     """The kept rows of all panels of a store; ``approximate`` keeps sketches in place of distinct values."""
 
@@ -142,9 +165,8 @@ class PanelStates:
             return rows.groupBy(*state.keys).agg(sketch(column).alias("seen"))
         return rows.filter(F.col(column).isNotNull()).select(*state.keys, F.col(column).alias("seen")).distinct()
 
-    def _merged(self, what: DataFrame, before: str | None, merge: Callable[[DataFrame], DataFrame], path: str) -> None:
-        rows = what if before is None else what.unionByName(self.spark.read.schema(what.schema).parquet(before))
-        (rows if before is None else merge(rows)).write.parquet(path)
+    def _with(self, what: DataFrame, before: str | None) -> DataFrame:
+        return what if before is None else what.unionByName(self.spark.read.schema(what.schema).parquet(before))
 
     def refresh(self) -> None:
         """Takes the batches committed since the last refresh into a new generation."""
@@ -154,17 +176,23 @@ class PanelStates:
             return
         sales = self.spark.createDataFrame([], STAGING_SCHEMA) if sales is None else sales
         path = f"{self.root}/generation-{number:012d}-{uuid.uuid4().hex}"
+        grouped = {n: sales.groupBy(*g.keys).agg(*[c.alias(part) for part, c in _parts(g.parts)[0].items()]) for n, g in GROUPINGS.items()}
+        _write_all({f"{path}/new-{n}": rows for n, rows in grouped.items()})
+        grouped = {n: self.spark.read.schema(rows.schema).parquet(f"{path}/new-{n}") for n, rows in grouped.items()}
+        tables = {}
         for name, state in STATES.items():
-            rows = sales.dropna(subset=list(state.not_null)) if state.not_null else sales
-            made, merge = _parts(state.parts)
-            before = f"{latest['path']}/{name}" if latest else None
-            parts = rows.groupBy(*state.keys).agg(*[c.alias(n) for n, c in made.items()])
-            add = lambda r, s=state, m=merge: r.groupBy(*s.keys).agg(*[c.alias(n) for n, c in m.items()])
-            self._merged(parts, before, add, f"{path}/{name}")
+            merge = _parts(state.parts)[1]
+            rows = grouped[_grouping(state.keys, state.parts)]
+            rows = rows.dropna(subset=list(state.not_null)) if state.not_null else rows
+            rows = self._with(rows.select(*state.keys, *merge), f"{latest['path']}/{name}" if latest else None)
+            tables[f"{path}/{name}"] = rows.groupBy(*state.keys).agg(*[c.alias(n) for n, c in merge.items()])
             for result, column in state.distinct:
-                before = f"{latest['path']}/{name}-{result}" if latest else None
-                unite = lambda r, s=state: r.groupBy(*s.keys).agg(merged_sketch("seen").alias("seen")) if self.approximate else r.distinct()
-                self._merged(self._distinct(rows, state, column), before, unite, f"{path}/{name}-{result}")
+                rows = self._distinct(grouped[_grouping((*state.keys, column))], state, column)
+                if latest:
+                    rows = self._with(rows, f"{latest['path']}/{name}-{result}")
+                    rows = rows.groupBy(*state.keys).agg(merged_sketch("seen").alias("seen")) if self.approximate else rows.distinct()
+                tables[f"{path}/{name}-{result}"] = rows
+        _write_all(tables)
         self.objects.replace(_LATEST, json.dumps({"number": number, "path": path}))
 
     def rows(self, name: str) -> DataFrame:
