@@ -2,6 +2,9 @@
 
 from datetime import date
 
+from pyspark.sql import functions as F
+
+from tillbook.functions import text
 from tillbook.operators.cleaning import CleaningOptions, add_date_mode, clean, standardise
 from tillbook.operators.headers import plan_files
 from tillbook.operators.verdict import NO_ROWS, NONE_VALID, count_rows, file_report, rejected_rows
@@ -152,3 +155,20 @@ def test_short_rows_have_null_cells(spark):
     both = raw.union(cut)
     rows = standardise(both, add_date_mode(plan_files(files), both)).filter("customer_name = 'Bob'").collect()
     assert len(rows) == 1 and rows[0].sales_amount is None
+
+
+def test_usual_and_unusual_cells_agree(spark):
+    """Cells at the border of the quick paths: line ends, exponents, long numbers, ISO dates that are none, other formats of that shape."""
+    days = [{"sale_date": v} for v in ["2023-01-05", "2023-02-31", "2023-01-07\n", "2023-1-8", " 2023-01-09", None]]
+    assert [r.sale_date for r in typed(spark, days)] == [date(2023, 1, 5), None, date(2023, 1, 7), date(2023, 1, 8), None, None]
+    turned = CleaningOptions(date_formats=("yyyy-dd-MM", "yyyy-MM-dd"))
+    assert [r.sale_date for r in typed(spark, [{"sale_date": v} for v in ["2023-05-01", "2023-06-01"]], turned)] == [date(2023, 1, 5), date(2023, 1, 6)]
+    amounts = [{"sales_amount": v} for v in ["5.\n", "+7", "1e400", "9" * 310, "9" * 300, "1e2", "5d", "Infinity", ""]]
+    assert [r.sales_amount for r in typed(spark, amounts)] == [5.0, 7.0, None, None, 1e300, 100.0, None, None, None]
+    cities = [{"city": v} for v in ["!", "~", "\x7f", "a\u2028", "é b", "\u3000é", "a\x0b", "\x1fa"]]
+    assert [r.city for r in typed(spark, cities)] == ["!", "~", "\x7f", "a", "é b", "é", "a", "\x1fa"]
+
+
+def test_texts_without_space_around_are_not_searched(spark):
+    plan = spark.range(1).select(text.strip(F.col("id").cast("string")).alias("v"))._jdf.queryExecution().analyzed().toString()
+    assert "CASE WHEN" in plan and "trim" in plan.lower()

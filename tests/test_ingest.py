@@ -12,10 +12,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillbook.plans.dashboard import refresh
+from tillbook.plans import sample_books
 from tillbook.plans.sample_books import workbook_bytes, workbook_of
 from tillbook.schema import CANONICAL_COLUMNS, FILES_SCHEMA
 from tillbook.sources import workbook
 from tillbook.sources.folder import workbook_files, workbook_stream
+from tillbook.sources.staging import append_sales
 from tillbook.sources.workbook import raw_files, raw_rows, scan_workbooks, sheet_rows
 from tillbook.streaming import ingest
 from tillbook.streaming.ingest import SalesStore, ingest_files, ingest_folder, start_ingest_stream
@@ -139,6 +141,42 @@ def test_workbooks_of_rows_are_read_without_a_parser(monkeypatch):
     assert list(sheet_rows(io.BytesIO(workbook_bytes(rows.schema.names, [r.values() for r in rows.to_pylist()])))) == expected
 
 
+def test_a_number_that_comes_again_is_read_once(monkeypatch):
+    seen, number_text = [], workbook._number_text
+    monkeypatch.setattr(workbook, "_number_text", lambda v: seen.append(v) or number_text(v))
+    book = io.BytesIO(workbook_bytes(["a", "b"], [[i % 3, 0.25] for i in range(5_000)]))
+    assert list(sheet_rows(book))[1:] == [[str(i % 3), "0.25"] for i in range(5_000)]
+    assert len(seen) < 50
+
+
+def test_rows_of_many_widths_and_places():
+    """Rows with named places, gaps, blanks and entities, in slices of both kinds, are cut and padded to the headed columns."""
+    rows = ['<row><c t="str"><v>x</v></c><c/><c t="str"><v>y</v></c></row>', '<row r="2"><c r="C2"><v>1</v></c><c><v>9</v></c></row>',
+            '<row><c/></row>', '<row/>', '<row><c r="B4" t="str"><v>lost</v></c></row>', '<row><c t="str"><v>&lt;&amp;lt;</v></c></row>']
+    plain = [r for r in rows if r != "<row/>"]
+    for lines in (rows, plain):
+        book = io.BytesIO(parts(**{"xl/worksheets/sheet1.xml": f"<worksheet {NS}><sheetData>{''.join(lines)}</sheetData></worksheet>"}))
+        batches = list(workbook._decode_file("in/a.xlsx", None, lambda _: book))
+        assert [c for b in batches[:-1] for c in b.column("cells").to_pylist()] == [[None, "1"], [None, None], ["<&lt;", None]]
+        assert batches[-1].column("cells").to_pylist() == [["x", "y"]] and batches[-1].column("rows_read").to_pylist() == [3]
+    assert workbook._PlainRows([], set(), datetime(1899, 12, 30)).table(f"<worksheet {NS}><sheetData>".encode(), "".join(plain).encode()) is not None
+
+
+def test_workbooks_are_made_column_by_column(monkeypatch):
+    amounts = [0.0, -0.0, 1e-5, 0.1, 5.0, 1e10, 1e22, float("nan"), 123456.78]
+    made, cell = [], sample_books._cell
+    monkeypatch.setattr(sample_books, "_cell", lambda v: made.append(v) or cell(v))
+    for values in (amounts, [None, *amounts], [0.1, 5.0, -123456.78] * 2_000):
+        made.clear()
+        batch = pa.RecordBatch.from_pydict({"x": pa.array(values, pa.float64()), "n": [7] * len(values), "s": ["a<b"] * len(values)})
+        books = workbook_of(batch), workbook_bytes(batch.schema.names, [r.values() for r in batch.to_pylist()])
+        sheets = [zipfile.ZipFile(io.BytesIO(b)).read("xl/worksheets/sheet1.xml") for b in books]
+        assert sheets[0] == sheets[1] and len(sheets[0]) > 20 * len(values)
+        made.clear()
+        workbook_of(batch)
+        assert len(made) < 50
+
+
 def test_1904_calendar():
     book = parts(**{"xl/worksheets/sheet1.xml": SHEET, "xl/sharedStrings.xml": STRINGS, "xl/styles.xml": STYLES,
                     "xl/workbook.xml": zipfile.ZipFile(io.BytesIO(workbook_bytes(["a"], []))).read("xl/workbook.xml")
@@ -322,6 +360,48 @@ def test_a_stopped_batch_is_finished(spark, inbox, store, step):
     check_filled(spark, store)
 
 
+def test_a_stopped_batch_leaves_its_log_only(spark, inbox, store):
+    class Stopping(SalesStore):
+        def path(self, table):
+            if table.split("/")[0] == "file_report":
+                raise Stopped
+            return super().path(table)
+
+    fill(inbox)
+    with pytest.raises(Stopped):
+        ingest_folder(spark, str(inbox), Stopping(store.root))
+    left = {t: [d for d in os.listdir(f"{store.root}/{t}") if d.startswith("batch_id=")] for t in os.listdir(store.root)}
+    assert {t for t, batches in left.items() if batches} == {"ingest_log"}
+    assert ingest_folder(spark, str(inbox), store) == 4
+    check_filled(spark, store)
+
+
+def test_writes_give_back_their_shuffles(spark, store):
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+
+    def held():
+        paths = [os.path.join(at, n) for f in folders for at, _, names in os.walk(f.getPath()) for n in names if n.startswith("shuffle_")]
+        return sum(os.path.getsize(p) for p in paths if os.path.exists(p))
+
+    before = held()
+    empty = [f"CAST(NULL AS {t}) AS {c}" for c, t in zip(CANONICAL_COLUMNS[2:], ["string"] * 5 + ["int"] + ["double"] * 2, strict=True)]
+    rows = spark.range(20_000).selectExpr("date_add(DATE'2023-01-01', CAST(id % 90 AS INT)) AS sale_date", "uuid() AS customer_name", *empty, "'a.xlsx' AS source_file")
+    assert append_sales(rows, f"{store.root}/staging_sales", "b1") == 20_000
+    until = time.time() + 20
+    while held() > before + 100_000 and time.time() < until:
+        time.sleep(0.2)
+    assert held() <= before + 100_000
+
+
+def test_rejected_files_without_rows_need_no_quarantine(spark, inbox, store):
+    put(inbox, "bare.xlsx", rows=[])
+    (inbox / "broken.xlsx").write_bytes(b"nothing")
+    put(inbox, "good.xlsx")
+    assert ingest_folder(spark, str(inbox), store) == 1
+    assert store.quarantine(spark).count() == 0
+    assert not os.path.exists(f"{store.root}/quarantine")
+
+
 def test_files_of_one_name_in_two_folders(spark, inbox, store, tmp_path):
     other = tmp_path / "other"
     other.mkdir()
