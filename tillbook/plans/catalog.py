@@ -33,6 +33,7 @@ from tillbook.plans.views import VIEWS, register_views
 from tillbook.schema import CANONICAL_COLUMNS, INGEST_LOG_SCHEMA, SALES_COLUMNS
 from tillbook.package import ship_package
 from tillbook.sources.folder import workbook_files, workbook_stream
+from tillbook.sources.settings import TWO_FOLDERS, settings
 from tillbook.sources.staging import append_sales, query, query_scalar, read_sales
 from tillbook.sources.star import star_sales
 from tillbook.sources.workbook import raw_files, raw_rows, scan_workbooks
@@ -275,7 +276,8 @@ def workbook_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = inbox(spark, sf_dir)
 
     def write(path: str) -> None:
-        scan_workbooks(workbook_files(spark, folder)).write.partitionBy("kind").parquet(path)
+        with settings(spark, TWO_FOLDERS):
+            scan_workbooks(workbook_files(spark, folder)).write.partitionBy("kind").parquet(path)
 
     landing = spark.read.parquet(_written(spark, sf_dir, "workbook_rows", write))
     rows = raw_rows(landing)

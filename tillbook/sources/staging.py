@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tillbook.schema import STAGING_SCHEMA, STORED_SCHEMA
 from tillbook.sources.clustering import along_curve
+from tillbook.sources.settings import FREE_SHUFFLES, settings
 
 
 def _batch_path(table: str, batch_id: str) -> str:
@@ -37,14 +38,15 @@ def append_sales(rows: DataFrame, table: str, batch_id: str, cluster_by: Sequenc
         ordered = along_curve(dated, cluster_by)
     else:
         ordered = dated.hint("rebalance", F.col("sale_month")).sortWithinPartitions("sale_month", "region", "city")
-    (
-        ordered.write.mode("overwrite")
-        # Equality filters on these columns, by which rows aren't sorted, skip row groups.
-        .option("parquet.bloom.filter.enabled#customer_name", "true")
-        .option("parquet.bloom.filter.enabled#source_file", "true")
-        .partitionBy("sale_month")
-        .parquet(_batch_path(table, batch_id))
-    )
+    with settings(rows.sparkSession, FREE_SHUFFLES):
+        (
+            ordered.write.mode("overwrite")
+            # Equality filters on these columns, by which rows aren't sorted, skip row groups.
+            .option("parquet.bloom.filter.enabled#customer_name", "true")
+            .option("parquet.bloom.filter.enabled#source_file", "true")
+            .partitionBy("sale_month")
+            .parquet(_batch_path(table, batch_id))
+        )
     return read_batch(rows.sparkSession, table, batch_id).count()
 
 
